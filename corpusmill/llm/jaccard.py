@@ -293,4 +293,3 @@ def op10_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
     return jaccard_components(docs, width=4, threshold=85)
 
 
-OP10_SQL = None  # given below, for DuckDB: all pairs that share a shingle would not end on whole tables
