@@ -21,14 +21,15 @@ BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
 
 
 def line_keys(docs: DataFrame, min_chars: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, pos, h1, h2): a 128-bit hash of each line's key, lines with shorter keys left out."""
+    """(doc_id, pos, h1, h2, first): a 128-bit hash of each line's key, and 1 where the document has the key for the first time; shorter keys are left out."""
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, at, high, low = [], [], [], []
+            ids, at, high, low, first = [], [], [], [], []
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if not text or len(text) < min_chars:
                     continue
+                seen = set()
                 for k, line in enumerate(text.split("\n")):
                     key = line.strip(BLANKS)
                     if len(key) >= min_chars:
@@ -37,9 +38,11 @@ def line_keys(docs: DataFrame, min_chars: int = 20, id_col: str = "doc_id", text
                         at.append(k)
                         high.append((h >> 64) - (1 << 63))
                         low.append((h & 0xFFFFFFFFFFFFFFFF) - (1 << 63))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(at, pa.int32()), pa.array(high, pa.int64()), pa.array(low, pa.int64())], ["doc_id", "pos", "h1", "h2"])
+                        first.append(h not in seen)
+                        seen.add(h)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(at, pa.int32()), pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.array([int(x) for x in first], pa.int32())], ["doc_id", "pos", "h1", "h2", "first"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where(F.col("doc_id").isNotNull()).mapInArrow(keyed, "doc_id long, pos int, h1 long, h2 long")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where(F.col("doc_id").isNotNull()).mapInArrow(keyed, "doc_id long, pos int, h1 long, h2 long, first int")
 
 
 def drop_repeated_lines(docs: DataFrame, min_docs: int = 3, min_chars: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -47,18 +50,11 @@ def drop_repeated_lines(docs: DataFrame, min_docs: int = 3, min_chars: int = 20,
 
     A key (line stripped of ASCII blanks, A-Z lower-cased) of at least min_chars code points in at least min_docs documents
     loses all its lines except in the largest id holding it. Null text counts as empty: one empty line, text ''. A row with
-    a null id is returned as it is (0 dropped) and counts for no key; rows that repeat an id count as one document, and all
-    of them keep or lose a line alike. A line may occur twice in one document: that counts once, and both go or stay.
+    a null id is returned as it is (0 dropped) and counts for no key; each row is a document of its own, and rows that
+    repeat an id lose the lines of any of them by position. A line may occur twice in one document: that counts once, and both go or stay.
     """
     lines = materialize(line_keys(docs, min_chars, id_col, text_col))
-    once = lines.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("keeper"))
-    if min_docs > 2:
-        # distinct documents: only keys of at least two documents are counted exactly
-        shared = once.where("first < keeper")
-        wide = lines.join(shared, ["h1", "h2"]).groupBy("h1", "h2", "doc_id").agg(F.first("keeper").alias("keeper")).groupBy("h1", "h2").agg(F.count("*").alias("n"), F.first("keeper").alias("keeper"))
-        wide = wide.where(F.col("n") >= min_docs)
-    else:
-        wide = once.where("first < keeper") if min_docs == 2 else once
+    wide = lines.groupBy("h1", "h2").agg(F.sum("first").alias("n"), F.max("doc_id").alias("keeper")).where(F.col("n") >= min_docs).drop("n")
     gone = lines.join(wide, ["h1", "h2"]).where(F.col("doc_id") != F.col("keeper"))
     drops = gone.groupBy("doc_id").agg(F.collect_set("pos").alias("_drops")).withColumnRenamed("doc_id", "_id")
 
