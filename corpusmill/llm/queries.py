@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import jaccard, line_dedup, mixing, quality
+from . import jaccard, line_dedup, mixing, packing, quality
 
 QUERIES = {
     "op2_source_mix": mixing.op2_source_mix,
+    "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_quality_rules": quality.op4_quality_rules,
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op10_ngram_jaccard": jaccard.op10_ngram_jaccard,
