@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .common import materialize, n_words
 
 #: Documents that one block of a source holds, about.
-BLOCK_ROWS = 20_000
+BLOCK_ROWS = 4_000
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0) -> DataFrame:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import jaccard, line_dedup, mixing, packing, quality
+from . import jaccard, line_dedup, mixing, packing, quality, token_counts, token_files
 
 QUERIES = {
     "op2_source_mix": mixing.op2_source_mix,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_quality_rules": quality.op4_quality_rules,
+    "op6_token_counts": token_counts.op6_token_counts,
     "op8_line_dedup": line_dedup.op8_line_dedup,
+    "op9_token_files": token_files.op9_token_files,
     "op10_ngram_jaccard": jaccard.op10_ngram_jaccard,
 }
 
