@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import jaccard, line_dedup, mixing, packing, quality, token_counts, token_files
+from . import jaccard, line_dedup, mixing, packing, quality, token_counts, token_files, toxicity
 
 QUERIES = {
     "op2_source_mix": mixing.op2_source_mix,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_quality_rules": quality.op4_quality_rules,
+    "op5_toxicity": toxicity.op5_toxicity,
     "op6_token_counts": token_counts.op6_token_counts,
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_token_files": token_files.op9_token_files,
