@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import jaccard, line_dedup, mixing, packing, quality, token_counts, token_files, toxicity
+from . import embedding_dedup, jaccard, line_dedup, mixing, packing, quality, token_counts, token_files, toxicity
 
 QUERIES = {
+    "op1_embedding_dedup": embedding_dedup.op1_embedding_dedup,
     "op2_source_mix": mixing.op2_source_mix,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_quality_rules": quality.op4_quality_rules,

@@ -63,7 +63,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, seed: int = SEED) -> tuple[n
         below = np.cumsum(y[order] == 0)
         k = int(np.argmax(above[:-1] / (y == 1).sum() + below[:-1] / (y == 0).sum()))
         cut = (z[order[k]] + z[order[k + 1]]) / 2
-        scale = min(1e3, 4.0 / max(1e-6, float(np.mean(z[y == 1]) - cut)))
+        scale = min(1e3, 4.0 / max(1e-6, float(np.mean(np.abs(z - cut)))))
         w0, w, v = model
         model = ((w0 - cut) * scale, w * scale, v * np.sqrt(scale))
     return tuple(x.astype(np.float32) for x in model)
