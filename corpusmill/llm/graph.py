@@ -1,8 +1,8 @@
-"""Connected components of a graph given as edges, by alternating large-star and small-star steps (Kiveris et al., 2014)."""
+"""Connected components of a graph given as edges."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize
@@ -11,21 +11,25 @@ from .common import materialize
 def connected_components(edges: DataFrame) -> DataFrame:
     """(src, dst) long -> (node, component): each node of an edge with the smallest id that it can reach.
 
-    Every step is an aggregation with partial sums and an equi-join against one row per node, so a hub with many edges is
-    split by the skewed-join rule; nothing but two numbers per step reaches the driver. Nodes without edges aren't returned.
+    First the small-star step (Kiveris et al., 2014) is repeated: a node hands its smaller neighbours to the smallest of
+    them, until each node has one smaller neighbour at most, so that a forest is left; then pointers are doubled up to the
+    roots. Rows are dealt by the larger end of an edge, so the centre of a star, its smallest node, is never a key
+    with many rows; the doubling joins two written tables, where the skewed-join rule splits large keys. Only counts reach
+    the driver. Nodes without edges (or with an edge to themselves alone) aren't returned.
     """
     u, v = F.col("u"), F.col("v")
     now = materialize(edges.select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).where(u != v).distinct())
-    before = None
     while True:
-        sign = now.agg(F.count("*"), F.bit_xor(F.xxhash64(u, v)), F.sum(F.pmod(F.xxhash64(v, u), F.lit(1 << 30)))).first()
-        if sign == before or sign[0] == 0:
+        rows, nodes = now.groupBy("u").agg(F.count("*").alias("n")).agg(F.sum("n"), F.count("*")).first()
+        if not rows or rows == nodes:
+            break
+        low = F.min("v").over(Window.partitionBy("u"))
+        handed = F.when(v == F.col("m"), F.struct(u.alias("u"), v.alias("v"))).otherwise(F.struct(v.alias("u"), F.col("m").alias("v")))
+        now = materialize(now.withColumn("m", low).select(handed.alias("e")).select("e.*").distinct())
+    while True:
+        up = now.select(u.alias("p"), v.alias("q"))
+        nxt = materialize(now.join(up, v == F.col("p"), "left").select("u", F.coalesce("q", "v").alias("v"), F.col("q").isNotNull().alias("moved")))
+        now = nxt.select("u", "v")
+        if not nxt.where("moved").limit(1).count():
             break
-        before = sign
-        both = now.union(now.select(v.alias("u"), u.alias("v")))
-        low = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-        large = both.join(low, "u").where(v > u).select(v.alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
-        now = materialize(small.select(F.explode(F.array(F.struct(v.alias("u"), F.col("m").alias("v")), F.struct(u.alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").where(u != v).distinct())
     return now.select(u.alias("node"), v.alias("component")).union(now.select(v.alias("node"), v.alias("component")).distinct())

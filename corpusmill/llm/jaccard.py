@@ -274,15 +274,14 @@ def jaccard_components(docs: DataFrame, width: int = 4, threshold: int = 85, blo
     members = single.join(count, "component").withColumn("own", F.pmod(F.xxhash64("node", F.lit(5)), "blocks").cast("int"))
     pairs = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, "own").alias("a"), F.greatest(o, "own").alias("b"))))
     dealt = members.select("node", "component", "own", pairs.alias("p")).select("node", "component", "p.a", "p.b", F.when((F.col("own") == F.col("p.a")), 0).otherwise(1).alias("side"))
-    wanted = members.select("node").distinct()
-
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            h = [shingle_hashes(t, width).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(h, pa.binary())], ["node", "hashes"])
+            h = [shingle_hashes(t, width).tobytes() for t in batch.column(5).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(h, pa.binary())], ["component", "a", "b", "side", "doc_id", "hashes"])
 
-    sets = texts.join(wanted, texts["doc_id"] == wanted["node"], "left_semi").mapInArrow(hashed, "node long, hashes binary").dropDuplicates(["node"])
-    rows = dealt.join(sets, "node").select("component", "a", "b", "side", F.col("node").alias("doc_id"), "hashes")
+    # both sides grow with the corpus, so neither is broadcast
+    placed = texts.join(dealt.hint("merge"), texts["doc_id"] == dealt["node"]).select("component", "a", "b", "side", "doc_id", "text")
+    rows = placed.mapInArrow(hashed, "component long, a int, b int, side int, doc_id long, hashes binary")
     links = map_groups(rows, ["component", "a", "b"], lambda t: block_links(t, threshold), "src long, dst long")
     found = connected_components(links.union(copies))
     return sizes.join(found.withColumnRenamed("node", "_node"), F.col("doc_id") == F.col("_node"), "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
