@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import embedding_dedup, jaccard, line_dedup, mixing, packing, quality, token_counts, token_files, toxicity
+from . import embedding_dedup, jaccard, line_dedup, mixing, packing, quality, suffix_dedup, token_counts, token_files, toxicity
 
 QUERIES = {
     "op1_embedding_dedup": embedding_dedup.op1_embedding_dedup,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_quality_rules": quality.op4_quality_rules,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_token_counts": token_counts.op6_token_counts,
+    "op7_suffix_dedup": suffix_dedup.op7_suffix_dedup,
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_token_files": token_files.op9_token_files,
     "op10_ngram_jaccard": jaccard.op10_ngram_jaccard,

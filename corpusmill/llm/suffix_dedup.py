@@ -253,7 +253,7 @@ def common_with_previous(x: np.ndarray, suffixes: np.ndarray, depth: int) -> np.
 def later_starts(texts: list[bytes], docs: np.ndarray, starts: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
     """Of texts (pieces of documents from `starts` on): the (doc, start) of each span-byte string that also starts earlier."""
     sizes = np.array([len(t) for t in texts], np.int64)
-    # bytes are 1..255 here: 0 ends a piece (a NUL is read as 255's neighbour 255, and checked below)
+    # a zero byte ends each piece; texts may hold zero bytes too, so ends are told by place, not by value
     raw = np.frombuffer(b"\x00".join(texts) + b"\x00", np.uint8)
     begin = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
     x = raw.astype(np.int64)
@@ -317,3 +317,83 @@ def _runs(doc: np.ndarray, pos: np.ndarray) -> pa.RecordBatch | None:
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(doc)) - 1
     return pa.RecordBatch.from_arrays([pa.array(doc[first]), pa.array(pos[first].astype(np.int32)), pa.array((pos[last] - pos[first] + 1).astype(np.int32))], ["doc_id", "start", "n"])
+
+
+def repeat_spans(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int = HOT_SEGMENTS) -> DataFrame:
+    """(doc_id, start, n): starts of span-byte strings (n of them on end) that also start earlier, of (doc_id, text)."""
+    rows = materialize(repeated_segments(segment_rows(docs, span, gram)))
+    open_ = rows.where("first")
+    busy = materialize(open_.groupBy("anchor").agg(F.count("*").alias("kinds")).where(F.col("kinds") > hot))
+    wanted = open_.join(busy, "anchor", "left").select("doc_id", F.struct("start", "n", "anchor", F.col("kinds").isNotNull().alias("hot")).alias("s")).groupBy("doc_id").agg(F.collect_list("s").alias("s")).withColumnRenamed("doc_id", "_id")
+
+    def bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                doc, raw, s = batch.column(0)[k].as_py(), batch.column(1)[k].as_py().encode("utf-8", "surrogatepass"), batch.column(2)[k].as_py()
+                anchor, start, body, high, low = [], [], [], [], []
+                for x in s:
+                    if not x["hot"]:
+                        anchor.append(x["anchor"])
+                        start.append(x["start"])
+                        body.append(raw[x["start"] : x["start"] + x["n"] + span - 1])
+                        high.append(None)
+                        low.append(None)
+                    else:
+                        for p in range(x["start"], x["start"] + x["n"]):
+                            h = xxhash.xxh3_128_intdigest(raw[p : p + span])
+                            anchor.append(None)
+                            start.append(p)
+                            body.append(None)
+                            high.append((h >> 64) - (1 << 63))
+                            low.append((h & 0xFFFFFFFFFFFFFFFF) - (1 << 63))
+                types = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(([doc] * len(start), anchor, start, body, high, low), types)], ["doc_id", "anchor", "start", "body", "high", "low"])
+
+    texts = docs.join(wanted.hint("merge"), docs["doc_id"] == wanted["_id"]).select("doc_id", "text", "s")
+    pieces = materialize(texts.mapInArrow(bodies, "doc_id long, anchor long, start int, body binary, high long, low long"))
+    compared = compare_segments(pieces.where("body IS NOT NULL").select("anchor", "doc_id", "start", "body"), span)
+    grams = pieces.where("body IS NULL").select("doc_id", "start", "high", "low")
+    first = grams.groupBy("high", "low").agg(F.min(F.struct("doc_id", "start")).alias("f"))
+    by_hash = grams.join(first, ["high", "low"]).where((F.col("doc_id") != F.col("f.doc_id")) | (F.col("start") != F.col("f.start"))).select("doc_id", "start", F.lit(1).alias("n"))
+    whole = rows.where("NOT first").select("doc_id", "start", F.col("n").cast("int").alias("n"))
+    return whole.unionByName(compared).unionByName(by_hash)
+
+
+def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int = HOT_SEGMENTS) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept binary) of (doc_id, text): kept holds the bytes that are left, n_spans the maximal removed runs.
+
+    Null texts are empty; null ids come back untouched. Rows that repeat an id are taken as one text repeated: their starts
+    are ordered by place, so equal rows count as one and nothing of them is removed for each other.
+    """
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    spans = materialize(repeat_spans(texts.where("doc_id IS NOT NULL AND text IS NOT NULL"), span, gram, hot))
+    per = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("s")).withColumnRenamed("doc_id", "_id")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n_bytes, n_removed, n_spans, kept = [], [], [], []
+            for t, s in zip(batch.column(1).to_pylist(), batch.column(2)):
+                raw = np.frombuffer(t.encode("utf-8", "surrogatepass") if t else b"", np.uint8)
+                n_bytes.append(len(raw))
+                if not s.is_valid:
+                    n_removed.append(0)
+                    n_spans.append(0)
+                    kept.append(raw.tobytes())
+                    continue
+                start, n = (s.values.field(k).to_numpy().astype(np.int64) for k in ("start", "n"))
+                edge = np.zeros(len(raw) + 1, np.int64)
+                np.add.at(edge, start, 1)
+                np.add.at(edge, start + n + span - 1, -1)
+                gone = np.cumsum(edge[:-1]) > 0
+                n_removed.append(int(gone.sum()))
+                n_spans.append(int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()))
+                kept.append(raw[~gone].tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in (n_bytes, n_removed, n_spans)), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+
+    joined = texts.join(per.hint("merge"), texts["doc_id"] == per["_id"], "left").select("doc_id", "text", "s")
+    return joined.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+
+
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
