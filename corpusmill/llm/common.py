@@ -119,3 +119,23 @@ def mix64(x: np.ndarray) -> np.ndarray:
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """A text column as Python strings, null as empty."""
     return [t or "" for t in batch.column(name).to_pylist()]
+
+
+_RNG = np.random.default_rng(20)
+BYTE_HASH = _RNG.integers(1, 1 << 63, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_powers: list[np.ndarray] = []
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of the hash's base and of its inverse, modulo 2**64."""
+    if not _powers or len(_powers[0]) < n:
+        ones = np.ones(max(n, 1 << 20), np.uint64)
+        out = []
+        for b in (_BASE, _INVERSE):
+            x = ones * np.uint64(b)
+            x[0] = 1
+            out.append(np.cumprod(x, dtype=np.uint64))
+        _powers[:] = out
+    return _powers[0][:n], _powers[1][:n]

@@ -131,6 +131,9 @@ def evolve(lengths: list[int], capacity: int, seed: int, elites: list[list[list[
     least = -(-sum(lengths) // capacity)
     falling = sorted(range(len(lengths)), key=lambda i: (-lengths[i], i))
     people = list(elites)
+    for p in people:
+        if len(p) == least:
+            return p
     while len(people) < POPULATION:
         jitter = 0.0 if not people else rng.choice((0.01, 0.05, 0.2))
         order = falling if not jitter else sorted(falling, key=lambda i: -lengths[i] * (1 + jitter * rng.random()))
@@ -161,6 +164,8 @@ def pack(pieces: DataFrame, capacity: int = 1024, cell_pieces: int = CELL_PIECES
     cells = materialize(items.groupBy(cell.alias("cell")).agg(F.array_sort(F.collect_list(F.struct((-F.col("length")).alias("_l"), *names))).alias("items")))
     islands = F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1))).alias("island")
     lengths = cells.select("cell", F.transform("items", lambda x: -x["_l"]).alias("lengths"))
+    # a fixed number of tasks: these rows are small but take long, so they mustn't be gathered by size
+    tasks = min(n_cells * ISLANDS, max(int(items.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_cells // 4))
     elite = None
     for epoch in range(EPOCHS):
         work = lengths.select("cell", "lengths", islands)
@@ -169,7 +174,7 @@ def pack(pieces: DataFrame, capacity: int = 1024, cell_pieces: int = CELL_PIECES
         else:
             moved = elite.select("cell", F.explode(F.array("island", F.pmod(F.col("island") + 1, F.lit(ISLANDS)))).alias("island"), "bins").groupBy("cell", "island").agg(F.array_sort(F.collect_list("bins")).alias("elites"))
             work = work.join(moved, ["cell", "island"])
-        elite = materialize(work.repartition("cell", "island").mapInArrow(_epoch(capacity, seed * 1000 + epoch), "cell long, island int, n_bins int, bins array<int>"))
+        elite = materialize(work.repartition(tasks, "cell", "island").mapInArrow(_epoch(capacity, seed * 1000 + epoch), "cell long, island int, n_bins int, bins array<int>"))
     best = elite.groupBy("cell").agg(F.min_by("bins", F.struct("n_bins", "island")).alias("bins"))
     whole = cells.join(best, "cell").select("cell", F.arrays_zip("items", "bins").alias("z"))
     laid = whole.select("cell", F.expr("array_sort(transform(z, x -> struct(x.bins AS bin, x.items AS item)))").alias("z"))

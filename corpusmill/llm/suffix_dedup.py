@@ -25,32 +25,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import group_starts, materialize, mix64
+from .common import BYTE_HASH, group_starts, materialize, mix64, powers
 
 SPAN, GRAM = 100, 32
 #: Bytes of one block of suffixes, of the buffer in which documents are hashed, and different segments from which an anchor goes by hashes.
 BLOCK_BYTES, BUFFER_BYTES, HOT_SEGMENTS = 4_000_000, 1_000_000, 5_000
 
-_RNG = np.random.default_rng(20)
-_BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_powers: list[np.ndarray] = []
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of the hash's base and of its inverse, modulo 2**64."""
-    if not _powers or len(_powers[0]) < n:
-        ones = np.ones(max(n, BUFFER_BYTES + (1 << 17)), np.uint64)
-        out = []
-        for b in (_BASE, _INVERSE):
-            x = ones * np.uint64(b)
-            x[0] = 1
-            out.append(np.cumprod(x, dtype=np.uint64))
-        _powers[:] = out
-    return _powers[0][:n], _powers[1][:n]
-
-
 def segments(texts: list[bytes], span: int = SPAN, gram: int = GRAM) -> tuple[np.ndarray, ...]:
     """(text number, start, length in starts, anchor hash, segment hash) of all segments of the texts."""
     sizes = np.array([len(t) for t in texts], np.int64)
@@ -59,7 +39,7 @@ def segments(texts: list[bytes], span: int = SPAN, gram: int = GRAM) -> tuple[np
     if n < span or not (sizes >= span).any():
         z = np.zeros(0, np.int64)
         return z, z, z, z, z
-    value = _BYTE[raw]
+    value = BYTE_HASH[raw]
     forward, back = powers(n + 1)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(value * forward[:n], dtype=np.uint64, out=total[1:])
