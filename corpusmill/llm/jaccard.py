@@ -3,8 +3,9 @@
 1. Deal out. Two sets that link have at most H = (1 - t) / (1 + t) * (|A| + |B|) elements that only one of them holds. Cut the
    hash space into H + 1 + s parts: at least s + 1 parts are the same in both (PartEnum, Arasu et al., 2006). Every set
    sends a hash of each part; equal hashes make a loose link, always to the smallest document of the same hash, so the
-   number of loose links is linear however large a group of copies is. Empty parts are sent only by sets with more than
-   s of them: a pair that links has s + 1 equal parts, and if one side has at most s empty ones, a filled one is among them.
+   number of loose links is linear however large a group of copies is. Light parts, of one element or none, would tie strangers
+   together; they are sent only by sets with more than s of them: a pair that links has s + 1 equal parts, and if one side
+   has at most s light ones, a heavier one is among them, and is as heavy on the other side.
 2. Loose components (few chance members; groups of copies stay whole) are the blocks of the join; very large ones are cut
    into pairs of blocks.
 3. In a block, a signature tree: leaves hold a bitmap of a set's hashed elements, nodes the OR of their leaves' bitmaps and the
@@ -68,16 +69,19 @@ def part_hashes(h: np.ndarray, threshold: int, classes: tuple[np.ndarray, np.nda
     own = int(np.searchsorted(ends, len(h)))
     out = []
     for c in (own, own + 1):
-        slack = 0 if differ[c] == 0 else int(differ[c] + 1) // 10 + 4
+        slack = 0 if differ[c] == 0 else int(differ[c] + 1) // 5 + 5
         n = int(differ[c]) + 1 + slack
         part = ((h >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)  # h is sorted, so part is too
-        filled, start = np.unique(part, return_index=True)
+        filled, start, size = np.unique(part, return_index=True, return_counts=True)
         total = np.add.reduceat(mix64(h + np.uint64(0x5851F42D4C957F2D)), start)
         keys = mix64(total ^ mix64((filled.astype(np.uint64) << np.uint64(16)) + np.uint64(c + 1)))
-        out.append(keys)
-        if n - len(filled) > slack:
+        heavy = size > 1
+        if n - int(heavy.sum()) > slack:
             empty = np.setdiff1d(np.arange(n), filled)
-            out.append(mix64(mix64((empty.astype(np.uint64) << np.uint64(16)) + np.uint64(c + 1))))
+            keys = np.concatenate([keys, mix64(mix64((empty.astype(np.uint64) << np.uint64(16)) + np.uint64(c + 1)))])
+        else:
+            keys = keys[heavy]
+        out.append(keys)
     return np.concatenate(out)
 
 
