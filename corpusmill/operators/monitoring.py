@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 def coverage_matrix(rows: DataFrame, regions: DataFrame | None, themes: Iterable[str], region: str = "region", theme_ids: str = "theme_ids", since: Column | None = None) -> DataFrame:
     """(region, theme, n[, n_new]) dense: a theme counts when it is a substring of one of a row's themes (D7). With a regions table all its regions appear, else those of the rows."""
     themes = list(themes)
-    counts = [F.count_if(F.exists(theme_ids, lambda x, t=t: x.contains(t))).alias(t) for t in themes]
+    holds = lambda t: F.exists(theme_ids, lambda x: x.contains(t))
+    counts = [F.count_if(holds(t)).alias(t) for t in themes]
     wide = rows.where(F.coalesce(region, F.lit("")) != "").groupBy(region).agg(*counts)
     long = wide.unpivot([region], themes, "theme", "n")
     if regions is not None:
