@@ -157,13 +157,13 @@ def pack(pieces: DataFrame, capacity: int = 1024, cell_pieces: int = CELL_PIECES
     Every piece, full ones too, is an item; lengths must lie in 1..capacity. Reruns agree: cells, islands and orders come from hashes
     and sorted ids. An empty input gives no rows.
     """
-    names = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+    names = [c for c in pieces.columns if c not in ("sequence_id", "offset", "__order")]
     items = materialize(pieces.select(*names))
     n_cells = max(1, -(-items.count() // cell_pieces))
     cell = F.pmod(F.xxhash64("doc_id", "piece", F.lit(seed)), F.lit(n_cells))
-    cells = materialize(items.groupBy(cell.alias("cell")).agg(F.array_sort(F.collect_list(F.struct((-F.col("length")).alias("_l"), *names))).alias("items")))
+    cells = materialize(items.groupBy(cell.alias("cell")).agg(F.array_sort(F.collect_list(F.struct((-F.col("length")).alias("__order"), *names))).alias("items")))
     islands = F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1))).alias("island")
-    lengths = cells.select("cell", F.transform("items", lambda x: -x["_l"]).alias("lengths"))
+    lengths = cells.select("cell", F.transform("items", lambda x: -x["__order"]).alias("lengths"))
     # a fixed number of tasks: these rows are small but take long, so they mustn't be gathered by size
     tasks = min(n_cells * ISLANDS, max(int(items.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_cells // 4))
     elite = None
