@@ -122,14 +122,14 @@ def resolve_identity(docs: DataFrame, registry: DataFrame, taken: DataFrame, thi
     backed = (F.col("r_region.level") == "国家") | ((place != "") & F.expr("contains(title_issuer, regexp_replace(coalesce(r_region.name, ''), '省|市', ''))"))
     titled = F.coalesce("title_issuer", F.lit("")) != ""
     date = F.coalesce("date", F.lit(""))
-    date_ok = date.rlike(r"^\d{4}-\d{2}-\d{2}$") & F.substring(date, 1, 4).cast("int").between(1990, this_year)
+    date_ok = date.rlike(r"^\d{4}-\d{2}-\d{2}$") & F.substring(date, 1, 4).try_cast("int").between(1990, this_year)
     body = F.coalesce("body_date", F.lit(""))
     date_fix = F.when(known & ~date_ok & (body != ""), fix(body, "body_chinese_date", 0.92, date)).when(known & date_ok & (body != "") & (body != date) & F.coalesce("date_is_other", F.lit(False)), fix(body, "body_chinese_date", 0.9, date))
     d = d.withColumn("region_fix", F.when(known & F.coalesce(region_bad, F.lit(True)), F.struct(F.col("r_region").alias("value"), F.lit("domain_lookup").alias("method"), F.lit(0.99).alias("confidence"), F.to_json("region").alias("was"))))
     d = d.withColumn("issuer_fix", F.when(known & garbage & titled & F.coalesce(backed, F.lit(False)), fix(F.array("title_issuer"), "title_extract", 0.95, who)))
     d = d.withColumn("date_fix", date_fix)
     final = F.coalesce("date_fix.value", date)
-    year = F.when(final.rlike(r"^\d{4}") & F.substring(final, 1, 4).cast("int").between(1990, this_year), F.substring(final, 1, 4))
+    year = F.when(final.rlike(r"^\d{4}") & F.substring(final, 1, 4).try_cast("int").between(1990, this_year), F.substring(final, 1, 4))
     seg = id_segments(F.col("doc_id"))
     prefix = F.when(F.size(F.split("doc_id", "_")) >= 4, F.get(F.split("doc_id", "_"), F.lit(2))).otherwise(F.lit(""))
     wants = known & (prefix.isin("GO", "SC") | malformed(F.col("doc_id")) | F.col("date_fix").isNotNull())

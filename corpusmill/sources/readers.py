@@ -28,7 +28,7 @@ def front_matter(spark: SparkSession, path: str, body_head: int | None = 2000) -
 def parse_front_matter(raw: DataFrame, body_head: int | None = 2000) -> DataFrame:
     """The same for rows (path, value)."""
     header = F.regexp_extract("value", r"(?s)\A---\n(.*?)\n---[ \t]*(?:\n|\z)", 1)
-    d = raw.withColumn("_h", header).where(F.col("_h") != "").withColumn("body", F.trim(F.regexp_replace("value", r"(?s)\A---\n.*?\n---[ \t]*(?:\n|\z)", "")))
+    d = raw.withColumn("_h", header).where(F.col("_h") != "").withColumn("body", F.regexp_replace(F.regexp_replace("value", r"(?s)\A---\n.*?\n---[ \t]*(?:\n|\z)", ""), r"\A\s+|\s+\z", ""))
     lines = F.split("_h", "\n")
     # each line with the top-level key that it stands under
     kinds = F.transform(lines, lambda x: F.struct(F.regexp_extract(x, r"^([^\s:#-][^:]*):", 1).alias("top"), F.regexp_extract(x, r"^\s+([^\s:#-][^:]*):\s*\S", 1).alias("sub"), F.regexp_extract(x, r"^\s*-\s+(.*)$", 1).alias("item"), F.regexp_extract(x, r"^\s*[^:]*:\s*(.*)$", 1).alias("value")))

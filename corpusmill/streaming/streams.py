@@ -65,14 +65,16 @@ def ingest_stream(items: DataFrame, ledger_path: str, out_path: str, checkpoint:
     Each batch writes to a folder of its own number (overwritten if the batch runs again), so a restart after a failure repeats nothing.
     """
     spark = items.sparkSession
-    spark.createDataFrame([], "url string, disposition string").write.mode("append").parquet(ledger_path)
+    schema = "url string, disposition string, run string, batch bigint"
+    spark.createDataFrame([], schema).write.mode("append").parquet(ledger_path)
 
     def run(batch: DataFrame, number: int) -> None:
-        ledger = spark.read.schema("url string, disposition string, batch bigint").parquet(ledger_path).where(F.coalesce("batch", F.lit(-1)) != number)
-        done = ingest_batch(batch, ledger).withColumn("batch", F.lit(number).cast("long")).persist()
+        # what an earlier try of this very batch has recorded doesn't count
+        ledger = spark.read.schema(schema).parquet(ledger_path).where(~((F.col("run") == checkpoint) & (F.col("batch") == number)))
+        done = ingest_batch(batch, ledger).withColumn("run", F.lit(checkpoint)).withColumn("batch", F.lit(number).cast("long")).persist()
         try:
-            done.write.mode("overwrite").parquet(f"{out_path}/batch={number}")
-            done.where("disposition <> 'retry'").select("url", "disposition", "batch").write.mode("append").parquet(ledger_path)
+            done.drop("run", "batch").write.mode("overwrite").parquet(f"{out_path}/batch={number}")
+            done.where("disposition <> 'retry'").select("url", "disposition", "run", "batch").write.mode("append").parquet(ledger_path)
         finally:
             done.unpersist()
 
