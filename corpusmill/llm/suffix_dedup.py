@@ -5,7 +5,8 @@ Suffixes of a whole corpus don't fit a task, so they are dealt out by content fi
 1. Anchors (winnowing, Schleimer et al., 2003). Of the GRAM-byte strings inside a SPAN-byte string the one of the least hash is its
    anchor, so equal SPAN-byte strings have equal anchors at equal places. A run of starts with one anchor is a segment: a row of hashes
    and places. Segments are dealt out by the anchor's hash; anchors that occur once are done. Equal segments but the first
-   are repeats as a whole; no text is needed for them, however many there are.
+   are repeats as a whole; no text is needed for them, however many there are. Those that repeat inside a buffer of documents are
+   found where they are read, so a passage in many copies costs a row per buffer.
 2. What is left are different segments around the same anchor (ends of copied passages, edited copies). Their texts meet in blocks, where
    a suffix array decides, made in two stages (Itoh and Tanaka, 1999): suffixes smaller than their successors are sorted
    directly, all others are induced by a scan over the buckets of first bytes. Then the common prefixes of neighbours are
@@ -85,16 +86,21 @@ def _buffers(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[byt
 
 
 def segment_rows(docs: DataFrame, span: int, gram: int) -> DataFrame:
-    """(anchor, whole, doc_id, start, n): a row per segment."""
+    """(anchor, whole, doc_id, start, n, again): a row per segment; again: the buffer has an equal one that is earlier (such rows get a key of their own)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in _buffers(batches):
             who, start, count, anchor, whole = segments(texts, span, gram)
             if len(who):
                 doc = np.array(ids, np.int64)[who]
-                yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(whole), pa.array(doc), pa.array(start.astype(np.int32)), pa.array(count.astype(np.int16))], ["anchor", "whole", "doc_id", "start", "n"])
+                order = np.lexsort((start, doc, whole, anchor))
+                a, w = anchor[order], whole[order]
+                again = np.zeros(len(order), bool)
+                again[order[1:]] = (a[1:] == a[:-1]) & (w[1:] == w[:-1])
+                own = mix64(doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + start.astype(np.uint64)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.where(again, own, anchor)), pa.array(whole), pa.array(doc), pa.array(start.astype(np.int32)), pa.array(count.astype(np.int16)), pa.array(again)], ["anchor", "whole", "doc_id", "start", "n", "again"])
 
-    return docs.mapInArrow(run, "anchor long, whole long, doc_id long, start int, n short")
+    return docs.mapInArrow(run, "anchor long, whole long, doc_id long, start int, n short, again boolean")
 
 
 def repeated_segments(rows: DataFrame) -> DataFrame:
@@ -109,6 +115,13 @@ def repeated_segments(rows: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
+            done = batch.column("again").to_numpy(zero_copy_only=False)
+            if done.any():
+                part = batch.filter(pa.array(done))
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in ("anchor", "doc_id", "start", "n")), pa.array(np.zeros(part.num_rows, bool))], ["anchor", "doc_id", "start", "n", "first"])
+                batch = batch.filter(pa.array(~done))
+                if not batch.num_rows:
+                    continue
             c = {k: batch.column(k).to_numpy() for k in names}
             ahead = 0
             if carry is not None:
