@@ -1,13 +1,14 @@
 """N-gram Jaccard join, exact, with signature trees.
 
-1. Deal out. Two sets that link have at most H = (1 - t) / (1 + t) * (|A| + |B|) elements that only one of them holds. Cut the
-   hash space into H + 1 + s parts: at least s + 1 parts are the same in both (PartEnum, Arasu et al., 2006). Every set
-   sends a hash of each part; equal hashes make a loose link, always to the smallest document of the same hash, so the
-   number of loose links is linear however large a group of copies is. Light parts, of one element or none, would tie strangers
-   together; they are sent only by sets with more than s of them: a pair that links has s + 1 equal parts, and if one side
-   has at most s light ones, a heavier one is among them, and is as heavy on the other side.
-2. Loose components (few chance members; groups of copies stay whole) are the blocks of the join; very large ones are cut
-   into pairs of blocks.
+1. Deal out. Two sets that link have at most H = (1 - t) / (1 + t) * (|A| + |B|) elements that only one of them holds. For each
+   class of sizes, cut the hash space into H + 1 + s parts: at least s + 1 parts are the same in both (PartEnum, Arasu et al., 2006).
+   Every set sends a hash of each part, for its own class and the next; equal hashes make a loose link, always to the
+   smallest document of the same hash, so the number of loose links is linear however large a group of copies is. Light parts, of one
+   element or none, would tie strangers together; they are sent only by sets with more than s of them: a pair that links
+   has s + 1 equal parts, and if one side has at most s light ones, a heavier one is among them, and is as heavy on the
+   other side. (At thresholds where light parts are the rule, only empty ones count as light.)
+2. Loose components, of each class by itself, are the blocks of the join (few chance members; groups of copies stay whole); very
+   large ones are cut into pairs of blocks.
 3. In a block, a signature tree: leaves hold a bitmap of a set's hashed elements, nodes the OR of their leaves' bitmaps and the
    range of their sizes. Two trees (or one with itself) are walked together; a pair of nodes is dropped when its greatest
    possible overlap can't reach the threshold, or when its documents are in one component already. What is left is
@@ -52,36 +53,52 @@ def shingle_hashes(text: str | None, width: int) -> np.ndarray:
     return np.unique(mix64(s))
 
 
-def size_classes(threshold: int, top: int) -> tuple[np.ndarray, np.ndarray]:
-    """Upper ends r of the size classes up to `top` and beyond, and the most elements by which two linked sets up to r differ."""
-    ends, low = [], 1
-    while not ends or ends[-2:][0] < top:
-        high = max(low, low * 100 // threshold)
-        ends.append(high)
-        low = high + 1
-    r = np.array(ends, np.int64)
-    return r, 2 * r * (100 - threshold) // (100 + threshold)
-
-
-def part_hashes(h: np.ndarray, threshold: int, classes: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """Hashes of the parts of a set, for its own size class and the next one."""
-    ends, differ = classes
-    own = int(np.searchsorted(ends, len(h)))
+class SizeClasses:
+    """Classes of set sizes up to `top` and two beyond: upper ends, parts, slack s, and up to how many elements a part is light."""
+
+    def __init__(self, threshold: int, top: int):
+        ends, lows, low = [], [], 1
+        while len(ends) < 3 or ends[-3] < top:
+            ends.append(max(low, low * 100 // threshold))
+            lows.append(low)
+            low = ends[-1] + 1
+        self.ends = np.array(ends, np.int64)
+        self.parts, self.slack, self.light = [], [], []
+        for c, r in enumerate(ends):
+            differ = 2 * r * (100 - threshold) // (100 + threshold)
+            least = lows[max(0, c - 1)]  # the smallest sets that are sent to this class
+            slack, light = (differ + 1) // 5 + 5, 1
+            each = least / (differ + 1 + slack)
+            if (differ + 1 + slack) * np.exp(-each) * (1 + each) > 0.8 * slack:
+                slack, light = (differ + 1) // 10 + 4, 0
+            if differ == 0:
+                slack, light = 0, 0
+            self.parts.append(differ + 1 + slack)
+            self.slack.append(slack)
+            self.light.append(light)
+
+
+#: The class stands in the upper bits of a key.
+CLASS_SHIFT = 54
+
+
+def part_keys(h: np.ndarray, classes: SizeClasses) -> np.ndarray:
+    """Keys of the parts of a set (class and a hash of the part's number and elements), for its own size class and the next one."""
+    own = int(np.searchsorted(classes.ends, len(h)))
     out = []
     for c in (own, own + 1):
-        slack = 0 if differ[c] == 0 else int(differ[c] + 1) // 5 + 5
-        n = int(differ[c]) + 1 + slack
+        n, slack = classes.parts[c], classes.slack[c]
         part = ((h >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)  # h is sorted, so part is too
         filled, start, size = np.unique(part, return_index=True, return_counts=True)
         total = np.add.reduceat(mix64(h + np.uint64(0x5851F42D4C957F2D)), start)
-        keys = mix64(total ^ mix64((filled.astype(np.uint64) << np.uint64(16)) + np.uint64(c + 1)))
-        heavy = size > 1
+        keys = mix64(total ^ mix64(filled.astype(np.uint64) + np.uint64(1)))
+        heavy = size > classes.light[c]
         if n - int(heavy.sum()) > slack:
             empty = np.setdiff1d(np.arange(n), filled)
-            keys = np.concatenate([keys, mix64(mix64((empty.astype(np.uint64) << np.uint64(16)) + np.uint64(c + 1)))])
+            keys = np.concatenate([keys, mix64(mix64(empty.astype(np.uint64) + np.uint64(1)))])
         else:
             keys = keys[heavy]
-        out.append(keys)
+        out.append((keys >> np.uint64(64 - CLASS_SHIFT)) | np.uint64(c << CLASS_SHIFT))
     return np.concatenate(out)
 
 
@@ -102,7 +119,7 @@ def set_sizes(docs: DataFrame, width: int) -> DataFrame:
 
 
 def loose_links(docs: DataFrame, width: int, threshold: int) -> DataFrame:
-    """(src, dst) links between documents with an equal part, a superset of the connectivity of the true links."""
+    """(cls, src, dst) links between documents with an equal part, in each class a superset of the connectivity of the true links whose larger set is of that class."""
     keys = docs.mapInArrow(_keys_of(width, threshold), "key long, doc_id long")
     ordered = keys.repartition("key").sortWithinPartitions("key", "doc_id")
 
@@ -120,15 +137,16 @@ def loose_links(docs: DataFrame, width: int, threshold: int) -> DataFrame:
             far = ~new & (d != head)
             key, first = k[-1], head[-1]
             if far.any():
-                pairs = np.unique(np.stack([d[far], head[far]]), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["src", "dst"])
+                cls = (k[far].view(np.uint64) >> np.uint64(CLASS_SHIFT)).astype(np.int64)
+                pairs = np.unique(np.stack([cls, d[far], head[far]]), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in pairs], ["cls", "src", "dst"])
 
-    return ordered.mapInArrow(link, "src long, dst long").distinct()
+    return ordered.mapInArrow(link, "cls long, src long, dst long").distinct()
 
 
 def _keys_of(width: int, threshold: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes = size_classes(threshold, 1 << 16)
+        classes = SizeClasses(threshold, 1 << 16)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):  # many rows come from one document
                 ids, keys = [], []
@@ -136,9 +154,9 @@ def _keys_of(width: int, threshold: int):
                     h = shingle_hashes(t, width)
                     if not len(h):
                         continue
-                    if len(h) > classes[0][-2]:
-                        classes = size_classes(threshold, 2 * len(h))
-                    p = part_hashes(h, threshold, classes)
+                    if len(h) > classes.ends[-2]:
+                        classes = SizeClasses(threshold, 2 * len(h))
+                    p = part_keys(h, classes)
                     keys.append(p)
                     ids.append(np.full(len(p), i, np.int64))
                 if keys:
@@ -270,7 +288,12 @@ def jaccard_components(docs: DataFrame, width: int = 4, threshold: int = 85, blo
     equal = some.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("rep"))
     to_rep = some.join(equal, ["k1", "k2", "n_shingles"]).where("doc_id <> rep").select(F.col("doc_id").alias("src"), F.col("rep").alias("dst"))
     copies = materialize(to_rep)
-    loose = connected_components(loose_links(texts.where("doc_id IS NOT NULL"), width, threshold))
+    # loose components of each class: their nodes are (class, document), told by a hash (a collision would only widen a block)
+    links = materialize(loose_links(texts.where("doc_id IS NOT NULL"), width, threshold))
+    node = lambda c: F.xxhash64("cls", c)
+    loose = connected_components(links.select(node("src").alias("src"), node("dst").alias("dst"))).withColumnRenamed("node", "_n")
+    held = links.select("cls", F.explode(F.array("src", "dst")).alias("node")).distinct()
+    loose = held.join(loose, node("node") == F.col("_n")).select("node", "component")
     # one document of each set, and of those only components of two or more
     single = materialize(loose.join(copies.select(F.col("src").alias("node")).distinct(), "node", "left_anti"))
     count = single.groupBy("component").agg(F.count("*").alias("n")).where("n > 1")
@@ -286,8 +309,8 @@ def jaccard_components(docs: DataFrame, width: int = 4, threshold: int = 85, blo
     # both sides grow with the corpus, so neither is broadcast
     placed = texts.join(dealt.hint("merge"), texts["doc_id"] == dealt["node"]).select("component", "a", "b", "side", "doc_id", "text")
     rows = placed.mapInArrow(hashed, "component long, a int, b int, side int, doc_id long, hashes binary")
-    links = map_groups(rows, ["component", "a", "b"], lambda t: block_links(t, threshold), "src long, dst long")
-    found = connected_components(links.union(copies))
+    true = map_groups(rows, ["component", "a", "b"], lambda t: block_links(t, threshold), "src long, dst long")
+    found = connected_components(true.union(copies))
     return sizes.join(found.withColumnRenamed("node", "_node"), F.col("doc_id") == F.col("_node"), "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 

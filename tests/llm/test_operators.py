@@ -428,8 +428,8 @@ def test_jaccard_empty_and_repeated(spark):
 def test_parts_of_linked_sets_meet():
     """The dealing out loses no pair: sets at the threshold share a key whatever their sizes."""
     r = np.random.default_rng(7)
-    for bar in (80, 85):
-        classes = jaccard.size_classes(bar, 5000)
+    for bar in (50, 80, 85, 95):
+        classes = jaccard.SizeClasses(bar, 5000)
         for n in (1, 2, 5, 6, 7, 11, 12, 40, 97, 350, 1200):
             for _ in range(20):
                 a = np.unique(jaccard.mix64(r.integers(0, 1 << 60, n).astype(np.uint64)))
@@ -437,4 +437,4 @@ def test_parts_of_linked_sets_meet():
                 fresh = jaccard.mix64(r.integers(0, 1 << 60, out).astype(np.uint64))
                 b = np.unique(np.concatenate([r.permutation(a)[: len(a) - out], fresh]))
                 if jaccard.similar(a, b, bar):
-                    assert np.intersect1d(jaccard.part_hashes(a, bar, classes), jaccard.part_hashes(b, bar, classes)).size
+                    assert np.intersect1d(jaccard.part_keys(a, classes), jaccard.part_keys(b, classes)).size
