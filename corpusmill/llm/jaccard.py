@@ -30,8 +30,8 @@ from .graph import connected_components
 
 #: Documents of one block of the join; larger loose components are joined in pairs of blocks.
 BLOCK_DOCS = 2_000
-#: Bits of a signature (a power of two).
-BITS = 1024
+#: Least and most bits of a signature (powers of two; a tree takes about three for an element of its largest set).
+MIN_BITS, MAX_BITS = 512, 1 << 16
 FAN = 16
 
 _MULT = np.array([0x9E3779B97F4A7C15 * (2 * k + 3) & 0xFFFFFFFFFFFFFFFF | 1 for k in range(16)], np.uint64)
@@ -189,12 +189,12 @@ class Forest:
 class SignatureTree:
     """Sets in order of size; level 0 holds each set's bitmap, the levels above the OR of FAN nodes below."""
 
-    def __init__(self, sets: list[np.ndarray], ids: list[int]):
-        self.sets, self.ids = sets, ids  # ids: places in the forest
+    def __init__(self, sets: list[np.ndarray], ids: list[int], width: int = MIN_BITS):
+        self.sets, self.ids = sets, ids  # ids: places in the forest; width: bits of a signature
         n = len(sets)
-        bits = np.zeros((n, BITS // 64), np.uint64)
+        bits = np.zeros((n, width // 64), np.uint64)
         for k, s in enumerate(sets):
-            b = (s & np.uint64(BITS - 1)).astype(np.int64)
+            b = (s & np.uint64(width - 1)).astype(np.int64)
             np.bitwise_or.at(bits[k], b >> 6, np.uint64(1) << (b & 63).astype(np.uint64))
         size = np.array([len(s) for s in sets], np.int64)
         extra = size - np.bitwise_count(bits).sum(axis=1).astype(np.int64)  # elements beyond one a bit
@@ -267,7 +267,10 @@ def block_links(table: pa.Table, threshold: int) -> pa.RecordBatch | None:
     sets = [np.frombuffer(x.as_py(), np.uint64) for x in table["hashes"]]
     order = sorted(range(len(ids)), key=lambda k: (len(sets[k]), ids[k]))
     forest = Forest(len(ids))
-    tree = [SignatureTree([sets[k] for k in order if side[k] == s], [k for k in order if side[k] == s]) for s in (0, 1) if (side == s).any()]
+    width = MIN_BITS
+    while width < MAX_BITS and width < 3 * max(map(len, sets)):
+        width *= 2
+    tree = [SignatureTree([sets[k] for k in order if side[k] == s], [k for k in order if side[k] == s], width) for s in (0, 1) if (side == s).any()]
     links = tree_join(tree[0], tree[-1], threshold, forest) if len(tree) == 2 or (side == 0).all() else []
     if not links:
         return None
