@@ -566,3 +566,182 @@ def stream_ingest(spark, d):
     items = c.select(F.lpad(F.col("turn").cast("string"), 8, "0").alias("item_id"), url.alias("url"), F.lit("").alias("title"), F.replace(F.replace("text", F.lit("<"), F.lit(" ")), F.lit("&"), F.lit("+")).alias("content"), F.lit("2024-01-01").alias("date"))
     ledger = c.where("conv_id % 4 = 0").select(url.alias("url"))
     return streams.ingest_batch(items, ledger).select("url", F.col("item_id").cast("long").alias("item_id"), "disposition")
+
+
+# ---- look-ups, identity, contracts, merges ----------------------------------------------------------------------------------------------------------------
+
+@query("""WITH k AS (SELECT s_suppkey AS doc_id, s_suppkey AS pos, 0 AS r, concat('S', CAST(s_suppkey AS VARCHAR)) AS k FROM supplier UNION ALL SELECT s_suppkey, s_suppkey, 1, concat('N', CAST(s_nationkey AS VARCHAR)) FROM supplier UNION ALL SELECT s_suppkey, s_suppkey, 2, concat('S', CAST(s_suppkey + 1 AS VARCHAR)) FROM supplier)
+SELECT k AS "key", doc_id FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY CASE WHEN r = 0 THEN 0 ELSE 1 END, pos, doc_id) AS rn FROM k) x WHERE rn = 1""")
+def alias_lookup(spark, d):
+    key = lambda c: F.concat(F.lit("S"), F.col(c).cast("string"))
+    s = table(spark, d, "supplier").select(key("s_suppkey").alias("doc_id"), F.col("s_suppkey").alias("pos"), F.array(F.concat(F.lit("N"), F.col("s_nationkey").cast("string")), F.concat(F.lit("S"), (F.col("s_suppkey") + 1).cast("string"))).alias("aliases"))
+    return identity.alias_index(s, "id").select("key", F.substring("doc_id", 2, 20).cast("long").alias("doc_id"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN c_custkey IS NULL THEN 'manifest_pid_not_found' ELSE '' END AS reason FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND c_acctbal > 1000""")
+def lookup_or_queue(spark, d):
+    c = table(spark, d, "customer").where("c_acctbal > 1000").select(F.col("c_custkey").alias("key"), F.col("c_custkey").alias("doc_id"))
+    found, missing = identity.lookup_or_queue(table(spark, d, "orders").select("o_orderkey", "o_custkey"), c, "o_custkey")
+    return found.select("o_orderkey", F.lit("").alias("reason")).union(missing.select("o_orderkey", "reason"))
+
+
+@query(r"""SELECT page_id, CASE WHEN regexp_matches(url, '://[^/]*\.org') THEN 'ORG' WHEN regexp_matches(url, '://blog\.') THEN 'BLOG' ELSE '' END AS issuer_short FROM pages""")
+def registry_seed(spark, d):
+    p = table(spark, d, "pages").select("page_id", T.host(F.col("url")).alias("domain"), F.regexp_extract("url", r"://[^/]*\.(org)", 1).alias("name"))
+    ok, manual = identity.seed_registry(p, {"org": "ORG"}, {"blog": "BLOG"})
+    return ok.select("page_id", "issuer_short").union(manual.select("page_id", F.lit("")))
+
+
+@query("""WITH r AS (SELECT concat(n_name, '.x') AS domain, n_name AS code FROM nation WHERE n_nationkey % 2 = 0) SELECT c_custkey, coalesce(code, '') AS code FROM customer JOIN nation ON c_nationkey = n_nationkey LEFT JOIN r ON lower(domain) = lower(concat(n_name, '.x'))""")
+def host_registry(spark, d):
+    n = table(spark, d, "nation")
+    reg = n.where("n_nationkey % 2 = 0").select(F.concat("n_name", F.lit(".x")).alias("domain"), F.col("n_name").alias("code"), F.col("n_nationkey").alias("pos"))
+    c = table(spark, d, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.concat(F.lit("https://"), "n_name", F.lit(".X/a?b=1")).alias("url"))
+    return identity.host_lookup(c, reg).select("c_custkey", F.coalesce("code", F.lit("")).alias("code"))
+
+
+@query("""WITH v AS (SELECT doc_id, unnest(list_concat(CASE WHEN doc_id % 4 = 0 OR lang = 'de' THEN ['missing:lang'] ELSE [] END, CASE WHEN doc_id % 3 = 0 THEN ['legacy:old'] ELSE [] END, CASE WHEN doc_id % 5 = 0 THEN ['unexpected:bad'] ELSE [] END)) AS v FROM documents)
+SELECT string_split(v, ':')[1] AS kind, string_split(v, ':')[2] AS name, count(*) AS docs, round(count(*) * 1.0 / (SELECT count(*) FROM documents), 6) AS ratio FROM v GROUP BY v""")
+def contract_drift(spark, d):
+    x = table(spark, d, "documents")
+    fm = F.map_concat(F.create_map(F.lit("id"), F.lit("1")), F.when(F.col("doc_id") % 4 == 0, F.create_map().cast("map<string,string>")).otherwise(F.create_map(F.lit("lang"), F.when(F.col("lang") == "de", F.lit("")).otherwise(F.col("lang")))), F.when(F.col("doc_id") % 3 == 0, F.create_map(F.lit("old"), F.lit("1"))).otherwise(F.create_map().cast("map<string,string>")), F.when(F.col("doc_id") % 5 == 0, F.create_map(F.lit("bad"), F.lit("1"))).otherwise(F.create_map().cast("map<string,string>")))
+    v = x.withColumn("violations", filters.contract_violations(fm, F.array().cast("array<string>"), ["id", "lang"], [], ["old"]))
+    return filters.drift_inventory(v).withColumn("ratio", F.round("ratio", 6))
+
+
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN 'manual_review' WHEN c_mktsegment <> 'BUILDING' OR c_nationkey % 4 = 0 THEN 'isolate_legacy' ELSE 'keep_current' END AS action FROM customer""")
+def provenance_class(spark, d):
+    c = table(spark, d, "customer")
+    pid = F.col("c_custkey").cast("string")
+    row = {"pid": pid, "stem": F.when(F.col("c_custkey") % 10 == 0, F.lit("other")).otherwise(pid), "extracted_by": F.col("c_mktsegment"), "extracted_model": F.lit("m"), "impact_keys": F.when(F.col("c_nationkey") % 4 == 0, F.array(F.lit("a"))).otherwise(F.array(F.lit("b"), F.lit("a")))}
+    return c.select("c_custkey", filters.provenance_class(row, "BUILDING", ["m"], ["zz"], ["a", "b"])["action"].alias("action"))
+
+
+@query("""SELECT least(c_nationkey, s_nationkey) AS a, greatest(c_nationkey, s_nationkey) AS b, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey WHERE l_quantity > 48 GROUP BY 1, 2""")
+def canonical_pairs(spark, d):
+    l = table(spark, d, "lineitem").where("l_quantity > 48")
+    j = l.join(table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(table(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    a, b = relations.canonical_pair(F.col("c_nationkey"), F.col("s_nationkey"), F.lit(True))
+    return j.select(a.alias("a"), b.alias("b")).groupBy("a", "b").agg(F.count("*").alias("n"))
+
+
+@query(f"""WITH {EDGES_SQL}, k AS (SELECT s_suppkey + 10000000 AS node_id FROM supplier WHERE s_suppkey % 2 = 0 UNION ALL SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0) SELECT from_id AS from_key, to_id AS to_key, count(*) AS n FROM edges WHERE from_id IN (SELECT node_id FROM k) AND to_id IN (SELECT node_id FROM k) GROUP BY ALL""")
+def resolved_edges(spark, d):
+    ids = table(spark, d, "supplier").where("s_suppkey % 2 = 0").select((F.col("s_suppkey") + 10000000).alias("node_id")).union(table(spark, d, "customer").where("c_custkey % 2 = 0").select("c_custkey"))
+    return relations.resolve_endpoints(edges_of(spark, d), ids.withColumn("key", F.col("node_id"))).groupBy("from_key", "to_key").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT c_custkey AS pid, CASE WHEN o.k IS NULL THEN 'raw_missing' WHEN c_custkey % 7 = 0 THEN 'bad_date' WHEN c_custkey % 5 = 0 THEN 'empty_title' ELSE 'ok' END AS outcome FROM customer LEFT JOIN (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderstatus = 'F') o ON c_custkey = k""")
+def sync_skips(spark, d):
+    raw = table(spark, d, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("doc_id")).distinct()
+    raw = raw.select("doc_id", F.when(F.col("doc_id") % 5 == 0, "  ").otherwise("t").alias("title"), F.when(F.col("doc_id") % 7 == 0, "2020-13-01").otherwise("2020-01-01T00").alias("date"), F.lit("c").alias("content"))
+    ok, skipped = incremental.sync_rows(table(spark, d, "customer").select(F.col("c_custkey").alias("pid")), raw)
+    return ok.select("pid", F.lit("ok").alias("outcome")).union(skipped.select("pid", "reason"))
+
+
+@query("""WITH t AS (SELECT c_custkey AS k, c_mktsegment AS note, CASE WHEN c_custkey % 3 = 0 THEN 'accept' END AS verdict FROM customer WHERE c_custkey % 4 <> 0) SELECT coalesce(t.k, u.c_custkey) AS dedupe_key, CASE WHEN verdict IS NOT NULL THEN note WHEN u.c_custkey IS NULL THEN note ELSE u.c_name END AS note FROM t FULL JOIN (SELECT * FROM customer WHERE c_custkey % 2 = 0) u ON t.k = u.c_custkey""")
+def undecided_upsert(spark, d):
+    c = table(spark, d, "customer")
+    t = c.where("c_custkey % 4 <> 0").select(F.col("c_custkey").alias("dedupe_key"), F.col("c_mktsegment").alias("note"), F.when(F.col("c_custkey") % 3 == 0, "accept").alias("verdict"))
+    return incremental.upsert_undecided(t, c.where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("dedupe_key"), F.col("c_name").alias("note"))).select("dedupe_key", "note")
+
+
+@query("""SELECT user_id, event_type FROM (SELECT DISTINCT user_id, event_type FROM events WHERE event_id % 2 = 0) a WHERE NOT EXISTS (SELECT 1 FROM events b WHERE b.event_id % 5 = 1 AND a.user_id = b.user_id AND a.event_type = b.event_type)""")
+def absent_inserts(spark, d):
+    e = table(spark, d, "events")
+    return incremental.insert_absent(e.where("event_id % 5 = 1").select("user_id", "event_type"), e.where("event_id % 2 = 0").select("user_id", "event_type"), ["user_id", "event_type"])
+
+
+@query("""SELECT event_id FROM events a WHERE NOT EXISTS (SELECT 1 FROM events b WHERE b.event_type = 'purchase' AND b.value > 20 AND a.event_type = b.event_type AND a.user_id = b.user_id)""")
+def resolved_removal(spark, d):
+    e = table(spark, d, "events").select("event_id", F.col("event_type").alias("kind"), F.col("user_id").alias("ref"), "value")
+    return incremental.remove_resolved(e, e.where("kind = 'purchase' AND value > 20")).select("event_id")
+
+
+@query("""SELECT p_name, p_partkey, CASE WHEN rn = 1 THEN p_brand ELSE concat(p_brand, '__', CAST(rn - 1 AS VARCHAR)) END AS unique_name FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS rn FROM part) x""")
+def numbered_names(spark, d):
+    return identity.numbered_names(table(spark, d, "part").select("p_name", "p_partkey", F.col("p_brand").alias("name")), "name", "p_partkey").select("p_name", "p_partkey", "unique_name")
+
+
+@query("""WITH h AS (SELECT c_nationkey, count(DISTINCT c_mktsegment) AS hits FROM customer WHERE c_acctbal > 5000 GROUP BY 1) SELECT n_name AS city, CAST(coalesce(hits, 0) * 3 + CASE WHEN n_regionkey = 0 THEN 2 ELSE 0 END + CASE WHEN n_nationkey % 2 = 0 THEN 1 ELSE 0 END AS DOUBLE) AS score FROM nation LEFT JOIN h ON n_nationkey = c_nationkey""")
+def city_priority(spark, d):
+    n = table(spark, d, "nation")
+    r = table(spark, d, "customer").where("c_acctbal > 5000").join(n, F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("city"), F.col("c_mktsegment").alias("reason"))
+    return monitoring.city_priority(n.select(F.col("n_name").alias("city"), (F.col("n_regionkey") == 0).alias("is_municipality"), (F.col("n_nationkey") % 2 == 0).alias("has_signal")), r).select("city", "score")
+
+
+@query("""SELECT o_orderstatus AS "check", o_orderpriority AS source, count(*) AS n FROM orders GROUP BY 1, 2 UNION ALL SELECT o_orderstatus, NULL, count(*) FROM orders GROUP BY 1 UNION ALL SELECT NULL, NULL, count(*) FROM orders""")
+def audit_rollup(spark, d):
+    return monitoring.audit_rollup(table(spark, d, "orders").select(F.col("o_orderstatus").alias("check"), F.col("o_orderpriority").alias("source")))
+
+
+@query("""SELECT source, lang, n FROM (SELECT source, lang, count(*) AS n, row_number() OVER (PARTITION BY source ORDER BY count(*) DESC, lang) AS rn FROM documents GROUP BY 1, 2) x WHERE rn <= 3""")
+def dominant_kinds(spark, d):
+    return context.dominant(table(spark, d, "documents"), "source", "lang", 3).select("source", "lang", "n")
+
+
+@query("""WITH v AS (SELECT l_orderkey AS item_id, l_linenumber AS rater, unnest([l_returnflag, l_linestatus]) AS t FROM lineitem), n AS (SELECT item_id, count(DISTINCT rater) AS raters FROM v GROUP BY 1), c AS (SELECT item_id, t, count(DISTINCT rater) AS k FROM v GROUP BY 1, 2)
+SELECT c.item_id, string_agg(t, ',' ORDER BY t) AS themes FROM c JOIN n ON c.item_id = n.item_id WHERE k >= floor(raters / 2) + 1 GROUP BY 1""")
+def majority_themes(spark, d):
+    v = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("item_id"), F.col("l_linenumber").alias("rater"), F.array("l_returnflag", "l_linestatus").alias("themes"))
+    return monitoring.majority_themes(v).select("item_id", joined("themes").alias("themes"))
+
+
+@query("""SELECT event_id, CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER) AS k FROM events""")
+def json_blocks(spark, d):
+    return table(spark, d, "events").select("event_id", T.json_block(F.concat(F.lit("note: "), "props", F.lit(" end")), "k int")["k"].alias("k"))
+
+
+@query("""SELECT p_partkey, concat('P_', CAST(2000 + p_partkey % 25 AS VARCHAR), '_NEA_', CASE WHEN p_size % 2 = 0 THEN CAST(p_size AS VARCHAR) ELSE substr(sha1(concat(CAST(2000 + p_partkey % 25 AS VARCHAR), '-05-01|', p_name)), 1, 8) END) AS doc_id FROM part""")
+def computed_ids(spark, d):
+    year = (F.lit(2000) + F.col("p_partkey") % 25).cast("string")
+    none = F.lit(None).cast("string")
+    pid = identity.compute_id(F.concat(year, F.lit("-05-01")), F.lit("国家能源局"), F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("国能发"), F.col("p_size").cast("string"), F.lit("号"))).otherwise(F.lit("")), F.col("p_name"), none, none)
+    return table(spark, d, "part").select("p_partkey", pid.alias("doc_id"))
+
+
+@query("""SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS date, 'url_path' AS method FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d'), 'url_compact' FROM orders WHERE o_orderkey % 2 = 1""")
+def url_dates(spark, d):
+    o = table(spark, d, "orders")
+    url = F.when(F.col("o_orderkey") % 2 == 0, F.date_format("o_orderdate", "'http://a.gov.cn/'yyyy/M/d'/x.html'")).otherwise(F.date_format("o_orderdate", "'http://a.gov.cn/'yyyyMM'/t'yyyyMMdd'_1.html'"))
+    x = dates.date_from_url(url)
+    return o.select("o_orderkey", x["date"].alias("date"), x["method"].alias("method"))
+
+
+@query()
+def title_matches(spark, d):
+    docs = table(spark, d, "documents").where(F.length("text") > 60)
+    q = docs.where("doc_id % 5 = 0").select(F.col("doc_id").alias("query_id"), F.substring("text", 3, 20).alias("name"))
+    return dedup.match_titles(q, docs.select("doc_id", F.substring("text", 1, 60).alias("title"))).select("query_id", "doc_id")
+
+
+@query()
+def seeded_sample(spark, d):
+    return ranking.seeded_sample(table(spark, d, "orders").select("o_orderkey", "o_orderpriority"), "o_orderpriority", "o_orderkey", 5)
+
+
+@query()
+def collection_chain(spark, d):
+    from . import jobs
+
+    p = table(spark, d, "pages")
+    known = p.where("page_id % 3 = 0").select("url", F.lit("").alias("number"), F.regexp_extract("html", r"<title>([^<]*)</title>", 1).alias("title"))
+    # no article behind a link is stored: the first page that links to it stands in for its body
+    first = readers.page_items(p, None).groupBy("url").agg(F.min("page_id").alias("page_id"))
+    out = jobs.collection_chain(p, known, first.join(p.select("page_id", "html"), "page_id").select("url", "html"))
+    lanes = None
+    for name in ("pass", "commentary", "review", "reject", "quarantine"):
+        part = out[name].select("row_id", "title", "date", F.lit(name).alias("lane"))
+        lanes = part if lanes is None else lanes.unionByName(part)
+    return lanes
+
+
+@query()
+def identity_repairs(spark, d):
+    n = table(spark, d, "nation")
+    reg = n.select(F.concat(F.lower(F.regexp_replace("n_name", "_", "")), F.lit(".gov.cn")).alias("domain"), F.concat(F.lit("N"), F.translate(F.col("n_nationkey").cast("string"), "0123456789", "ABCDEFGHIJ")).alias("issuer_short"), F.col("n_name").alias("issuer_canonical"), F.struct(F.lit("省").alias("level"), F.lpad("n_nationkey", 6, "0").alias("code"), F.col("n_name").alias("name")).alias("region"), F.col("n_nationkey").alias("pos"))
+    c = table(spark, d, "customer")
+    docs = c.select(F.concat(F.lit("P_1900_GO_"), F.col("c_custkey").cast("string")).alias("doc_id"), F.col("c_name").alias("title"), F.concat(F.lit("http://nation"), F.col("c_nationkey").cast("string"), F.lit(".gov.cn/a")).alias("url"), F.when(F.col("c_custkey") % 2 == 0, "2020-05-01").otherwise("bad").alias("date"),
+                    F.array(F.lit("gov.cn")).alias("issuer"), F.struct(F.lit("国家").alias("level"), F.lit("000000").alias("code"), F.lit("全国").alias("name")).alias("region"), F.lit(None).cast("string").alias("title_issuer"), F.when(F.col("c_custkey") % 3 == 0, "2021-06-01").otherwise("").alias("body_date"), F.lit(False).alias("date_is_other"), F.col("c_custkey").alias("pos"))
+    r = identity.resolve_identity(docs, reg, docs.select(F.col("doc_id").alias("id")), 2026)
+    return r.select("doc_id", F.col("region_fix.value.name").alias("region"), F.col("date_fix.value").alias("date"), F.col("id_fix.value").alias("new_id"), F.array_join(F.transform("conflicts", lambda x: x["field"]), ",").alias("conflicts"))
