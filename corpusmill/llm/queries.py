@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import embedding_dedup, jaccard, line_dedup, mixing, packing, quality, suffix_dedup, token_counts, token_files, toxicity
+from . import embedding_dedup, jaccard, line_dedup, mixing, oracles, packing, quality, suffix_dedup, token_counts, token_files, toxicity
 
 QUERIES = {
     "op1_embedding_dedup": embedding_dedup.op1_embedding_dedup,
@@ -18,5 +18,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op1_embedding_dedup": oracles.OP1_SQL,
     "op8_line_dedup": line_dedup.OP8_SQL,
+    "op10_ngram_jaccard": oracles.OP10_SQL,
 }
