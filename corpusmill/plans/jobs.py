@@ -172,6 +172,7 @@ def sync(derived: DataFrame, raw: DataFrame, edges: DataFrame, target: DataFrame
 def collection_chain(pages: DataFrame, known: DataFrame, bodies: DataFrame, keywords: Iterable[str] | None = None, verdicts: DataFrame | None = None) -> dict[str, DataFrame]:
     """Stored list pages -> items -> new ones -> documents by lane (H18). known: (url, number, title); bodies: (url, html) of stored articles."""
     items = readers.page_items(pages, keywords).withColumn("row_id", F.concat_ws(":", F.col("page_id").cast("string"), F.col("pos").cast("string"))).withColumn("number", F.lit(""))
+    items = stage(items)
     fresh = dedup.known_duplicates(items, known, anti=True)
     kept = dedup.greedy_batch(fresh.withColumn("pos", F.row_number().over(dedup.Window.partitionBy("page_id").orderBy("pos")) + F.col("page_id") * 1_000_000)).where("kept").drop("kept")
     b = bodies.select(F.col("url").alias("_u"), strip_html(F.col("html"), 1).alias("body"))
