@@ -49,9 +49,10 @@ def normalize_url(url: Column, drop: Iterable[str] = rules.TRACKING_PARAMS) -> C
     u = F.coalesce(url, F.lit(""))
     part = lambda k: F.regexp_extract(u, _URL, k)
     scheme, netloc, path, query = part(1), part(2), F.regexp_replace(part(3), "/$", ""), part(4)
+    decoded = lambda c: F.coalesce(F.try_url_decode(c), c)  # noqa: E731  a malformed escape stays as it is
     pairs = F.transform(
         F.filter(F.split(query, "&"), lambda x: x != ""),
-        lambda x: F.struct(F.url_decode(F.split_part(x, F.lit("="), F.lit(1))).alias("k"), F.url_decode(F.regexp_extract(x, "=(.*)$", 1)).alias("v")),
+        lambda x: F.struct(decoded(F.split_part(x, F.lit("="), F.lit(1))).alias("k"), decoded(F.regexp_extract(x, "=(.*)$", 1)).alias("v")),
     )
     kept = F.array_sort(F.filter(pairs, lambda p: ~F.lower(p["k"]).isin(*drop)))
     sorted_query = F.array_join(F.transform(kept, lambda p: F.concat(F.url_encode(p["k"]), F.lit("="), F.url_encode(p["v"]))), "&")

@@ -21,7 +21,7 @@ def eval_(spark, s, f):
 
 @pytest.mark.parametrize(("url", "want"), [
     ("HTTP://A.Gov.CN/x/?b=2&a=1&utm_source=z#f", "http://a.gov.cn/x?a=1&b=2"), ("https://a.cn/p/", "https://a.cn/p"), ("https://a.cn/v?id=7", "https://a.cn/v?id=7"),
-    ("https://a.cn/v?id=8&from=x", "https://a.cn/v?id=8"), (None, ""), ("", ""), ("https://a.cn/?q=a%20b&e", "https://a.cn?e=&q=a+b"),
+    ("https://a.cn/v?id=8&from=x", "https://a.cn/v?id=8"), (None, ""), ("", ""), ("https://a.cn/?q=a%20b&e", "https://a.cn?e=&q=a+b"), ("https://a.cn/?q=%zz", "https://a.cn?q=%25zz"),
 ])
 def test_normalize_url(spark, url, want):
     assert eval_(spark, url, T.normalize_url) == want
