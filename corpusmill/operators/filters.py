@@ -186,3 +186,18 @@ def ids_in_text(docs: DataFrame, pattern: str = r"P_\d{4}_[A-Za-z0-9_]+", id_col
     """(id, line_no, found): document ids that stand in a text, with line numbers from 1."""
     lines = docs.select(id_col, F.posexplode(F.split(F.coalesce(text_col, F.lit("")), "\n")).alias("p", "line"))
     return lines.select(id_col, (F.col("p") + 1).alias("line_no"), F.explode(F.regexp_extract_all("line", F.lit(pattern), F.lit(0))).alias("found"))
+
+
+def channels_of(channels: DataFrame, batches: DataFrame | None, batch: str | None = None, cities: Iterable[str] = (), status: str = "验证") -> DataFrame:
+    """Verified channels of the cities of a batch (city, batch), or of a list of cities."""
+    verified = channels.where(F.col("status") == status)
+    if batch is not None and batches is not None:
+        return verified.join(batches.where(F.col("batch") == batch).select("city").distinct(), "city", "left_semi")
+    return verified.where(F.col("city").isin(*cities))
+
+
+def move_keys(docs: DataFrame, keys: Iterable[str], id_col: str = "doc_id", front: str = "fm") -> tuple[DataFrame, DataFrame]:
+    """(docs without these header keys, table (id, key, value) of what was taken out)."""
+    names = list(keys)
+    gone = docs.select(id_col, F.explode(F.map_filter(front, lambda k, v: k.isin(*names))).alias("key", "value"))
+    return docs.withColumn(front, F.map_filter(front, lambda k, v: ~k.isin(*names))), gone

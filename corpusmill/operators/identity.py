@@ -186,3 +186,10 @@ def seed_registry(channels: DataFrame, by_name: dict[str, str], by_label: dict[s
     label = F.get(F.filter(F.transform(F.split("domain", r"\."), lambda s: F.try_element_at(m, s)), lambda x: x.isNotNull()), F.lit(0))
     d = channels.withColumn("issuer_short", F.coalesce(name, label)).withColumn("seeded_by", F.when(name.isNotNull(), "name").when(label.isNotNull(), "host_label"))
     return d.where(F.col("issuer_short").isNotNull()), d.where(F.col("issuer_short").isNull()).drop("issuer_short", "seeded_by")
+
+
+def region_rollup(rows: DataFrame, regions: DataFrame, code: str = "region_code") -> DataFrame:
+    """(province_code, province_name, n): rows counted by the province of their region code (C26). regions: (code, name)."""
+    r = regions.select(F.col("code").alias("province_code"), F.col("name").alias("province_name"))
+    n = rows.groupBy(province_of(F.col(code)).alias("province_code")).agg(F.count("*").alias("n"))
+    return n.join(r, "province_code", "left")

@@ -745,3 +745,24 @@ def identity_repairs(spark, d):
                     F.array(F.lit("gov.cn")).alias("issuer"), F.struct(F.lit("国家").alias("level"), F.lit("000000").alias("code"), F.lit("全国").alias("name")).alias("region"), F.lit(None).cast("string").alias("title_issuer"), F.when(F.col("c_custkey") % 3 == 0, "2021-06-01").otherwise("").alias("body_date"), F.lit(False).alias("date_is_other"), F.col("c_custkey").alias("pos"))
     r = identity.resolve_identity(docs, reg, docs.select(F.col("doc_id").alias("id")), 2026)
     return r.select("doc_id", F.col("region_fix.value.name").alias("region"), F.col("date_fix.value").alias("date"), F.col("id_fix.value").alias("new_id"), F.array_join(F.transform("conflicts", lambda x: x["field"]), ",").alias("conflicts"))
+
+
+@query("""SELECT concat(lpad(CAST(c_nationkey % 30 + 11 AS VARCHAR), 2, '0'), '0000') AS province_code, n_name AS province_name, count(*) AS n FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey % 30 AND n_nationkey < 20 GROUP BY 1, 2""")
+def region_rollup(spark, d):
+    code = lambda c: F.concat((F.col(c) % 30 + 11).cast("string"), F.lit("0000"))
+    rows = table(spark, d, "customer").select(F.concat((F.col("c_nationkey") % 30 + 11).cast("string"), F.lpad((F.col("c_custkey") % 9000).cast("string"), 4, "0")).alias("region_code"))
+    return identity.region_rollup(rows, table(spark, d, "nation").where("n_nationkey < 20").select(code("n_nationkey").alias("code"), F.col("n_name").alias("name")))
+
+
+@query("""SELECT event_id, CASE event_type WHEN 'error' THEN 1.0 ELSE value / 10 END AS score FROM events""")
+def user_scorer(spark, d):
+    from ..operators import hooks
+
+    scorer = lambda pdf: (pdf["value"] / 10).where(pdf["event_type"] != "error", 1.0)
+    return hooks.score_with(table(spark, d, "events").select("event_id", "event_type", "value"), scorer, F.lit(0.0)).select("event_id", "score")
+
+
+@query("""SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'old' ELSE lang END AS value FROM documents""")
+def moved_keys(spark, d):
+    docs = table(spark, d, "documents").withColumn("fm", F.create_map(F.lit("title"), F.lit("t"), F.lit("theme"), F.when(F.col("doc_id") % 3 == 0, F.lit("old")).otherwise(F.col("lang"))))
+    return filters.move_keys(docs, ["theme"])[1].select("doc_id", "value")
