@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import group_starts, map_groups, materialize, mix64
+from .common import map_groups, materialize, mix64
 from .graph import connected_components
 
 #: Documents of one block of the join; larger loose components are joined in pairs of blocks.
