@@ -7,7 +7,6 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import rules
 from ..functions.text import key_id, lines_of, readable, reasons, role_of, sanitize, signal_type_of, themes_of, time_validity, window_at_keyword
 
 
