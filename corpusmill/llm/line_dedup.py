@@ -54,7 +54,8 @@ def drop_repeated_lines(docs: DataFrame, min_docs: int = 3, min_chars: int = 20,
     repeat an id lose the lines of any of them by position. A line may occur twice in one document: that counts once, and both go or stay.
     """
     lines = materialize(line_keys(docs, min_chars, id_col, text_col))
-    wide = lines.groupBy("h1", "h2").agg(F.sum("first").alias("n"), F.max("doc_id").alias("keeper")).where(F.col("n") >= min_docs).drop("n")
+    # written by itself, so that the join below has plain inputs: small enough, it is broadcast; if not, a hot line's rows are split
+    wide = materialize(lines.groupBy("h1", "h2").agg(F.sum("first").alias("n"), F.max("doc_id").alias("keeper")).where(F.col("n") >= min_docs).drop("n"))
     gone = lines.join(wide, ["h1", "h2"]).where(F.col("doc_id") != F.col("keeper"))
     drops = gone.groupBy("doc_id").agg(F.collect_set("pos").alias("_drops")).withColumnRenamed("doc_id", "_id")
 
