@@ -30,7 +30,7 @@ MIN_DOCS = 200
 #: `spread` times the distance from the 10 % quantile to the median, and than the least distance.
 FENCES = {
     "symbols": (8.0, 0.05),
-    "repeats": (8.0, 0.25),
+    "repeats": (8.0, 0.30),
     "dup_lines": (8.0, 0.40),
     "shout": (8.0, 0.20),
     "word_length": (8.0, 6.0),
