@@ -181,16 +181,18 @@ def semantic_pairs(views: DataFrame, basis: DataFrame, window_years: int = 3, ex
     pairs = pairs.join(forth, (F.col("a_doc_id") == F.col("_f")) & (F.col("b_doc_id") == F.col("_t")), "left").join(back, (F.col("a_doc_id") == F.col("_f2")) & (F.col("b_doc_id") == F.col("_t2")), "left")
     near = F.coalesce(F.abs(F.col("a_year") - F.col("b_year")) <= window_years, F.lit(False))
     older = near & (F.col("a_year") < F.col("b_year"))
-    sim = F.lit(1.0) + char_jaccard(F.col("a_title"), F.col("b_title"))
-    rel = lambda name, s, *tags: F.struct(F.lit(name).alias("rel"), s.alias("sim"), F.array(*map(F.lit, tags)).alias("tags"))
+    rel = lambda name, bonus, *tags: F.struct(F.lit(name).alias("rel"), F.lit(bonus).alias("bonus"), F.array(*map(F.lit, tags)).alias("tags"))
     differ = ~(F.col("a_region_name").eqNullSafe(F.col("b_region_name")) & F.col("a_issuer").eqNullSafe(F.col("b_issuer")))
     kinds = F.array_compact(F.array(
-        F.when(older & (F.coalesce("a_issuer", F.lit("")) != "") & (F.col("a_issuer") == F.col("b_issuer")), rel("iterates", sim, "same_issuer", "same_theme", "year_increasing")),
-        F.when(older & any_of(F.col("b_title"), extend_words), rel("extends", sim, "same_theme", "year_increasing", "scope_extend_word")),
-        F.when(F.col("ab") & (region_rank(F.col("a_region_level")) < region_rank(F.col("b_region_level"))), rel("derives_from", sim + 2, "basis_relation_present", "lower_region_level", "same_theme")),
-        F.when(near & differ & F.col("ab").isNull() & F.col("ba").isNull(), rel("aligns_with", sim, "same_theme", "cross_region_or_dept")),
+        F.when(older & (F.coalesce("a_issuer", F.lit("")) != "") & (F.col("a_issuer") == F.col("b_issuer")), rel("iterates", 0.0, "same_issuer", "same_theme", "year_increasing")),
+        F.when(older & any_of(F.col("b_title"), extend_words), rel("extends", 0.0, "same_theme", "year_increasing", "scope_extend_word")),
+        F.when(F.col("ab") & (region_rank(F.col("a_region_level")) < region_rank(F.col("b_region_level"))), rel("derives_from", 2.0, "basis_relation_present", "lower_region_level", "same_theme")),
+        F.when(near & differ & F.col("ab").isNull() & F.col("ba").isNull(), rel("aligns_with", 0.0, "same_theme", "cross_region_or_dept")),
     ))
-    return pairs.select(F.col("a_doc_id").alias("from_id"), F.col("b_doc_id").alias("to_id"), F.col("a_primary_theme").alias("primary_theme"), F.col("a_pos").alias("pos"), F.explode(kinds).alias("k")).select("from_id", "to_id", "primary_theme", "pos", "k.rel", "k.sim", "k.tags")
+    # the similarity is computed behind the rules: for pairs that have a relation, and only where it is asked for
+    related = pairs.select(F.col("a_doc_id").alias("from_id"), F.col("b_doc_id").alias("to_id"), F.col("a_primary_theme").alias("primary_theme"), F.col("a_pos").alias("pos"), "a_title", "b_title", F.explode(kinds).alias("k"))
+    sim = F.lit(1.0) + char_jaccard(F.col("a_title"), F.col("b_title")) + F.col("k.bonus")
+    return related.select("from_id", "to_id", "primary_theme", "pos", "k.rel", sim.alias("sim"), "k.tags")
 
 
 def cap_candidates(pairs: DataFrame, top_k: int = 8) -> DataFrame:
