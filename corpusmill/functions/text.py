@@ -122,11 +122,20 @@ def window_at_keyword(text: Column, keyword: Column, before: int = 45, after: in
     return F.when(at > 0, F.substring(t, lo, at + after - lo)).otherwise(F.substring(t, 1, head))
 
 
+def char_set(s: Column) -> Column:
+    """The distinct characters of a text as an array."""
+    return F.array_distinct(F.filter(F.split(F.coalesce(s, F.lit("")), ""), lambda c: c != ""))
+
+
+def set_jaccard(a: Column, b: Column) -> Column:
+    """Jaccard similarity of two arrays of distinct values; 0 for two empty ones."""
+    both, all_ = F.size(F.array_intersect(a, b)), F.size(F.array_union(a, b))
+    return F.when(all_ > 0, both / all_).otherwise(F.lit(0.0))
+
+
 def char_jaccard(a: Column, b: Column) -> Column:
     """Jaccard similarity of the sets of characters; 0 for two empty titles."""
-    chars = lambda s: F.array_distinct(F.filter(F.split(F.coalesce(s, F.lit("")), ""), lambda c: c != ""))
-    both, all_ = F.size(F.array_intersect(chars(a), chars(b))), F.size(F.array_union(chars(a), chars(b)))
-    return F.when(all_ > 0, both / all_).otherwise(F.lit(0.0))
+    return set_jaccard(char_set(a), char_set(b))
 
 
 def classify(text: Column, groups: Mapping[str, Iterable[str]], default: str) -> Column:

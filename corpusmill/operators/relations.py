@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules
-from ..functions.text import any_of, char_jaccard, key_id, window_around, window_from_anchor
+from ..functions.text import any_of, char_set, key_id, set_jaccard, window_around, window_from_anchor
 
 
 def union_sources(**sources: DataFrame) -> DataFrame:
@@ -171,7 +171,8 @@ def semantic_pairs(views: DataFrame, basis: DataFrame, window_years: int = 3, ex
     views: (doc_id, title, region_level, region_name, issuer, year, primary_theme, pos). basis: (from_id, to_id). Rows: (from_id, to_id, rel, sim, tags,
     primary_theme); a is the source and b its peer, as seen from every source.
     """
-    v = views.where(F.coalesce(F.col("primary_theme"), F.lit("")) != "")
+    # once a title, not once a pair
+    v = views.where(F.coalesce(F.col("primary_theme"), F.lit("")) != "").withColumn("chars", char_set(F.col("title")))
     a = v.select(*[F.col(c).alias(f"a_{c}") for c in v.columns])
     b = v.select(*[F.col(c).alias(f"b_{c}") for c in v.columns])
     pairs = a.join(b, (F.col("a_primary_theme") == F.col("b_primary_theme")) & (F.col("a_doc_id") != F.col("b_doc_id")))
@@ -190,8 +191,8 @@ def semantic_pairs(views: DataFrame, basis: DataFrame, window_years: int = 3, ex
         F.when(near & differ & F.col("ab").isNull() & F.col("ba").isNull(), rel("aligns_with", 0.0, "same_theme", "cross_region_or_dept")),
     ))
     # the similarity is computed behind the rules: for pairs that have a relation, and only where it is asked for
-    related = pairs.select(F.col("a_doc_id").alias("from_id"), F.col("b_doc_id").alias("to_id"), F.col("a_primary_theme").alias("primary_theme"), F.col("a_pos").alias("pos"), "a_title", "b_title", F.explode(kinds).alias("k"))
-    sim = F.lit(1.0) + char_jaccard(F.col("a_title"), F.col("b_title")) + F.col("k.bonus")
+    related = pairs.select(F.col("a_doc_id").alias("from_id"), F.col("b_doc_id").alias("to_id"), F.col("a_primary_theme").alias("primary_theme"), F.col("a_pos").alias("pos"), "a_chars", "b_chars", F.explode(kinds).alias("k"))
+    sim = F.lit(1.0) + set_jaccard(F.col("a_chars"), F.col("b_chars")) + F.col("k.bonus")
     return related.select("from_id", "to_id", "primary_theme", "pos", "k.rel", sim.alias("sim"), "k.tags")
 
 

@@ -325,7 +325,7 @@ def duplicate_groups(spark, d):
 
 @query()
 def greedy_batch_filter(spark, d):
-    p = table(spark, d, "pages").select(F.col("page_id").alias("row_id"), "url", F.regexp_extract("html", r"(?s)<h1>(.{0,12})", 1).alias("title"), F.col("page_id").alias("pos"))
+    p = table(spark, d, "pages").select(F.col("page_id").alias("row_id"), "url", F.regexp_extract("html", r"(?s)<h1>(.*?)(?:</h1>|$)", 1).alias("title"), F.col("page_id").alias("pos"))
     return dedup.greedy_batch(p).select("row_id", "kept")
 
 
@@ -340,9 +340,15 @@ def citation_relations(spark, d):
 VIEWS_SQL = """v AS (SELECT doc_id, substr(text, 1, 24) AS title, lang AS region_name, source AS issuer, CAST(2000 + doc_id % 9 AS INTEGER) AS year, concat(lang, CAST(doc_id % 40 AS VARCHAR)) AS theme FROM documents WHERE length(text) > 30)"""
 
 
-def views_of(spark, d):
-    x = table(spark, d, "documents").where(F.length("text") > 30)
-    return x.select("doc_id", F.substring("text", 1, 24).alias("title"), F.lit("市").alias("region_level"), F.col("lang").alias("region_name"), F.col("source").alias("issuer"), (F.lit(2000) + F.col("doc_id") % 9).cast("int").alias("year"), F.concat("lang", (F.col("doc_id") % 40).cast("string")).alias("primary_theme"), F.col("doc_id").alias("pos"))
+def first_line(c: str) -> F.Column:
+    return F.substring_index(F.coalesce(F.col(c), F.lit("")), "\n", 1)
+
+
+def views_of(spark, d, whole: bool = False):
+    """Documents as views; with whole=True all of them, with their first lines as titles, else what VIEWS_SQL takes."""
+    x = table(spark, d, "documents")
+    x, title = (x, first_line("text")) if whole else (x.where(F.length("text") > 30), F.substring("text", 1, 24))
+    return x.select("doc_id", title.alias("title"), F.lit("市").alias("region_level"), F.col("lang").alias("region_name"), F.col("source").alias("issuer"), (F.lit(2000) + F.col("doc_id") % 9).cast("int").alias("year"), F.concat("lang", (F.col("doc_id") % 40).cast("string")).alias("primary_theme"), F.col("doc_id").alias("pos"))
 
 
 @query(f"""WITH {VIEWS_SQL}, p AS (SELECT a.doc_id AS from_id, b.doc_id AS to_id, a.issuer = b.issuer AS same, a.year < b.year AS older FROM v a JOIN v b ON a.theme = b.theme AND a.doc_id <> b.doc_id AND abs(a.year - b.year) <= 3)
@@ -355,7 +361,7 @@ def semantic_candidates(spark, d):
 @query()
 def semantic_candidates_capped(spark, d):
     none = spark.createDataFrame([], "from_id long, to_id long")
-    return relations.cap_candidates(relations.semantic_pairs(views_of(spark, d), none), 8).select("from_id", "to_id", "rel", F.round("sim", 6).alias("sim"))
+    return relations.cap_candidates(relations.semantic_pairs(views_of(spark, d, whole=True), none), 8).select("from_id", "to_id", "rel", F.round("sim", 6).alias("sim"))
 
 
 @query(r"""SELECT doc_id, CASE WHEN lower(text) LIKE '%license%' THEN 'skip_junk' WHEN regexp_matches(text, '[0-9]{6,}') THEN 'market_intel' ELSE 'ingest' END AS disposition FROM documents""")
@@ -415,8 +421,7 @@ def title_similarity(spark, d):
 
 @query()
 def date_candidates(spark, d):
-    day = F.concat(F.lit("自2023年"), (F.col("doc_id") % 12 + 1).cast("string"), F.lit("月1日起施行。国家能源局 二〇二二年"), F.element_at(F.array(*[F.lit(x) for x in "一二三四五六七八九十"]), (F.col("doc_id") % 10 + 1).cast("int")), F.lit("月十五日"))
-    c = table(spark, d, "documents").select("doc_id", F.concat_ws("\n", F.substring("text", 1, 300), day).alias("t")).withColumn("c", dates.date_candidates("t"))
+    c = table(spark, d, "documents").select("doc_id", dates.date_candidates("text").alias("c"))
     return c.select("doc_id", F.size("c").alias("n"), dates.issuance_date(F.col("c")).alias("issued"), dates.strict_issuance_date(F.col("c")).alias("strict"))
 
 
@@ -710,9 +715,8 @@ def url_dates(spark, d):
 
 @query()
 def title_matches(spark, d):
-    docs = table(spark, d, "documents").where(F.length("text") > 60)
-    q = docs.where("doc_id % 5 = 0").select(F.col("doc_id").alias("query_id"), F.substring("text", 3, 20).alias("name"))
-    return dedup.match_titles(q, docs.select("doc_id", F.substring("text", 1, 60).alias("title"))).select("query_id", "doc_id")
+    docs = table(spark, d, "documents").select("doc_id", first_line("text").alias("title"))
+    return dedup.match_titles(docs.select(F.col("doc_id").alias("query_id"), F.col("title").alias("name")), docs).select("query_id", "doc_id")
 
 
 @query()
