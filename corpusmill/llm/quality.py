@@ -26,14 +26,15 @@ WINDOW = 8
 GAMMA = 1.02
 #: Sketches of fewer documents lend from the language's, then from the corpus's.
 MIN_DOCS = 200
-#: Measure -> (spread, least distance from the median): a document goes when it lies further above the median than
-#: `spread` times the distance from the 10 % quantile to the median, and than the least distance.
+#: Measure -> (upper, lower, spread, least): a document goes when it lies above the upper quantile of its sketch by more than
+#: `spread` times the distance between both quantiles, and than the least distance. The quantiles lie high where clean texts
+#: have a long tail, and lower where junk is more than the 1 % that it takes to reach the 99 % quantile.
 FENCES = {
-    "symbols": (8.0, 0.05),
-    "repeats": (8.0, 0.30),
-    "dup_lines": (8.0, 0.40),
-    "shout": (8.0, 0.20),
-    "word_length": (8.0, 6.0),
+    "symbols": (0.75, 0.5, 8.0, 0.05),
+    "repeats": (0.99, 0.9, 2.0, 0.02),
+    "dup_lines": (0.99, 0.9, 2.0, 0.05),
+    "shout": (0.99, 0.9, 4.0, 0.005),
+    "word_length": (0.75, 0.5, 6.0, 0.5),
 }
 
 _MULT = np.array([0x9E3779B97F4A7C15 * (2 * k + 1) & 0xFFFFFFFFFFFFFFFF | 1 for k in range(WINDOW)], np.uint64)
@@ -125,9 +126,9 @@ def quantiles(sketch: DataFrame, at: tuple[float, ...] = (0.1, 0.5)) -> DataFram
 def thresholds(measured: DataFrame, min_docs: int = MIN_DOCS, fences: dict | None = None) -> DataFrame:
     """(lang, source, max_<measure>…): an upper fence for each language and source that occurs; groups of fewer than min_docs take their language's, or the corpus's."""
     fences = FENCES if fences is None else fences
-    q = materialize(quantiles(sketches(measured)))
-    spread = F.create_map(*[x for m, (k, least) in fences.items() for x in (F.lit(m), F.struct(F.lit(k).alias("k"), F.lit(least).alias("least")))])[F.col("measure")]
-    fence = q.withColumn("fence", F.col("q1") + F.greatest(spread["k"] * (F.col("q1") - F.col("q0")), spread["least"]))
+    at = sorted({x for upper, lower, _, _ in fences.values() for x in (upper, lower)})
+    q = materialize(quantiles(sketches(measured), tuple(at)))
+    fence = q.withColumn("fence", F.coalesce(*[F.when(F.col("measure") == m, F.col(f"q{at.index(upper)}") + F.greatest(F.lit(spread) * (F.col(f"q{at.index(upper)}") - F.col(f"q{at.index(lower)}")), F.lit(least))) for m, (upper, lower, spread, least) in fences.items()]))
     wide = fence.groupBy("lang", "source", "level").agg(F.max("n_docs").alias("n"), *[F.max(F.when(F.col("measure") == m, F.col("fence"))).alias(m) for m in fences])
     own = wide.where("level = 2").select("lang", "source", F.col("n").alias("own_n"), *[F.col(m).alias(f"own_{m}") for m in fences])
     lang = wide.where("level = 1").select(F.col("lang").alias("_l"), F.col("n").alias("lang_n"), *[F.col(m).alias(f"lang_{m}") for m in fences])
