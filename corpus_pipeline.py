@@ -19,28 +19,44 @@ from corpusmill.llm.quality import judge_quality
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def keyed(docs: DataFrame, nulls_last: bool = False) -> DataFrame:
+    """docs with a written row_key, unique for each row, that rises with doc_id (rows that repeat one: by a hash of the row); a null doc_id comes first, or last."""
+    at = F.col("doc_id")
+    order = [at.asc_nulls_last() if nulls_last else at.asc_nulls_first(), F.xxhash64(*COLUMNS)]
+    ranged = docs.select(*COLUMNS).repartitionByRange(*order).sortWithinPartitions(*order)
+    return materialize(ranged.withColumn("row_key", F.monotonically_increasing_id()))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    verdict = judge_quality(docs, keep=["doc_id", "lang", "source"]).where("kept").select("doc_id")
-    return docs.select(*COLUMNS).join(verdict, "doc_id", "left_semi")
+    """Documents that the quality rules keep. Each row is judged by itself, whether its doc_id is null or repeated."""
+    return judge_quality(docs.select(*COLUMNS), keep=COLUMNS).where("kept").select(*COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that three documents or more share go, but in the largest doc_id; documents that are left without a word go too."""
-    out = drop_repeated_lines(docs.select(*COLUMNS), min_docs=3, min_chars=20)
+    """Lines that three documents or more share go, but in the largest doc_id; documents that are left without a word go too.
+
+    Each row is a document: of rows that repeat a doc_id, one counts as the larger; a null doc_id is smaller than all others.
+    """
+    out = drop_repeated_lines(keyed(docs), min_docs=3, min_chars=20, id_col="row_key")
     return out.withColumn("n_chars", F.length("text").cast("long")).where(F.col("text").rlike(r"[^\x20\x09-\x0D]")).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that five-word shingles link at 0.8 or more: the smallest doc_id."""
-    parts = jaccard_components(docs.select("doc_id", "text"), width=5, threshold=80)
-    return docs.select(*COLUMNS).join(parts.where("doc_id = component_id").select("doc_id"), "doc_id", "left_semi")
+    """One document of each group that five-word shingles link at 0.8 or more: the smallest doc_id.
+
+    Each row is a document: of rows that repeat a doc_id, one counts as the smaller; a null doc_id is larger than all others.
+    """
+    rows = keyed(docs, nulls_last=True)
+    parts = jaccard_components(rows.select(F.col("row_key").alias("doc_id"), "text"), width=5, threshold=80)
+    single = parts.where("doc_id = component_id").select(F.col("doc_id").alias("row_key"))
+    return rows.join(single, "row_key", "left_semi").select(*COLUMNS)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them (not at all, once or twice)."""
-    copies = mix_sources(docs).where("copies > 0").select("doc_id", "copies")
-    return docs.select(*COLUMNS).join(copies, "doc_id").withColumn("copies", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*COLUMNS)
+    """Documents as often as the mix takes them (not at all, once or twice). Each row is drawn by itself, whether its doc_id is null or repeated."""
+    rows = keyed(docs)
+    copies = mix_sources(rows, keep=["row_key"]).where("copies > 0").select("row_key", "copies")
+    return rows.join(copies, "row_key").withColumn("copies", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*COLUMNS)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

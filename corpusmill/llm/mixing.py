@@ -42,14 +42,14 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (3, 1, 2), sha
     return per.select("source", "n_docs", "source_size", target.alias("target"))
 
 
-def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: int = 17, size: Column | None = None) -> DataFrame:
-    """(doc_id, source, size) of docs plus source_size, target, copies and taken (= copies * size).
+def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: int = 17, size: Column | None = None, keep: list[str] | None = None) -> DataFrame:
+    """(doc_id, source, size) of docs and the columns `keep` plus source_size, target, copies and taken (= copies * size).
 
     Reruns agree: order and offsets come from hashes of ids, sources and the seed. A null text has size 0, a null source is
     a source of its own (last); documents of size 0 may be drawn but take no words; a source of size 0 has target 0. Rows
     that repeat an id and a size are ordered at will among themselves: each is a document.
     """
-    sizes = materialize(docs.select("doc_id", "source", (n_words(F.col("text")) if size is None else size).alias("size")))
+    sizes = materialize(docs.select("doc_id", "source", (n_words(F.col("text")) if size is None else size).alias("size"), *(keep or [])))
     targets = source_targets(sizes, weights, share, most)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     known = sizes.join(targets, sizes["source"].eqNullSafe(targets["source"]), "inner").drop(targets["source"]).withColumn("_rate", rate)
@@ -68,7 +68,7 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share:
     rank = F.col("_before") + F.col("_in")
     offset = F.pmod(F.xxhash64(F.coalesce("source", F.lit("")), F.lit(seed), F.col("source").isNull()), F.lit(1 << 40)) / F.lit(float(1 << 40))
     copies = (F.floor((rank + 1) * F.col("_rate") + offset) - F.floor(rank * F.col("_rate") + offset)).cast("int")
-    return placed.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies")).withColumn("taken", F.col("copies") * F.col("size"))
+    return placed.select("doc_id", "source", "size", *(keep or []), "source_size", "target", copies.alias("copies")).withColumn("taken", F.col("copies") * F.col("size"))
 
 
 def op2_source_mix(spark, sf_dir: str) -> DataFrame:
