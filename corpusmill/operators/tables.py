@@ -11,26 +11,48 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _own: list[str] = []
+_written: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or a folder of our own where it is unset (local mode)."""
-    path = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    """The folder in spark.checkpoint.dir, which the driver and all executors share.
+
+    Where it is unset and all tasks run on this machine (local mode, tests), a temporary folder of our own; on a cluster such a folder
+    would be read back empty by other machines, so there it is an error.
+    """
+    path = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if path:
         return path.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not _own:
         _own.append(tempfile.mkdtemp(prefix="corpusmill-"))
         atexit.register(shutil.rmtree, _own[0], ignore_errors=True)
     return _own[0]
 
 
+def new_path(spark: SparkSession, suffix: str = "parquet") -> str:
+    """A path in the shared folder that nothing has been written to."""
+    _written.append(f"{shared_folder(spark)}/{uuid.uuid4().hex}.{suffix}")
+    return _written[-1]
+
+
 def stage(df: DataFrame) -> DataFrame:
     """df written to the shared folder and read again: computed once, short lineage, safe from lost executors."""
-    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}.parquet"
+    path = new_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove_staged(spark: SparkSession) -> int:
+    """Delete all tables that this process has staged so far, once the results that read them are written; gives their number."""
+    gone = 0
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        gone += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return gone
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(src, dst) -> (node, component): smallest label that a node reaches, by passing labels along edges and doubling pointers until nothing moves."""
     pairs = edges.where("src <> dst").select("src", "dst")
