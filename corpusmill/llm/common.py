@@ -2,36 +2,21 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.tables import new_path
+
 #: A word is a run of characters other than the ASCII white space (the pattern of every contract here).
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Spark 4.1: the shuffle files of a query go when it has ended (what it wrote no longer needs them).
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-_own_dir: list[str] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which the driver and all executors share; one of our own where it is unset (local mode)."""
-    path = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if path:
-        return path.rstrip("/")
-    if not _own_dir:
-        _own_dir.append(tempfile.mkdtemp(prefix="corpusmill-"))
-        atexit.register(shutil.rmtree, _own_dir[0], ignore_errors=True)
-    return _own_dir[0]
-
 
 def materialize(df: DataFrame) -> DataFrame:
     """Write df to the shared folder and read it back: cuts the lineage, survives lost executors, and is computed once.
@@ -39,7 +24,7 @@ def materialize(df: DataFrame) -> DataFrame:
     Parquet, so that later reads prune columns; shuffle files of the writing query are dropped once it has ended.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{uuid.uuid4().hex}.parquet"
+    path = new_path(spark)
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
     try:
@@ -49,6 +34,11 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_hash(*columns: str) -> Column:
+    """A 64-bit hash of a row's columns, nulls told from empty ones: tells rows that share an id. Rows that are equal in all of them share it."""
+    return F.xxhash64(*[x for c in columns for x in (F.col(c).isNull(), F.col(c))])
+
+
 def n_words(text: Column) -> Column:
     """Number of words, 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

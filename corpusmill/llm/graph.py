@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
@@ -13,19 +13,18 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     First the small-star step (Kiveris et al., 2014) is repeated: a node hands its smaller neighbours to the smallest of
     them, until each node has one smaller neighbour at most, so that a forest is left; then pointers are doubled up to the
-    roots. Rows are dealt by the larger end of an edge, so the centre of a star, its smallest node, is never a key
-    with many rows; the doubling joins two written tables, where the skewed-join rule splits large keys. Only counts reach
-    the driver. Nodes without edges (or with an edge to themselves alone) aren't returned.
+    roots. The smallest neighbour is a combining aggregate that is written and joined back, and the doubling joins two written
+    tables too, so a node with very many neighbours on either side is split by the skewed-join rule instead of filling a task. Only
+    counts reach the driver. Nodes without edges (or with an edge to themselves alone) aren't returned.
     """
     u, v = F.col("u"), F.col("v")
     now = materialize(edges.select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).where(u != v).distinct())
     while True:
-        rows, nodes = now.groupBy("u").agg(F.count("*").alias("n")).agg(F.sum("n"), F.count("*")).first()
-        if not rows or rows == nodes:
+        low = materialize(now.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")))
+        if not low.where("n > 1").limit(1).count():
             break
-        low = F.min("v").over(Window.partitionBy("u"))
         handed = F.when(v == F.col("m"), F.struct(u.alias("u"), v.alias("v"))).otherwise(F.struct(v.alias("u"), F.col("m").alias("v")))
-        now = materialize(now.withColumn("m", low).select(handed.alias("e")).select("e.*").distinct())
+        now = materialize(now.join(low.select("u", "m"), "u").select(handed.alias("e")).select("e.*").distinct())
     while True:
         up = now.select(u.alias("p"), v.alias("q"))
         nxt = materialize(now.join(up, v == F.col("p"), "left").select("u", F.coalesce("q", "v").alias("v"), F.col("q").isNotNull().alias("moved")))

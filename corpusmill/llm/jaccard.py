@@ -3,7 +3,7 @@
 1. Deal out. Two sets that link have at most H = (1 - t) / (1 + t) * (|A| + |B|) elements that only one of them holds. For each
    class of sizes, cut the hash space into H + 1 + s parts: at least s + 1 parts are the same in both (PartEnum, Arasu et al., 2006).
    Every set sends a hash of each part, for its own class and the next; equal hashes make a loose link, always to the
-   smallest document of the same hash, so the number of loose links is linear however large a group of copies is. Light parts, of one
+   first set of the same hash, so the number of loose links is linear however large a group of copies is. Light parts, of one
    element or none, would tie strangers together; they are sent only by sets with more than s of them: a pair that links
    has s + 1 equal parts, and if one side has at most s light ones, a heavier one is among them, and is as heavy on the
    other side. (At thresholds where light parts are the rule, only empty ones count as light.)
@@ -22,10 +22,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_groups, materialize, mix64
+from .common import map_groups, materialize, mix64, row_hash
 from .graph import connected_components
 
 #: Documents of one block of the join; larger loose components are joined in pairs of blocks.
@@ -33,6 +33,8 @@ BLOCK_DOCS = 2_000
 #: Least and most bits of a signature (powers of two; a tree takes about three for an element of its largest set).
 MIN_BITS, MAX_BITS = 512, 1 << 16
 FAN = 16
+#: Sets that a task remembers to have sent.
+SENT_SETS = 200_000
 
 _MULT = np.array([0x9E3779B97F4A7C15 * (2 * k + 3) & 0xFFFFFFFFFFFFFFFF | 1 for k in range(16)], np.uint64)
 
@@ -102,26 +104,30 @@ def part_keys(h: np.ndarray, classes: SizeClasses) -> np.ndarray:
     return np.concatenate(out)
 
 
-def set_sizes(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n_shingles, k1, k2): the size of each document's set and a 128-bit hash of it."""
+def set_sizes(rows: DataFrame, width: int) -> DataFrame:
+    """(doc_id, row, n_shingles, node) of (doc_id, row, text): the size of each row's set and a 64-bit hash of the set, null for the empty one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, k1, k2 = [], [], []
-            for t in batch.column(1).to_pylist():
+            n, node = [], []
+            for t in batch.column(2).to_pylist():
                 h = shingle_hashes(t, width)
                 n.append(len(h))
-                k1.append(int(h.sum(dtype=np.uint64).astype(np.int64)))
-                k2.append(int(mix64(h).sum(dtype=np.uint64).astype(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64())], ["doc_id", "n_shingles", "k1", "k2"])
+                node.append(set_node(h) if len(h) else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(node, pa.int64())], ["doc_id", "row", "n_shingles", "node"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, k1 long, k2 long")
+    return rows.mapInArrow(run, "doc_id long, row long, n_shingles long, node long")
 
 
-def loose_links(docs: DataFrame, width: int, threshold: int) -> DataFrame:
-    """(cls, src, dst) links between documents with an equal part, in each class a superset of the connectivity of the true links whose larger set is of that class."""
-    keys = docs.mapInArrow(_keys_of(width, threshold), "key long, doc_id long")
-    ordered = keys.repartition("key").sortWithinPartitions("key", "doc_id")
+def set_node(h: np.ndarray) -> int:
+    """The node that stands for a set in the graph: equal sets are one."""
+    return xxhash.xxh3_64_intdigest(h.tobytes()) - (1 << 63)
+
+
+def loose_links(texts: DataFrame, width: int, threshold: int) -> DataFrame:
+    """(cls, src, dst) links between the nodes of sets with an equal part, in each class a superset of the connectivity of the true links whose larger set is of that class."""
+    keys = texts.mapInArrow(_keys_of(width, threshold), "key long, node long")
+    ordered = keys.repartition("key").sortWithinPartitions("key", "node")
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, first = None, None  # of the run that the last batch ended with
@@ -147,20 +153,24 @@ def loose_links(docs: DataFrame, width: int, threshold: int) -> DataFrame:
 def _keys_of(width: int, threshold: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = SizeClasses(threshold, 1 << 16)
+        sent: set[int] = set()  # copies of a set send nothing new; forgotten from time to time, which only repeats rows
         for batch in batches:
             for at in range(0, batch.num_rows, 500):  # many rows come from one document
                 ids, keys = [], []
-                for i, t in zip(batch.column(0)[at : at + 500].to_pylist(), batch.column(1)[at : at + 500].to_pylist()):
+                for t in batch.column(0)[at : at + 500].to_pylist():
                     h = shingle_hashes(t, width)
-                    if not len(h):
+                    if not len(h) or (node := set_node(h)) in sent:
                         continue
+                    sent.add(node)
                     if len(h) > classes.ends[-2]:
                         classes = SizeClasses(threshold, 2 * len(h))
                     p = part_keys(h, classes)
                     keys.append(p)
-                    ids.append(np.full(len(p), i, np.int64))
+                    ids.append(np.full(len(p), node, np.int64))
                 if keys:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(ids))], ["key", "doc_id"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(ids))], ["key", "node"])
+                if len(sent) > SENT_SETS:
+                    sent.clear()
 
     return run
 
@@ -262,9 +272,10 @@ def tree_join(left: SignatureTree, right: SignatureTree, threshold: int, forest:
 
 
 def block_links(table: pa.Table, threshold: int) -> pa.RecordBatch | None:
-    """Links of one block, or of one pair of blocks: rows (doc_id, side, hashes), sides 0 and 1 in pairs of blocks."""
-    ids, side = table["doc_id"].to_numpy(), table["side"].to_numpy()
-    sets = [np.frombuffer(x.as_py(), np.uint64) for x in table["hashes"]]
+    """Links of one block, or of one pair of blocks: rows (node, side, hashes), sides 0 and 1 in pairs of blocks."""
+    once = np.unique(table["node"].to_numpy(), return_index=True)[1]  # rows that are equal in everything come several times
+    ids, side = table["node"].to_numpy()[once], table["side"].to_numpy()[once]
+    sets = [np.frombuffer(table["hashes"][int(k)].as_py(), np.uint64) for k in once]
     order = sorted(range(len(ids)), key=lambda k: (len(sets[k]), ids[k]))
     forest = Forest(len(ids))
     width = MIN_BITS
@@ -278,47 +289,57 @@ def block_links(table: pa.Table, threshold: int) -> pa.RecordBatch | None:
     return pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])], ["src", "dst"])
 
 
-def jaccard_components(docs: DataFrame, width: int = 4, threshold: int = 85, block_docs: int = BLOCK_DOCS) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of (doc_id, text): two documents link when 100 * |A & B| >= threshold * |A | B|.
+def jaccard_rows(docs: DataFrame, width: int = 4, threshold: int = 85, block_docs: int = BLOCK_DOCS, row: Column | None = None) -> DataFrame:
+    """(doc_id, row, n_shingles, component_id, first) of (doc_id, text): two rows link when 100 * |A & B| >= threshold * |A | B|.
 
-    component_id is the smallest doc_id reachable by links, the own one included. Null and empty texts have an empty set and
-    link with nothing. Documents with equal sets are compared once, by their smallest id. Rows with a null id come back
-    unlinked; rows that repeat an id must repeat the text.
+    Each row counts by itself, whether its id is null or repeated. component_id is the smallest doc_id reachable by links, the own one
+    included; a null id is larger than all others (null where no row has one). row: a hash that tells rows of one id apart (of the text, if
+    not given); first: the row has the smallest (id, row) of its component. Null and empty texts have an empty set and link with
+    nothing: their own component, first. Equal sets are one node of the graph, however many rows have them.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (row_hash("text") if row is None else row).alias("row"), "text")
     sizes = materialize(set_sizes(texts, width))
-    some = sizes.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    equal = some.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("rep"))
-    to_rep = some.join(equal, ["k1", "k2", "n_shingles"]).where("doc_id <> rep").select(F.col("doc_id").alias("src"), F.col("rep").alias("dst"))
-    copies = materialize(to_rep)
-    # loose components of each class: their nodes are (class, document), told by a hash (a collision would only widen a block)
-    links = materialize(loose_links(texts.where("doc_id IS NOT NULL"), width, threshold))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("rep")
+    reps = materialize(sizes.where("node IS NOT NULL").groupBy("node").agg(least).select("node", "rep.*"))
+    # loose components of each class: their nodes are (class, set), told by a hash (a collision would only widen a block)
+    links = materialize(loose_links(texts.select("text"), width, threshold))
     node = lambda c: F.xxhash64("cls", c)
     loose = connected_components(links.select(node("src").alias("src"), node("dst").alias("dst"))).withColumnRenamed("node", "_n")
     held = links.select("cls", F.explode(F.array("src", "dst")).alias("node")).distinct()
-    loose = held.join(loose, node("node") == F.col("_n")).select("node", "component")
-    # one document of each set, and of those only components of two or more
-    single = materialize(loose.join(copies.select(F.col("src").alias("node")).distinct(), "node", "left_anti"))
-    count = single.groupBy("component").agg(F.count("*").alias("n")).where("n > 1")
-    count = count.withColumn("blocks", F.ceil(F.col("n") / block_docs).cast("int"))
+    single = materialize(held.join(loose, node("node") == F.col("_n")).select("node", "component"))
+    count = materialize(single.groupBy("component").agg(F.ceil(F.count("*") / block_docs).cast("int").alias("blocks")))
     members = single.join(count, "component").withColumn("own", F.pmod(F.xxhash64("node", F.lit(5)), "blocks").cast("int"))
     pairs = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, "own").alias("a"), F.greatest(o, "own").alias("b"))))
     dealt = members.select("node", "component", "own", pairs.alias("p")).select("node", "component", "p.a", "p.b", F.when((F.col("own") == F.col("p.a")), 0).otherwise(1).alias("side"))
+    # the text of a set is that of its smallest row
+    wanted = dealt.join(reps, "node").select("node", "component", "a", "b", "side", F.coalesce("doc_id", F.lit(0)).alias("_at"), F.col("row").alias("_row"))
+
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            h = [shingle_hashes(t, width).tobytes() for t in batch.column(5).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(h, pa.binary())], ["component", "a", "b", "side", "doc_id", "hashes"])
+            text, last = batch.column(5).to_pylist(), (None, b"")
+            h = [(last := last if t == last[0] else (t, shingle_hashes(t, width).tobytes()))[1] for t in text]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(h, pa.binary())], ["component", "a", "b", "side", "node", "hashes"])
 
     # both sides grow with the corpus, so neither is broadcast
-    placed = texts.join(dealt.hint("merge"), texts["doc_id"] == dealt["node"]).select("component", "a", "b", "side", "doc_id", "text")
-    rows = placed.mapInArrow(hashed, "component long, a int, b int, side int, doc_id long, hashes binary")
-    true = map_groups(rows, ["component", "a", "b"], lambda t: block_links(t, threshold), "src long, dst long")
-    found = connected_components(true.union(copies))
-    return sizes.join(found.withColumnRenamed("node", "_node"), F.col("doc_id") == F.col("_node"), "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    placed = texts.join(wanted.hint("merge"), (F.coalesce("doc_id", F.lit(0)) == F.col("_at")) & (F.col("row") == F.col("_row"))).select("component", "a", "b", "side", "node", "text")
+    rows = placed.mapInArrow(hashed, "component long, a int, b int, side int, node long, hashes binary")
+    found = materialize(connected_components(map_groups(rows, ["component", "a", "b"], lambda t: block_links(t, threshold), "src long, dst long")))
+    # the smallest row of each component, by set
+    linked = found.join(reps, "node")
+    smallest = materialize(linked.groupBy("component").agg(F.min(F.struct("none", "doc_id", "row")).alias("rep")))
+    of_set = reps.join(found.join(smallest, "component").select("node", F.col("rep").alias("top")), "node", "left")
+    of_set = materialize(of_set.select("node", F.coalesce("top", F.struct("none", "doc_id", "row")).alias("rep")).select("node", F.col("rep.doc_id").alias("component_id"), F.col("rep.row").alias("_top")))
+    some = sizes.where("node IS NOT NULL").join(of_set, "node")
+    first = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("row") == F.col("_top"))
+    none = sizes.where("node IS NULL").select("doc_id", "row", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("first"))
+    return some.select("doc_id", "row", "n_shingles", "component_id", first.alias("first")).unionByName(none)
+
+
+def jaccard_components(docs: DataFrame, width: int = 4, threshold: int = 85, block_docs: int = BLOCK_DOCS) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of (doc_id, text), a row for each of docs (see jaccard_rows)."""
+    return jaccard_rows(docs, width, threshold, block_docs).select("doc_id", "n_shingles", "component_id")
 
 
 def op10_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return jaccard_components(docs, width=4, threshold=85)
-
-

@@ -47,7 +47,7 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share:
 
     Reruns agree: order and offsets come from hashes of ids, sources and the seed. A null text has size 0, a null source is
     a source of its own (last); documents of size 0 may be drawn but take no words; a source of size 0 has target 0. Rows
-    that repeat an id and a size are ordered at will among themselves: each is a document.
+    that repeat an id and a size are ordered by `keep`, then at will: each is a document.
     """
     sizes = materialize(docs.select("doc_id", "source", (n_words(F.col("text")) if size is None else size).alias("size"), *(keep or [])))
     targets = source_targets(sizes, weights, share, most)
@@ -62,7 +62,7 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share:
     order = Window.partitionBy("source").orderBy("_half", "_band", "_part")
     starts = known.groupBy(*block).agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
     s = starts.select(F.col("source").alias("_s"), F.col("_half").alias("_h"), F.col("_band").alias("_b"), F.col("_part").alias("_p"), "_before")
-    place = F.row_number().over(Window.partitionBy(*block).orderBy(F.col("size") * sign, F.xxhash64("doc_id", F.lit(seed)), "doc_id")) - 1
+    place = F.row_number().over(Window.partitionBy(*block).orderBy(F.col("size") * sign, F.xxhash64("doc_id", F.lit(seed)), "doc_id", *(keep or []))) - 1
     placed = known.withColumn("_in", place)
     placed = placed.join(s, placed["source"].eqNullSafe(s["_s"]) & (placed["_half"] == s["_h"]) & (placed["_band"] == s["_b"]) & (placed["_part"] == s["_p"])).drop("_s", "_h", "_b", "_p")
     rank = F.col("_before") + F.col("_in")

@@ -138,18 +138,24 @@ def thresholds(measured: DataFrame, min_docs: int = MIN_DOCS, fences: dict | Non
     return both.select("lang", "source", *[pick(m).alias(f"max_{m}") for m in fences])
 
 
-def judge_quality(docs: DataFrame, min_words: int = 20, max_repeat: int = 30, min_docs: int = MIN_DOCS, fences: dict | None = None, keep: list[str] | None = None) -> DataFrame:
+def judge_quality(docs: DataFrame, min_words: int = 20, max_repeat: int = 30, min_docs: int = MIN_DOCS, fences: dict | None = None, keep: list[str] | None = None, write: bool = True) -> DataFrame:
     """The columns `keep` of docs (doc_id, lang and source at least) with the measures, base_failed and kept.
 
     base_failed: fewer than min_words words, or more than max_repeat % of the words in repeated windows. kept is false for
     these and for a text that lies above a fence of its language and source. Texts that failed the base don't enter the
     sketches. Null or empty texts measure 0 and fail; null languages and sources are groups like others; each row counts.
+    write: the measured rows are written once; if not (for `keep` with texts), docs are read and measured again for the filter.
     """
     fences = FENCES if fences is None else fences
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat * F.col("n_words"))
     names = [c for c in (["doc_id"] if keep is None else keep) if c not in ("base_failed", "kept")]
-    measured = materialize(with_measures(docs, keep=list(dict.fromkeys([*names, "lang", "source"]))).withColumn("base_failed", failed))
-    limits = thresholds(measured.where(~F.col("base_failed")), min_docs, fences)
+    groups = ["lang", "source"]
+    measured = with_measures(docs, keep=list(dict.fromkeys([*names, *groups]))).withColumn("base_failed", failed)
+    if write:
+        measured = materialize(measured)
+        limits = thresholds(measured.where(~F.col("base_failed")), min_docs, fences)
+    else:
+        limits = materialize(thresholds(with_measures(docs, keep=groups).withColumn("base_failed", failed).where(~F.col("base_failed")), min_docs, fences))
     t = limits.select(F.col("lang").alias("_l"), F.col("source").alias("_s"), *[f"max_{m}" for m in fences])
     joined = measured.join(t, measured["lang"].eqNullSafe(t["_l"]) & measured["source"].eqNullSafe(t["_s"]), "left").drop("_l", "_s")
     over = F.lit(False)

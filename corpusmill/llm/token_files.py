@@ -8,7 +8,6 @@ writes them wherever it can write, and readers prune columns and seek by chunk.
 
 from __future__ import annotations
 
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -18,8 +17,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.tables import new_path
 from . import tokens
-from .common import shared_dir
 
 #: Fixed values of the format: selector -> (values a word, bits a value); selector 0 is 240 zeros, 1 is the escape.
 SELECTORS = {0: (240, 0), 1: (1, 64), 2: (60, 1), 3: (30, 2), 4: (20, 3), 5: (15, 4), 6: (12, 5), 7: (10, 6), 8: (8, 7), 9: (7, 8), 10: (6, 10), 11: (5, 12), 12: (4, 15), 13: (3, 20), 14: (2, 30), 15: (1, 60)}
@@ -199,6 +198,6 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = False) ->
 
 
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = f"{shared_dir(spark)}/{uuid.uuid4().hex}.tokens"
+    out = new_path(spark, "tokens")
     write_token_files(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), out)
     return read_token_files(spark, out)

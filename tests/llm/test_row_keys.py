@@ -4,6 +4,7 @@ import collections
 import random
 
 import corpus_pipeline
+from corpusmill.llm import jaccard, line_dedup
 from corpusmill.llm.common import materialize
 
 from .fixtures import WORDS, documents
@@ -38,3 +39,27 @@ def test_mix_takes_what_it_computed(spark):
     got = run(spark, "source_mix", TEXTS)
     assert max(got.values()) <= 2 and sum(got.values()) * 60 <= 1.5 * 60 * len(TEXTS) + 60
     assert all(got[x] for x in TEXTS)
+
+
+def test_lines_of_rows_that_repeat_an_id(spark):
+    """Distinct ids count, each row loses its own lines, and the SQL agrees where rows are put together by id."""
+    hot = "a line of thirty-two characters!"
+    rows = [(1, f"{hot}\nunique"), (1, f"other\n{hot}"), (2, hot)]
+    cut = lambda x: collections.Counter((r.doc_id, r.text, r.n_dropped) for r in line_dedup.drop_repeated_lines(documents(spark, [(i, t, "en", "s") for i, t in x])).collect())
+    assert cut(rows) == collections.Counter((i, t, 0) for i, t in rows)
+    assert cut([*rows, (3, hot), (3, f"b\n{hot}")]) == collections.Counter([(1, "unique", 1), (1, "other", 1), (2, "", 1), (3, hot, 0), (3, f"b\n{hot}", 0)])
+
+
+def test_line_columns_with_clashing_names(spark):
+    docs = documents(spark, [(i, f"{LINE}\n{i}", "en", "s") for i in range(4)])
+    for name in ("_drops", "_id", "_row", "_at", "_own", "_in", "row", "keeper"):
+        docs = docs.withColumn(name, line_dedup.F.lit("x"))
+    got = line_dedup.drop_repeated_lines(docs).collect()
+    assert {r.doc_id: r.text for r in got} == {0: "0", 1: "1", 2: "2", 3: f"{LINE}\n3"} and all(r["_drops"] == "x" for r in got)
+
+
+def test_jaccard_of_rows_that_repeat_an_id(spark):
+    a, b, c = say(50), say(50), say(50)
+    rows = [(5, a), (5, b), (3, b), (None, a), (None, c), (9, c), (9, c), (7, ""), (7, None)]
+    got = collections.Counter((r.doc_id, r.component_id, r.first) for r in jaccard.jaccard_rows(documents(spark, [(i, t, "en", "s") for i, t in rows])).collect())
+    assert got == collections.Counter([(5, 5, True), (5, 3, False), (3, 3, True), (None, 5, False), (None, 9, False), (9, 9, True), (9, 9, True), (7, 7, True), (7, 7, True)])
