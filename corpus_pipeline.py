@@ -6,11 +6,11 @@ Belongs to the subpackage corpusmill.llm.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import materialize
-from corpusmill.llm.jaccard import jaccard_components
+from corpusmill.llm.common import materialize, row_hash
+from corpusmill.llm.jaccard import jaccard_rows
 from corpusmill.llm.line_dedup import drop_repeated_lines
 from corpusmill.llm.mixing import mix_sources
 from corpusmill.llm.packing import pack, token_pieces
@@ -19,44 +19,54 @@ from corpusmill.llm.quality import judge_quality
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def keyed(docs: DataFrame, nulls_last: bool = False) -> DataFrame:
-    """docs with a written row_key, unique for each row, that rises with doc_id (rows that repeat one: by a hash of the row); a null doc_id comes first, or last."""
-    at = F.col("doc_id")
-    order = [at.asc_nulls_last() if nulls_last else at.asc_nulls_first(), F.xxhash64(*COLUMNS)]
-    ranged = docs.select(*COLUMNS).repartitionByRange(*order).sortWithinPartitions(*order)
-    return materialize(ranged.withColumn("row_key", F.monotonically_increasing_id()))
+def at() -> Column:
+    return F.coalesce("doc_id", F.lit(0)).alias("_at")
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """The rows with what tells them apart: _at (the id, 0 for null), _row (a hash of the row) and _copy (1, 2, … of rows that are equal in all columns).
+
+    Dealt out and sorted by (_at, _row) as the join that follows needs it, so the texts move once.
+    """
+    rows = docs.select(*COLUMNS, at(), row_hash(*COLUMNS).alias("_row"))
+    return rows.withColumn("_copy", F.row_number().over(Window.partitionBy("_at", "_row").orderBy(F.lit(1))))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep. Each row is judged by itself, whether its doc_id is null or repeated."""
-    return judge_quality(docs.select(*COLUMNS), keep=COLUMNS).where("kept").select(*COLUMNS)
+    """Documents that the quality rules keep. Each row is judged by itself, whether its doc_id is null or repeated.
+
+    The texts are read twice, once for the sketches and once for the filter, and neither shuffled nor written between.
+    """
+    return judge_quality(docs.select(*COLUMNS), keep=COLUMNS, write=False).where("kept").select(*COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that three documents or more share go, but in the largest doc_id; documents that are left without a word go too.
 
-    Each row is a document: of rows that repeat a doc_id, one counts as the larger; a null doc_id is smaller than all others.
+    Each row is cut by itself: rows that repeat a doc_id count as one document; a null doc_id counts as none and is smaller than all others.
     """
-    out = drop_repeated_lines(keyed(docs), min_docs=3, min_chars=20, id_col="row_key")
+    out = drop_repeated_lines(docs.select(*COLUMNS), min_docs=3, min_chars=20)
     return out.withColumn("n_chars", F.length("text").cast("long")).where(F.col("text").rlike(r"[^\x20\x09-\x0D]")).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that five-word shingles link at 0.8 or more: the smallest doc_id.
 
-    Each row is a document: of rows that repeat a doc_id, one counts as the smaller; a null doc_id is larger than all others.
+    Each row is a document: of rows that repeat a doc_id, one counts as the smaller (by a hash); a null doc_id is larger than all others.
+    Texts without a word stay, each of them.
     """
-    rows = keyed(docs, nulls_last=True)
-    parts = jaccard_components(rows.select(F.col("row_key").alias("doc_id"), "text"), width=5, threshold=80)
-    single = parts.where("doc_id = component_id").select(F.col("doc_id").alias("row_key"))
-    return rows.join(single, "row_key", "left_semi").select(*COLUMNS)
+    row = row_hash(*COLUMNS)
+    parts = jaccard_rows(docs.select(*COLUMNS), width=5, threshold=80, row=row).where("first")
+    single = parts.groupBy(at(), F.col("row").alias("_row")).agg(F.max("n_shingles").alias("_n"))
+    return numbered(docs).join(single, ["_at", "_row"]).where("_copy = 1 OR _n = 0").select(*COLUMNS)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them (not at all, once or twice). Each row is drawn by itself, whether its doc_id is null or repeated."""
-    rows = keyed(docs)
-    copies = mix_sources(rows, keep=["row_key"]).where("copies > 0").select("row_key", "copies")
-    return rows.join(copies, "row_key").withColumn("copies", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*COLUMNS)
+    drawn = mix_sources(docs.withColumn("_row", row_hash(*COLUMNS)), keep=["_row"]).select("doc_id", "_row", "copies")
+    taken = drawn.groupBy(at(), "_row").agg(F.array_sort(F.collect_list("copies")).alias("_taken"))
+    mixed = numbered(docs).join(taken, ["_at", "_row"]).withColumn("_n", F.element_at("_taken", F.col("_copy"))).where("_n > 0")
+    return mixed.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*COLUMNS)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
