@@ -2,7 +2,8 @@
 
 Method: a text's terms (words and the first letters of words, which carry over to inflected forms) are hashed into DIM buckets; the score is
 the logistic function of w0 + sum w_i x_i + sum_{i<j} <v_i, v_j> x_i x_j (Rendle, 2010), with x_i = 1 for the terms that occur, scaled
-by one over the root of their number in the pairwise part. The factors learn pairs that say more together than apart. The
+by one over the root of their number in the pairwise part. The factors have a rate and a weak penalty of their own, so that they learn
+pairs that say more together than apart, which no linear weights can tell. The
 machine is fitted on a bounded sample of labelled rows (MAX_ROWS, by hash of the id; rows of the held-out fold never enter), in one task,
 from hashed terms alone; scoring goes over every whole text, where it is read.
 """
@@ -21,8 +22,11 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 #: Buckets of the hashed terms, factors a term, and the bound on the labelled rows of the fit.
-DIM, FACTORS, MAX_ROWS = 1 << 17, 4, 24_000
-EPOCHS, RATE, PENALTY, BATCH, TOXIC_WEIGHT, SEED = 6, 0.05, 1.0, 64, 4.0, 5
+DIM, FACTORS, MAX_ROWS = 1 << 17, 8, 24_000
+#: Passes over the sample, and steps at least (small samples are passed over more often), rows a step.
+EPOCHS, STEPS, BATCH, TOXIC_WEIGHT, SEED = 5, 900, 64, 4.0, 5
+#: Rate and penalty of the linear weights, and of the factors, which begin at random with this spread.
+RATE, PENALTY, PAIR_RATE, PAIR_PENALTY, PAIR_START = 0.05, 1.0, 0.2, 0.05, 0.1
 #: A term counts from so many rows of the sample on (small samples: a 300th of the rows).
 MIN_SEEN = 20
 STEMS = (4, 6)
@@ -76,10 +80,10 @@ def _descend(rows: list[np.ndarray], labels: np.ndarray, seed: int) -> tuple[np.
     scale /= max(scale.max(), 1e-9)
     scale[seen < max(2, min(MIN_SEEN, len(rows) // 300))] = 0  # and those of a few rows nothing: they would be learned by heart
     rows = [r[scale[r] > 0] for r in rows]
-    w, v, w0 = np.zeros(DIM), rng.standard_normal((DIM, FACTORS)) * 0.01, -2.0
+    w, v, w0 = np.zeros(DIM), rng.standard_normal((DIM, FACTORS)) * PAIR_START, -2.0
     gw, gv, g0 = np.full(DIM, 1e-4), np.full((DIM, FACTORS), 1e-4), 1e-2
     weight = np.where(labels == 1, TOXIC_WEIGHT, 1.0)
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, -(-STEPS * BATCH // max(1, len(rows))))):
         order = rng.permutation(len(rows))
         for at in range(0, len(order), BATCH):
             own = order[at : at + BATCH]
@@ -98,9 +102,10 @@ def _descend(rows: list[np.ndarray], labels: np.ndarray, seed: int) -> tuple[np.
             gw[u] += dw * dw
             w[u] -= RATE * dw / np.sqrt(gw[u])
             d = (g * norm)[seg][:, None] * x[:, None] * (total[seg] - s)
-            dv = np.stack([np.bincount(inv, d[:, c], minlength=len(u)) for c in range(FACTORS)], 1) + PENALTY * v[u]
+            dv = np.stack([np.bincount(inv, d[:, c], minlength=len(u)) for c in range(FACTORS)], 1) + PAIR_PENALTY * v[u]
             gv[u] += dv * dv
-            v[u] -= 0.1 * RATE * dv / np.sqrt(gv[u])
+            v[u] -= PAIR_RATE * dv / np.sqrt(gv[u])
+    w[scale == 0], v[scale == 0] = 0, 0
     return np.array([w0]), w * scale, v * scale[:, None]
 
 
@@ -110,12 +115,14 @@ def margins(model: tuple[np.ndarray, np.ndarray, np.ndarray], rows: list[np.ndar
     if not rows:
         return np.zeros(0)
     n = np.array([len(r) for r in rows], np.int64)
-    flat = np.concatenate(rows).astype(np.int64)
-    at = np.concatenate([[0], np.cumsum(n)])
-    add = lambda a: np.diff(np.concatenate([np.zeros((1, a.shape[1])), np.cumsum(a, axis=0, dtype=np.float64)])[at], axis=0)
-    first = add(w[flat][:, None])[:, 0]
-    f = v[flat].astype(np.float64)
-    pair = (add(f) ** 2 - add(f * f)).sum(axis=1) * 0.5 / np.maximum(1.0, np.sqrt(n))
+    some = np.flatnonzero(n)
+    first, pair = np.zeros(len(rows)), np.zeros(len(rows))
+    if len(some):
+        flat = np.concatenate(rows).astype(np.int64)
+        at = (np.cumsum(n) - n)[some]
+        f = v[flat].astype(np.float64)
+        first[some] = np.add.reduceat(w[flat].astype(np.float64), at)
+        pair[some] = (np.add.reduceat(f, at) ** 2 - np.add.reduceat(f * f, at)).sum(axis=1) * 0.5 / np.sqrt(n[some])
     return float(w0[0]) + first + pair
 
 
@@ -132,7 +139,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, s
     """One row (w0, w, v binary): the machine fitted on at most max_rows labelled rows outside the held-out fold.
 
     Labels that are null, and documents without a label, don't take part; a document with several labels is taken with each. The
-    sample is the rows of the smallest hash of the id, the toxic ones (up to half of max_rows) and the others by themselves.
+    sample is the labels of the smallest hash of the id, the toxic ones (up to half of max_rows) and the others by themselves; of
+    documents that repeat their ids so often that more than max_rows texts come of it, those of the smallest hash.
     """
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).where(~held_out(F.col("doc_id"))).select("doc_id", (F.col("toxic") > 0).cast("int").alias("y"))
     by_hash = [F.xxhash64("doc_id", F.lit(seed)), F.col("doc_id")]
@@ -152,20 +160,20 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, s
         w0, w, v = fit([np.frombuffer(t, np.int32) for _, _, t in got], np.array([y for _, y, _ in got], np.int64), seed) if got else (np.zeros(1, np.float32), np.zeros(DIM, np.float32), np.zeros((DIM, FACTORS), np.float32))
         yield pa.RecordBatch.from_arrays([pa.array([x.astype(np.float32).tobytes()], pa.binary()) for x in (w0, w, v)], ["w0", "w", "v"])
 
-    return sample.repartition(1).mapInArrow(learn, "w0 binary, w binary, v binary")
+    return sample.orderBy(F.xxhash64("doc_id", "terms", F.lit(seed)), "doc_id", "y").limit(max_rows).repartition(1).mapInArrow(learn, "w0 binary, w binary, v binary")
 
 
 def score_toxicity(docs: DataFrame, model: DataFrame) -> DataFrame:
-    """(doc_id, score, predicted) of every row of docs; null and empty texts get the machine's constant. The model's size is fixed (3 MB)."""
+    """(doc_id, score, predicted) of every row of docs; null and empty texts get the machine's constant. The model's size is fixed (5 MB)."""
     row = model.first()
     parts = [np.frombuffer(x, np.float32) for x in (row or (b"\0\0\0\0", bytes(4 * DIM), bytes(4 * DIM * FACTORS)))]
     shared = docs.sparkSession.sparkContext.broadcast((parts[0], parts[1], parts[2].reshape(DIM, FACTORS)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                p = scores(shared.value, [terms(t) for t in batch.column(1)[at : at + 1000].to_pylist()])
-                yield pa.RecordBatch.from_arrays([batch.column(0)[at : at + 1000], pa.array(p), pa.array((p >= 0.5).astype(np.int32))], ["doc_id", "score", "predicted"])
+            for at in range(0, batch.num_rows, 250):
+                p = scores(shared.value, [terms(t) for t in batch.column(1)[at : at + 250].to_pylist()])
+                yield pa.RecordBatch.from_arrays([batch.column(0)[at : at + 250], pa.array(p), pa.array((p >= 0.5).astype(np.int32))], ["doc_id", "score", "predicted"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double, predicted int")
 
