@@ -1,9 +1,15 @@
 """Near duplicates among embeddings, exact.
 
-Method: spherical k-means (fitted on a bounded sample, by hash of the id) assigns every vector to the cell of its nearest centroid; cosine
-products are compared in blocks within cells; one vector of each group is kept. So that no pair is lost at the border
-of two cells, a vector also visits the cells that may hold a partner: x in the cell of c has <x, c> >= <x, c'>, and a y
-within the angle a of x lies at most sin(a) beyond that border, so y visits c unless <y, c' - c> > sin(a) |c' - c| for its own c'.
+Method: spherical k-means assigns every vector to a cell, at every size of the input: the number of cells follows the vectors of the
+largest label, and centroids stand in two levels (a cell is a part of a part), fitted on a bounded sample by hash of the id. Cosine
+products are compared in blocks within cells; one vector of each group is kept. So that no pair is lost at the border of two
+cells, a vector also visits the cells that may hold a partner. With a the angle of the threshold, y visits the cell of c unless
+
+* a plane shuts it off: x of that cell has <x, c> >= <x, c'> for every c' of its level, so a partner y within the angle a has
+  <y, c' - c> <= sin(a) |c' - c|; this is tried with the centroids nearest to y;
+* the cell's reach does: its members lie between two angles around c (taken from the assigned vectors), so y lies no more than a
+  beyond them.
+
 A vector counts its partners among the members and visitors of its own cell: each partner once. Equal vectors are compared
 once and counted by their number, so a large group of copies costs one row.
 """
@@ -20,8 +26,10 @@ from pyspark.sql import functions as F
 from .common import map_groups, materialize
 from .graph import connected_components
 
-#: Vectors that k-means is fitted on, cells at most, vectors a cell (about) and a block.
-SAMPLE, MAX_CELLS, CELL_ROWS, BLOCK_ROWS = 8_192, 512, 8_192, 1_024
+#: Vectors that k-means is fitted on at least and at most, cells at most, vectors a cell (about) and a block.
+SAMPLE, MAX_SAMPLE, MAX_CELLS, CELL_ROWS, BLOCK_ROWS = 8_192, 65_536, 4_096, 1_024, 1_024
+#: Nearest centroids whose planes are tried.
+PLANES = 8
 ROUNDS, SEED = 8, 3
 
 
@@ -38,28 +46,67 @@ def kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS, seed: int = SEED) -> np.
     return c
 
 
-def unit(rows: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Arrow lists -> (unit vectors in double precision of the good rows, their places). Not good: null, of another length than most, with null or non-finite values, zero."""
-    values = rows.to_pylist()
-    length = {}
-    for v in values:
-        if v:
-            length[len(v)] = length.get(len(v), 0) + 1
-    if not length:
-        return np.zeros((0, 0)), np.zeros(0, np.int64)
-    good, at = [], []
-    for k, v in enumerate(values):
-        if v and None not in v:
-            a = np.array(v, np.float64)
-            if np.isfinite(a).all() and (a != 0).any():
-                good.append(a)
-                at.append(k)
-    dims = {len(a) for a in good}
-    if len(dims) > 1:
-        raise ValueError(f"embeddings of different lengths: {sorted(dims)}")
-    x = np.array(good).reshape(len(good), -1)
-    x = x / np.abs(x).max(axis=1, keepdims=True) if len(x) else x
-    return (x / np.linalg.norm(x, axis=1, keepdims=True) if len(x) else x), np.array(at, np.int64)
+def unit(raw: np.ndarray) -> np.ndarray:
+    """Rows in double precision, of length one."""
+    x = raw.astype(np.float64)
+    x /= np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def by_dim(rows: pa.Array, dtype: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Lists without nulls -> for each length that occurs: the length, the places of its rows, and these as a matrix."""
+    flat, dims = rows.flatten().to_numpy().astype(dtype, copy=False), np.diff(rows.offsets.to_numpy())
+    begin = np.cumsum(dims) - dims
+    for d in np.unique(dims):
+        at = np.flatnonzero(dims == d)
+        yield int(d), at, flat[begin[at][:, None] + np.arange(d)]
+
+
+class Cells:
+    """Centroids of one length of vectors in two levels, and the angles between which each cell's members lie."""
+
+    def __init__(self, sample: np.ndarray, cells: int):
+        x = unit(sample)
+        self.top = kmeans(x, int(np.ceil(np.sqrt(cells))))
+        own = (x @ self.top.T).argmax(axis=1)
+        self.wide = -(-cells // len(self.top))
+        self.sub = [kmeans(x[own == i], self.wide, seed=SEED + 1 + i) if (own == i).any() else self.top[i : i + 1] for i in range(len(self.top))]
+        self.low, self.high = np.zeros(len(self.top) * self.wide), np.full(len(self.top) * self.wide, np.pi)
+
+    def assign(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(cell, angle to its centroid) of unit vectors."""
+        own = (x @ self.top.T).argmax(axis=1)
+        cell, angle = np.zeros(len(x), np.int64), np.zeros(len(x))
+        for i in np.unique(own):
+            k = np.flatnonzero(own == i)
+            dots = x[k] @ self.sub[i].T
+            cell[k], angle[k] = i * self.wide + dots.argmax(axis=1), np.arccos(np.clip(dots.max(axis=1), -1, 1))
+        return cell, angle
+
+    def visits(self, x: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
+        """(place in x, cell): all cells that may hold a vector within the angle `reach`."""
+        places, cells = [], []
+        near = _open(x @ self.top.T, self.top, reach)
+        for i in np.flatnonzero(near.any(axis=0)):
+            k = np.flatnonzero(near[:, i])
+            dots = x[k] @ self.sub[i].T
+            angle = np.arccos(np.clip(dots, -1, 1))
+            ring = slice(i * self.wide, i * self.wide + len(self.sub[i]))
+            may = _open(dots, self.sub[i], reach) & (angle <= self.high[ring] + reach + 1e-6) & (angle >= self.low[ring] - reach - 1e-6)
+            at, j = np.nonzero(may)
+            places.append(k[at])
+            cells.append(i * self.wide + j)
+        return (np.concatenate(places), np.concatenate(cells)) if places else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def _open(dots: np.ndarray, c: np.ndarray, reach: float) -> np.ndarray:
+    """Which cells of one level no plane shuts off from which vectors."""
+    apart = np.linalg.norm(c[:, None, :] - c[None, :, :], axis=2)
+    apart[apart == 0] = np.inf
+    beyond = np.zeros(dots.shape)
+    for t in np.argsort(-dots, axis=1)[:, :PLANES].T:
+        beyond = np.maximum(beyond, (dots[np.arange(len(dots)), t][:, None] - dots) / apart[t])
+    return beyond <= np.sin(reach) + 1e-9
 
 
 def _good(col: str = "embedding"):
@@ -69,11 +116,11 @@ def _good(col: str = "embedding"):
     return e.isNotNull() & (F.size(e) > 0) & finite & F.exists(e, lambda x: x != 0)
 
 
-def _join_block(table: pa.Table, threshold: float) -> pa.RecordBatch | None:
+def _join_block(table: pa.Table, threshold: float, dtype: str) -> pa.RecordBatch | None:
     """Links of one block of members (side 0) with one block of candidates (side 1): a row per member with links, and the edges of a forest."""
     side = table["side"].to_numpy()
     ids, n = table["vec_id"].to_numpy(), table["n"].to_numpy()
-    x = np.frombuffer(b"".join(table["unit"].to_pylist()), np.float64).reshape(len(ids), -1)
+    x = unit(np.frombuffer(b"".join(table["raw"].to_pylist()), dtype).reshape(len(ids), -1))
     home, cand = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
     if not len(home) or not len(cand):
         return None
@@ -109,65 +156,66 @@ def _join_block(table: pa.Table, threshold: float) -> pa.RecordBatch | None:
 def link_embeddings(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec_id", label_col: str | None = "label") -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row.
 
-    Only vectors of equal labels that aren't null are compared (label_col None: all with all); those that are null, empty, zero
-    or hold null or non-finite values link with nothing, with 0 links and their own component. All good vectors must be of
-    one length. kept: the vector has the smallest id of its component. Rows that repeat an id are vectors of their own that share a component.
+    Only vectors of equal labels that aren't null are compared (label_col None: all with all), and of these only such of one length; those
+    that are null, empty, zero or hold null or non-finite values link with nothing, with 0 links and their own component. kept: the
+    vector has the smallest id of its component. Rows that repeat an id are vectors of their own that share a component.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), "embedding", (F.col(label_col) if label_col else F.lit(0)).alias("label"))
-    good = rows.where(_good() & F.col("label").isNotNull() & F.col("vec_id").isNotNull())
+    spark, dtype = vectors.sparkSession, "float32" if rows.schema["embedding"].dataType.elementType.typeName() == "float" else "float64"
+    good = _good() & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
+    code = [F.xxhash64("embedding").alias("h1"), F.xxhash64(F.lit(SEED), "embedding").alias("h2")]  # stand for a vector in joins
     # equal vectors: one row with their number
-    same = materialize(good.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")))
-    per = same.groupBy("label").agg(F.count("*").alias("rows"))
-    most = per.agg(F.max("rows")).first()[0] or 0
-    cells = int(min(MAX_CELLS, max(1, -(-most // CELL_ROWS))))
-    spark = vectors.sparkSession
-    if cells > 1:
-        sample = same.orderBy(F.xxhash64("rep", F.lit(SEED)), "rep").limit(SAMPLE).select("embedding").toArrow()
-        centroids = kmeans(unit(sample["embedding"].combine_chunks())[0], cells)
-    else:
-        centroids = None
-    shared = spark.sparkContext.broadcast(centroids)  # at most MAX_CELLS rows
-    beyond = float(np.sqrt(max(0.0, 1 - threshold * threshold))) + 1e-9
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = shared.value
+    same = materialize(rows.where(good).groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")).select("label", "embedding", "rep", "n", *code))
+    most = same.groupBy("label").count().agg(F.max("count")).first()[0] or 0
+    cells = int(min(MAX_CELLS, max(2, -(-most // CELL_ROWS))))
+    sample = same.orderBy(F.xxhash64("rep", F.lit(SEED)), "rep").limit(min(MAX_SAMPLE, max(SAMPLE, 16 * cells))).select("embedding").toArrow()["embedding"].combine_chunks()
+    known = {d: Cells(x, cells) for d, _, x in by_dim(sample, dtype)}  # MAX_CELLS centroids a length
+    shared = spark.sparkContext.broadcast(known)
+    reach = float(np.arccos(min(1.0, threshold)))
+    kind = same.schema["label"].dataType.simpleString()
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, at = unit(batch.column(3))
-            if not len(at):
-                continue
-            if c is None:
-                row, cell, own = np.arange(len(x)), np.zeros(len(x), np.int64), np.ones(len(x), bool)
-            else:
-                dots = x @ c.T
-                mine = dots.argmax(axis=1)
-                apart = np.linalg.norm(c[:, None, :] - c[None, :, :], axis=2)
-                visit = dots[np.arange(len(x)), mine][:, None] - dots <= beyond * apart[mine]
-                row, cell = np.nonzero(visit)
-                own = cell == mine[row]
-            ids, n, label = (batch.column(k).take(pa.array(at)) for k in range(3))
-            data = [x[k].tobytes() for k in range(len(x))]
-            take = pa.array(row)
-            yield pa.RecordBatch.from_arrays([label.take(take), pa.array(cell, pa.int32()), pa.array(own), ids.take(take), n.take(take), pa.array(data, pa.binary()).take(take)], ["label", "cell", "own", "vec_id", "n", "unit"])
+            for d, at, x in by_dim(batch.column(3), dtype):
+                cell, angle = shared.value[d].assign(unit(x)) if d in shared.value else (np.zeros(len(x), np.int64), np.zeros(len(x)))
+                take = pa.array(at)
+                yield pa.RecordBatch.from_arrays([*(batch.column(k).take(take) for k in range(3)), pa.array([v.tobytes() for v in x], pa.binary()), pa.array(np.full(len(x), d, np.int32)), pa.array(cell, pa.int32()), pa.array(angle)], ["vec_id", "n", "label", "raw", "dim", "cell", "angle"])
 
-    kind = same.schema["label"].dataType.simpleString()
-    dealt = same.select(F.col("rep").alias("vec_id"), "n", "label", "embedding").mapInArrow(deal, f"label {kind}, cell int, own boolean, vec_id long, n long, unit binary")
-    dealt = materialize(dealt.withColumn("key", F.xxhash64("label", "cell")))
+    assigned = materialize(same.select(F.col("rep").alias("vec_id"), "n", "label", "embedding").mapInArrow(assign, f"vec_id long, n long, label {kind}, raw binary, dim int, cell int, angle double"))
+    for r in assigned.where(F.col("dim").isin(list(known))).groupBy("dim", "cell").agg(F.min("angle").alias("low"), F.max("angle").alias("high")).collect():  # a row per cell
+        known[r.dim].low[r.cell], known[r.dim].high[r.cell] = r.low, r.high
+    ringed = spark.sparkContext.broadcast(known)
+
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dims, own = batch.column(4).to_numpy(), batch.column(5).to_numpy()
+            for d in np.unique(dims):
+                at = np.flatnonzero(dims == d)
+                place, cell = np.arange(len(at)), own[at].astype(np.int64)
+                if d in ringed.value:
+                    x = unit(np.frombuffer(b"".join(batch.column(3).take(pa.array(at)).to_pylist()), dtype).reshape(len(at), -1))
+                    place, cell = ringed.value[d].visits(x, reach)
+                take = pa.array(at[place])
+                yield pa.RecordBatch.from_arrays([*(batch.column(k).take(take) for k in range(5)), pa.array(cell, pa.int32()), pa.array(cell == own[at[place]])], ["vec_id", "n", "label", "raw", "dim", "cell", "own"])
+
+    dealt = assigned.mapInArrow(visit, f"vec_id long, n long, label {kind}, raw binary, dim int, cell int, own boolean")
+    # the key is a hash of label, length and cell: a collision would only bring strangers together, so the label's and the length are compared too
+    dealt = materialize(dealt.withColumn("key", F.xxhash64("label", "dim", "cell")).withColumn("label_hash", F.xxhash64("label", "dim")).drop("label", "cell"))
     size = dealt.groupBy("key").agg(F.ceil(F.count_if("own") / BLOCK_ROWS).cast("int").alias("homes"), F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("cands"))
     placed = dealt.join(size, "key").withColumn("h", F.xxhash64("vec_id", F.lit(7)))
-    wide = ["key", "label", "cell", "vec_id", "n", "unit"]
+    wide = ["key", "label_hash", "vec_id", "n", "raw"]
     as_home = placed.where("own").select(*wide, F.pmod("h", "homes").cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("cands") - 1)).alias("j"), F.lit(0).alias("side"))
     as_cand = placed.where("homes > 0").select(*wide, F.explode(F.sequence(F.lit(0), F.col("homes") - 1)).alias("i"), F.pmod("h", "cands").cast("int").alias("j"), F.lit(1).alias("side"))
-    # the key is a hash of (label, cell): a collision would only bring vectors of two labels together, so labels are compared too
-    code = F.xxhash64("label").alias("label_hash")
-    both = as_home.unionByName(as_cand).select("key", code, "i", "j", "side", "vec_id", "n", "unit")
-    found = materialize(map_groups(both, ["key", "label_hash", "i", "j"], lambda t: _join_block(t, threshold), "vec_id long, links long, dst long"))
-    links = found.where("dst IS NULL").groupBy("vec_id").agg(F.sum("links").alias("links"))
-    edges = found.where("dst IS NOT NULL").select(F.col("vec_id").alias("src"), "dst")
-    parts = connected_components(edges)
-    reps = same.select("label", "embedding", F.col("rep"), F.col("n")).join(links.withColumnRenamed("vec_id", "rep"), "rep", "left").join(parts.withColumnRenamed("node", "rep"), "rep", "left")
-    reps = materialize(reps.select("label", "embedding", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"), F.coalesce("component", "rep").alias("component")))
-    g = good.select("vec_id", "label", "embedding").join(reps, ["label", "embedding"]).select("vec_id", F.col("links").alias("n_links"), F.col("component").alias("component_id"))
-    alone = rows.where(~F.coalesce(_good() & F.col("label").isNotNull() & F.col("vec_id").isNotNull(), F.lit(False))).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    both = as_home.unionByName(as_cand).select("key", "label_hash", "i", "j", "side", "vec_id", "n", "raw")
+    found = materialize(map_groups(both, ["key", "label_hash", "i", "j"], lambda t: _join_block(t, threshold, dtype), "vec_id long, links long, dst long"))
+    links = found.where("dst IS NULL").groupBy("vec_id").agg(F.sum("links").alias("links")).withColumnRenamed("vec_id", "rep")
+    parts = connected_components(found.where("dst IS NOT NULL").select(F.col("vec_id").alias("src"), "dst")).withColumnRenamed("node", "rep")
+    reps = same.select("label", "h1", "h2", "rep", "n").join(links, "rep", "left").join(parts, "rep", "left")
+    # written by itself, so that a large group of copies is split in the join; vectors aren't keys, their hashes are
+    reps = materialize(reps.select(F.col("label").alias("_l"), F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id")))
+    mine = rows.where(good).select("vec_id", "label", *code)
+    g = mine.join(reps, (F.col("label") == F.col("_l")) & (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2"))).select("vec_id", "n_links", "component_id")
+    alone = rows.where(~F.coalesce(good, F.lit(False))).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return g.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
 
 
