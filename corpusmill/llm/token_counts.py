@@ -8,9 +8,12 @@ Method. The vocabulary (BPE with word ends) is compiled, state by state as texts
 * a transition reads one byte (or the last byte of a word) and is annotated with the change of the token count, so the
   sum over a word's transitions is its token count. White space and other word ends lead back to the first state.
 
-All words of a batch step through the transition table together (NumPy). A text is cut into chunks; a chunk's state map is a
-constant from its first white space on, so it is kept as (head before it, count between, tail after the last one), and the maps
-of a text compose by an associative operation, in order, whichever task made them (a parallel prefix scan).
+All words of a batch step through the transition table together (NumPy). A longer text is first turned into its stream of symbols (normalised
+once, words cut by classes, blanks left out), which is cut into chunks. Any task makes a chunk's state map: which state and what count it
+leads to from the state that it is entered in. After a word's last byte the state is the first one, whatever it was before, so a map is
+the transitions up to there (its head, run from the state that comes in) and a constant behind: a count and the state at the end of the
+chunk. Maps compose associatively, (state -> state, count) after (state -> state, count), so the maps of a text are scanned in order, in a
+stream that holds one state, whichever tasks made them; only heads are run there, so the scan's work is a word a chunk.
 """
 
 from __future__ import annotations
@@ -28,8 +31,8 @@ from .tokens import default_path
 
 #: States that a compiled transducer holds before it is compiled anew (bounds the memory of a worker).
 MAX_STATES = 120_000
-#: Characters of a chunk.
-CHUNK_CHARS = 1 << 18
+#: Symbols of a chunk (and characters from which a text is cut into chunks), characters taken through NumPy at once.
+CHUNK_CHARS, SLICE_CHARS = 1 << 13, 1 << 20
 _loaded: dict[str, Transducer] = {}
 
 #: White space of the tokenizer's patterns (the Unicode property), fixed values.
@@ -174,25 +177,76 @@ class Transducer:
         out[order] = count
         return out
 
+    def walk(self, state: int, symbols: np.ndarray) -> tuple[int, int]:
+        """(state, count) after the symbols, one after the other, from any state."""
+        count = 0
+        for symbol, column in zip(symbols.tolist(), self.columns(symbols).tolist()):
+            if self.next[state, column] < 0:
+                self.step(state, symbol)
+            count += int(self.emit[state, column])
+            state = int(self.next[state, column])
+        return state, count
+
+    def name_of(self, state: int) -> bytes:
+        """What a state is in any process: its items."""
+        return json.dumps(self.states[state]).encode()
+
+    def state_of(self, name: bytes) -> int:
+        """The number of a named state in this process."""
+        if len(self.states) > MAX_STATES:
+            self.clear()
+        items = tuple((node, tuple(before), fewer) for node, before, fewer in json.loads(name))
+        state = self.number.get(items)
+        if state is None:
+            state = self.number[items] = len(self.states)
+            self.states.append(items)
+            if state == len(self.next):
+                self._grow(min(state, 1 << 14), 0)
+        return state
+
+    def pieces(self, text: str) -> list[str]:
+        """The text between special strings, normalised; each special string is a token of its own."""
+        parts = [text]
+        for s in self.special:
+            if s in text:
+                parts = [x for p in parts for x in p.split(s)]
+        return [normalized(p) for p in parts]
+
+    def stream(self, text: str) -> tuple[int, np.ndarray]:
+        """(number of special strings, symbols of all words in order) of a text of any length."""
+        parts, out = self.pieces(text), []
+        for p in parts:
+            at = 0
+            while at < len(p):
+                cut = _last_blank(p, at, at + SLICE_CHARS)
+                symbols, inside, *_ = self._symbols([p[at:cut]])
+                out.append(symbols[inside].astype(np.int16))
+                at = cut
+        return len(parts) - 1, np.concatenate([*out, np.zeros(0, np.int16)])
+
     def count(self, texts: list[str]) -> np.ndarray:
         """Tokens of each text, special strings inside counted as the tokens that they are."""
         pieces, owner, extra = [], [], np.zeros(len(texts), np.int64)
         for k, t in enumerate(texts):
-            parts = [t]
-            for s in self.special:
-                if s in t:
-                    parts = [x for p in parts for x in p.split(s)]
+            parts = self.pieces(t)
             extra[k] = len(parts) - 1
-            for p in parts:
-                pieces.append(normalized(p))
-                owner.append(k)
+            pieces += parts
+            owner += [k] * len(parts)
         out = extra
         if pieces:
             np.add.at(out, np.array(owner), self._words(pieces))
         return out
 
     def _words(self, pieces: list[str]) -> np.ndarray:
-        """Token counts of normalised pieces: cut into words by classes, into symbols by UTF-8, and run through the table."""
+        """Token counts of normalised pieces, all run through the table at once."""
+        symbols, _, start, length, place = self._symbols(pieces)
+        per = np.zeros(len(pieces), np.int64)
+        if len(start):
+            np.add.at(per, place, self.run(symbols, start, length))
+        return per
+
+    def _symbols(self, pieces: list[str]) -> tuple[np.ndarray, ...]:
+        """(symbols, which of them stand in words, start and length of each word, its piece) of normalised pieces: cut into words by classes, into symbols by UTF-8."""
         joined = " ".join(pieces) + " "
         points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
         ends = np.cumsum(np.array([len(p) + 1 for p in pieces], np.int64))
@@ -215,19 +269,16 @@ class Transducer:
         raw = np.frombuffer(joined.encode("utf-8", "surrogatepass"), np.uint8)
         wide = 1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF)
         byte_at = np.cumsum(wide) - wide
+        symbols, inside = raw.astype(np.int32), np.repeat(kind != BLANK, wide)
         first = np.flatnonzero(begins)
         if not len(first):
-            return np.zeros(len(pieces), np.int64)
+            return symbols, inside, first, first, first
         # a word ends before the next begin or the next blank
         stop = np.flatnonzero(begins | (kind == BLANK))
         end = np.append(stop, len(points) - 1)[np.searchsorted(stop, first, side="right")]
         start, finish = byte_at[first], byte_at[end]
-        symbols = raw.astype(np.int32)
         symbols[finish - 1] += 256
-        counts = self.run(symbols, start, finish - start)
-        per = np.zeros(len(pieces) + 1, np.int64)
-        np.add.at(per, np.searchsorted(ends, first, side="right"), counts)
-        return per[:-1]
+        return symbols, inside, start, finish - start, np.searchsorted(ends, first, side="right")
 
 
 _table: list[np.ndarray] = []
@@ -258,31 +309,62 @@ def load(path: str) -> Transducer:
     return _loaded[path]
 
 
-def chunk_map(counter: Transducer, text: str) -> tuple[str, int, str, bool]:
-    """(head, count, tail, open) of a chunk: what stands before the first blank, the tokens between, what stands after the last blank; open: no blank at all."""
-    first = next((k for k, c in enumerate(text) if c in SPACE), -1)
-    if first < 0:
-        return text, 0, "", True
-    last = max(text.rfind(c) for c in SPACE)
-    return text[:first], int(counter.count([text[first : last + 1]])[0]), text[last + 1 :], False
-
-
-def compose(counter: Transducer, a: tuple[str, int, str, bool], b: tuple[str, int, str, bool]) -> tuple[str, int, str, bool]:
+def _last_blank(text: str, at: int, end: int) -> int:
+    """A cut behind a blank, at `end` or before it; without a blank in between, behind the next one or at the end of the text."""
+    if end >= len(text):
+        return len(text)
+    last = max(text.rfind(c, at, end) for c in SPACE)
+    if last < 0:
+        last = next((k for k in range(end, len(text)) if text[k] in SPACE), len(text) - 1)
+    return last + 1
+
+
+#: A state map: symbols to run from the state that comes in, up to the first end of a word; then the count and the name of the state behind
+#: them (None where no word ends in the chunk: the map is its head alone).
+StateMap = tuple[np.ndarray, int, bytes | None]
+
+
+def chunk_maps(counter: Transducer, chunks: list[np.ndarray]) -> list[StateMap]:
+    """The state maps of chunks of symbols; their whole words run through the table at once."""
+    flat = np.concatenate([*chunks, np.zeros(0, np.int16)]).astype(np.int32)
+    edge = np.cumsum([0, *map(len, chunks)])
+    ends = np.flatnonzero(flat >= 256) + 1
+    at = np.searchsorted(ends, edge[:-1], side="right"), np.searchsorted(ends, edge[1:], side="right")  # ends inside each chunk
+    owner = np.repeat(np.arange(len(chunks)), at[1] - at[0])
+    whole = np.flatnonzero(owner[1:] == owner[:-1]) if len(ends) else np.zeros(0, np.int64)  # words between two ends of one chunk
+    count = np.zeros(len(chunks), np.int64)
+    if len(whole):
+        np.add.at(count, owner[whole], counter.run(flat, ends[whole], ends[whole + 1] - ends[whole]))
+    out: list[StateMap] = []
+    for k, chunk in enumerate(chunks):
+        if at[0][k] == at[1][k]:
+            out.append((chunk, 0, None))
+            continue
+        head, tail = ends[at[0][k]] - edge[k], ends[at[1][k] - 1] - edge[k]
+        state, n = counter.walk(0, chunk[tail:].astype(np.int64))
+        out.append((chunk[:head], int(count[k]) + n, counter.name_of(state)))
+    return out
+
+
+def enter(counter: Transducer, state: bytes, m: StateMap) -> tuple[bytes, int]:
+    """(state, count) behind a chunk that is entered in `state`."""
+    to, n = counter.walk(counter.state_of(state), m[0].astype(np.int64))
+    return (counter.name_of(to), n) if m[2] is None else (m[2], n + m[1])
+
+
+def compose(counter: Transducer, a: StateMap, b: StateMap) -> StateMap:
     """The map of two chunks, one after the other (associative)."""
-    if a[3] and b[3]:
-        return a[0] + b[0], 0, "", True
-    if a[3]:
-        return a[0] + b[0], b[1], b[2], False
-    if b[3]:
-        return a[0], a[1], a[2] + b[0], False
-    return a[0], a[1] + int(counter.count([a[2] + b[0]])[0]) + b[1], b[2], False
+    if a[2] is None:
+        return np.concatenate([a[0], b[0]]), b[1], b[2]
+    state, n = enter(counter, a[2], b)
+    return a[0], a[1] + n, state
 
 
 def count_tokens(docs: DataFrame, path: str | None = None, limit: int = 2048, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
     """docs' doc_id with n_bytes, n_tokens and over_limit (n_tokens > limit).
 
-    Null texts count as empty. Texts up to chunk_chars are counted where they are read; longer ones are cut into chunks, whose maps
-    any tasks make and which are then composed in order. Each row of docs gives a row, repeated ids too; null ids stay.
+    Null texts count as empty. Texts up to chunk_chars are counted where they are read; the symbols of longer ones are cut into chunks
+    of that many, whose state maps any tasks make and which are then scanned in order. Each row of docs gives a row, repeated ids too; null ids stay.
     """
     path = path or default_path("word_bpe_49k.json")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
@@ -300,34 +382,55 @@ def count_tokens(docs: DataFrame, path: str | None = None, limit: int = 2048, ch
                 yield pa.RecordBatch.from_arrays([batch.column(0)[at:end], batch.column(1)[at:end], pa.array(n)], ["doc_id", "n_bytes", "n_tokens"])
                 at = end
 
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = load(path)
+        for batch in batches:
+            for r in range(batch.num_rows):
+                extra, symbols = counter.stream(batch.column(3)[r].as_py())
+                for a in range(0, max(1, len(symbols)), chunk_chars * 64):
+                    chunks = [symbols[b : b + chunk_chars].tobytes() for b in range(a, min(a + chunk_chars * 64, len(symbols)), chunk_chars)] or [b""]
+                    at = pa.array(np.full(len(chunks), r))
+                    k = np.arange(len(chunks)) + a // chunk_chars
+                    yield pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in range(3)), pa.array(k.astype(np.int32)), pa.array(np.where(k == 0, extra, 0)), pa.array(chunks, pa.binary())], ["row", "doc_id", "n_bytes", "k", "extra", "symbols"])
+
     def maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = load(path)
         for batch in batches:
-            m = [chunk_map(counter, t) for t in batch.column("part").to_pylist()]
-            head, count, tail, is_open = zip(*m) if m else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), batch.column("n_bytes"), batch.column("k"), pa.array(head, pa.string()), pa.array(count, pa.int64()), pa.array(tail, pa.string()), pa.array(is_open, pa.bool_())], ["row", "doc_id", "n_bytes", "k", "head", "count", "tail", "open"])
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                head, count, state = zip(*chunk_maps(counter, [np.frombuffer(x, np.int16) for x in part.column(5).to_pylist()]))
+                count = pa.array(np.array(count, np.int64) + part.column(4).to_numpy())
+                yield pa.RecordBatch.from_arrays([*part.columns[:4], pa.array([h.tobytes() for h in head], pa.binary()), count, pa.array(state, pa.binary())], ["row", "doc_id", "n_bytes", "k", "head", "count", "state"])
 
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = load(path)
+        first = counter.name_of(0)
+        row, held, state, total = None, None, first, 0
         for batch in batches:
-            out = []
-            for m in batch.column("maps").to_pylist():
-                parts = [(x["head"], x["count"], x["tail"], x["open"]) for x in m]
-                while len(parts) > 1:  # neighbours first, as a scan would
-                    parts = [compose(counter, *parts[k : k + 2]) if k + 1 < len(parts) else parts[k] for k in range(0, len(parts), 2)]
-                head, count, tail, _ = parts[0]
-                out.append(count + int(counter.count([head, tail]).sum()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), pa.array(out, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
+            done = []
+            for r, doc, n_bytes, _, head, count, to in zip(*(c.to_pylist() for c in batch.columns)):
+                if r != row:
+                    if held:
+                        done.append((*held, total))
+                    row, held, state, total = r, (doc, n_bytes), first, 0
+                state, n = enter(counter, state, (np.frombuffer(head, np.int16), count, to))
+                total += n + (count if to is None else 0)
+            if done:
+                yield _counted(done)
+        if held:
+            yield _counted([(*held, total)])
 
     short = rows.where(fits).select("doc_id", size.alias("n_bytes"), "text").mapInArrow(whole, "doc_id long, n_bytes long, n_tokens long")
-    long = rows.where(~fits).select(F.expr("uuid()").alias("row"), "doc_id", size.alias("n_bytes"), "text")
-    cuts = F.sequence(F.lit(0), ((F.char_length("text") - 1) / chunk_chars).cast("int"))
-    parts = long.select("row", "doc_id", "n_bytes", F.posexplode(F.transform(cuts, lambda k: F.substring(F.col("text"), k * chunk_chars + 1, F.lit(chunk_chars)))).alias("k", "part"))
-    done = parts.mapInArrow(maps, "row string, doc_id long, n_bytes long, k int, head string, count long, tail string, open boolean")
-    folded = done.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("n_bytes").alias("n_bytes"), F.array_sort(F.collect_list(F.struct("k", "head", "count", "tail", "open"))).alias("maps"))
-    longs = folded.select("doc_id", "n_bytes", "maps").mapInArrow(fold, "doc_id long, n_bytes long, n_tokens long")
+    long = rows.where(~fits).select(F.monotonically_increasing_id().alias("row"), "doc_id", size.alias("n_bytes"), "text")
+    parts = long.mapInArrow(cut, "row long, doc_id long, n_bytes long, k int, extra long, symbols binary").repartition("row", "k")
+    made = parts.mapInArrow(maps, "row long, doc_id long, n_bytes long, k int, head binary, count long, state binary")
+    longs = made.repartition("row").sortWithinPartitions("row", "k").mapInArrow(scan, "doc_id long, n_bytes long, n_tokens long")
     return short.unionByName(longs).withColumn("over_limit", F.col("n_tokens") > limit)
 
 
+def _counted(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["doc_id", "n_bytes", "n_tokens"])
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))

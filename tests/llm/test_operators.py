@@ -312,14 +312,46 @@ def test_transducer_equals_the_library():
 def test_chunk_maps_compose_in_any_grouping():
     c = token_counts.load(tokens.default_path("word_bpe_49k.json"))
     text = "some words don't fit in onechunkbecausetheyarelong and  others\tdo <|endoftext|> x"
-    m = [token_counts.chunk_map(c, text[k : k + 7]) for k in range(0, len(text), 7)]
-    left = m[0]
-    for x in m[1:]:
-        left = token_counts.compose(c, left, x)
-    right = m[-1]
-    for x in m[-2::-1]:
-        right = token_counts.compose(c, x, right)
-    assert left == right and left[1] + int(c.count([left[0], left[2]]).sum()) == int(c.count([text])[0])
+    extra, symbols = c.stream(text)
+    same = lambda a, b: a[0].tolist() == b[0].tolist() and a[1:] == b[1:]
+    for width in (1, 3, 7, 1000):
+        m = token_counts.chunk_maps(c, [symbols[k : k + width] for k in range(0, len(symbols), width)])
+        left = m[0]
+        for x in m[1:]:
+            left = token_counts.compose(c, left, x)
+        right = m[-1]
+        for x in m[-2::-1]:
+            right = token_counts.compose(c, x, right)
+        assert same(left, right)
+        state, n = token_counts.enter(c, c.name_of(0), left)
+        assert state == c.name_of(0) and n + extra == int(c.count([text])[0])
+
+
+def test_maps_lead_from_any_state(monkeypatch):
+    """A map of a chunk that begins inside a word gives what a walk over all symbols gives, also without an end of a word, and by another process's numbers."""
+    c = token_counts.load(tokens.default_path("word_bpe_49k.json"))
+    _, symbols = c.stream("internationalisation " * 3 + "x" * 300 + "aaaaaaaaabaaaaaaaab")
+    for cut in (1, 4, 9, 20, 33, 70, 200):
+        state, n = c.walk(0, symbols[:cut].astype(np.int64))
+        name = c.name_of(state)
+        want = c.walk(state, symbols[cut:].astype(np.int64))
+        want = c.name_of(want[0]), want[1]
+        c.clear()
+        assert token_counts.enter(c, name, token_counts.chunk_maps(c, [symbols[cut:]])[0]) == want
+        part = token_counts.chunk_maps(c, [symbols[cut : cut + 15]])[0]
+        middle, m = token_counts.enter(c, name, part)
+        end, k = token_counts.enter(c, middle, token_counts.chunk_maps(c, [symbols[cut + 15 :]])[0])
+        assert (end, m + k) == want
+
+
+def test_very_long_texts_in_chunks(spark, monkeypatch):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(tokens.default_path("word_bpe_49k.json"))
+    monkeypatch.setattr(token_counts, "SLICE_CHARS", 5000)
+    texts = ["abcdefghij" * 4000, "漢字かな" * 6000, "many words " * 9000 + "<|endoftext|>" * 3, " " * 20000, "É" * 9000 + "\u0301" * 9000, "1" * 9000]
+    got = rows_of(token_counts.count_tokens(documents(spark, [(i, t, "en", "s") for i, t in enumerate(texts)] + [(0, texts[0], "en", "s")])))
+    assert {i: x["n_tokens"] for i, x in got.items()} == {i: len(library.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)}
 
 
 # ---- 7 ------------------------------------------------------------------------------------------------------------------------------------------
