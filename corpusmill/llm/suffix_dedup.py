@@ -14,6 +14,8 @@ Suffixes of a whole corpus don't fit a task, so they are dealt out by content fi
    Anchors with very many different segments go another way: a hash per start, whose first occurrence a combining
    aggregation finds.
 3. Places go back to their documents, and the bytes are cut out there.
+
+A place is (doc_id, row, start); row is a hash of the text, so rows that repeat an id with other texts are texts of their own.
 """
 
 from __future__ import annotations
@@ -26,11 +28,16 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BYTE_HASH, group_starts, materialize, mix64, powers
+from .common import BYTE_HASH, group_starts, materialize, mix64, powers, row_hash
 
 SPAN, GRAM = 100, 32
 #: Bytes of one block of suffixes, of the buffer in which documents are hashed, and different segments from which an anchor goes by hashes.
 BLOCK_BYTES, BUFFER_BYTES, HOT_SEGMENTS = 4_000_000, 1_000_000, 5_000
+#: Repeated kinds of segments that a task remembers.
+COMMON_KINDS = 100_000
+KIND = np.dtype([("anchor", np.int64), ("whole", np.int64)])
+PLACE = np.dtype([("doc", np.int64), ("row", np.int32), ("start", np.int32)])
+
 
 def segments(texts: list[bytes], span: int = SPAN, gram: int = GRAM) -> tuple[np.ndarray, ...]:
     """(text number, start, length in starts, anchor hash, segment hash) of all segments of the texts."""
@@ -45,9 +52,7 @@ def segments(texts: list[bytes], span: int = SPAN, gram: int = GRAM) -> tuple[np
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(value * forward[:n], dtype=np.uint64, out=total[1:])
     h = mix64((total[gram:] - total[:-gram]) * back[: n - gram + 1])
-    low = np.uint64((1 << 24) - 1)
-    if n >> 24:
-        low = np.uint64((1 << 32) - 1)
+    low = np.uint64((1 << 32) - 1)  # the same width at every size, so that equal strings choose equal anchors in all buffers
     m = (h & ~low) | np.arange(len(h), dtype=np.uint64)
     width, window = 1, span - gram + 1
     while 2 * width <= window:
@@ -70,59 +75,109 @@ def segments(texts: list[bytes], span: int = SPAN, gram: int = GRAM) -> tuple[np
     return who, first - (ends - sizes)[who], count, anchor.view(np.int64), mix64(whole).view(np.int64)
 
 
-def _buffers(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes]]]:
+def _buffers(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, list[bytes]]]:
     for batch in batches:
-        ids, texts, held = [], [], 0
-        for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        ids, rows, texts, held = [], [], [], 0
+        for i, r, t in zip(*(batch.column(k).to_pylist() for k in range(3))):
             b = t.encode("utf-8", "surrogatepass") if t else b""
             if held and held + len(b) > BUFFER_BYTES:
-                yield ids, texts
-                ids, texts, held = [], [], 0
+                yield ids, rows, texts
+                ids, rows, texts, held = [], [], [], 0
             ids.append(i)
+            rows.append(r)
             texts.append(b)
             held += len(b)
         if ids:
-            yield ids, texts
+            yield ids, rows, texts
+
+
+class Common:
+    """The kinds of segments that repeated inside a buffer, with their first places: later buffers of the task needn't send them again. Bounded: the latest ones."""
+
+    def __init__(self):
+        self.names, self.places = np.zeros(0, KIND), np.zeros(0, PLACE)
+
+    def later(self, names: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Which rows have an earlier place known for their kind."""
+        if not len(self.names):
+            return np.zeros(len(names), bool)
+        at = np.minimum(np.searchsorted(self.names["whole"], names["whole"]), len(self.names) - 1)
+        hit = self.names[at] == names
+        out = np.zeros(len(names), bool)
+        out[hit] = _before(self.places[at[hit]], places[hit])
+        return out
+
+    def add(self, names: np.ndarray, places: np.ndarray) -> None:
+        names, places = np.concatenate([names, self.names])[:COMMON_KINDS], np.concatenate([places, self.places])[:COMMON_KINDS]
+        _, first = np.unique(names["whole"], return_index=True)  # sorted; of two with one hash the newer stays
+        self.names, self.places = names[first], places[first]
+
+
+def _before(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return (a["doc"] < b["doc"]) | (a["doc"] == b["doc"]) & ((a["row"] < b["row"]) | (a["row"] == b["row"]) & (a["start"] < b["start"]))
 
 
 def segment_rows(docs: DataFrame, span: int, gram: int) -> DataFrame:
-    """(anchor, whole, doc_id, start, n, again): a row per segment; again: the buffer has an equal one that is earlier (such rows get a key of their own)."""
+    """(anchor, whole, doc_id, row, start, n, again) of (doc_id, row, text): a row per segment; again: the task has seen an equal one that is earlier (such rows get a key of their own)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in _buffers(batches):
+        common = Common()
+        for ids, rows, texts in _buffers(batches):
             who, start, count, anchor, whole = segments(texts, span, gram)
             if len(who):
-                doc = np.array(ids, np.int64)[who]
-                order = np.lexsort((start, doc, whole, anchor))
+                place, name = np.zeros(len(who), PLACE), np.zeros(len(who), KIND)
+                place["doc"], place["row"], place["start"] = np.array(ids, np.int64)[who], np.array(rows, np.int32)[who], start
+                name["anchor"], name["whole"] = anchor, whole
+                order = np.lexsort((place["start"], place["row"], place["doc"], whole, anchor))
                 a, w = anchor[order], whole[order]
-                again = np.zeros(len(order), bool)
-                again[order[1:]] = (a[1:] == a[:-1]) & (w[1:] == w[:-1])
-                own = mix64(doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + start.astype(np.uint64)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.where(again, own, anchor)), pa.array(whole), pa.array(doc), pa.array(start.astype(np.int32)), pa.array(count.astype(np.int16)), pa.array(again)], ["anchor", "whole", "doc_id", "start", "n", "again"])
-
-    return docs.mapInArrow(run, "anchor long, whole long, doc_id long, start int, n short, again boolean")
+                same = (a[1:] == a[:-1]) & (w[1:] == w[:-1])
+                twice = same & (place[order[1:]] == place[order[:-1]])  # rows that are equal in id and text: one text
+                if twice.any():
+                    stay = np.ones(len(who), bool)
+                    stay[order[1:][twice]] = False
+                    name, place, count, anchor, whole, start = (x[stay] for x in (name, place, count, anchor, whole, start))
+                    order = np.lexsort((place["start"], place["row"], place["doc"], whole, anchor))
+                    same = (anchor[order][1:] == anchor[order][:-1]) & (whole[order][1:] == whole[order][:-1])
+                again = common.later(name, place)
+                heads = order[:-1][same & np.concatenate([[True], ~same[:-1]])]  # first places of the kinds that repeat here
+                again[order[1:][same]] = True
+                common.add(name[heads], place[heads])
+                own = mix64(place["doc"].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + start.astype(np.uint64)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.where(again, own, anchor)), pa.array(whole), pa.array(place["doc"]), pa.array(place["row"]), pa.array(place["start"]), pa.array(count.astype(np.int16)), pa.array(again)], ["anchor", "whole", "doc_id", "row", "start", "n", "again"])
+
+    return docs.mapInArrow(run, "anchor long, whole long, doc_id long, row int, start int, n short, again boolean")
 
 
 def repeated_segments(rows: DataFrame) -> DataFrame:
-    """(anchor, doc_id, start, n, first): segments whose anchor occurs again. first: the first of its kind, where kinds differ
+    """(anchor, doc_id, row, start, n, first): segments whose anchor occurs again. first: the first of its kind, where kinds differ
     (these are compared); otherwise a repeat of an earlier equal segment. Streams over sorted rows and holds no group."""
-    ordered = rows.repartition("anchor").sortWithinPartitions("anchor", "whole", "doc_id", "start")
-    names = ["anchor", "whole", "doc_id", "start", "n"]
+    ordered = rows.repartition("anchor").sortWithinPartitions("anchor", "whole", "doc_id", "row", "start")
+    names = ["anchor", "whole", "doc_id", "row", "start", "n"]
+    kept = ["anchor", "doc_id", "row", "start", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carry: dict | None = None  # the last kind's first row; of an anchor with one kind so far it may still be needed
         many = False  # the carried anchor has had several kinds, its firsts are out
+        last: dict | None = None  # the last row
         for batch in batches:
             if not batch.num_rows:
                 continue
             done = batch.column("again").to_numpy(zero_copy_only=False)
             if done.any():
                 part = batch.filter(pa.array(done))
-                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in ("anchor", "doc_id", "start", "n")), pa.array(np.zeros(part.num_rows, bool))], ["anchor", "doc_id", "start", "n", "first"])
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in kept), pa.array(np.zeros(part.num_rows, bool))], [*kept, "first"])
                 batch = batch.filter(pa.array(~done))
                 if not batch.num_rows:
                     continue
             c = {k: batch.column(k).to_numpy() for k in names}
+            twice = np.zeros(len(c["anchor"]), bool)  # the place of the row before: equal rows, one text
+            twice[1:] = np.logical_and.reduce([c[k][1:] == c[k][:-1] for k in names])
+            twice[0] = last is not None and all(c[k][0] == last[k] for k in names)
+            last = {k: c[k][-1] for k in names}
+            if twice.any():
+                c = {k: x[~twice] for k, x in c.items()}
+                if not len(c["anchor"]):
+                    continue
             ahead = 0
             if carry is not None:
                 c = {k: np.concatenate([[carry[k]], c[k]]).astype(c[k].dtype) for k in names}
@@ -141,11 +196,11 @@ def repeated_segments(rows: DataFrame) -> DataFrame:
                 first[0] = first[0] and not many
             out = first | again
             if out.any():
-                yield pa.RecordBatch.from_arrays([pa.array(c[k][out]) for k in ("anchor", "doc_id", "start", "n")] + [pa.array(first[out])], ["anchor", "doc_id", "start", "n", "first"])
-            last = np.flatnonzero(new_kind)[-1]
-            carry, many = {k: c[k][last] for k in names}, bool(several[-1])
+                yield pa.RecordBatch.from_arrays([pa.array(c[k][out]) for k in kept] + [pa.array(first[out])], [*kept, "first"])
+            newest = np.flatnonzero(new_kind)[-1]
+            carry, many = {k: c[k][newest] for k in names}, bool(several[-1])
 
-    return ordered.mapInArrow(run, "anchor long, doc_id long, start int, n short, first boolean")
+    return ordered.mapInArrow(run, "anchor long, doc_id long, row int, start int, n short, first boolean")
 
 
 def smaller_than_next(x: np.ndarray) -> np.ndarray:
@@ -272,13 +327,16 @@ def later_starts(texts: list[bytes], docs: np.ndarray, starts: np.ndarray, span:
 
 
 def compare_segments(rows: DataFrame, span: int) -> DataFrame:
-    """(anchor, doc_id, start, body) -> (doc_id, start, n = 1…): starts of strings that also start earlier, as runs."""
+    """(anchor, doc_id, row, start, body) -> (doc_id, row, start, n): starts of strings that also start earlier, as runs."""
     ordered = rows.repartition("anchor").sortWithinPartitions("anchor")
 
     def solve(held: list[pa.RecordBatch]) -> pa.RecordBatch | None:
         t = pa.Table.from_batches(held)
-        doc, pos = later_starts(t["body"].to_pylist(), t["doc_id"].to_numpy(), t["start"].to_numpy().astype(np.int64), span)
-        return _runs(doc, pos)
+        whose = np.zeros(t.num_rows, [("doc", np.int64), ("row", np.int32)])
+        whose["doc"], whose["row"] = t["doc_id"].to_numpy(), t["row"].to_numpy()
+        texts, number = np.unique(whose, return_inverse=True)  # in order of their ids
+        which, pos = later_starts(t["body"].to_pylist(), number.astype(np.int64), t["start"].to_numpy().astype(np.int64), span)
+        return _runs(texts, which, pos)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -294,35 +352,38 @@ def compare_segments(rows: DataFrame, span: int) -> DataFrame:
                         yield out
                     held, size = [], 0
                 held.append(part)
-                size += sum(len(x) for x in part.column(3).to_pylist())
+                size += sum(len(x) for x in part.column(4).to_pylist())
         if held and (out := solve(held)) is not None:
             yield out
 
-    return ordered.mapInArrow(run, "doc_id long, start int, n int")
+    return ordered.mapInArrow(run, "doc_id long, row int, start int, n int")
 
 
-def _runs(doc: np.ndarray, pos: np.ndarray) -> pa.RecordBatch | None:
-    if not len(doc):
+def _runs(texts: np.ndarray, which: np.ndarray, pos: np.ndarray) -> pa.RecordBatch | None:
+    if not len(which):
         return None
-    order = np.lexsort((pos, doc))
-    doc, pos = doc[order], pos[order]
-    new = np.concatenate([[True], (doc[1:] != doc[:-1]) | (pos[1:] > pos[:-1] + 1)])
+    order = np.lexsort((pos, which))
+    which, pos = which[order], pos[order]
+    new = np.concatenate([[True], (which[1:] != which[:-1]) | (pos[1:] > pos[:-1] + 1)])
     first = np.flatnonzero(new)
-    last = np.append(first[1:], len(doc)) - 1
-    return pa.RecordBatch.from_arrays([pa.array(doc[first]), pa.array(pos[first].astype(np.int32)), pa.array((pos[last] - pos[first] + 1).astype(np.int32))], ["doc_id", "start", "n"])
+    last = np.append(first[1:], len(which)) - 1
+    whose = texts[which[first]]
+    columns = [whose["doc"], whose["row"], pos[first].astype(np.int32), (pos[last] - pos[first] + 1).astype(np.int32)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc_id", "row", "start", "n"])
 
 
 def repeat_spans(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int = HOT_SEGMENTS) -> DataFrame:
-    """(doc_id, start, n): starts of span-byte strings (n of them on end) that also start earlier, of (doc_id, text)."""
+    """(doc_id, row, start, n): starts of span-byte strings (n of them on end) that also start earlier, of (doc_id, row, text)."""
     rows = materialize(repeated_segments(segment_rows(docs, span, gram)))
     open_ = rows.where("first")
     busy = materialize(open_.groupBy("anchor").agg(F.count("*").alias("kinds")).where(F.col("kinds") > hot))
-    wanted = open_.join(busy, "anchor", "left").select("doc_id", F.struct("start", "n", "anchor", F.col("kinds").isNotNull().alias("hot")).alias("s")).groupBy("doc_id").agg(F.collect_list("s").alias("s")).withColumnRenamed("doc_id", "_id")
+    wanted = open_.join(busy, "anchor", "left").select("doc_id", "row", F.struct("start", "n", "anchor", F.col("kinds").isNotNull().alias("hot")).alias("s")).groupBy("doc_id", "row").agg(F.collect_list("s").alias("s")).withColumnsRenamed({"doc_id": "_id", "row": "_row"})
 
     def bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                doc, raw, s = batch.column(0)[k].as_py(), batch.column(1)[k].as_py().encode("utf-8", "surrogatepass"), batch.column(2)[k].as_py()
+                doc, row, raw, s = (batch.column(c)[k].as_py() for c in range(4))
+                raw = raw.encode("utf-8", "surrogatepass")
                 anchor, start, body, high, low = [], [], [], [], []
                 for x in s:
                     if not x["hot"]:
@@ -339,28 +400,29 @@ def repeat_spans(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int =
                             body.append(None)
                             high.append((h >> 64) - (1 << 63))
                             low.append((h & 0xFFFFFFFFFFFFFFFF) - (1 << 63))
-                types = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(([doc] * len(start), anchor, start, body, high, low), types)], ["doc_id", "anchor", "start", "body", "high", "low"])
-
-    texts = docs.join(wanted.hint("merge"), docs["doc_id"] == wanted["_id"]).select("doc_id", "text", "s")
-    pieces = materialize(texts.mapInArrow(bodies, "doc_id long, anchor long, start int, body binary, high long, low long"))
-    compared = compare_segments(pieces.where("body IS NOT NULL").select("anchor", "doc_id", "start", "body"), span)
-    grams = pieces.where("body IS NULL").select("doc_id", "start", "high", "low")
-    first = grams.groupBy("high", "low").agg(F.min(F.struct("doc_id", "start")).alias("f"))
-    by_hash = grams.join(first, ["high", "low"]).where((F.col("doc_id") != F.col("f.doc_id")) | (F.col("start") != F.col("f.start"))).select("doc_id", "start", F.lit(1).alias("n"))
-    whole = rows.where("NOT first").select("doc_id", "start", F.col("n").cast("int").alias("n"))
+                types = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(([doc] * len(start), [row] * len(start), anchor, start, body, high, low), types)], ["doc_id", "row", "anchor", "start", "body", "high", "low"])
+
+    texts = docs.join(wanted.hint("merge"), (docs["doc_id"] == wanted["_id"]) & (docs["row"] == wanted["_row"])).select("doc_id", "row", "text", "s")
+    pieces = materialize(texts.mapInArrow(bodies, "doc_id long, row int, anchor long, start int, body binary, high long, low long"))
+    compared = compare_segments(pieces.where("body IS NOT NULL").select("anchor", "doc_id", "row", "start", "body"), span)
+    grams = pieces.where("body IS NULL").select("doc_id", "row", "start", "high", "low")
+    # written by itself, so that a string with very many starts is split in the join
+    first = materialize(grams.groupBy("high", "low").agg(F.min(F.struct("doc_id", "row", "start")).alias("f")))
+    by_hash = grams.join(first, ["high", "low"]).where(F.struct("doc_id", "row", "start") != F.col("f")).select("doc_id", "row", "start", F.lit(1).alias("n"))
+    whole = rows.where("NOT first").select("doc_id", "row", "start", F.col("n").cast("int").alias("n"))
     return whole.unionByName(compared).unionByName(by_hash)
 
 
 def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int = HOT_SEGMENTS) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept binary) of (doc_id, text): kept holds the bytes that are left, n_spans the maximal removed runs.
 
-    Null texts are empty; null ids come back untouched. Rows that repeat an id are taken as one text repeated: their starts
-    are ordered by place, so equal rows count as one and nothing of them is removed for each other.
+    Null texts are empty; null ids come back untouched. Rows that repeat an id with other texts are texts of their own, in order of a
+    hash of the text; rows that are equal in both are one text, and nothing of them is removed for each other.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.shiftright(row_hash("text"), 32).cast("int").alias("row"), "text")
     spans = materialize(repeat_spans(texts.where("doc_id IS NOT NULL AND text IS NOT NULL"), span, gram, hot))
-    per = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("s")).withColumnRenamed("doc_id", "_id")
+    per = spans.groupBy("doc_id", "row").agg(F.collect_list(F.struct("start", "n")).alias("s")).withColumnsRenamed({"doc_id": "_id", "row": "_row"})
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -383,7 +445,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int
                 kept.append(raw[~gone].tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in (n_bytes, n_removed, n_spans)), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    joined = texts.join(per.hint("merge"), texts["doc_id"] == per["_id"], "left").select("doc_id", "text", "s")
+    joined = texts.join(per.hint("merge"), (texts["doc_id"] == per["_id"]) & (texts["row"] == per["_row"]), "left").select("doc_id", "text", "s")
     return joined.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 

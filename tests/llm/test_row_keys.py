@@ -3,9 +3,12 @@
 import collections
 import random
 
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline
-from corpusmill.llm import jaccard, line_dedup
-from corpusmill.llm.common import materialize
+from corpusmill.llm import jaccard, line_dedup, suffix_dedup
+from corpusmill.llm.common import materialize, row_hash
 
 from .fixtures import WORDS, documents
 
@@ -63,3 +66,28 @@ def test_jaccard_of_rows_that_repeat_an_id(spark):
     rows = [(5, a), (5, b), (3, b), (None, a), (None, c), (9, c), (9, c), (7, ""), (7, None)]
     got = collections.Counter((r.doc_id, r.component_id, r.first) for r in jaccard.jaccard_rows(documents(spark, [(i, t, "en", "s") for i, t in rows])).collect())
     assert got == collections.Counter([(5, 5, True), (5, 3, False), (3, 3, True), (None, 5, False), (None, 9, False), (9, 9, True), (9, 9, True), (7, 7, True), (7, 7, True)])
+
+
+@pytest.mark.parametrize("hot", [5000, 1])
+def test_repeats_of_rows_that_repeat_an_id(spark, monkeypatch, hot):
+    """Rows of one id with other texts are texts of their own (in order of a hash); nothing is cut out of the wrong row."""
+    monkeypatch.setattr(suffix_dedup, "BUFFER_BYTES", 700)
+    shared = [say(40) for _ in range(4)]
+    texts = [(i % 6, f"{say(8)} {shared[i % 4]} {say(3 + i % 5)}") for i in range(24)]
+    texts += [(3, shared[0] * 3), (3, "short"), (None, shared[1]), (None, shared[1]), (5, None), (5, ""), texts[0], texts[0]]
+    got = suffix_dedup.remove_repeats(documents(spark, [(i, t, "en", "s") for i, t in texts]), hot=hot).collect()
+    order = {r.text: r.row for r in documents(spark, [(i, t, "en", "s") for i, t in texts]).select("text", F.shiftright(row_hash("text"), 32).cast("int").alias("row")).collect()}
+    seen, want = set(), collections.Counter([(None, shared[1].encode())] * 2)
+    last = None
+    for i, _, t in sorted((i, order[t], t or "") for i, t in texts if i is not None):
+        raw = t.encode()
+        gone = [False] * len(raw)
+        if (i, t) != last:
+            cut = []
+            for p in range(len(raw) - 99):
+                if raw[p : p + 100] in seen:
+                    gone[p : p + 100] = [True] * 100
+                seen.add(raw[p : p + 100])
+            last, cut = (i, t), bytes(b for b, g in zip(raw, gone) if not g)
+        want[i, cut] += 1
+    assert collections.Counter((r.doc_id, bytes(r.kept)) for r in got) == want
