@@ -1,7 +1,8 @@
 """Best-fit packing of documents into training sequences.
 
 Method: a grouping genetic algorithm (Falkenauer, 1996). A solution is a list of bins; crossover injects whole well-filled
-bins of one parent into the other, takes out the bins that then hold a document twice, and best-fits what these lose.
+bins of one parent into the other, takes out the bins that then hold a document twice, and best-fits what these lose, after exchanging
+displaced documents for shorter ones of bins that they fill better (Falkenauer's replacement step).
 The pieces are dealt by hash into cells of some thousands; on each cell several islands evolve from seeds of
 their own, pass their elite to the next island, evolve on, and the best solution of the cell is kept. Only lengths and
 ids of pieces move between tasks; a cell is a bounded row, so neither a hot source nor a long document gathers in a task.
@@ -9,6 +10,7 @@ ids of pieces move between tasks; a cell is a bounded row, so neither a hot sour
 
 from __future__ import annotations
 
+import bisect
 import random
 import zlib
 from collections.abc import Iterator
@@ -23,7 +25,9 @@ from .common import materialize
 
 #: Pieces of a cell, about.
 CELL_PIECES = 6_000
-ISLANDS, EPOCHS, POPULATION, GENERATIONS = 3, 2, 4, 4
+ISLANDS, EPOCHS, POPULATION = 3, 2, 4
+#: An island's epoch ends at the lower bound of bins, or after so many generations of which the last STALL brought no fewer bins.
+GENERATIONS, STALL = 40, 8
 END_ID = 2
 
 
@@ -112,19 +116,51 @@ def crossover(first: list[list[int]], second: list[list[int]], lengths: list[int
     fit = BestFit(capacity)
     for k in chosen:
         fit.open(list(first[k]), fills[k])
-    displaced = []
+    loose = min(rng.choice((1, 3, 10)), max(0, len(second) - len(chosen)))  # the emptiest bins that are left go too
+    whole, displaced = [], []
     for b in second:
         left = [i for i in b if i not in taken]
-        if len(left) == len(b) and (used := sum(lengths[i] for i in b)) >= capacity * 0.9:
-            fit.open(list(b), used)
+        if len(left) == len(b) and left:
+            whole.append((sum(lengths[i] for i in b), b))
         else:
             displaced += left
+    whole.sort(key=lambda x: x[0])
+    displaced += [i for _, b in whole[:loose] for i in b]
+    bins, room = [list(b) for _, b in whole[loose:]], [capacity - used for used, _ in whole[loose:]]
+    replace(bins, room, displaced, lengths)
+    for b, r in zip(bins, room):
+        fit.open(b, capacity - r)
     displaced.sort(key=lambda i: (-lengths[i], i))
     for i in displaced:
         fit.put(i, lengths[i])
     return fit.bins
 
 
+def replace(bins: list[list[int]], room: list[int], displaced: list[int], lengths: list[int]) -> None:
+    """Fill bins better, in place: a document, or two, goes out for a displaced one that takes more of the room, so what is displaced gets shorter."""
+    out = sorted((lengths[i], i) for i in displaced)
+    for k in sorted(range(len(bins)), key=lambda k: -room[k]):
+        tries = 0
+        while room[k] and out and tries < 4:
+            tries += 1
+            items = bins[k]
+            groups = [(lengths[i], (i,)) for i in items] + [(lengths[a] + lengths[b], (a, b)) for x, a in enumerate(items) for b in items[x + 1 :] if len(items) <= 12]
+            best = (0, 0, ())
+            for size, group in groups:
+                at = bisect.bisect_right(out, (size + room[k], 1 << 60)) - 1
+                if at >= 0 and out[at][0] - size > best[0]:
+                    best = (out[at][0] - size, at, group)
+            gain, at, group = best
+            if not gain:
+                break
+            new = out.pop(at)[1]
+            for i in group:
+                bisect.insort(out, (lengths[i], i))
+            bins[k] = [i for i in items if i not in group] + [new]
+            room[k] -= gain
+    displaced[:] = [i for _, i in out]
+
+
 def evolve(lengths: list[int], capacity: int, seed: int, elites: list[list[list[int]]]) -> list[list[int]]:
     """One island's epoch: from best-fit seeds and the elites that came in, to its best solution."""
     rng = random.Random(seed)
@@ -141,13 +177,16 @@ def evolve(lengths: list[int], capacity: int, seed: int, elites: list[list[list[
         if len(people[-1]) == least:
             return people[-1]
     scored = sorted(((fitness(p, lengths, capacity), k, p) for k, p in enumerate(people)), key=lambda x: x[:2])
+    stale = 0
     for _ in range(GENERATIONS):
-        if scored[0][0][0] == least:
+        fewest = scored[0][0][0]
+        if fewest == least or stale == STALL:
             break
         a, b = rng.sample(range(min(len(scored), POPULATION)), 2)
         child = crossover(scored[min(a, b)][2], scored[max(a, b)][2], lengths, capacity, rng)
         scored.append((fitness(child, lengths, capacity), len(scored), child))
         scored = sorted(scored, key=lambda x: x[:2])[:POPULATION]
+        stale = 0 if scored[0][0][0] < fewest else stale + 1
     return scored[0][2]
 
 
@@ -155,15 +194,17 @@ def pack(pieces: DataFrame, capacity: int = 1024, cell_pieces: int = CELL_PIECES
     """pieces (doc_id, piece, length, more columns) with sequence_id and offset added: as few sequences as found, gapless from 0.
 
     Every piece, full ones too, is an item; lengths must lie in 1..capacity. Reruns agree: cells, islands and orders come from hashes
-    and sorted ids. An empty input gives no rows.
+    and sorted rows; only pieces without an id, which may be alike in everything, are dealt by their place in the table. An empty input gives no rows.
     """
-    names = [c for c in pieces.columns if c not in ("sequence_id", "offset", "__order")]
+    names = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
     items = materialize(pieces.select(*names))
     n_cells = max(1, -(-items.count() // cell_pieces))
-    cell = F.pmod(F.xxhash64("doc_id", "piece", F.lit(seed)), F.lit(n_cells))
-    cells = materialize(items.groupBy(cell.alias("cell")).agg(F.array_sort(F.collect_list(F.struct((-F.col("length")).alias("__order"), *names))).alias("items")))
+    salt = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).otherwise(F.lit(0))
+    cell = F.pmod(F.xxhash64("doc_id", "piece", F.lit(seed), salt), F.lit(n_cells)).alias("cell")
+    item = F.struct((-F.col("length")).alias("order"), F.struct(*names).alias("row")).alias("item")
+    cells = materialize(items.select(cell, item).groupBy("cell").agg(F.array_sort(F.collect_list("item")).alias("items")))
     islands = F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1))).alias("island")
-    lengths = cells.select("cell", F.transform("items", lambda x: -x["__order"]).alias("lengths"))
+    lengths = cells.select("cell", F.transform("items", lambda x: -x["order"]).alias("lengths"))
     # a fixed number of tasks: these rows are small but take long, so they mustn't be gathered by size
     tasks = min(n_cells * ISLANDS, max(int(items.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_cells // 4))
     elite = None
@@ -176,11 +217,10 @@ def pack(pieces: DataFrame, capacity: int = 1024, cell_pieces: int = CELL_PIECES
             work = work.join(moved, ["cell", "island"])
         elite = materialize(work.repartition(tasks, "cell", "island").mapInArrow(_epoch(capacity, seed * 1000 + epoch), "cell long, island int, n_bins int, bins array<int>"))
     best = elite.groupBy("cell").agg(F.min_by("bins", F.struct("n_bins", "island")).alias("bins"))
-    whole = cells.join(best, "cell").select("cell", F.arrays_zip("items", "bins").alias("z"))
-    laid = whole.select("cell", F.expr("array_sort(transform(z, x -> struct(x.bins AS bin, x.items AS item)))").alias("z"))
+    laid = cells.join(best, "cell").select("cell", F.expr("array_sort(transform(arrays_zip(items, bins), x -> struct(x.bins AS bin, x.items AS item)))").alias("z"))
     kept = [f for f in items.schema if f.name in names]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + ["sequence_id long", "offset long"])
-    flat = laid.select("cell", F.col("z.bin").alias("bin"), *[F.col("z.item")[n].alias(n) for n in names])
+    flat = laid.select("cell", F.col("z.bin").alias("bin"), F.transform("z", lambda x: x["item"]["row"]).alias("rows")).select("cell", "bin", *[F.col("rows")[n].alias(f"_{k}") for k, n in enumerate(names)])
 
     def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -191,6 +191,35 @@ def test_genetic_steps():
     assert len(best) <= min(len(a), len(b))
 
 
+def test_evolution_beats_best_fit():
+    import random
+
+    fewer = 0
+    for seed in range(6):
+        r = random.Random(seed)
+        lengths = [r.randrange(20, 70) for _ in range(300)]
+        plain = packing.best_fit(lengths, sorted(range(300), key=lambda i: -lengths[i]), 100)
+        best = packing.evolve(lengths, 100, seed, [])
+        assert sorted(i for b in best for i in b) == list(range(300)) and all(sum(lengths[i] for i in b) <= 100 for b in best)
+        assert len(best) <= len(plain)
+        fewer += len(best) < len(plain)
+    assert fewer >= 3
+
+
+def test_packing_of_clashing_names_and_null_ids(spark, monkeypatch):
+    monkeypatch.setattr(packing, "CELL_PIECES", 40)
+    docs = documents(spark, [(None if i % 3 else i, f"text number {i % 5} of some words" if i % 2 else None, "en", "s") for i in range(300)])
+    pieces = packing.token_pieces(docs, 64)
+    for name in ("cell", "island", "bins", "bin", "items", "item", "z", "order", "row", "rows", "lengths", "elites"):
+        pieces = pieces.withColumn(name, packing.F.lit("x"))
+    got = packing.pack(pieces, 64, cell_pieces=40).collect()
+    assert len(got) == 300 and all(r.cell == "x" and r.z == "x" for r in got)
+    filled = collections.Counter()
+    for r in got:
+        filled[r.sequence_id] += r.length
+    assert max(filled.values()) <= 64
+
+
 def test_token_files(spark, tmp_path):
     rows = passages()
     token_files.write_token_files(documents(spark), str(tmp_path / "a"), chunk_ids=700)
