@@ -7,10 +7,11 @@
    element or none, would tie strangers together; they are sent only by sets with more than s of them: a pair that links
    has s + 1 equal parts, and if one side has at most s light ones, a heavier one is among them, and is as heavy on the
    other side. (At thresholds where light parts are the rule, only empty ones count as light.)
-2. Loose components, of each class by itself, are the blocks of the join (few chance members; groups of copies stay whole); very
-   large ones are cut into pairs of blocks.
+2. Loose components, of each class by itself, are dealt into blocks of some hundreds of sets (a component stays whole: few chance
+   members, and groups near each other); very large ones are cut into pairs of blocks.
 3. In a block, a signature tree: leaves hold a bitmap of a set's hashed elements, nodes the OR of their leaves' bitmaps and the
-   range of their sizes. Two trees (or one with itself) are walked together; a pair of nodes is dropped when its greatest
+   range of their sizes; the sets stand in order of their components, so that a node's leaves are alike and its bitmap stays
+   thin. Two trees (or one with itself) are walked together; a pair of nodes is dropped when its greatest
    possible overlap can't reach the threshold, or when its documents are in one component already. What is left is
    compared exactly.
 """
@@ -28,9 +29,9 @@ from pyspark.sql import functions as F
 from .common import map_groups, materialize, mix64, row_hash
 from .graph import connected_components
 
-#: Documents of one block of the join; larger loose components are joined in pairs of blocks.
-BLOCK_DOCS = 2_000
-#: Least and most bits of a signature (powers of two; a tree takes about three for an element of its largest set).
+#: Sets of one block of the join; larger loose components are joined in pairs of blocks. Sets that smaller components bring into a block, about.
+BLOCK_DOCS, SHARED_DOCS = 1_000, 400
+#: Least and most bits of a signature (powers of two; a tree takes about eight for an element of its largest set).
 MIN_BITS, MAX_BITS = 512, 1 << 16
 FAN = 16
 #: Sets that a task remembers to have sent.
@@ -69,10 +70,14 @@ class SizeClasses:
         for c, r in enumerate(ends):
             differ = 2 * r * (100 - threshold) // (100 + threshold)
             least = lows[max(0, c - 1)]  # the smallest sets that are sent to this class
-            slack, light = (differ + 1) // 5 + 5, 1
-            each = least / (differ + 1 + slack)
-            if (differ + 1 + slack) * np.exp(-each) * (1 + each) > 0.8 * slack:
-                slack, light = (differ + 1) // 10 + 4, 0
+            # the smallest slack that lets most sets keep their light parts to themselves (any slack loses no pair)
+            slack, light = (differ + 1) // 10 + 4, 0
+            for s in range(2, (differ + 1) // 5 + 6):
+                each = least / (differ + 1 + s)
+                expected = (differ + 1 + s) * np.exp(-each) * (1 + each)
+                if expected + 2 * np.sqrt(expected) <= s:
+                    slack, light = s, 1
+                    break
             if differ == 0:
                 slack, light = 0, 0
             self.parts.append(differ + 1 + slack)
@@ -197,7 +202,7 @@ class Forest:
 
 
 class SignatureTree:
-    """Sets in order of size; level 0 holds each set's bitmap, the levels above the OR of FAN nodes below."""
+    """Sets in order of likeness and size; level 0 holds each set's bitmap, the levels above the OR of FAN nodes below."""
 
     def __init__(self, sets: list[np.ndarray], ids: list[int], width: int = MIN_BITS):
         self.sets, self.ids = sets, ids  # ids: places in the forest; width: bits of a signature
@@ -272,14 +277,15 @@ def tree_join(left: SignatureTree, right: SignatureTree, threshold: int, forest:
 
 
 def block_links(table: pa.Table, threshold: int) -> pa.RecordBatch | None:
-    """Links of one block, or of one pair of blocks: rows (node, side, hashes), sides 0 and 1 in pairs of blocks."""
+    """Links of one block, or of one pair of blocks: rows (node, component, side, hashes), sides 0 and 1 in pairs of blocks."""
     once = np.unique(table["node"].to_numpy(), return_index=True)[1]  # rows that are equal in everything come several times
     ids, side = table["node"].to_numpy()[once], table["side"].to_numpy()[once]
     sets = [np.frombuffer(table["hashes"][int(k)].as_py(), np.uint64) for k in once]
-    order = sorted(range(len(ids)), key=lambda k: (len(sets[k]), ids[k]))
+    part = table["component"].to_numpy()[once]
+    order = np.lexsort((ids, [len(x) for x in sets], part)).tolist()
     forest = Forest(len(ids))
     width = MIN_BITS
-    while width < MAX_BITS and width < 3 * max(map(len, sets)):
+    while width < MAX_BITS and width < 8 * max(map(len, sets)):
         width *= 2
     tree = [SignatureTree([sets[k] for k in order if side[k] == s], [k for k in order if side[k] == s], width) for s in (0, 1) if (side == s).any()]
     links = tree_join(tree[0], tree[-1], threshold, forest) if len(tree) == 2 or (side == 0).all() else []
@@ -307,23 +313,25 @@ def jaccard_rows(docs: DataFrame, width: int = 4, threshold: int = 85, block_doc
     loose = connected_components(links.select(node("src").alias("src"), node("dst").alias("dst"))).withColumnRenamed("node", "_n")
     held = links.select("cls", F.explode(F.array("src", "dst")).alias("node")).distinct()
     single = materialize(held.join(loose, node("node") == F.col("_n")).select("node", "component"))
-    count = materialize(single.groupBy("component").agg(F.ceil(F.count("*") / block_docs).cast("int").alias("blocks")))
-    members = single.join(count, "component").withColumn("own", F.pmod(F.xxhash64("node", F.lit(5)), "blocks").cast("int"))
+    count = materialize(single.groupBy("component").agg(F.ceil(F.count("*") / block_docs).cast("int").alias("blocks"), F.count("*").alias("n")))
+    shared = max(1, (count.where("blocks = 1").agg(F.sum("n")).first()[0] or 0) // SHARED_DOCS)
+    block = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("component"), F.lit(shared))).otherwise(F.xxhash64("component"))
+    members = single.join(count.select("component", "blocks", block.alias("block")), "component").withColumn("own", F.pmod(F.xxhash64("node", F.lit(5)), "blocks").cast("int"))
     pairs = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, "own").alias("a"), F.greatest(o, "own").alias("b"))))
-    dealt = members.select("node", "component", "own", pairs.alias("p")).select("node", "component", "p.a", "p.b", F.when((F.col("own") == F.col("p.a")), 0).otherwise(1).alias("side"))
+    dealt = members.select("node", "component", "block", "own", pairs.alias("p")).select("node", "component", "block", "p.a", "p.b", F.when((F.col("own") == F.col("p.a")), 0).otherwise(1).alias("side"))
     # the text of a set is that of its smallest row
-    wanted = dealt.join(reps, "node").select("node", "component", "a", "b", "side", F.coalesce("doc_id", F.lit(0)).alias("_at"), F.col("row").alias("_row"))
+    wanted = dealt.join(reps, "node").select("node", "component", "block", "a", "b", "side", F.coalesce("doc_id", F.lit(0)).alias("_at"), F.col("row").alias("_row"))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text, last = batch.column(5).to_pylist(), (None, b"")
+            text, last = batch.column(6).to_pylist(), (None, b"")
             h = [(last := last if t == last[0] else (t, shingle_hashes(t, width).tobytes()))[1] for t in text]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(h, pa.binary())], ["component", "a", "b", "side", "node", "hashes"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array(h, pa.binary())], ["block", "component", "a", "b", "side", "node", "hashes"])
 
     # both sides grow with the corpus, so neither is broadcast
-    placed = texts.join(wanted.hint("merge"), (F.coalesce("doc_id", F.lit(0)) == F.col("_at")) & (F.col("row") == F.col("_row"))).select("component", "a", "b", "side", "node", "text")
-    rows = placed.mapInArrow(hashed, "component long, a int, b int, side int, node long, hashes binary")
-    found = materialize(connected_components(map_groups(rows, ["component", "a", "b"], lambda t: block_links(t, threshold), "src long, dst long")))
+    placed = texts.join(wanted.hint("merge"), (F.coalesce("doc_id", F.lit(0)) == F.col("_at")) & (F.col("row") == F.col("_row"))).select("block", "component", "a", "b", "side", "node", "text")
+    rows = placed.mapInArrow(hashed, "block long, component long, a int, b int, side int, node long, hashes binary")
+    found = materialize(connected_components(map_groups(rows, ["block", "a", "b"], lambda t: block_links(t, threshold), "src long, dst long")))
     # the smallest row of each component, by set
     linked = found.join(reps, "node")
     smallest = materialize(linked.groupBy("component").agg(F.min(F.struct("none", "doc_id", "row")).alias("rep")))

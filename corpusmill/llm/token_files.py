@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..operators.tables import new_path
 from . import tokens
+from .common import materialize
 
 #: Fixed values of the format: selector -> (values a word, bits a value); selector 0 is 240 zeros, 1 is the escape.
 SELECTORS = {0: (240, 0), 1: (1, 64), 2: (60, 1), 3: (30, 2), 4: (20, 3), 5: (15, 4), 6: (12, 5), 7: (10, 6), 8: (8, 7), 9: (7, 8), 10: (6, 10), 11: (5, 12), 12: (4, 15), 13: (3, 20), 14: (2, 30), 15: (1, 60)}
@@ -27,6 +28,8 @@ BLOCK = 256
 #: Ids of one chunk (a row of the file), about.
 CHUNK_IDS = 1 << 19
 END_ID = 2
+#: Files whose bases (16 bytes each) are broadcast.
+MAX_PARTS = 100_000
 _POW2 = np.array([1 << b for b in range(64)], np.uint64)
 FILE_SCHEMA = "part int, chunk int, ids_before long, doc_ids array<long>, doc_lens array<long>, n_ids long, block_offsets binary, words binary"
 
@@ -178,7 +181,7 @@ def write_token_files(docs: DataFrame, out: str, end_id: int = END_ID, path: str
 def read_token_files(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32[, ids]) from the files at `path`; start: the ids of all documents before."""
     chunks = spark.read.schema(FILE_SCHEMA).parquet(path)
-    totals = chunks.groupBy("part").agg(F.sum("n_ids").alias("n"))  # a row per file
+    totals = materialize(chunks.groupBy("part").agg(F.sum("n_ids").alias("n")))  # a row per file
     base = totals.select(F.col("part").alias("_part"), (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("base"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,6 +196,8 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = False) ->
                     columns.append(pa.array([c.astype(np.int32) for c in cuts], pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32"] + ["ids"] * with_ids)
 
+    if totals.count() <= MAX_PARTS:  # so many small rows can be sent everywhere; beyond, the encoded chunks are shuffled to them
+        base = F.broadcast(base)
     rows = chunks.join(base, chunks["part"] == base["_part"]).select((F.col("base") + F.col("ids_before")).alias("begin"), "doc_ids", "doc_lens", "n_ids", "block_offsets", "words")
     return rows.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids)
 
