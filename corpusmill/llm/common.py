@@ -106,6 +106,13 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in smaller pieces, so that a worker holds few texts as Python strings at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """A text column as Python strings, null as empty."""
     return [t or "" for t in batch.column(name).to_pylist()]

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_groups, materialize, mix64, row_hash
+from .common import map_groups, materialize, mix64, row_hash, slices
 from .graph import connected_components
 
 #: Sets of one block of the join; larger loose components are joined in pairs of blocks. Sets that smaller components bring into a block, about.
@@ -113,7 +113,7 @@ def set_sizes(rows: DataFrame, width: int) -> DataFrame:
     """(doc_id, row, n_shingles, node) of (doc_id, row, text): the size of each row's set and a 64-bit hash of the set, null for the empty one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             n, node = [], []
             for t in batch.column(2).to_pylist():
                 h = shingle_hashes(t, width)
@@ -323,7 +323,7 @@ def jaccard_rows(docs: DataFrame, width: int = 4, threshold: int = 85, block_doc
     wanted = dealt.join(reps, "node").select("node", "component", "block", "a", "b", "side", F.coalesce("doc_id", F.lit(0)).alias("_at"), F.col("row").alias("_row"))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 200):
             text, last = batch.column(6).to_pylist(), (None, b"")
             h = [(last := last if t == last[0] else (t, shingle_hashes(t, width).tobytes()))[1] for t in text]
             yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array(h, pa.binary())], ["block", "component", "a", "b", "side", "node", "hashes"])

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, row_hash
+from .common import materialize, row_hash, slices
 
 #: Stripped from both ends of a line to make its key.
 BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -25,7 +25,7 @@ def line_keys(docs: DataFrame, min_chars: int = 20, id_col: str = "doc_id", text
     """(doc_id, row, pos, h1, h2, first): a 128-bit hash of each line's key, and 1 where the row has the key for the first time; shorter keys are left out."""
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             which, at, high, low, first = [], [], [], [], []
             for i, text in enumerate(batch.column(2).to_pylist()):
                 if not text or len(text) < min_chars:
@@ -68,7 +68,7 @@ def drop_repeated_lines(docs: DataFrame, min_docs: int = 3, min_chars: int = 20,
     drops = gone.groupBy("doc_id", "row").agg(F.collect_set("pos").alias("_drops")).withColumnsRenamed({"doc_id": "_id", "row": "_row"})
 
     def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             names = batch.schema.names
             cols = dict(zip(names[:-1], batch.columns[:-1]))
             text, total, dropped = [], [], []

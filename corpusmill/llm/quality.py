@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, slices
 
 #: Characters counted as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -81,14 +81,16 @@ def with_measures(docs: DataFrame, text_col: str = "text", keep: list[str] | Non
     keep = docs.columns if keep is None else keep
     keep = [c for c in keep if c not in MEASURES]
 
+    at = keep.index(text_col) if text_col in keep else len(keep)  # a text that is kept goes to the workers once
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [measure(t or "") for t in batch.column(len(keep)).to_pylist()]
+        for batch in slices(batches):
+            rows = [measure(t or "") for t in batch.column(at).to_pylist()]
             out = np.array(rows, np.int64).reshape(-1, len(MEASURES))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *(pa.array(out[:, k]) for k in range(len(MEASURES)))], [*keep, *MEASURES])
 
     schema = ", ".join([f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep] + [f"{c} long" for c in MEASURES])
-    return docs.select(*keep, F.col(text_col).alias("_text")).mapInArrow(run, schema)
+    return docs.select(*keep, *([] if text_col in keep else [F.col(text_col).alias("__text")])).mapInArrow(run, schema)
 
 
 def ratios() -> dict:
@@ -156,8 +158,8 @@ def judge_quality(docs: DataFrame, min_words: int = 20, max_repeat: int = 30, mi
         limits = thresholds(measured.where(~F.col("base_failed")), min_docs, fences)
     else:
         limits = materialize(thresholds(with_measures(docs, keep=groups).withColumn("base_failed", failed).where(~F.col("base_failed")), min_docs, fences))
-    t = limits.select(F.col("lang").alias("_l"), F.col("source").alias("_s"), *[f"max_{m}" for m in fences])
-    joined = measured.join(t, measured["lang"].eqNullSafe(t["_l"]) & measured["source"].eqNullSafe(t["_s"]), "left").drop("_l", "_s")
+    t = limits.select(F.col("lang").alias("__lang"), F.col("source").alias("__source"), *[f"max_{m}" for m in fences])
+    joined = measured.join(t, measured["lang"].eqNullSafe(t["__lang"]) & measured["source"].eqNullSafe(t["__source"]), "left").drop("__lang", "__source")
     over = F.lit(False)
     for m, c in ratios().items():
         if m in fences:
