@@ -63,7 +63,8 @@ def drop_repeated_lines(docs: DataFrame, min_docs: int = 3, min_chars: int = 20,
     wide = materialize(lines.groupBy("h1", "h2").agg(F.sum(counted).alias("n"), F.max("doc_id").alias("keeper")).where(F.col("n") >= min_docs).drop("n"))
     hits = materialize(lines.join(wide, ["h1", "h2"]))
     # the exact number of ids: a row for each key and id first, then their number
-    few = hits.where("doc_id IS NOT NULL").groupBy("h1", "h2", "doc_id").agg(F.lit(1).alias("one")).groupBy("h1", "h2").agg(F.sum("one").alias("n")).where(F.col("n") < min_docs)
+    ids = hits.where("doc_id IS NOT NULL").groupBy("h1", "h2", "doc_id").agg(F.lit(1).alias("one"))
+    few = materialize(ids.groupBy("h1", "h2").agg(F.sum("one").alias("n")).where(F.col("n") < min_docs).drop("n"))
     gone = hits.where(~F.col("doc_id").eqNullSafe(F.col("keeper"))).join(few, ["h1", "h2"], "left_anti")
     drops = gone.groupBy("doc_id", "row").agg(F.collect_set("pos").alias("_drops")).withColumnsRenamed({"doc_id": "_id", "row": "_row"})
 
