@@ -27,7 +27,7 @@ from .common import materialize
 CELL_PIECES = 6_000
 ISLANDS, EPOCHS, POPULATION = 3, 2, 4
 #: An island's epoch ends at the lower bound of bins, or after so many generations of which the last STALL brought no fewer bins.
-GENERATIONS, STALL = 40, 8
+GENERATIONS, STALL = 40, 5
 END_ID = 2
 
 
