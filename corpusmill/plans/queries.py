@@ -770,3 +770,6 @@ def user_scorer(spark, d):
 def moved_keys(spark, d):
     docs = table(spark, d, "documents").withColumn("fm", F.create_map(F.lit("title"), F.lit("t"), F.lit("theme"), F.when(F.col("doc_id") % 3 == 0, F.lit("old")).otherwise(F.col("lang"))))
     return filters.move_keys(docs, ["theme"])[1].select("doc_id", "value")
+
+
+from . import more_queries  # noqa: E402,F401
