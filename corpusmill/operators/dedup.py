@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,28 +25,26 @@ def known_duplicates(rows: DataFrame, index: DataFrame, id_col: str = "row_id",
 def greedy_batch(rows: DataFrame, id_col: str = "row_id", pos_col: str = "pos") -> DataFrame:
     """rows with `kept`: in order of pos, a row goes when its URL or title was kept before.
 
-    A dropped row's keys aren't indexed, so chains survive: rows that keys connect are one group (components of row and key),
-    and only inside a group does the order matter. The greedy pass runs per group; rows that share no key never leave Spark's own operators.
+    A dropped row's keys aren't indexed, so chains survive. Only rows that share a key with another take part: in rounds, those that are
+    first on all their keys are kept, those that share a key with a kept one go, and what is left plays on, until nothing is open. Each
+    round is joins and combining aggregates over written tables; the number of rounds is the length of the longest chain.
     """
-    keys = rows.select(F.col(id_col).alias("_id"), F.col(pos_col).alias("_pos"), F.explode(F.filter(dup_keys(F.col("url"), F.lit(None).cast("string"), F.col("title")), lambda k: k.isNotNull())).alias("k")).select("_id", "_pos", F.concat_ws(":", "k.kind", "k.hash").alias("key"))
-    shared = keys.join(keys.groupBy("key").agg(F.count("*").alias("n"), F.min("_id").alias("hub")).where("n > 1"), "key")
-    shared = stage(shared)
-    parts = components(shared.select(F.col("_id").alias("src"), F.col("hub").alias("dst")))
-    grouped = shared.join(parts, F.col("_id") == F.col("node")).groupBy("component", "_id", "_pos").agg(F.collect_set("key").alias("keys"))
-
-    def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
-        seen: set = set()
-        out = []
-        for i, keys_ in sorted(zip(zip(pdf["_pos"], pdf["_id"]), pdf["keys"]), key=lambda x: x[0]):
-            keep = not any(k in seen for k in keys_)
-            if keep:
-                seen.update(keys_)
-            out.append((i[1], keep))
-        return pd.DataFrame(out, columns=["_id", "_kept"])
-
-    kind = rows.schema[id_col].dataType.simpleString()
-    verdict = grouped.groupBy("component").applyInPandas(greedy, f"_id {kind}, _kept boolean")
-    return rows.join(verdict, F.col(id_col) == F.col("_id"), "left").withColumn("kept", F.coalesce("_kept", F.lit(True))).drop("_id", "_kept")
+    at = F.struct(F.col(pos_col).alias("pos"), F.col(id_col).alias("id"))
+    keys = rows.select(at.alias("at"), F.explode(dup_keys(F.col("url"), F.lit(None).cast("string"), F.col("title"))).alias("k")).select("at", F.concat_ws(":", "k.kind", "k.hash").alias("key")).distinct()
+    number = stage(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
+    open_, dropped = stage(keys.join(number.select("key"), "key")), None
+    while open_.limit(1).count():
+        first = stage(open_.groupBy("key").agg(F.min("at").alias("first")))
+        seen = stage(open_.join(first, "key"))
+        kept = stage(seen.groupBy("at").agg(F.bool_and(F.col("at") == F.col("first")).alias("all")).where("all").select("at"))
+        taken = stage(seen.join(kept, "at", "left_semi").select("key"))  # a key has one kept row
+        gone = stage(seen.join(taken, "key", "left_semi").join(kept, "at", "left_anti").select("at").distinct())
+        dropped = gone if dropped is None else dropped.union(gone)
+        open_ = stage(open_.join(kept, "at", "left_anti").join(gone, "at", "left_anti"))
+    if dropped is None:
+        return rows.withColumn("kept", F.lit(True))
+    lost = dropped.select(F.col("at.id").alias("_id"), F.lit(False).alias("_kept"))
+    return rows.join(lost, F.col(id_col) == F.col("_id"), "left").withColumn("kept", F.coalesce("_kept", F.lit(True))).drop("_id", "_kept")
 
 
 def duplicate_groups(docs: DataFrame) -> DataFrame:

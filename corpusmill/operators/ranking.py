@@ -46,7 +46,7 @@ def quota_sample(rows: DataFrame, cells: Iterable[str], key: str, quota: int) ->
 
 def seeded_sample(rows: DataFrame, by: str, key: str, n: int, seed: int = 7) -> DataFrame:
     """n rows of each class, reproducible: the smallest hashes of (key, seed)."""
-    w = Window.partitionBy(by).orderBy(F.xxhash64(F.col(key).cast("string"), F.lit(seed)), key)
+    w = Window.partitionBy(by).orderBy(F.md5(F.concat(F.col(key).cast("string"), F.lit(f"#{seed}"))), key)
     return rows.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 

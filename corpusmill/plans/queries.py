@@ -130,7 +130,7 @@ def endpoint_status(spark, d):
     return e.groupBy("from_status", "to_status").agg(F.count("*").alias("n"))
 
 
-NATION_EDGES_SQL = f"""pairs AS (SELECT DISTINCT c_nationkey AS from_id, s_nationkey AS to_id, {REL_SQL} AS rel FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey WHERE l_discount > 0.09 AND l_quantity > 45),
+NATION_EDGES_SQL = f"""pairs AS (SELECT DISTINCT c_nationkey AS from_id, s_nationkey AS to_id, {REL_SQL} AS rel FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey),
 decided AS (SELECT *, CASE WHEN (from_id + to_id) % 3 = 0 THEN 'reject' ELSE 'accept' END AS decision FROM pairs)"""
 
 
@@ -138,7 +138,7 @@ decided AS (SELECT *, CASE WHEN (from_id + to_id) % 3 = 0 THEN 'reject' ELSE 'ac
 SELECT from_id, to_id, rel, CASE WHEN decision = 'accept' AND rel <> 'aligns_with' AND coalesce(n, 0) > 1 THEN 'manual_review' ELSE decision END AS decision FROM decided LEFT JOIN k ON a = least(from_id, to_id) AND b = greatest(from_id, to_id)""")
 def contradiction_demotion(spark, d):
     rel = F.when(F.col("l_returnflag") == "A", "references").when(F.col("l_returnflag") == "N", "cites_basis").when(F.col("l_linestatus") == "O", "supersedes").otherwise("aligns_with")
-    j = table(spark, d, "lineitem").where("l_discount > 0.09 AND l_quantity > 45").join(table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(table(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    j = table(spark, d, "lineitem").join(table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(table(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
     e = j.select(F.col("c_nationkey").alias("from_id"), F.col("s_nationkey").alias("to_id"), rel.alias("rel")).distinct()
     e = e.withColumn("decision", F.when((F.col("from_id") + F.col("to_id")) % 3 == 0, "reject").otherwise("accept"))
     return relations.demote_contradictions(e).select("from_id", "to_id", "rel", "decision")
@@ -224,12 +224,12 @@ PART_THEMES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD", "LUXU
 
 
 def nation_parts(spark, d):
-    l = table(spark, d, "lineitem").where("l_quantity > 40 AND l_tax > 0.06")
+    l = table(spark, d, "lineitem")
     j = l.join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey")).join(table(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")).join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
     return j.where("n_nationkey % 5 <> 1 AND NOT (n_nationkey % 3 = 0 AND p_type = 'PROMO')").select(F.col("n_name").alias("region"), F.array(F.concat(F.col("p_type"), F.lit("_theme"))).alias("theme_ids"), "l_shipdate")
 
 
-NATION_PARTS_SQL = """np AS (SELECT n_name AS region, concat(p_type, '_theme') AS theme_id, l_shipdate FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey WHERE l_quantity > 40 AND l_tax > 0.06 AND n_nationkey % 5 <> 1 AND NOT (n_nationkey % 3 = 0 AND p_type = 'PROMO')),
+NATION_PARTS_SQL = """np AS (SELECT n_name AS region, concat(p_type, '_theme') AS theme_id, l_shipdate FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey WHERE n_nationkey % 5 <> 1 AND NOT (n_nationkey % 3 = 0 AND p_type = 'PROMO')),
 themes AS (SELECT unnest(['ECONOMY', 'LARGE', 'MEDIUM', 'PROMO', 'SMALL', 'STANDARD', 'LUXURY']) AS theme)"""
 
 
@@ -308,22 +308,26 @@ def normalize_url(spark, d):
     return p.select("page_id", u.alias("url_key"), T.short_hash(u).alias("url_hash"))
 
 
-@query(r"""WITH k AS (SELECT doc_id, regexp_replace(substr(text, 1, 60), '[\s\(\)\[\]"'':;,.!?\-_]+', '', 'g') AS t FROM documents), i AS (SELECT DISTINCT lower(t) AS t FROM k WHERE doc_id % 2 = 0) SELECT doc_id FROM k WHERE doc_id % 2 = 1 AND lower(t) <> '' AND lower(t) IN (SELECT t FROM i)""")
+@query(r"""WITH k AS (SELECT doc_id, lower(regexp_replace(split_part(text, chr(10), 1), '[\s\(\)\[\]"'':;,.!?\-_]+', '', 'g')) AS t FROM documents), i AS (SELECT t FROM k JOIN labels ON k.doc_id = labels.doc_id) SELECT doc_id FROM k WHERE t <> '' AND t IN (SELECT t FROM i)""")
 def three_key_duplicates(spark, d):
-    docs = table(spark, d, "documents").select(F.col("doc_id").alias("row_id"), F.lit(None).cast("string").alias("url"), F.lit("").alias("number"), F.substring("text", 1, 60).alias("title"))
-    return dedup.known_duplicates(docs.where("row_id % 2 = 1"), docs.where("row_id % 2 = 0")).select(F.col("row_id").alias("doc_id"))
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("row_id"), F.lit(None).cast("string").alias("url"), F.lit("").alias("number"), first_line("text").alias("title"))
+    known = docs.join(table(spark, d, "labels").select(F.col("doc_id").alias("row_id")), "row_id", "left_semi")
+    return dedup.known_duplicates(docs, known).select(F.col("row_id").alias("doc_id"))
 
 
-@query(r"""WITH k AS (SELECT doc_id, lower(regexp_replace(substr(text, 1, 40), '[\s\(\)\[\]"'':;,.!?\-_]+', '', 'g')) AS t, CASE WHEN doc_id % 3 = 0 THEN CAST(doc_id AS VARCHAR) ELSE '' END AS num FROM documents),
+@query(r"""WITH k AS (SELECT doc_id, lower(regexp_replace(split_part(text, chr(10), 1), '[\s\(\)\[\]"'':;,.!?\-_]+', '', 'g')) AS t, CASE WHEN doc_id % 3 = 0 THEN CAST(doc_id AS VARCHAR) ELSE '' END AS num FROM documents),
 f AS (SELECT doc_id, t, num, first_value(doc_id) OVER w AS fd, first_value(num) OVER w AS fn FROM k WHERE t <> '' WINDOW w AS (PARTITION BY t ORDER BY doc_id)),
 e AS (SELECT doc_id, fd FROM f WHERE doc_id <> fd AND (num = '' OR fn = '')), g AS (SELECT doc_id, fd AS group_id FROM e UNION SELECT fd, fd FROM e), r AS (SELECT g.doc_id, group_id, row_number() OVER (PARTITION BY group_id ORDER BY CASE WHEN num <> '' THEN 0 ELSE 1 END, g.doc_id) AS rn FROM g JOIN k ON g.doc_id = k.doc_id)
 SELECT a.doc_id, a.group_id, b.doc_id AS keep_id FROM r a JOIN r b ON a.group_id = b.group_id AND b.rn = 1""")
 def duplicate_groups(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", F.lit(None).cast("string").alias("url"), F.when(F.col("doc_id") % 3 == 0, F.col("doc_id").cast("string")).otherwise(F.lit("")).alias("number"), F.substring("text", 1, 40).alias("title"), F.lit("").alias("date"), F.col("doc_id").alias("pos"))
+    docs = table(spark, d, "documents").select("doc_id", F.lit(None).cast("string").alias("url"), F.when(F.col("doc_id") % 3 == 0, F.col("doc_id").cast("string")).otherwise(F.lit("")).alias("number"), first_line("text").alias("title"), F.lit("").alias("date"), F.col("doc_id").alias("pos"))
     return dedup.duplicate_groups(docs).select("doc_id", "group_id", "keep_id")
 
 
-@query()
+@query(r"""WITH RECURSIVE k AS (SELECT page_id AS row_id, 'u' || {NORM} AS u, lower(regexp_replace(regexp_extract(html, '(?s)<h1>(.*?)(?:</h1>|$)', 1), '[\s\(\)\[\]"'':;,.!?\-_]+', '', 'g')) AS t, row_number() OVER (ORDER BY page_id) AS rn FROM pages),
+s AS (SELECT CAST(0 AS BIGINT) AS rn, CAST(NULL AS BIGINT) AS row_id, CAST([] AS VARCHAR[]) AS seen, false AS kept UNION ALL
+SELECT k.rn, k.row_id, CASE WHEN list_contains(seen, u) OR list_contains(seen, 't' || t) THEN seen ELSE seen || [u] || CASE WHEN t <> '' THEN ['t' || t] ELSE [] END END, NOT (list_contains(seen, u) OR list_contains(seen, 't' || t)) FROM s JOIN k ON k.rn = s.rn + 1)
+SELECT row_id, kept FROM s WHERE rn > 0""".replace("{NORM}", NORM_URL_SQL))
 def greedy_batch_filter(spark, d):
     p = table(spark, d, "pages").select(F.col("page_id").alias("row_id"), "url", F.regexp_extract("html", r"(?s)<h1>(.*?)(?:</h1>|$)", 1).alias("title"), F.col("page_id").alias("pos"))
     return dedup.greedy_batch(p).select("row_id", "kept")
@@ -337,31 +341,36 @@ def citation_relations(spark, d):
     return relations.citations(docs, items).where("rel = 'references'").select("from_id", "to_id", "rel", "location")
 
 
-VIEWS_SQL = """v AS (SELECT doc_id, substr(text, 1, 24) AS title, lang AS region_name, source AS issuer, CAST(2000 + doc_id % 9 AS INTEGER) AS year, concat(lang, CAST(doc_id % 40 AS VARCHAR)) AS theme FROM documents WHERE length(text) > 30)"""
+VIEWS_SQL = """v AS (SELECT doc_id, lang AS region_name, source AS issuer, doc_id % 3 AS rank, CAST(2000 + doc_id % 9 AS INTEGER) AS year, concat(lang, CAST(doc_id % 40 AS VARCHAR)) AS theme FROM documents),
+basis AS (SELECT a.doc_id AS f, b.doc_id AS t FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 40 WHERE a.doc_id % 2 = 0)"""
 
 
 def first_line(c: str) -> F.Column:
     return F.substring_index(F.coalesce(F.col(c), F.lit("")), "\n", 1)
 
 
-def views_of(spark, d, whole: bool = False):
-    """Documents as views; with whole=True all of them, with their first lines as titles, else what VIEWS_SQL takes."""
+def views_of(spark, d, whole: bool = True):
+    """All documents as views, with their whole first lines as titles; levels differ by doc_id % 3."""
     x = table(spark, d, "documents")
-    x, title = (x, first_line("text")) if whole else (x.where(F.length("text") > 30), F.substring("text", 1, 24))
-    return x.select("doc_id", title.alias("title"), F.lit("市").alias("region_level"), F.col("lang").alias("region_name"), F.col("source").alias("issuer"), (F.lit(2000) + F.col("doc_id") % 9).cast("int").alias("year"), F.concat("lang", (F.col("doc_id") % 40).cast("string")).alias("primary_theme"), F.col("doc_id").alias("pos"))
+    level = F.element_at(F.array(F.lit("县"), F.lit("市"), F.lit("省")), (F.col("doc_id") % 3 + 1).cast("int"))
+    return x.select("doc_id", first_line("text").alias("title"), level.alias("region_level"), F.col("lang").alias("region_name"), F.col("source").alias("issuer"), (F.lit(2000) + F.col("doc_id") % 9).cast("int").alias("year"), F.concat("lang", (F.col("doc_id") % 40).cast("string")).alias("primary_theme"), F.col("doc_id").alias("pos"))
+
+
+def basis_of(spark, d):
+    """Each even document rests on the one 40 further on."""
+    x = table(spark, d, "documents").select("doc_id")
+    return x.where("doc_id % 2 = 0").select(F.col("doc_id").alias("from_id"), (F.col("doc_id") + 40).alias("to_id")).join(x.withColumnRenamed("doc_id", "to_id"), "to_id", "left_semi").select("from_id", "to_id")
 
 
-@query(f"""WITH {VIEWS_SQL}, p AS (SELECT a.doc_id AS from_id, b.doc_id AS to_id, a.issuer = b.issuer AS same, a.year < b.year AS older FROM v a JOIN v b ON a.theme = b.theme AND a.doc_id <> b.doc_id AND abs(a.year - b.year) <= 3)
-SELECT from_id, to_id, 'iterates' AS rel FROM p WHERE same AND older UNION ALL SELECT from_id, to_id, 'aligns_with' FROM p WHERE NOT same""")
+@query(f"""WITH {VIEWS_SQL}, p AS (SELECT a.doc_id AS from_id, b.doc_id AS to_id, a.issuer = b.issuer AS same, a.year < b.year AS older, abs(a.year - b.year) <= 3 AS near, a.rank < b.rank AS lower_level, EXISTS (SELECT 1 FROM basis WHERE f = a.doc_id AND t = b.doc_id) AS ab, EXISTS (SELECT 1 FROM basis WHERE f = b.doc_id AND t = a.doc_id) AS ba FROM v a JOIN v b ON a.theme = b.theme AND a.doc_id <> b.doc_id)
+SELECT from_id, to_id, 'iterates' AS rel FROM p WHERE near AND same AND older UNION ALL SELECT from_id, to_id, 'derives_from' FROM p WHERE ab AND lower_level UNION ALL SELECT from_id, to_id, 'aligns_with' FROM p WHERE near AND NOT same AND NOT ab AND NOT ba""")
 def semantic_candidates(spark, d):
-    none = spark.createDataFrame([], "from_id long, to_id long")
-    return relations.semantic_pairs(views_of(spark, d), none).select("from_id", "to_id", "rel")
+    return relations.semantic_pairs(views_of(spark, d), basis_of(spark, d)).select("from_id", "to_id", "rel")
 
 
 @query()
 def semantic_candidates_capped(spark, d):
-    none = spark.createDataFrame([], "from_id long, to_id long")
-    return relations.cap_candidates(relations.semantic_pairs(views_of(spark, d, whole=True), none), 8).select("from_id", "to_id", "rel", F.round("sim", 6).alias("sim"))
+    return relations.cap_candidates(relations.semantic_pairs(views_of(spark, d), basis_of(spark, d)), 8).select("from_id", "to_id", "rel", F.round("sim", 6).alias("sim"))
 
 
 @query(r"""SELECT doc_id, CASE WHEN lower(text) LIKE '%license%' THEN 'skip_junk' WHEN regexp_matches(text, '[0-9]{6,}') THEN 'market_intel' ELSE 'ingest' END AS disposition FROM documents""")
@@ -392,12 +401,28 @@ def page_titles(spark, d):
     return p.select("page_id", F.length(F.regexp_replace("html", "[^<]", "")).cast("long").alias("tags"), F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"))
 
 
-@query()
+LINKS_SQL = r"""a AS (SELECT page_id, url AS base, generate_subscripts(l, 1) - 1 AS pos, unnest(l) AS a FROM (SELECT page_id, url, regexp_extract_all(coalesce(html, ''), '(?is)<a\s[^>]*?href\s*=\s*["''][^"'']*["''][^>]*>.*?</a>[^<]{0,200}') AS l FROM pages) x),
+b AS (SELECT page_id, base, pos, a, trim(regexp_extract(a, '(?is)href\s*=\s*["'']([^"'']*)["'']', 1)) AS href, trim(regexp_replace(regexp_replace(regexp_extract(a, '(?is)^<a\s[^>]*>(.*?)</a>', 1), '(?s)<[^>]*>', '', 'g'), '\s+', ' ', 'g')) AS title, regexp_extract(base, '^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)', 1) AS origin FROM a),
+c AS (SELECT *, CASE WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.\-]*:') THEN href WHEN href LIKE '//%' THEN concat(regexp_extract(base, '^([A-Za-z][A-Za-z0-9+.\-]*:)', 1), href) WHEN href LIKE '/%' THEN concat(origin, href) WHEN href = '' THEN base ELSE concat(regexp_replace(regexp_extract(base, '^([^?#]*)', 1), '[^/]*$', ''), regexp_replace(href, '^(\./)+', '')) END AS url FROM b WHERE length(title) BETWEEN 5 AND 200 AND NOT regexp_matches(href, '(?i)^(javascript:|#|mailto:)'))"""
+DATE_SQL = r"'(20\d{2})[-/.年](\d{1,2})[-/.月](\d{1,2})'"
+
+
+@query(f"""WITH {LINKS_SQL} SELECT page_id, CAST(pos AS INTEGER) AS pos, title, url, CASE WHEN regexp_matches(a, {DATE_SQL}) THEN concat_ws('-', regexp_extract(a, {DATE_SQL}, 1), lpad(regexp_extract(a, {DATE_SQL}, 2), 2, '0'), lpad(regexp_extract(a, {DATE_SQL}, 3), 2, '0')) ELSE '' END AS date_hint FROM (SELECT *, row_number() OVER (PARTITION BY page_id, url ORDER BY pos) AS rn FROM c) x WHERE rn = 1""")
 def link_items(spark, d):
     return readers.page_items(table(spark, d, "pages"), None)
 
 
-@query()
+BODY_SQL = "coalesce(html, '')"
+for _tag in ("script", "style", "nav", "header", "footer"):
+    BODY_SQL = rf"regexp_replace({BODY_SQL}, '(?is)<{_tag}\b.*?</{_tag}\s*>', ' ', 'g')"
+BODY_SQL = rf"regexp_replace({BODY_SQL}, '(?s)<!--.*?-->|<[^>]*>', ' ', 'g')"
+for _name, _char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+    BODY_SQL = f"replace({BODY_SQL}, '{_name}', '{_char}')"
+BODY_SQL = rf"trim(regexp_replace({BODY_SQL}, '\s+', ' ', 'g'))"
+
+
+@query(rf"""WITH p AS (SELECT page_id, {BODY_SQL} AS t, lower(coalesce(html, '')) AS h FROM pages), c AS (SELECT *, len(regexp_extract_all(h, '<a\s[^>]*href')) AS links, len(regexp_extract_all(h, '<a\s[^>]*href[^<]*<[^>]*>[^<]{{0,80}}20\d{{2}}[-/.年]\d{{1,2}}|20\d{{2}}[-/.年]\d{{1,2}}[^<]{{0,40}}<[^>]*>\s*<a\s[^>]*href')) AS dated FROM p)
+SELECT page_id, CASE WHEN length(t) >= 200 THEN t END AS body, CASE WHEN trim(h) = '' THEN 'empty' WHEN (contains(h, '下一页') OR contains(h, '下页') OR contains(h, 'next')) AND links > 0 OR dated >= 3 THEN 'ok' WHEN links > 0 THEN 'structure_unknown' ELSE 'empty' END AS verdict FROM c""")
 def main_text(spark, d):
     return table(spark, d, "pages").select("page_id", T.strip_html(F.col("html"), 200).alias("body"), filters.list_page_verdict(F.col("html")).alias("verdict"))
 
@@ -412,11 +437,12 @@ def ids_in_lines(spark, d):
     return filters.ids_in_text(table(spark, d, "documents"), r"[0-9]{8,}")
 
 
-@query("""SELECT a.doc_id AS a, b.doc_id AS b, round(len(list_intersect(list_distinct(string_split(substr(a.text, 1, 20), '')), list_distinct(string_split(substr(b.text, 1, 20), '')))) / len(list_distinct(list_concat(string_split(substr(a.text, 1, 20), ''), string_split(substr(b.text, 1, 20), '')))), 6) AS jaccard FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1""")
+@query("""WITH c AS (SELECT doc_id, list_distinct(string_split(split_part(coalesce(text, ''), chr(10), 1), '')) AS a, list_distinct(string_split(coalesce(text, ''), '')) AS b FROM documents)
+SELECT doc_id, CASE WHEN len(list_filter(b, lambda x: x <> '')) = 0 THEN 0 ELSE round(len(list_filter(list_intersect(a, b), lambda x: x <> '')) / len(list_filter(list_distinct(list_concat(a, b)), lambda x: x <> '')), 6) END AS jaccard FROM c""")
 def title_similarity(spark, d):
-    x = table(spark, d, "documents").select("doc_id", F.substring("text", 1, 20).alias("t"))
-    y = x.select((F.col("doc_id") - 1).alias("k"), F.col("doc_id").alias("b"), F.col("t").alias("u"))
-    return x.join(y, F.col("doc_id") == F.col("k")).select(F.col("doc_id").alias("a"), "b", F.round(T.char_jaccard(F.col("t"), F.col("u")), 6).alias("jaccard"))
+    """The characters of each document's first line against those of its whole text."""
+    x = table(spark, d, "documents").select("doc_id", first_line("text").alias("t"), F.coalesce("text", F.lit("")).alias("u"))
+    return x.select("doc_id", F.round(T.char_jaccard(F.col("t"), F.col("u")), 6).alias("jaccard"))
 
 
 @query()
@@ -622,10 +648,9 @@ def provenance_class(spark, d):
     return c.select("c_custkey", filters.provenance_class(row, "BUILDING", ["m"], ["zz"], ["a", "b"])["action"].alias("action"))
 
 
-@query("""SELECT least(c_nationkey, s_nationkey) AS a, greatest(c_nationkey, s_nationkey) AS b, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey WHERE l_quantity > 48 GROUP BY 1, 2""")
+@query("""SELECT least(c_nationkey, s_nationkey) AS a, greatest(c_nationkey, s_nationkey) AS b, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2""")
 def canonical_pairs(spark, d):
-    l = table(spark, d, "lineitem").where("l_quantity > 48")
-    j = l.join(table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(table(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    j = table(spark, d, "lineitem").join(table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(table(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
     a, b = relations.canonical_pair(F.col("c_nationkey"), F.col("s_nationkey"), F.lit(True))
     return j.select(a.alias("a"), b.alias("b")).groupBy("a", "b").agg(F.count("*").alias("n"))
 
@@ -713,13 +738,15 @@ def url_dates(spark, d):
     return o.select("o_orderkey", x["date"].alias("date"), x["method"].alias("method"))
 
 
-@query()
+@query(r"""WITH t AS (SELECT doc_id, regexp_replace(regexp_replace(split_part(coalesce(text, ''), chr(10), 1), '[《》【】\s]', '', 'g'), '（[^）]*）|\([^)]*\)', '', 'g') AS n FROM documents), u AS (SELECT n, min(doc_id) AS doc_id FROM t WHERE n <> '' GROUP BY n),
+h AS (SELECT q.n, row_number() OVER (PARTITION BY q.n ORDER BY abs(length(q.n) - length(u.n)), u.doc_id) AS rn, u.doc_id FROM (SELECT DISTINCT n FROM t WHERE length(n) >= 6) q JOIN u ON contains(u.n, q.n) OR length(u.n) >= 10 AND contains(q.n, u.n))
+SELECT t.doc_id AS query_id, h.doc_id FROM t JOIN h ON t.n = h.n AND rn = 1""")
 def title_matches(spark, d):
     docs = table(spark, d, "documents").select("doc_id", first_line("text").alias("title"))
     return dedup.match_titles(docs.select(F.col("doc_id").alias("query_id"), F.col("title").alias("name")), docs).select("query_id", "doc_id")
 
 
-@query()
+@query("""SELECT o_orderkey, o_orderpriority FROM (SELECT o_orderkey, o_orderpriority, row_number() OVER (PARTITION BY o_orderpriority ORDER BY md5(concat(CAST(o_orderkey AS VARCHAR), '#7')), o_orderkey) AS rn FROM orders) x WHERE rn <= 5""")
 def seeded_sample(spark, d):
     return ranking.seeded_sample(table(spark, d, "orders").select("o_orderkey", "o_orderpriority"), "o_orderpriority", "o_orderkey", 5)
 
