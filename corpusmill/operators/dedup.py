@@ -56,17 +56,19 @@ def duplicate_groups(docs: DataFrame) -> DataFrame:
     d = docs.withColumn("_u", normalize_url(F.col("url"))).withColumn("_n", normalize_number(F.col("number"))).withColumn("_t", normalize_title(F.col("title")))
 
     def to_first(key: str) -> DataFrame:
-        w = Window.partitionBy(key).orderBy("pos", "doc_id")
-        first = lambda c: F.first(c).over(w)
-        return d.where(F.col(key) != "").select("doc_id", first("doc_id").alias("dst"), "_n", first("_n").alias("_fn"))
+        # a combining aggregate and a join, so that a key in very many rows fills no task
+        first = stage(d.where(F.col(key) != "").groupBy(key).agg(F.min(F.struct("pos", "doc_id", "_n")).alias("f")))
+        return d.join(first, key).select("doc_id", F.col("f.doc_id").alias("dst"), "_n", F.col("f._n").alias("_fn"))
 
     same = lambda e: e.where("doc_id <> dst").select(F.col("doc_id").alias("src"), "dst")
     titles = to_first("_t").where("_n = '' OR _fn = '' OR _n = _fn")
     edges = same(to_first("_u")).union(same(to_first("_n"))).union(same(titles))
     parts = components(edges)
     g = docs.join(parts, F.col("doc_id") == F.col("node")).drop("node").withColumnRenamed("component", "group_id")
-    w = Window.partitionBy("group_id").orderBy(F.when(F.trim(F.coalesce("number", F.lit(""))) != "", 0).otherwise(1), F.coalesce(F.nullif(F.col("date"), F.lit("")), F.lit("9999")), "doc_id")
-    return g.withColumn("keep_id", F.first("doc_id").over(w))
+    rank = F.struct(F.when(F.trim(F.coalesce("number", F.lit(""))) != "", 0).otherwise(1).alias("none"), F.coalesce(F.nullif(F.col("date"), F.lit("")), F.lit("9999")).alias("date"), F.col("doc_id").alias("id"))
+    g = stage(g)
+    best = stage(g.groupBy("group_id").agg(F.min(rank).alias("_best")).select("group_id", F.col("_best.id").alias("keep_id")))
+    return g.join(best, "group_id").select(*docs.columns, "group_id", "keep_id")
 
 
 def mark_duplicates(docs: DataFrame, rule: str, on: str) -> DataFrame:

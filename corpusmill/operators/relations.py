@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..functions.text import any_of, char_set, key_id, set_jaccard, window_around, window_from_anchor
+from .tables import stage
 
 
 def union_sources(**sources: DataFrame) -> DataFrame:
@@ -175,21 +176,25 @@ def semantic_pairs(views: DataFrame, basis: DataFrame, window_years: int = 3, ex
     v = views.where(F.coalesce(F.col("primary_theme"), F.lit("")) != "").withColumn("chars", char_set(F.col("title")))
     a = v.select(*[F.col(c).alias(f"a_{c}") for c in v.columns])
     b = v.select(*[F.col(c).alias(f"b_{c}") for c in v.columns])
-    pairs = a.join(b, (F.col("a_primary_theme") == F.col("b_primary_theme")) & (F.col("a_doc_id") != F.col("b_doc_id")))
-    known = basis.select(F.col("from_id").alias("_f"), F.col("to_id").alias("_t")).distinct()
-    forth = known.select("_f", "_t", F.lit(True).alias("ab"))
-    back = known.select(F.col("_t").alias("_f2"), F.col("_f").alias("_t2"), F.lit(True).alias("ba"))
-    pairs = pairs.join(forth, (F.col("a_doc_id") == F.col("_f")) & (F.col("b_doc_id") == F.col("_t")), "left").join(back, (F.col("a_doc_id") == F.col("_f2")) & (F.col("b_doc_id") == F.col("_t2")), "left")
-    near = F.coalesce(F.abs(F.col("a_year") - F.col("b_year")) <= window_years, F.lit(False))
-    older = near & (F.col("a_year") < F.col("b_year"))
+    known = stage(basis.select(F.col("from_id").alias("_f"), F.col("to_id").alias("_t")).distinct())
     rel = lambda name, bonus, *tags: F.struct(F.lit(name).alias("rel"), F.lit(bonus).alias("bonus"), F.array(*map(F.lit, tags)).alias("tags"))
+    # rules of near years: an equi-join on theme and year, each source asking for the years of its window
+    asks = a.withColumn("_year", F.explode(F.sequence(F.col("a_year") - window_years, F.col("a_year") + window_years)))
+    near = asks.join(b, (F.col("a_primary_theme") == F.col("b_primary_theme")) & (F.col("_year") == F.col("b_year")) & (F.col("a_doc_id") != F.col("b_doc_id"))).drop("_year")
+    tied = known.union(known.select("_t", "_f")).distinct().withColumn("tied", F.lit(True))
+    near = near.join(tied, (F.col("a_doc_id") == F.col("_f")) & (F.col("b_doc_id") == F.col("_t")), "left").drop("_f", "_t")
+    older = F.col("a_year") < F.col("b_year")
     differ = ~(F.col("a_region_name").eqNullSafe(F.col("b_region_name")) & F.col("a_issuer").eqNullSafe(F.col("b_issuer")))
-    kinds = F.array_compact(F.array(
+    by_year = F.array_compact(F.array(
         F.when(older & (F.coalesce("a_issuer", F.lit("")) != "") & (F.col("a_issuer") == F.col("b_issuer")), rel("iterates", 0.0, "same_issuer", "same_theme", "year_increasing")),
         F.when(older & any_of(F.col("b_title"), extend_words), rel("extends", 0.0, "same_theme", "year_increasing", "scope_extend_word")),
-        F.when(F.col("ab") & (region_rank(F.col("a_region_level")) < region_rank(F.col("b_region_level"))), rel("derives_from", 2.0, "basis_relation_present", "lower_region_level", "same_theme")),
-        F.when(near & differ & F.col("ab").isNull() & F.col("ba").isNull(), rel("aligns_with", 0.0, "same_theme", "cross_region_or_dept")),
+        F.when(differ & F.col("tied").isNull(), rel("aligns_with", 0.0, "same_theme", "cross_region_or_dept")),
     ))
+    # the rule of known bases starts from these pairs, whatever their years
+    lower = region_rank(F.col("a_region_level")) < region_rank(F.col("b_region_level"))
+    based = known.join(a, F.col("_f") == F.col("a_doc_id")).join(b, (F.col("_t") == F.col("b_doc_id")) & (F.col("a_primary_theme") == F.col("b_primary_theme")) & (F.col("a_doc_id") != F.col("b_doc_id"))).where(lower).drop("_f", "_t")
+    pairs = near.withColumn("kinds", by_year).drop("tied").unionByName(based.withColumn("kinds", F.array(rel("derives_from", 2.0, "basis_relation_present", "lower_region_level", "same_theme"))))
+    kinds = F.col("kinds")
     # the similarity is computed behind the rules: for pairs that have a relation, and only where it is asked for
     related = pairs.select(F.col("a_doc_id").alias("from_id"), F.col("b_doc_id").alias("to_id"), F.col("a_primary_theme").alias("primary_theme"), F.col("a_pos").alias("pos"), "a_chars", "b_chars", F.explode(kinds).alias("k"))
     sim = F.lit(1.0) + set_jaccard(F.col("a_chars"), F.col("b_chars")) + F.col("k.bonus")
