@@ -236,3 +236,21 @@ def year_of(date: Column) -> Column:
 def reasons(*pairs: tuple[Column, Column | str]) -> Column:
     """The reasons whose condition holds, in the given order."""
     return F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), r if isinstance(r, Column) else F.lit(r)) for c, r in pairs]))
+
+
+def title_of_file(name: Column) -> Column:
+    """A title out of a file name (G28): what 【】 at its beginning hold, else the name without .md, a host at the end and the extension of a page; never empty where the stem isn't."""
+    stem = F.regexp_replace(name, r"\.md(?!.*\.md).*$", "")
+    bare = F.trim(F.regexp_replace(F.regexp_replace(stem, r"\s*-\s*[\p{L}\p{N}_.-]+\.[\p{L}\p{N}_.]+$", ""), r"(?i)\.(pdf|html|htm|shtml)$", ""))
+    marked = F.regexp_extract(stem, "^【(.*?)】", 1)
+    return F.when(stem.rlike("^【.*?】"), F.trim(marked)).otherwise(F.coalesce(F.nullif(bare, F.lit("")), F.trim(stem)))
+
+
+def region_or_empty(region: Column) -> Column:
+    """A region struct without nulls; a missing region has empty fields."""
+    return F.struct(*[sanitize(F.coalesce(region[k], F.lit(""))).alias(k) for k in ("level", "code", "name")])
+
+
+def first_url(*urls: Column) -> Column:
+    """The first URL that isn't empty, '' if none."""
+    return sanitize(F.coalesce(*[F.nullif(u, F.lit("")) for u in urls], F.lit("")))

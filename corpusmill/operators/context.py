@@ -171,3 +171,38 @@ def dominant(df: DataFrame, key: str, kind: str, k: int = 3) -> DataFrame:
     """(key, rank, kind, n): the k most common kinds of each key, ties by kind."""
     n = df.groupBy(key, kind).agg(F.count("*").alias("n"))
     return n.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("n"), F.asc(kind)))).where(F.col("rank") <= k)
+
+
+def overlay(docs: DataFrame, derived: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Documents with themes, primary_theme and importance of a derived table (one row a key) in place of their own.
+
+    Where the table has no row, or a null, the themes are empty, the primary theme is '' and the importance is null.
+    """
+    names = ("themes", "primary_theme", "importance")
+    d = derived.select(F.col(key).alias("_k"), *[F.col(c).alias(f"_{c}") for c in names])
+    j = docs.drop(*names).join(d, F.col(key) == F.col("_k"), "left").drop("_k")
+    return j.withColumns({"themes": F.coalesce("_themes", F.array().cast("array<string>")), "primary_theme": F.coalesce("_primary_theme", F.lit("")), "importance": F.col("_importance")}).drop("_themes", "_primary_theme", "_importance")
+
+
+#: Fields of the two summaries, with what stands where nothing is known.
+RELATION_COUNTS = ("references_out", "references_in", "cites_basis_out", "cites_basis_in", "supersedes_out", "superseded_by_count", "clarifies_out", "clarified_by_count")
+SIGNAL_DEFAULTS = {"commentary_attention": ("attention_level", "low"), "market_validation": ("validation_level", "none"), "certainty_adjustment": ("certainty_adjustment", "neutral")}
+
+
+def relation_summary(row: dict[str, Column]) -> Column:
+    """STRUCT of the relation counts, 0 where a column is missing or null, and the counts of other relations, an empty map."""
+    counts = [F.coalesce(row[c], F.lit(0)).cast("long").alias(c) if c in row else F.lit(0).cast("long").alias(c) for c in RELATION_COUNTS]
+    return F.struct(*counts, F.coalesce(row.get("other_rel_counts", F.lit(None)), F.create_map().cast("map<string,bigint>")).alias("other_rel_counts"))
+
+
+def signal_summary(row: dict[str, Column]) -> Column:
+    """STRUCT of a document's signals carried over, with defaults where they are missing, null or empty."""
+    count = lambda c: F.coalesce(row[c], F.lit(0)).cast("long").alias(c)
+    levels = [F.coalesce(F.nullif(row[c], F.lit("")), F.lit(default)).alias(name) for name, (c, default) in SIGNAL_DEFAULTS.items()]
+    return F.struct(count("commentary_signal_count"), count("market_signal_count"), *levels, F.coalesce(row["internal_notes"], F.array().cast("array<string>")).alias("internal_notes"))
+
+
+def signal_refs(commentary_ids: Column, market_ids: Column) -> Column:
+    """STRUCT of sorted ids without nulls and empty ones."""
+    clean = lambda c: F.array_sort(F.filter(F.coalesce(c.cast("array<string>"), F.array().cast("array<string>")), lambda x: F.coalesce(x, F.lit("")) != ""))
+    return F.struct(clean(commentary_ids).alias("commentary_ids"), clean(market_ids).alias("market_signal_ids"))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import dates
 from ..functions import text as T
-from ..operators import filters, identity, incremental, monitoring, ranking
+from ..operators import context, filters, identity, incremental, monitoring, ranking, relations
 from ..operators.tables import new_path
 from ..sources import sinks
 from . import jobs
@@ -267,3 +268,64 @@ def keyed_appends(spark, d):
     sinks.append_absent(c.where("c_custkey % 2 = 0").select("c_custkey", F.lit("first").alias("batch")), path, ["c_custkey"])
     sinks.append_absent(c.select("c_custkey", F.lit("second").alias("batch")), path, ["c_custkey"])
     return spark.read.parquet(path)
+
+
+@query("""WITH e AS (SELECT DISTINCT c_nationkey AS a, s_nationkey AS b FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey)
+SELECT CAST(n_nationkey AS VARCHAR) AS node_id, (SELECT count(*) FROM e WHERE a = n_nationkey) AS n_out, (SELECT count(*) FROM e WHERE b = n_nationkey) AS n_in FROM nation WHERE n_nationkey IN (SELECT a FROM e UNION SELECT b FROM e)""")
+def adjacency_index(spark, d):
+    """The index written and read back."""
+    j = table(spark, d, "lineitem").join(table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(table(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    e = j.select(text_of("c_nationkey").alias("from_id"), text_of("s_nationkey").alias("to_id"), F.lit("references").alias("rel"), F.lit(0.5).alias("confidence"), F.lit("x").alias("source")).distinct()
+    path, nodes = new_path(spark, "adjacency"), relations.adjacency(e)
+    sinks.write_adjacency(nodes, path)
+    back = spark.read.schema(nodes.schema).json(path)
+    return back.select("node_id", F.size("outbound").cast("long").alias("n_out"), F.size("inbound").cast("long").alias("n_in"))
+
+
+# ---- overlays, repairs, defaults -----------------------------------------------------------------------------------------------------------
+
+@query("""SELECT d.doc_id, CASE WHEN d.doc_id % 3 = 0 THEN source || ',x' ELSE '' END AS themes, CASE WHEN d.doc_id % 6 = 0 THEN lang ELSE '' END AS primary_theme, CASE WHEN d.doc_id % 3 = 0 THEN 4 ELSE -1 END AS importance FROM documents d""")
+def overlaid_views(spark, d):
+    """C13."""
+    x = table(spark, d, "documents").withColumn("primary_theme", F.lit("own"))
+    derived = x.where("doc_id % 3 = 0").select("doc_id", F.array("source", F.lit("x")).alias("themes"), F.when(F.col("doc_id") % 6 == 0, F.col("lang")).alias("primary_theme"), F.lit(4).alias("importance"))
+    return context.overlay(x, derived).select("doc_id", F.array_join("themes", ",").alias("themes"), "primary_theme", F.coalesce("importance", F.lit(-1)).alias("importance"))
+
+
+@query(r"""WITH n AS (SELECT c_custkey, c_name, c_custkey % 5 AS k FROM customer)
+SELECT c_custkey, CASE k WHEN 0 THEN concat('T ', c_name) WHEN 4 THEN '-a.b' ELSE c_name END AS title FROM n""")
+def repaired_titles(spark, d):
+    """G28."""
+    c, name = table(spark, d, "customer"), F.col("c_name")
+    k = F.col("c_custkey") % 5
+    file = F.when(k == 0, F.concat(F.lit("【 T "), name, F.lit(" 】rest.md"))).when(k == 1, F.concat(name, F.lit(" - www.example.org.md"))).when(k == 2, F.concat(name, F.lit(".PDF.md"))).when(k == 3, F.concat(name, F.lit(".shtml - x.y"))).otherwise(F.lit("-a.b.md"))
+    return c.select("c_custkey", T.title_of_file(file).alias("title"))
+
+
+@query("""SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN n_name ELSE '' END AS region, CASE WHEN n_nationkey % 3 = 0 THEN concat('http://p/', n_name) WHEN n_nationkey % 3 = 1 THEN concat('http://s/', n_name) ELSE '' END AS url FROM nation""")
+def market_fallbacks(spark, d):
+    """Regions and URLs."""
+    n = table(spark, d, "nation")
+    region = F.when(F.col("n_nationkey") % 2 == 0, F.struct(F.lit(None).cast("string").alias("level"), F.lit("1").alias("code"), F.col("n_name").alias("name")))
+    k = F.col("n_nationkey") % 3
+    url = T.first_url(F.when(k == 0, F.concat(F.lit("http://p/"), "n_name")).when(k == 1, F.lit("")), F.when(k < 2, F.concat(F.lit("http://s/"), "n_name")))
+    return n.select("n_nationkey", T.region_or_empty(region)["name"].alias("region"), url.alias("url"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 2 THEN '' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day FROM orders""")
+def iso_days(spark, d):
+    """Dates, timestamps and nulls."""
+    k, day = F.col("o_orderkey") % 3, F.col("o_orderdate")
+    as_day, as_time = dates.iso_date(day.cast("date")), dates.iso_date(F.when(k == 1, day.cast("timestamp")))
+    return table(spark, d, "orders").select("o_orderkey", F.when(k == 0, as_day).otherwise(as_time).alias("day"))
+
+
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_nationkey ELSE 0 END AS n, CASE WHEN c_custkey % 4 = 0 THEN 'high' ELSE 'low' END AS attention, 'none' AS validation, 0 AS supersedes, CASE WHEN c_custkey % 4 = 0 THEN 'a,b' ELSE '' END AS refs FROM customer""")
+def default_summaries(spark, d):
+    """Summaries carried over where there are signals, defaults elsewhere."""
+    c, even = table(spark, d, "customer"), F.col("c_custkey") % 2 == 0
+    fourth = F.col("c_custkey") % 4 == 0
+    row = {"commentary_signal_count": F.when(even, F.col("c_nationkey")), "market_signal_count": F.lit(None), "attention_level": F.when(fourth, "high").when(even, ""), "validation_level": F.lit(None).cast("string"), "certainty_adjustment": F.lit(None).cast("string"), "internal_notes": F.lit(None).cast("array<string>")}
+    s, r = context.signal_summary(row), context.relation_summary({"references_out": F.col("c_nationkey")})
+    refs = context.signal_refs(F.when(fourth, F.array(F.lit("b"), F.lit(""), F.lit("a"), F.lit(None))), F.lit(None))
+    return c.select("c_custkey", s["commentary_signal_count"].alias("n"), s["commentary_attention"].alias("attention"), s["market_validation"].alias("validation"), r["supersedes_out"].alias("supersedes"), F.array_join(refs["commentary_ids"], ",").alias("refs"))
