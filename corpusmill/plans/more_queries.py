@@ -10,7 +10,7 @@ from ..operators import context, filters, identity, incremental, monitoring, ran
 from ..operators.tables import new_path
 from ..sources import sinks
 from . import jobs
-from .queries import query, table
+from .queries import first_line, query, table
 
 
 def text_of(c: str) -> F.Column:
@@ -88,10 +88,10 @@ def reprobed_channels(spark, d):
     return jobs.reprobe(channels, probes, "2026-01-01").select("p_partkey", "transition", "status", "last_probed_at")
 
 
-@query("""SELECT doc_id, CASE WHEN contains(coalesce(text, ''), 'the') THEN 'commentary' ELSE 'stays' END AS lane FROM documents""")
+@query("""SELECT doc_id, CASE WHEN contains(split_part(coalesce(text, ''), chr(10), 1), 'the') THEN 'commentary' ELSE 'stays' END AS lane FROM documents""")
 def routed_interpretations(spark, d):
-    """Which documents are interpretations of others, by words in their titles (here the whole text)."""
-    docs = table(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("title"))
+    """Which documents are interpretations of others, by words in their titles, the whole first lines."""
+    docs = table(spark, d, "documents").select("doc_id", first_line("text").alias("title"))
     stay, moved = jobs.route_interpretations(docs, ["the"])
     return stay.select("doc_id", F.lit("stays").alias("lane")).union(moved.select("doc_id", F.lit("commentary")))
 
