@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -115,25 +116,75 @@ def demote_contradictions(rows: DataFrame, symmetric: Iterable[str] = ("aligns_w
     return rows.withColumn("_kinds", kinds).withColumn("contradiction", directed & (F.col("_kinds") > 1)).withColumn("decision", F.when(F.col("contradiction"), "manual_review").otherwise(F.col("decision"))).drop("_kinds")
 
 
-def citations(docs: DataFrame, targets: DataFrame, number_core: Column | None = None, broadcast_rows: int = 200_000) -> DataFrame:
+#: Kinds of contained texts: least bytes, bytes of a gram, and grams of a window of which the smallest stands for all.
+GRAM_KINDS = ((23, 8, 16), (8, 8, 1), (4, 4, 1), (1, 1, 1))
+
+
+def _grams(raw: bytes, width: int, span: int) -> np.ndarray:
+    """A key for each window of `span` grams of `width` bytes: equal windows have equal keys wherever they stand."""
+    n = len(raw) - width + 1
+    if n < span:
+        return np.empty(0, np.int64)
+    b = np.frombuffer(raw, np.uint8).astype(np.uint64)
+    x = np.zeros(n, np.uint64)
+    for k in range(width):
+        x |= b[k : k + n] << np.uint64(8 * k)
+    x *= np.uint64(0x9E3779B97F4A7C15)  # odd, so one to one; which gram is smallest then has nothing to do with its letters
+    x ^= x >> np.uint64(32)
+    return (np.lib.stride_tricks.sliding_window_view(x, span).min(axis=1) if span > 1 else x).view(np.int64)
+
+
+def contained(texts: DataFrame, parts: DataFrame, id_col: str, text_col: str, part_col: str) -> DataFrame:
+    """Distinct (id, part) whose text may contain the part, a superset to be checked: both share a key.
+
+    A part is looked up by the key of its last window, texts by all their keys; only kinds that parts have are computed for texts. Empty parts
+    are left out.
+    """
+    kinds_of = "kind int, key long"
+
+    def last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kind, key = [], []
+            for raw in batch.column(1).to_pylist():
+                kind.append(next(k for k, (least, _, _) in enumerate(GRAM_KINDS) if len(raw) >= least))
+                key.append(_grams(raw, *GRAM_KINDS[kind[-1]][1:])[-1])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kind, pa.int32()), pa.array(key, pa.int64())], [part_col, "kind", "key"])
+
+    p = parts.where(F.length(part_col) > 0).select(part_col).distinct()
+    p = stage(p.select(part_col, F.col(part_col).cast("binary").alias("raw")).mapInArrow(last, f"`{part_col}` string, {kinds_of}"))
+    present = [r.kind for r in p.select("kind").distinct().collect()]  # four at most
+
+    def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                raw = batch.column(1)[r].as_py()
+                for kind in present:
+                    key = np.unique(_grams(raw, *GRAM_KINDS[kind][1:]))
+                    if len(key):
+                        ids = batch.column(0).take(pa.array(np.full(len(key), r)))
+                        yield pa.RecordBatch.from_arrays([ids, pa.array(np.full(len(key), kind, np.int32)), pa.array(key)], [id_col, "kind", "key"])
+
+    ids = texts.select(id_col, F.col(text_col).cast("binary").alias("raw")).where("raw IS NOT NULL")
+    keys = ids.mapInArrow(every, f"`{id_col}` {dict(texts.dtypes)[id_col]}, {kinds_of}")
+    return keys.join(p, ["kind", "key"]).select(id_col, part_col).distinct()
+
+
+def citations(docs: DataFrame, targets: DataFrame, number_core: Column | None = None) -> DataFrame:
     """Which documents cite which numbers, and what kind of relation that is.
 
     docs: (doc_id, title, body); targets: (doc_id, number). For each number its first hit in the body without blanks counts; a document doesn't
     cite itself. One row per relation: (from_id, to_id, rel, number, location, evidence, confidence, rules, candidate_id).
     number_core: an expression over `number` whose value every citing body holds as a token that can be extracted with the
-    pattern in the same form (see citation_cores); without it, all numbers are tried in every body, which needs the number table to be small: its size is
-    checked against broadcast_rows.
+    pattern in the same form (see citation_cores); without it, numbers and bodies are joined on keys of their bytes (see contained).
     """
     n = targets.where(F.coalesce(F.col("number"), F.lit("")) != "").select(F.col("doc_id").alias("to_id"), F.regexp_replace("number", r"\s+", "").alias("number"))
     d = docs.withColumn("compact", F.regexp_replace(F.coalesce("body", F.lit("")), r"\s+", ""))
     if number_core is None:
-        if n.limit(broadcast_rows + 1).count() > broadcast_rows:
-            raise ValueError("too many numbers to try each in every body: pass number_core")
-        hit = d.join(F.broadcast(n), F.expr("contains(compact, number) AND doc_id <> to_id"))
+        pairs = contained(d, n, "doc_id", "compact", "number").join(n, "number").select("doc_id", "to_id", "number").distinct()
     else:
         cores = d.select("doc_id", F.explode(F.array_distinct(citation_cores(F.col("compact")))).alias("core"))
         pairs = cores.join(n.withColumn("core", number_core), "core").select("doc_id", "to_id", "number").distinct()
-        hit = d.join(pairs, "doc_id").where(F.expr("contains(compact, number) AND doc_id <> to_id"))
+    hit = d.join(pairs, "doc_id").where(F.expr("contains(compact, number) AND doc_id <> to_id"))
     at_raw, at = F.expr("instr(body, number)"), F.expr("instr(compact, number)")
     n_len = F.length("number")
     evidence = F.when(at_raw > 0, window_around(F.col("body"), at_raw, n_len)).otherwise(F.col("number"))
@@ -203,32 +254,39 @@ def semantic_pairs(views: DataFrame, basis: DataFrame, window_years: int = 3, ex
 
 def cap_candidates(pairs: DataFrame, top_k: int = 8) -> DataFrame:
     """Greedy cap per source (E3): by similarity, at most top_k rows a source; a symmetric pair counts once, and not when an end has top_k of
-    them; skipped pairs don't use up the quota. Exact per primary theme, as every rule needs equal themes; sources in order of pos."""
-    schema = pairs.select("from_id", "to_id", "rel", "sim", "tags", "primary_theme").schema
-
-    def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.assign(order=range(len(pdf))).sort_values(["pos", "from_id", "sim", "to_id", "rel_rank"], ascending=[True, True, False, True, True], kind="stable")
-        seen, degree, kept, out = set(), {}, {}, []
-        for k, (src, dst, rel) in enumerate(zip(pdf["from_id"], pdf["to_id"], pdf["rel"])):
-            if kept.get(src, 0) >= top_k:
-                continue
-            if rel == "aligns_with":
-                pair = (min(src, dst), max(src, dst))
-                if pair in seen or any(degree.get(p, 0) >= top_k for p in pair):
-                    continue
-                seen.add(pair)
-                for p in pair:
-                    degree[p] = degree.get(p, 0) + 1
-                out.append((k, *pair))
-            else:
-                out.append((k, src, dst))
-            kept[src] = kept.get(src, 0) + 1
-        got = pdf.iloc[[k for k, _, _ in out]].copy()
-        got["from_id"], got["to_id"] = [a for _, a, _ in out], [b for _, _, b in out]
-        return got[["from_id", "to_id", "rel", "sim", "tags", "primary_theme"]]
+    them; skipped pairs don't use up the quota. Exact per primary theme, as every rule needs equal themes; sources in order of pos. The ends of a
+    row differ.
 
+    Settled in rounds over written tables. At each end of a row, windows count the earlier rows that are kept and those still open: it goes
+    when the kept ones alone leave no room, and is kept when all open ones together would leave some. The first open row is always settled. A source
+    waits for those before it that ask for the same documents, so rounds grow with the documents of a theme over top_k.
+    """
     order = F.create_map(*[x for k, r in enumerate(rules.SEMANTIC_RELATIONS) for x in (F.lit(r), F.lit(k))])
-    return pairs.withColumn("rel_rank", F.element_at(order, F.col("rel"))).groupBy("primary_theme").applyInPandas(greedy, schema)
+    rows = stage(pairs.withColumn("row", F.monotonically_increasing_id()))
+    symmetric = F.col("rel") == "aligns_with"
+    keys = ["row", "pos", "from_id", "sim", "to_id", "rel_rank", "primary_theme", "symmetric", "kept"]
+    place = [F.col("pos").asc_nulls_last(), "from_id", F.col("sim").desc(), "to_id", "rel_rank", "row"]
+    play = rows.withColumns({"rel_rank": F.try_element_at(order, F.col("rel")), "symmetric": symmetric, "kept": F.lit(False)}).select(*keys)
+
+    def settle(play: DataFrame) -> DataFrame:
+        end = lambda node, peer, source: F.struct(F.col(node).alias("node"), F.col(peer).alias("peer"), F.lit(source).alias("source"))
+        ends = play.select(*keys, F.explode(F.array_compact(F.array(end("from_id", "to_id", True), F.when(F.col("symmetric"), end("to_id", "from_id", False))))).alias("e")).select(*keys, "e.*")
+        before = lambda *by: Window.partitionBy("primary_theme", *by).orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
+
+        def no_room(counted: Column) -> Column:
+            quota = F.count_if(F.col("source") & counted).over(before("node")) >= top_k
+            degree = F.count_if(F.col("symmetric") & counted).over(before("node")) >= top_k
+            again = F.count_if(F.col("symmetric") & counted).over(before("node", "peer")) > 0
+            return F.col("source") & quota | F.col("symmetric") & (degree | again)
+
+        judged = ends.withColumn("goes", no_room(F.col("kept"))).withColumn("waits", no_room(F.lit(True)))
+        judged = judged.groupBy(*keys).agg(F.bool_or("goes").alias("goes"), F.bool_or("waits").alias("waits"))
+        return judged.where("kept OR NOT goes").withColumn("kept", F.expr("kept OR NOT waits")).select(*keys)
+
+    while play.where("NOT kept").limit(1).count():
+        play = stage(settle(settle(play)))
+    a, b = canonical_pair(F.col("from_id"), F.col("to_id"), symmetric)
+    return rows.join(play.select("row"), "row", "left_semi").select(a.alias("from_id"), b.alias("to_id"), "rel", "sim", "tags", "primary_theme")
 
 
 def pair_evidence(pairs: DataFrame, views: DataFrame) -> DataFrame:
