@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import key_id, lines_of, readable, reasons, role_of, sanitize, signal_type_of, themes_of, time_validity, window_at_keyword
+from .relations import contained
 
 
 def related_ids(value: Column, pattern: str = r"P_[A-Za-z0-9_]+") -> Column:
@@ -47,12 +48,13 @@ def market_signals(rows: DataFrame, themes: Mapping[str, Iterable[str]]) -> Data
 
 
 def themes_by_table(texts: DataFrame, registry: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, theme_ids) with the registry as a table (theme_id, aliases array, pos): one pass per distinct term over the texts.
+    """(id, theme_ids) with the registry as a table (theme_id, aliases array, pos), by terms that the texts contain in any case.
 
-    The registry is a dimension; it is broadcast only while Spark's size estimate allows, and the join has no other condition than containment.
+    Texts and terms are joined on keys of their bytes (see relations.contained), then containment is checked; texts without a theme have no row.
     """
     terms = registry.select("theme_id", "pos", F.explode(F.concat(F.array("theme_id"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("term")).where(F.trim("term") != "").select("theme_id", "pos", F.lower(F.trim("term")).alias("term")).distinct()
-    hit = texts.select(F.col(id_col), F.lower(F.col(text_col)).alias("_t")).join(terms, F.expr("contains(_t, term)"))
+    low = texts.select(F.col(id_col), F.lower(F.col(text_col)).alias("_t"))
+    hit = low.join(contained(low, terms, id_col, "_t", "term"), id_col).where(F.expr("contains(_t, term)")).select(id_col, "term").join(terms, "term")
     return hit.groupBy(id_col).agg(F.transform(F.array_sort(F.collect_set(F.struct("pos", "theme_id"))), lambda x: x["theme_id"]).alias("theme_ids"))
 
 

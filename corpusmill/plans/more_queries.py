@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates
 from ..functions import text as T
-from ..operators import context, filters, identity, incremental, monitoring, ranking, relations
+from ..operators import context, filters, identity, incremental, monitoring, ranking, relations, signals
 from ..operators.tables import new_path
 from ..sources import sinks
 from . import jobs
@@ -217,6 +217,15 @@ def relevant_documents(spark, d):
     return table(spark, d, "documents").select("doc_id", filters.relevant([F.col("text"), F.col("source")], ["License", "water", "web"]).alias("relevant"))
 
 
+@query("""WITH r AS (SELECT item_id, concat('item_', CAST(item_id AS VARCHAR)) AS theme_id, trim(lower(concat(split_part(text, ' ', 1), ' ', split_part(text, ' ', 2)))) AS term FROM benchmark)
+SELECT doc_id, string_agg(theme_id, ',' ORDER BY item_id) AS themes FROM documents, r WHERE term <> '' AND contains(lower(text), term) OR contains(lower(text), theme_id) GROUP BY doc_id""")
+def registry_themes(spark, d):
+    """The first two words of each benchmark text as a theme's alias."""
+    alias = F.array(F.substring_index("text", " ", 2))
+    registry = table(spark, d, "benchmark").select(F.concat(F.lit("item_"), text_of("item_id")).alias("theme_id"), alias.alias("aliases"), F.col("item_id").alias("pos"))
+    return signals.themes_by_table(table(spark, d, "documents"), registry).select("doc_id", F.array_join("theme_ids", ",").alias("themes"))
+
+
 @query(r"""WITH p AS (SELECT page_id, url, trim(regexp_extract(url, '^[A-Za-z]+://[^/?#]*([^?#]*)', 1), '/') AS path, regexp_extract(url, '^[A-Za-z]+://([^/?#]*)', 1) AS h FROM pages)
 SELECT page_id, lower(path) NOT IN ('', 'index.html', 'index.htm') AND NOT regexp_matches(lower(path), 'search|sousuo|so\.html') AS policy, list_has_any(string_split(h, '.'), ['example', 'org']) AS area,
  CASE WHEN regexp_matches(lower(url), '\.(pdf|docx?|xlsx?|zip|jpg|png)$') THEN 'junk' WHEN page_id % 2 = 0 AND regexp_matches(lower(url), '(list|index|col|channel|zcfg|zwgk|tzgg)') THEN 'promotable' WHEN page_id % 2 = 0 THEN 'maybe' ELSE 'junk' END AS class FROM p""")
