@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import embedding_dedup, jaccard, line_dedup, mixing, oracles, packing, quality, suffix_dedup, token_counts, token_files, toxicity
+from . import embedding_dedup, jaccard, line_dedup, mixing, oracles, packing, quality, substring_dedup, suffix_dedup, token_counts, token_files, toxicity
 
 QUERIES = {
     "op1_embedding_dedup": embedding_dedup.op1_embedding_dedup,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_token_files": token_files.op9_token_files,
     "op10_ngram_jaccard": jaccard.op10_ngram_jaccard,
+    "op11_substring_dedup": substring_dedup.op11_substring_dedup,
 }
 
 SQL = {
     "op1_embedding_dedup": oracles.OP1_SQL,
     "op8_line_dedup": line_dedup.OP8_SQL,
     "op10_ngram_jaccard": oracles.OP10_SQL,
+    "op11_substring_dedup": substring_dedup.OP11_SQL,
 }
