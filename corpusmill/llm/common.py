@@ -31,7 +31,16 @@ def materialize(df: DataFrame) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that materialize() wrote, once all that is read from them is written itself. A lost executor can't need them: what was written later has no lineage to them."""
+    for table in tables:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.staged_at)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def row_hash(*columns: str) -> Column:

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_groups, materialize, mix64, powers, row_hash
+from .common import discard, map_groups, materialize, mix64, powers, row_hash
 
 WINDOW, GRAM = 13, 7
 #: Kinds of one reference shard (some 16 words each), and words of the buffer in which documents are hashed.
@@ -261,16 +261,19 @@ def least_ids(kinds: DataFrame, window: int, shard_kinds: int = SHARD_KINDS) ->
 
 
 def earlier_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_kinds: int = SHARD_KINDS) -> DataFrame:
-    """(doc_id, row, start, ids) of (doc_id, row, text): segments with a window whose least id in `ids` (one a window, from word `start` on) is smaller than doc_id."""
+    """A written table (doc_id, row, start, ids) of (doc_id, row, text): segments with a window whose least id in `ids` (one a window, from word `start` on) is smaller than doc_id."""
     rows = materialize(segment_rows(docs, window, gram))
     shared = materialize(rows.groupBy("anchor").agg(F.min("doc_id").alias("_a"), F.max("doc_id").alias("_z")).where("_a < _z").select("anchor"))
     again = materialize(rows.join(shared, "anchor"))
+    discard(rows, shared)
     first = F.min(F.struct("doc_id", "row", "start", "n")).alias("first")
     kinds = materialize(kind_words(docs, again.groupBy("anchor", "kind").agg(first), window))
     # written by itself, so that a kind with very many holders is split in the join
     least = materialize(least_ids(kinds, window, shard_kinds))
-    later = again.join(least, ["anchor", "kind"]).where(F.exists("ids", lambda x: x < F.col("doc_id")))
-    return later.select("doc_id", "row", "start", "ids")
+    discard(kinds)
+    later = materialize(again.join(least, ["anchor", "kind"]).where(F.exists("ids", lambda x: x < F.col("doc_id"))).select("doc_id", "row", "start", "ids"))
+    discard(again, least)
+    return later
 
 
 def remove_earlier(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_kinds: int = SHARD_KINDS) -> DataFrame:
@@ -281,7 +284,7 @@ def remove_earlier(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shar
     nothing. Extra columns are not looked at.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_hash("text").alias("row"), "text")
-    spans = materialize(earlier_windows(texts.where("doc_id IS NOT NULL AND text IS NOT NULL"), window, gram, shard_kinds))
+    spans = earlier_windows(texts.where("doc_id IS NOT NULL AND text IS NOT NULL"), window, gram, shard_kinds)
     per = spans.groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_row")).agg(F.collect_set(F.struct("start", "ids")).alias("s"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
