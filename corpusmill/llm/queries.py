@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import embedding_dedup, jaccard, line_dedup, mixing, oracles, packing, quality, substring_dedup, suffix_dedup, token_counts, token_files, toxicity
+from . import embedding_dedup, jaccard, line_dedup, merkle_manifest, mixing, oracles, packing, quality, spelling, substring_dedup, suffix_dedup, token_counts, token_files, toxicity
 
 QUERIES = {
     "op1_embedding_dedup": embedding_dedup.op1_embedding_dedup,
@@ -16,6 +16,8 @@ QUERIES = {
     "op9_token_files": token_files.op9_token_files,
     "op10_ngram_jaccard": jaccard.op10_ngram_jaccard,
     "op11_substring_dedup": substring_dedup.op11_substring_dedup,
+    "op12_merkle_manifest": merkle_manifest.op12_merkle_manifest,
+    "op13_spelling_variants": spelling.op13_spelling_variants,
 }
 
 SQL = {
@@ -23,4 +25,6 @@ SQL = {
     "op8_line_dedup": line_dedup.OP8_SQL,
     "op10_ngram_jaccard": oracles.OP10_SQL,
     "op11_substring_dedup": substring_dedup.OP11_SQL,
+    "op12_merkle_manifest": merkle_manifest.OP12_SQL,
+    "op13_spelling_variants": spelling.OP13_SQL,
 }
