@@ -15,7 +15,7 @@ Suffixes of a whole corpus don't fit a task, so they are dealt out by content fi
    aggregation finds.
 3. Places go back to their documents, and the bytes are cut out there.
 
-A place is (doc_id, row, start); row is a hash of the text, so rows that repeat an id with other texts are texts of their own.
+A place is (doc_id, row, start); row is a 64-bit hash of the text, so rows that repeat an id with other texts are texts of their own.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ BLOCK_BYTES, BUFFER_BYTES, HOT_SEGMENTS = 4_000_000, 1_000_000, 5_000
 #: Repeated kinds of segments that a task remembers.
 COMMON_KINDS = 100_000
 KIND = np.dtype([("anchor", np.int64), ("whole", np.int64)])
-PLACE = np.dtype([("doc", np.int64), ("row", np.int32), ("start", np.int32)])
+PLACE = np.dtype([("doc", np.int64), ("row", np.int64), ("start", np.int32)])
 
 
 def segments(texts: list[bytes], span: int = SPAN, gram: int = GRAM) -> tuple[np.ndarray, ...]:
@@ -126,7 +126,7 @@ def segment_rows(docs: DataFrame, span: int, gram: int) -> DataFrame:
             who, start, count, anchor, whole = segments(texts, span, gram)
             if len(who):
                 place, name = np.zeros(len(who), PLACE), np.zeros(len(who), KIND)
-                place["doc"], place["row"], place["start"] = np.array(ids, np.int64)[who], np.array(rows, np.int32)[who], start
+                place["doc"], place["row"], place["start"] = np.array(ids, np.int64)[who], np.array(rows, np.int64)[who], start
                 name["anchor"], name["whole"] = anchor, whole
                 order = np.lexsort((place["start"], place["row"], place["doc"], whole, anchor))
                 a, w = anchor[order], whole[order]
@@ -145,7 +145,7 @@ def segment_rows(docs: DataFrame, span: int, gram: int) -> DataFrame:
                 own = mix64(place["doc"].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + start.astype(np.uint64)).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(np.where(again, own, anchor)), pa.array(whole), pa.array(place["doc"]), pa.array(place["row"]), pa.array(place["start"]), pa.array(count.astype(np.int16)), pa.array(again)], ["anchor", "whole", "doc_id", "row", "start", "n", "again"])
 
-    return docs.mapInArrow(run, "anchor long, whole long, doc_id long, row int, start int, n short, again boolean")
+    return docs.mapInArrow(run, "anchor long, whole long, doc_id long, row long, start int, n short, again boolean")
 
 
 def repeated_segments(rows: DataFrame) -> DataFrame:
@@ -200,7 +200,7 @@ def repeated_segments(rows: DataFrame) -> DataFrame:
             newest = np.flatnonzero(new_kind)[-1]
             carry, many = {k: c[k][newest] for k in names}, bool(several[-1])
 
-    return ordered.mapInArrow(run, "anchor long, doc_id long, row int, start int, n short, first boolean")
+    return ordered.mapInArrow(run, "anchor long, doc_id long, row long, start int, n short, first boolean")
 
 
 def smaller_than_next(x: np.ndarray) -> np.ndarray:
@@ -332,7 +332,7 @@ def compare_segments(rows: DataFrame, span: int) -> DataFrame:
 
     def solve(held: list[pa.RecordBatch]) -> pa.RecordBatch | None:
         t = pa.Table.from_batches(held)
-        whose = np.zeros(t.num_rows, [("doc", np.int64), ("row", np.int32)])
+        whose = np.zeros(t.num_rows, [("doc", np.int64), ("row", np.int64)])
         whose["doc"], whose["row"] = t["doc_id"].to_numpy(), t["row"].to_numpy()
         texts, number = np.unique(whose, return_inverse=True)  # in order of their ids
         which, pos = later_starts(t["body"].to_pylist(), number.astype(np.int64), t["start"].to_numpy().astype(np.int64), span)
@@ -356,7 +356,7 @@ def compare_segments(rows: DataFrame, span: int) -> DataFrame:
         if held and (out := solve(held)) is not None:
             yield out
 
-    return ordered.mapInArrow(run, "doc_id long, row int, start int, n int")
+    return ordered.mapInArrow(run, "doc_id long, row long, start int, n int")
 
 
 def _runs(texts: np.ndarray, which: np.ndarray, pos: np.ndarray) -> pa.RecordBatch | None:
@@ -400,11 +400,11 @@ def repeat_spans(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int =
                             body.append(None)
                             high.append((h >> 64) - (1 << 63))
                             low.append((h & 0xFFFFFFFFFFFFFFFF) - (1 << 63))
-                types = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64())
+                types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(([doc] * len(start), [row] * len(start), anchor, start, body, high, low), types)], ["doc_id", "row", "anchor", "start", "body", "high", "low"])
 
     texts = docs.join(wanted.hint("merge"), (docs["doc_id"] == wanted["_id"]) & (docs["row"] == wanted["_row"])).select("doc_id", "row", "text", "s")
-    pieces = materialize(texts.mapInArrow(bodies, "doc_id long, row int, anchor long, start int, body binary, high long, low long"))
+    pieces = materialize(texts.mapInArrow(bodies, "doc_id long, row long, anchor long, start int, body binary, high long, low long"))
     compared = compare_segments(pieces.where("body IS NOT NULL").select("anchor", "doc_id", "row", "start", "body"), span)
     grams = pieces.where("body IS NULL").select("doc_id", "row", "start", "high", "low")
     # written by itself, so that a string with very many starts is split in the join
@@ -420,7 +420,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int
     Null texts are empty; null ids come back untouched. Rows that repeat an id with other texts are texts of their own, in order of a
     hash of the text; rows that are equal in both are one text, and nothing of them is removed for each other.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.shiftright(row_hash("text"), 32).cast("int").alias("row"), "text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_hash("text").alias("row"), "text")
     spans = materialize(repeat_spans(texts.where("doc_id IS NOT NULL AND text IS NOT NULL"), span, gram, hot))
     per = spans.groupBy("doc_id", "row").agg(F.collect_list(F.struct("start", "n")).alias("s")).withColumnsRenamed({"doc_id": "_id", "row": "_row"})
 
@@ -436,6 +436,8 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int
                     kept.append(raw.tobytes())
                     continue
                 start, n = (s.values.field(k).to_numpy().astype(np.int64) for k in ("start", "n"))
+                if (start + n + span - 1 > len(raw)).any():
+                    raise ValueError("a span lies outside its text")
                 edge = np.zeros(len(raw) + 1, np.int64)
                 np.add.at(edge, start, 1)
                 np.add.at(edge, start + n + span - 1, -1)
