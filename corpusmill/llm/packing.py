@@ -5,7 +5,7 @@ bins of one parent into the other, takes out the bins that then hold a document
 displaced documents for shorter ones of bins that they fill better (Falkenauer's replacement step).
 The pieces are dealt by hash into cells of some thousands; on each cell several islands evolve from seeds of
 their own, pass their elite to the next island, evolve on, and the best solution of the cell is kept. Only lengths and
-ids of pieces move between tasks; a cell is a bounded row, so neither a hot source nor a long document gathers in a task.
+places of pieces move between tasks; a cell is a bounded row, so neither a hot source, a long document nor an id that very many rows share gathers in a task.
 """
 
 from __future__ import annotations
@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from . import tokens
 from .common import materialize
 
-#: Pieces of a cell, about.
-CELL_PIECES = 6_000
+#: Pieces of a cell, about, and rows of one document and piece from which they are dealt by place.
+CELL_PIECES, SAME = 6_000, 64
 ISLANDS, EPOCHS, POPULATION = 3, 2, 4
 #: An island's epoch ends at the lower bound of bins, or after so many generations of which the last STALL brought no fewer bins.
 GENERATIONS, STALL = 40, 8
@@ -193,23 +193,32 @@ def evolve(lengths: list[int], capacity: int, seed: int, elites: list[list[list[
 def pack(pieces: DataFrame, capacity: int = 1024, cell_pieces: int = CELL_PIECES, seed: int = 11) -> DataFrame:
     """pieces (doc_id, piece, length, more columns) with sequence_id and offset added: as few sequences as found, gapless from 0.
 
-    Every piece, full ones too, is an item; lengths must lie in 1..capacity. Reruns agree: cells, islands and orders come from hashes
-    and sorted rows; only pieces without an id, which may be alike in everything, are dealt by their place in the table. An empty input gives no rows.
+    Every piece, full ones too, is an item; lengths must lie in 1..capacity. Only (place in the written table, length) goes into cells, whatever else a piece
+    carries. Reruns agree: cells, islands and orders come from hashes and sorted rows; only pieces that more than SAME rows share (as without an id)
+    are dealt by their place in the table, so that no cell grows with them. An empty input gives no rows.
     """
     names = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
-    items = materialize(pieces.select(*names))
+    inner = [f"_{k}" for k in range(len(names))]
+    items = materialize(pieces.select(*[F.col(f"`{n}`").alias(i) for n, i in zip(names, inner)], F.monotonically_increasing_id().alias("_place")))
+    doc, piece, length = (inner[names.index(n)] for n in ("doc_id", "piece", "length"))
     n_cells = max(1, -(-items.count() // cell_pieces))
-    salt = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).otherwise(F.lit(0))
-    cell = F.pmod(F.xxhash64("doc_id", "piece", F.lit(seed), salt), F.lit(n_cells)).alias("cell")
-    item = F.struct((-F.col("length")).alias("order"), F.struct(*names).alias("row")).alias("item")
-    cells = materialize(items.select(cell, item).groupBy("cell").agg(F.array_sort(F.collect_list("item")).alias("items")))
+    short = items.select("_place", F.col(doc).alias("doc"), F.col(piece).alias("piece"), F.col(length).alias("length"))
+    shared = materialize(short.groupBy(F.col("doc").alias("d"), F.col("piece").alias("p")).agg(F.count("*").alias("n")).where(F.col("n") > SAME).select("d", "p"))
+    if shared.limit(1).count():
+        hit = short.join(shared, F.col("doc").eqNullSafe(F.col("d")) & F.col("piece").eqNullSafe(F.col("p")), "left")
+        short = hit.select("_place", "doc", "piece", "length", F.when(F.col("p").isNotNull(), F.col("_place")).otherwise(F.lit(0)).alias("salt"))
+    else:
+        short = short.withColumn("salt", F.lit(0).cast("long"))
+    cell = F.pmod(F.xxhash64("doc", "piece", F.lit(seed), "salt"), F.lit(n_cells)).alias("cell")
+    item = F.struct((-F.col("length")).alias("order"), "doc", "piece", F.col("_place").alias("place")).alias("item")
+    cells = short.select(cell, item).groupBy("cell").agg(F.array_sort(F.collect_list("item")).alias("items"))
+    cells = materialize(cells.select("cell", F.transform("items", lambda x: (-x["order"]).cast("int")).alias("lengths"), F.transform("items", lambda x: x["place"]).alias("places")))
     islands = F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1))).alias("island")
-    lengths = cells.select("cell", F.transform("items", lambda x: -x["order"]).alias("lengths"))
     # a fixed number of tasks: these rows are small but take long, so they mustn't be gathered by size
     tasks = min(n_cells * ISLANDS, max(int(items.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_cells // 4))
     elite = None
     for epoch in range(EPOCHS):
-        work = lengths.select("cell", "lengths", islands)
+        work = cells.select("cell", "lengths", islands)
         if elite is None:
             work = work.withColumn("elites", F.array().cast("array<array<int>>"))
         else:
@@ -217,24 +226,21 @@ def pack(pieces: DataFrame, capacity: int = 1024, cell_pieces: int = CELL_PIECES
             work = work.join(moved, ["cell", "island"])
         elite = materialize(work.repartition(tasks, "cell", "island").mapInArrow(_epoch(capacity, seed * 1000 + epoch), "cell long, island int, n_bins int, bins array<int>"))
     best = elite.groupBy("cell").agg(F.min_by("bins", F.struct("n_bins", "island")).alias("bins"))
-    laid = cells.join(best, "cell").select("cell", F.expr("array_sort(transform(arrays_zip(items, bins), x -> struct(x.bins AS bin, x.items AS item)))").alias("z"))
-    kept = [f for f in items.schema if f.name in names]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + ["sequence_id long", "offset long"])
-    flat = laid.select("cell", F.col("z.bin").alias("bin"), F.transform("z", lambda x: x["item"]["row"]).alias("rows")).select("cell", "bin", *[F.col("rows")[n].alias(f"_{k}") for k, n in enumerate(names)])
 
     def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(batch.num_rows):
                 row = batch.slice(r, 1)
-                bins = row.column(1).flatten().to_numpy()
-                cols = [row.column(k + 2).flatten() for k in range(len(names))]
-                length = cols[names.index("length")].to_numpy()
+                bins, length, place = (row.column(k).flatten().to_numpy() for k in (1, 2, 3))
+                order = np.argsort(bins, kind="stable")
+                bins, length = bins[order], length[order].astype(np.int64)
                 before = np.cumsum(length) - length
                 new = np.concatenate([[True], bins[1:] != bins[:-1]])
                 offset = before - np.repeat(before[new], np.diff(np.append(np.flatnonzero(new), len(bins))))
-                yield pa.RecordBatch.from_arrays([*cols, pa.array((row.column(0)[0].as_py() << 24) + bins.astype(np.int64)), pa.array(offset.astype(np.int64))], [*names, "sequence_id", "offset"])
+                yield pa.RecordBatch.from_arrays([pa.array(place[order]), pa.array((row.column(0)[0].as_py() << 24) + bins.astype(np.int64)), pa.array(offset)], ["_place", "sequence_id", "offset"])
 
-    return flat.mapInArrow(lay, schema)
+    laid = cells.join(best, "cell").select("cell", "bins", "lengths", "places").mapInArrow(lay, "_place long, sequence_id long, offset long")
+    return items.join(laid, "_place").select(*[F.col(i).alias(n) for n, i in zip(names, inner)], "sequence_id", "offset")
 
 
 def _epoch(capacity: int, seed: int):
