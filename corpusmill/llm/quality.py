@@ -36,6 +36,12 @@ FENCES = {
     "shout": (0.99, 0.9, 4.0, 0.005),
     "word_length": (0.75, 0.5, 6.0, 0.5),
 }
+#: Measures that most texts don't have at all get a two-part sketch: the share of zeros, and the quantiles of the rest. Where more than SPARSE of the texts
+#: measure 0, the fence comes from the rest alone. If even a low one of these (first level) is no chance find, but as much as DENSE symbols are in a text of median
+#: length, having any is what sets them apart, and the fence is that quantile over MARGIN. Otherwise it is the upper one of the other two levels and twice their distance.
+TWO_PART = {"symbols": (0.05, 0.5, 0.95)}
+SPARSE, DENSE, MARGIN = 0.5, 10, 2.0
+ZERO = -(1 << 20)
 
 _MULT = np.array([0x9E3779B97F4A7C15 * (2 * k + 1) & 0xFFFFFFFFFFFFFFFF | 1 for k in range(WINDOW)], np.uint64)
 
@@ -107,7 +113,7 @@ def ratios() -> dict:
 
 def sketches(measured: DataFrame) -> DataFrame:
     """(lang, source, level, measure, bucket, n): one sketch per language and source (level 2), language (1) and corpus (0)."""
-    buckets = [F.struct(F.lit(m).alias("measure"), F.when(c > 1e-6, F.ceil(F.log(c) / float(np.log(GAMMA)))).otherwise(F.lit(-(1 << 20))).cast("int").alias("bucket")) for m, c in ratios().items()]
+    buckets = [F.struct(F.lit(m).alias("measure"), F.when(c > 1e-6, F.ceil(F.log(c) / float(np.log(GAMMA)))).otherwise(F.lit(ZERO)).cast("int").alias("bucket")) for m, c in {**ratios(), "word_chars": F.col("word_chars").cast("double")}.items()]
     fine = measured.select("lang", "source", F.explode(F.array(*buckets)).alias("b")).groupBy("lang", "source", "b.measure", "b.bucket").agg(F.count("*").alias("n"))
     return fine.groupingSets(
         [[F.col("lang"), F.col("source"), F.col("measure"), F.col("bucket")], [F.col("lang"), F.col("measure"), F.col("bucket")], [F.col("measure"), F.col("bucket")]],
@@ -115,22 +121,39 @@ def sketches(measured: DataFrame) -> DataFrame:
     ).agg((F.lit(2) - F.when(F.grouping("source") == 1, 1).otherwise(0) - F.when(F.grouping("lang") == 1, 1).otherwise(0)).alias("level"), F.sum("n").alias("n"))
 
 
-def quantiles(sketch: DataFrame, at: tuple[float, ...] = (0.1, 0.5)) -> DataFrame:
-    """(lang, source, level, measure, n_docs, q0, q1, …): quantiles read from the sketches."""
+def quantiles(sketch: DataFrame, at: tuple[float, ...] = (0.1, 0.5), rest: tuple[float, ...] = ()) -> DataFrame:
+    """(lang, source, level, measure, n_docs, n_zero, q0, q1, …, r0, …): quantiles read from the sketches, q of all values, r of those that aren't 0 (levels `rest`; null if there are none)."""
     key = ["lang", "source", "level", "measure"]
     w = Window.partitionBy(*key)
     run = F.sum("n").over(w.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))
     cum = sketch.withColumn("_run", run).withColumn("_all", F.sum("n").over(w))
-    value = F.when(F.col("bucket") == -(1 << 20), 0.0).otherwise(F.pow(F.lit(GAMMA), F.col("bucket")) * 2 / (1 + GAMMA))
-    return cum.groupBy(*key).agg(F.first("_all").alias("n_docs"), *[F.min(F.when(F.col("_run") >= F.col("_all") * q, value)).alias(f"q{i}") for i, q in enumerate(at)])
+    zero = F.col("bucket") == ZERO
+    cum = cum.withColumn("_zero", F.coalesce(F.sum(F.when(zero, F.col("n"))).over(w), F.lit(0)))
+    value = F.when(zero, 0.0).otherwise(F.pow(F.lit(GAMMA), F.col("bucket")) * 2 / (1 + GAMMA))
+    reached = lambda q: ~zero & (F.col("_run") - F.col("_zero") >= (F.col("_all") - F.col("_zero")) * q)
+    of_all = [F.min(F.when(F.col("_run") >= F.col("_all") * q, value)).alias(f"q{i}") for i, q in enumerate(at)]
+    return cum.groupBy(*key).agg(F.first("_all").alias("n_docs"), F.first("_zero").alias("n_zero"), *of_all, *[F.min(F.when(reached(q), value)).alias(f"r{i}") for i, q in enumerate(rest)])
 
 
 def thresholds(measured: DataFrame, min_docs: int = MIN_DOCS, fences: dict | None = None) -> DataFrame:
     """(lang, source, max_<measure>…): an upper fence for each language and source that occurs; groups of fewer than min_docs take their language's, or the corpus's."""
     fences = FENCES if fences is None else fences
-    at = sorted({x for upper, lower, _, _ in fences.values() for x in (upper, lower)})
-    q = materialize(quantiles(sketches(measured), tuple(at)))
-    fence = q.withColumn("fence", F.coalesce(*[F.when(F.col("measure") == m, F.col(f"q{at.index(upper)}") + F.greatest(F.lit(spread) * (F.col(f"q{at.index(upper)}") - F.col(f"q{at.index(lower)}")), F.lit(least))) for m, (upper, lower, spread, least) in fences.items()]))
+    at = sorted({x for upper, lower, _, _ in fences.values() for x in (upper, lower)} | {0.5})
+    two_part = {m: x for m, x in TWO_PART.items() if m in fences}
+    rest = sorted({x for levels in two_part.values() for x in levels})
+    q = materialize(quantiles(sketches(measured), tuple(at), tuple(rest)))
+    typical = q.where("measure = 'word_chars'").select(*[F.col(c).alias(f"_{c}") for c in ("lang", "source", "level")], F.col(f"q{at.index(0.5)}").alias("_chars"))
+    q = q.join(typical, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("level") == F.col("_level")))
+    rules = []
+    for m, (upper, lower, spread, least) in fences.items():
+        high, low = F.col(f"q{at.index(upper)}"), F.col(f"q{at.index(lower)}")
+        rule = high + F.greatest(F.lit(spread) * (high - low), F.lit(least))
+        if m in two_part:
+            some, middle, most = (F.col(f"r{rest.index(x)}") for x in two_part[m])
+            sparse = F.when(some * F.col("_chars") >= DENSE, some / MARGIN).otherwise(most + 2 * (most - middle))
+            rule = F.when(F.col("n_zero") > SPARSE * F.col("n_docs"), sparse).otherwise(rule)
+        rules.append(F.when(F.col("measure") == m, rule))
+    fence = q.withColumn("fence", F.coalesce(*rules))
     wide = fence.groupBy("lang", "source", "level").agg(F.max("n_docs").alias("n"), *[F.max(F.when(F.col("measure") == m, F.col("fence"))).alias(m) for m in fences])
     own = wide.where("level = 2").select("lang", "source", F.col("n").alias("own_n"), *[F.col(m).alias(f"own_{m}") for m in fences])
     lang = wide.where("level = 1").select(F.col("lang").alias("_l"), F.col("n").alias("lang_n"), *[F.col(m).alias(f"lang_{m}") for m in fences])
