@@ -211,7 +211,7 @@ def kind_words(docs: DataFrame, kinds: DataFrame, window: int) -> DataFrame:
 
 
 def least_ids(kinds: DataFrame, window: int, shard_kinds: int = SHARD_KINDS) -> DataFrame:
-    """(anchor, kind, ids array<long>) of (anchor, kind, least, words): of each window of a kind the least id of a document that holds it."""
+    """A written table (anchor, kind, ids array<long>) of (anchor, kind, least, words): of each window of a kind the least id of a document that holds it."""
     per_anchor = materialize(kinds.groupBy("anchor").agg(F.count("*").alias("_n")))
     total = per_anchor.agg(F.sum("_n")).first()[0] or 0
     n_shards = max(1, -(-total // shard_kinds))
@@ -251,13 +251,13 @@ def least_ids(kinds: DataFrame, window: int, shard_kinds: int = SHARD_KINDS) ->
         take = pa.array(rows)
         return pa.RecordBatch.from_arrays([t["anchor"].combine_chunks().take(take), t["kind"].combine_chunks().take(take), pa.array(found, pa.list_(pa.int64()))], ["anchor", "kind", "ids"])
 
-    found = map_groups(dealt, ["shard", "slot"], solve, "anchor long, kind long, ids array<long>")
-    one = found.join(many.select("anchor"), "anchor", "left_anti") if many.limit(1).count() else found
-    if one is found:
+    # written: parts of a split anchor are put together from it, and no shard is solved twice
+    found = materialize(map_groups(dealt, ["shard", "slot"], solve, "anchor long, kind long, ids array<long>"))
+    if not many.limit(1).count():
         return found
     split = found.join(many.select("anchor"), "anchor", "left_semi").groupBy("anchor", "kind").agg(F.collect_list("ids").alias("_all"))
     lowest = F.aggregate(F.slice("_all", 2, F.size("_all")), F.element_at("_all", 1), lambda a, b: F.zip_with(a, b, lambda x, y: F.least(x, y)))
-    return one.unionByName(split.select("anchor", "kind", lowest.alias("ids")))
+    return materialize(found.join(many.select("anchor"), "anchor", "left_anti").unionByName(split.select("anchor", "kind", lowest.alias("ids"))))
 
 
 def earlier_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_kinds: int = SHARD_KINDS) -> DataFrame:
@@ -268,8 +268,8 @@ def earlier_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, sha
     discard(rows, shared)
     first = F.min(F.struct("doc_id", "row", "start", "n")).alias("first")
     kinds = materialize(kind_words(docs, again.groupBy("anchor", "kind").agg(first), window))
-    # written by itself, so that a kind with very many holders is split in the join
-    least = materialize(least_ids(kinds, window, shard_kinds))
+    # a written table, so that a kind with very many holders is split in the join
+    least = least_ids(kinds, window, shard_kinds)
     discard(kinds)
     later = materialize(again.join(least, ["anchor", "kind"]).where(F.exists("ids", lambda x: x < F.col("doc_id"))).select("doc_id", "row", "start", "ids"))
     discard(again, least)
