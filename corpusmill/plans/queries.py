@@ -799,4 +799,4 @@ def moved_keys(spark, d):
     return filters.move_keys(docs, ["theme"])[1].select("doc_id", "value")
 
 
-from . import more_queries  # noqa: E402,F401
+from . import more_queries, stream_queries  # noqa: E402,F401
