@@ -146,6 +146,30 @@ def resolve_identity(docs: DataFrame, registry: DataFrame, taken: DataFrame, thi
     return d.withColumn("conflicts", conflicts).drop("_wants", "_year", "_base", "_id", "_asked", "new_id", "r_short", "r_issuer", "r_region", "domain")
 
 
+FIXES = ("region", "issuer", "date", "id")
+
+
+def without_contradicted(resolved: DataFrame, ledger: DataFrame) -> DataFrame:
+    """resolved, but rows whose new id names another issuer than the ledger lose all their repairs and get a conflict _all instead."""
+    checked = cross_check(resolved.where("id_fix IS NOT NULL").select("doc_id", F.col("id_fix.value").alias("new_id")), ledger).where("NOT agrees").select(F.col("doc_id").alias("_x"))
+    j = resolved.join(checked, F.col("doc_id") == F.col("_x"), "left")
+    out = j.withColumn("conflicts", F.when(F.col("_x").isNotNull(), F.array(F.struct(F.lit("_all").alias("field"), F.lit("contradicts_ledger").alias("reason")))).otherwise(F.col("conflicts")))
+    for f in FIXES:
+        out = out.withColumn(f"{f}_fix", F.when(F.col("_x").isNull(), F.col(f"{f}_fix")))
+    return out.drop("_x")
+
+
+def apply_repairs(docs: DataFrame, resolved: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(docs with their repairs, mapping (old_id, new_id)). Rows without a repair stay as they are; an unrepaired field too."""
+    fixes = resolved.select(F.col("doc_id").alias("_r"), *[f"{f}_fix" for f in FIXES])
+    j = docs.join(fixes, F.col("doc_id") == F.col("_r"), "left").drop("_r")
+    mapping = j.where("id_fix IS NOT NULL").select(F.col("doc_id").alias("old_id"), F.col("id_fix.value").alias("new_id"))
+    out = j.withColumn("doc_id", F.coalesce("id_fix.value", "doc_id"))
+    for f in FIXES[:-1]:
+        out = out.withColumn(f, F.coalesce(f"{f}_fix.value", f))
+    return out.drop(*[f"{f}_fix" for f in FIXES]), mapping
+
+
 def cross_check(changes: DataFrame, ledger: DataFrame) -> DataFrame:
     """changes (doc_id, new_id) with agrees against the ledger (doc_id, issuer_short): the issuer segment of the new id equals the ledger's; rows the ledger lacks agree."""
     l = ledger.select(F.col("doc_id").alias("_l"), F.col("issuer_short").alias("_s"))

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import first_rows
+from .tables import first_rows, stage
 
 
 def latest(rows: DataFrame, key: str, by: str, pos: str) -> DataFrame:
@@ -36,7 +36,7 @@ def round_robin(rows: DataFrame, source: str, key: str, n: int, stride: int = 1)
 
 
 def quota_sample(rows: DataFrame, cells: Iterable[str], key: str, quota: int) -> DataFrame:
-    """Up to quota rows of every cell of every column, each row once (E6): per-cell ranks joined, not a greedy cover."""
+    """Up to quota rows of every cell of every column, each row once (E6): per-cell ranks joined; greedy_cover() takes fewer rows."""
     picked = None
     for c in cells:
         one = rows.withColumn("_rn", F.row_number().over(Window.partitionBy(c).orderBy(key))).where(F.col("_rn") <= quota).select(key)
@@ -44,6 +44,40 @@ def quota_sample(rows: DataFrame, cells: Iterable[str], key: str, quota: int) ->
     return rows.join(picked.distinct(), key, "left_semi")
 
 
+def greedy_cover(rows: DataFrame, key: str, cells: str, quota: dict[str, int], target: int) -> DataFrame:
+    """At most `target` rows, with `pick` from 1, that fill the quotas of cells (E6): each pick is the row with the most cells that are still short (ties: the
+    smallest key); once all are full, the row whose cells have been picked least, by the sum of 1 / (1 + times picked). Cells without a quota count in the second part alone.
+
+    cells: a column of distinct strings. Rows of equal cells differ in their keys alone, so the `target` smallest keys of each set of cells are all that can
+    be picked; these are written, and each pick is one combining aggregate over them, of which one row reaches the driver.
+    """
+    w = Window.partitionBy("_cells").orderBy(key)
+    sets = rows.select(F.col(key), F.array_sort(F.coalesce(cells, F.array().cast("array<string>"))).alias("_cells"))
+    pool = stage(sets.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= target).drop("_rn"))
+    left, seen, picked = dict(quota), {}, []
+    filling = False
+    while len(picked) < target:
+        if not filling:
+            open_ = F.array(*[F.lit(c) for c, n in left.items() if n > 0]).cast("array<string>")
+            gain = F.size(F.array_intersect("_cells", open_)).cast("double")
+        else:
+            times = F.create_map(*[F.lit(x) for kv in seen.items() for x in kv]) if seen else F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<int>"))
+            gain = F.aggregate("_cells", F.lit(0.0), lambda total, c: total + 1.0 / (1 + F.coalesce(F.try_element_at(times, c), F.lit(0))))
+        best = pool.where(~F.col(key).isin(picked)) if picked else pool
+        best = best.agg(F.min_by(F.struct(key, "_cells"), F.struct(-gain, key)).alias("b"), F.max(gain).alias("gain")).first()
+        if best.gain is None or not filling and best.gain == 0:
+            if filling or best.gain is None:
+                break
+            filling = True
+            continue
+        picked.append(best.b[0])
+        for c in best.b[1]:
+            seen[c] = seen.get(c, 0) + 1
+            left[c] = left.get(c, 0) - 1
+    order = F.array_position(F.array(*map(F.lit, picked)).cast(f"array<{dict(rows.dtypes)[key]}>"), F.col(key)).cast("int")
+    return rows.where(F.col(key).isin(picked)).withColumn("pick", order) if picked else rows.limit(0).withColumn("pick", F.lit(0))
+
+
 def seeded_sample(rows: DataFrame, by: str, key: str, n: int, seed: int = 7) -> DataFrame:
     """n rows of each class, reproducible: the smallest hashes of (key, seed)."""
     w = Window.partitionBy(by).orderBy(F.md5(F.concat(F.col(key).cast("string"), F.lit(f"#{seed}"))), key)
@@ -63,8 +97,6 @@ def sample_with_titles(edges: DataFrame, index: DataFrame, by: str, key: str, n:
 def batch_slice(rows: DataFrame, key: str, batch: int, size: int) -> DataFrame:
     """The batch-th block (from 0) of size rows in order of key (E8). Range-partitioned ranks: counts per partition of key ranges, then a rank inside."""
     d = rows.repartitionByRange(key).withColumn("_part", F.spark_partition_id())
-    from .tables import stage
-
     d = stage(d)
     start = d.groupBy("_part").agg(F.count("*").alias("n"))
     start = start.select(F.col("_part").alias("_p"), (F.sum("n").over(Window.orderBy("_part")) - F.col("n")).alias("before"))

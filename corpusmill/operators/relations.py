@@ -53,14 +53,20 @@ def merge_edges(sources: DataFrame, nodes: DataFrame, valid: Iterable[str], node
     return edges.drop("origin_rank"), counts
 
 
-def relation_degrees(edges: DataFrame, named: Iterable[str] = rules.HIGH_PRECISION_RELATIONS) -> DataFrame:
-    """(node_id, <rel>_out, <rel>_in…, other_rel_counts, candidate_ids): other relations count at both ends."""
+def relation_degrees(edges: DataFrame, named: Iterable[str] = rules.HIGH_PRECISION_RELATIONS, ids: bool = True) -> DataFrame:
+    """(node_id, <rel>_out, <rel>_in…, other_rel_counts, candidate_ids): other relations count at both ends.
+
+    ids=False leaves candidate_ids out: what is left are sums that combine before the shuffle, one row a node and relation, so a node with a third of all edges
+    fills no task. With ids, all sources of a node meet in its row.
+    """
     named = list(named)
-    one = edges.select(F.explode(F.array(F.struct(F.col("from_id").alias("node_id"), F.lit("out").alias("side")), F.struct(F.col("to_id").alias("node_id"), F.lit("in").alias("side")))).alias("e"), "rel", "source").select("e.*", "rel", "source")
-    per = one.groupBy("node_id", "rel").agg(*[F.count_if(F.col("side") == s).alias(s) for s in ("out", "in")], F.count("*").alias("n"), F.collect_set("source").alias("ids"))
+    ends = F.explode(F.array(F.struct(F.col("from_id").alias("node_id"), F.lit("out").alias("side")), F.struct(F.col("to_id").alias("node_id"), F.lit("in").alias("side")))).alias("e")
+    one = edges.select(ends, "rel", *(["source"] if ids else [])).select("e.*", "rel", *(["source"] if ids else []))
+    per = one.groupBy("node_id", "rel").agg(*[F.count_if(F.col("side") == s).alias(s) for s in ("out", "in")], F.count("*").alias("n"), *([F.collect_set("source").alias("ids")] if ids else []))
     counts = [F.coalesce(F.sum(F.when(F.col("rel") == r, F.col(s))), F.lit(0)).alias(f"{r}_{s}") for r in named for s in ("out", "in")]
     other = F.map_from_entries(F.array_sort(F.collect_list(F.when(~F.col("rel").isin(*named), F.struct("rel", "n")))))
-    return per.groupBy("node_id").agg(*counts, other.alias("other_rel_counts"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))).alias("candidate_ids"))
+    sources = [F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))).alias("candidate_ids")] if ids else []
+    return per.groupBy("node_id").agg(*counts, other.alias("other_rel_counts"), *sources)
 
 
 def adjacency(edges: DataFrame) -> DataFrame:
@@ -72,6 +78,20 @@ def adjacency(edges: DataFrame) -> DataFrame:
     return both.union(back).groupBy("node_id").agg(F.array_sort(F.collect_list("o")).alias("outbound"), F.array_sort(F.collect_list("i")).alias("inbound"))
 
 
+def adjacency_chunks(edges: DataFrame, size: int = 1_000) -> DataFrame:
+    """(node_id, side, chunk, peers): adjacency lists in chunks of some `size` peers, each sorted by (rel, peer), side out or in.
+
+    The degrees come first, counted on the map side and written; a side of more than `size` edges is dealt by hash into as many chunks as it needs (chunks of
+    such a side differ a little in length), so no row and no task grows with a node. Both joins and the lists work by (node, side, chunk) or may be split.
+    """
+    kind = lambda node, peer, side: edges.select(F.col(node).alias("node_id"), F.lit(side).alias("side"), F.struct("rel", F.col(peer).alias("peer"), "confidence").alias("p"))
+    both = kind("from_id", "to_id", "out").unionByName(kind("to_id", "from_id", "in"))
+    large = stage(both.groupBy("node_id", "side").agg(F.count("*").alias("_n")).where(F.col("_n") > size).select(F.col("node_id").alias("_node"), F.col("side").alias("_side"), F.ceil(F.col("_n") / size).alias("_chunks")))
+    j = both.join(large, F.col("node_id").eqNullSafe(F.col("_node")) & (F.col("side") == F.col("_side")), "left")
+    chunk = F.coalesce(F.pmod(F.xxhash64("p.rel", "p.peer", "p.confidence"), F.col("_chunks")), F.lit(0)).cast("int")
+    return j.groupBy("node_id", "side", chunk.alias("chunk")).agg(F.array_sort(F.collect_list("p")).alias("peers"))
+
+
 def endpoint_status(edges: DataFrame, index: DataFrame, key_col: str = "key") -> DataFrame:
     """edges with from_status, to_status (located, missing, empty) and flags."""
     k = index.select(F.col(key_col).alias("_k")).distinct()

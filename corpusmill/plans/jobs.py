@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +48,28 @@ def identity_job(docs: DataFrame, registry: DataFrame, ledger: DataFrame, this_y
     return resolved, monitoring.agreement_rate(checked)
 
 
+def identity_apply(docs: DataFrame, resolve: Callable[[DataFrame], DataFrame], ledger: DataFrame, dependants: Mapping[str, tuple[DataFrame, Iterable[str]]] | None = None, least_agreement: float = 0.95) -> dict:
+    """Repairs applied to their fixed point (H3): docs, mapping, queue, log and second_run, and each of the dependants (rows, id columns) with the new ids.
+
+    resolve gives resolve_identity's rows for documents. Rows that contradict the ledger stay as they are and are queued. Refused with ValueError, before anything is handed out, if fewer
+    than least_agreement of the comparable new ids agree with the ledger, or if a second run over the repaired documents finds anything left to repair.
+    """
+    found = stage(resolve(docs))
+    rate = monitoring.agreement_rate(identity.cross_check(found.where("id_fix IS NOT NULL").select("doc_id", F.col("id_fix.value").alias("new_id")), ledger)).first()[0]
+    if rate is not None and rate < least_agreement:
+        raise ValueError(f"not applied: {rate:.3f} of the new ids agree with the ledger, {least_agreement} are needed")
+    resolved = stage(identity.without_contradicted(found, ledger))
+    repaired, mapping = (stage(x) for x in identity.apply_repairs(docs, resolved))
+    contradicted = resolved.where(F.exists("conflicts", lambda x: x["reason"] == "contradicts_ledger")).select("doc_id")
+    again = resolve(repaired).join(contradicted, "doc_id", "left_anti").where(" OR ".join(f"{f}_fix IS NOT NULL" for f in identity.FIXES)).count()
+    if again:
+        raise ValueError(f"not applied: a second run would repair {again} documents more")
+    none = docs.sparkSession.createDataFrame([], "id string")
+    moved = {name: identity.remap(rows, mapping, none, cols)[0] for name, (rows, cols) in (dependants or {}).items()}
+    fixes = [f"{f}_fix" for f in identity.FIXES]
+    return moved | {"docs": repaired, "mapping": mapping, "queue": resolved.where(F.size("conflicts") > 0).select("doc_id", "conflicts"), "log": resolved.where(" OR ".join(f"{f} IS NOT NULL" for f in fixes)).select("doc_id", *fixes), "second_run": again}
+
+
 def theme_scores(docs: DataFrame, drafts: DataFrame, verdicts: DataFrame, known: list[str], impact_keys: list[str], needed: dict[str, Iterable[str]], forced: tuple[str, Iterable[str]] | None = None) -> tuple[DataFrame, DataFrame]:
     """(accepted drafts, queue with stage and reasons) (H4): canonical ids, evidence, scores, program gate, verdict (missing: judge_error)."""
     d = drafts.join(docs.select(F.col("doc_id").alias("pid"), F.substring("body", 1, 2000).alias("_head"), F.col("region.level").alias("_level")), "pid", "left")

@@ -445,12 +445,6 @@ def title_similarity(spark, d):
     return x.select("doc_id", F.round(T.char_jaccard(F.col("t"), F.col("u")), 6).alias("jaccard"))
 
 
-@query()
-def date_candidates(spark, d):
-    c = table(spark, d, "documents").select("doc_id", dates.date_candidates("text").alias("c"))
-    return c.select("doc_id", F.size("c").alias("n"), dates.issuance_date(F.col("c")).alias("issued"), dates.strict_issuance_date(F.col("c")).alias("strict"))
-
-
 # ---- ranking, samples, queues, increments ----------------------------------------------------------------------------------------------------------------
 
 @query("""SELECT doc_id, source FROM (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM documents) x ORDER BY rn, source, doc_id LIMIT 30""")
@@ -767,17 +761,6 @@ def collection_chain(spark, d):
     return lanes
 
 
-@query()
-def identity_repairs(spark, d):
-    n = table(spark, d, "nation")
-    reg = n.select(F.concat(F.lower(F.regexp_replace("n_name", "_", "")), F.lit(".gov.cn")).alias("domain"), F.concat(F.lit("N"), F.translate(F.col("n_nationkey").cast("string"), "0123456789", "ABCDEFGHIJ")).alias("issuer_short"), F.col("n_name").alias("issuer_canonical"), F.struct(F.lit("省").alias("level"), F.lpad("n_nationkey", 6, "0").alias("code"), F.col("n_name").alias("name")).alias("region"), F.col("n_nationkey").alias("pos"))
-    c = table(spark, d, "customer")
-    docs = c.select(F.concat(F.lit("P_1900_GO_"), F.col("c_custkey").cast("string")).alias("doc_id"), F.col("c_name").alias("title"), F.concat(F.lit("http://nation"), F.col("c_nationkey").cast("string"), F.lit(".gov.cn/a")).alias("url"), F.when(F.col("c_custkey") % 2 == 0, "2020-05-01").otherwise("bad").alias("date"),
-                    F.array(F.lit("gov.cn")).alias("issuer"), F.struct(F.lit("国家").alias("level"), F.lit("000000").alias("code"), F.lit("全国").alias("name")).alias("region"), F.lit(None).cast("string").alias("title_issuer"), F.when(F.col("c_custkey") % 3 == 0, "2021-06-01").otherwise("").alias("body_date"), F.lit(False).alias("date_is_other"), F.col("c_custkey").alias("pos"))
-    r = identity.resolve_identity(docs, reg, docs.select(F.col("doc_id").alias("id")), 2026)
-    return r.select("doc_id", F.col("region_fix.value.name").alias("region"), F.col("date_fix.value").alias("date"), F.col("id_fix.value").alias("new_id"), F.array_join(F.transform("conflicts", lambda x: x["field"]), ",").alias("conflicts"))
-
-
 @query("""SELECT concat(lpad(CAST(c_nationkey % 30 + 11 AS VARCHAR), 2, '0'), '0000') AS province_code, n_name AS province_name, count(*) AS n FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey % 30 AND n_nationkey < 20 GROUP BY 1, 2""")
 def region_rollup(spark, d):
     code = lambda c: F.concat((F.col(c) % 30 + 11).cast("string"), F.lit("0000"))
@@ -799,4 +782,4 @@ def moved_keys(spark, d):
     return filters.move_keys(docs, ["theme"])[1].select("doc_id", "value")
 
 
-from . import more_queries, stream_queries  # noqa: E402,F401
+from . import more_queries, proof_queries, stream_queries  # noqa: E402,F401
