@@ -26,8 +26,8 @@ def first_of(text: Column, words: Iterable[str]) -> Column:
 
 
 def first_pattern(text: Column, patterns: Iterable[str], value=None) -> Column:
-    """The first pattern, in list order, that the text matches (or value(pattern)); null if none."""
-    return F.coalesce(*[F.when(text.rlike(p), F.lit(p if value is None else value(p))) for p in patterns])
+    """The first pattern, in list order, that the text matches (or value(pattern)); null if none. Letters and digits are those of all scripts."""
+    return F.coalesce(*[F.when(text.rlike(f"(?U){p}"), F.lit(p if value is None else value(p))) for p in patterns])
 
 
 def host(url: Column) -> Column:

@@ -88,14 +88,6 @@ def reprobed_channels(spark, d):
     return jobs.reprobe(channels, probes, "2026-01-01").select("p_partkey", "transition", "status", "last_probed_at")
 
 
-@query("""SELECT doc_id, CASE WHEN contains(split_part(coalesce(text, ''), chr(10), 1), 'the') THEN 'commentary' ELSE 'stays' END AS lane FROM documents""")
-def routed_interpretations(spark, d):
-    """Which documents are interpretations of others, by words in their titles, the whole first lines."""
-    docs = table(spark, d, "documents").select("doc_id", first_line("text").alias("title"))
-    stay, moved = jobs.route_interpretations(docs, ["the"])
-    return stay.select("doc_id", F.lit("stays").alias("lane")).union(moved.select("doc_id", F.lit("commentary")))
-
-
 # ---- keyed merges, ledgers, decisions ----------------------------------------------------------------------------------------------------
 
 @query("""WITH t AS (SELECT c_custkey AS a, c_nationkey AS b FROM customer WHERE c_custkey % 2 = 0), e AS (SELECT c_custkey AS a, c_nationkey AS b FROM customer WHERE c_custkey % 3 = 0)

@@ -308,22 +308,6 @@ def normalize_url(spark, d):
     return p.select("page_id", u.alias("url_key"), T.short_hash(u).alias("url_hash"))
 
 
-@query(r"""WITH k AS (SELECT doc_id, lower(regexp_replace(split_part(text, chr(10), 1), '[\s\(\)\[\]"'':;,.!?\-_]+', '', 'g')) AS t FROM documents), i AS (SELECT t FROM k JOIN labels ON k.doc_id = labels.doc_id) SELECT doc_id FROM k WHERE t <> '' AND t IN (SELECT t FROM i)""")
-def three_key_duplicates(spark, d):
-    docs = table(spark, d, "documents").select(F.col("doc_id").alias("row_id"), F.lit(None).cast("string").alias("url"), F.lit("").alias("number"), first_line("text").alias("title"))
-    known = docs.join(table(spark, d, "labels").select(F.col("doc_id").alias("row_id")), "row_id", "left_semi")
-    return dedup.known_duplicates(docs, known).select(F.col("row_id").alias("doc_id"))
-
-
-@query(r"""WITH k AS (SELECT doc_id, lower(regexp_replace(split_part(text, chr(10), 1), '[\s\(\)\[\]"'':;,.!?\-_]+', '', 'g')) AS t, CASE WHEN doc_id % 3 = 0 THEN CAST(doc_id AS VARCHAR) ELSE '' END AS num FROM documents),
-f AS (SELECT doc_id, t, num, first_value(doc_id) OVER w AS fd, first_value(num) OVER w AS fn FROM k WHERE t <> '' WINDOW w AS (PARTITION BY t ORDER BY doc_id)),
-e AS (SELECT doc_id, fd FROM f WHERE doc_id <> fd AND (num = '' OR fn = '')), g AS (SELECT doc_id, fd AS group_id FROM e UNION SELECT fd, fd FROM e), r AS (SELECT g.doc_id, group_id, row_number() OVER (PARTITION BY group_id ORDER BY CASE WHEN num <> '' THEN 0 ELSE 1 END, g.doc_id) AS rn FROM g JOIN k ON g.doc_id = k.doc_id)
-SELECT a.doc_id, a.group_id, b.doc_id AS keep_id FROM r a JOIN r b ON a.group_id = b.group_id AND b.rn = 1""")
-def duplicate_groups(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", F.lit(None).cast("string").alias("url"), F.when(F.col("doc_id") % 3 == 0, F.col("doc_id").cast("string")).otherwise(F.lit("")).alias("number"), first_line("text").alias("title"), F.lit("").alias("date"), F.col("doc_id").alias("pos"))
-    return dedup.duplicate_groups(docs).select("doc_id", "group_id", "keep_id")
-
-
 @query(r"""WITH RECURSIVE k AS (SELECT page_id AS row_id, 'u' || {NORM} AS u, lower(regexp_replace(regexp_extract(html, '(?s)<h1>(.*?)(?:</h1>|$)', 1), '[\s\(\)\[\]"'':;,.!?\-_]+', '', 'g')) AS t, row_number() OVER (ORDER BY page_id) AS rn FROM pages),
 s AS (SELECT CAST(0 AS BIGINT) AS rn, CAST(NULL AS BIGINT) AS row_id, CAST([] AS VARCHAR[]) AS seen, false AS kept UNION ALL
 SELECT k.rn, k.row_id, CASE WHEN list_contains(seen, u) OR list_contains(seen, 't' || t) THEN seen ELSE seen || [u] || CASE WHEN t <> '' THEN ['t' || t] ELSE [] END END, NOT (list_contains(seen, u) OR list_contains(seen, 't' || t)) FROM s JOIN k ON k.rn = s.rn + 1)
@@ -362,12 +346,6 @@ def basis_of(spark, d):
     return x.where("doc_id % 2 = 0").select(F.col("doc_id").alias("from_id"), (F.col("doc_id") + 40).alias("to_id")).join(x.withColumnRenamed("doc_id", "to_id"), "to_id", "left_semi").select("from_id", "to_id")
 
 
-@query(f"""WITH {VIEWS_SQL}, p AS (SELECT a.doc_id AS from_id, b.doc_id AS to_id, a.issuer = b.issuer AS same, a.year < b.year AS older, abs(a.year - b.year) <= 3 AS near, a.rank < b.rank AS lower_level, EXISTS (SELECT 1 FROM basis WHERE f = a.doc_id AND t = b.doc_id) AS ab, EXISTS (SELECT 1 FROM basis WHERE f = b.doc_id AND t = a.doc_id) AS ba FROM v a JOIN v b ON a.theme = b.theme AND a.doc_id <> b.doc_id)
-SELECT from_id, to_id, 'iterates' AS rel FROM p WHERE near AND same AND older UNION ALL SELECT from_id, to_id, 'derives_from' FROM p WHERE ab AND lower_level UNION ALL SELECT from_id, to_id, 'aligns_with' FROM p WHERE near AND NOT same AND NOT ab AND NOT ba""")
-def semantic_candidates(spark, d):
-    return relations.semantic_pairs(views_of(spark, d), basis_of(spark, d)).select("from_id", "to_id", "rel")
-
-
 @query()
 def semantic_candidates_capped(spark, d):
     return relations.cap_candidates(relations.semantic_pairs(views_of(spark, d), basis_of(spark, d)), 8).select("from_id", "to_id", "rel", F.round("sim", 6).alias("sim"))
@@ -379,22 +357,6 @@ def first_match_class(spark, d):
     return table(spark, d, "documents").select("doc_id", c["disposition"].alias("disposition"))
 
 
-@query(r"""SELECT page_id, concat_ws(',', CASE WHEN regexp_matches(regexp_extract(url, '://([^/]*)', 1), '(^|\.)example\.net$') THEN 'domain_blacklist' END, CASE WHEN contains(html, '<table') THEN 'non_policy_title:<table' END, CASE WHEN regexp_matches(regexp_extract(url, '://([^/]*)', 1), '\.org$') THEN 'issuer_unknown_but_gov_domain' ELSE 'issuer_unknown' END) AS reasons FROM pages""")
-def reason_filter(spark, d):
-    r = filters.news_reasons(F.col("url"), F.col("html"), F.lit(None).cast("string"), ["example.net"], [".org"], ["<table"])
-    r = F.filter(r, lambda x: ~x.startswith("title_pattern") & (x != "non_policy_list_row") & ~x.startswith("non_policy_title:发布"))
-    return table(spark, d, "pages").select("page_id", F.array_join(r, ",").alias("reasons"))
-
-
-@query("""SELECT d.doc_id, CASE WHEN n_chars > 4000 THEN 'reject' WHEN n_chars > 2500 THEN 'commentary' WHEN n_chars > 1500 THEN 'pass' WHEN l.doc_id IS NULL THEN 'review_queue' WHEN quality = 1 THEN 'pass' WHEN toxic = 1 THEN 'review_queue' ELSE 'reject' END AS action,
- CASE WHEN n_chars > 1500 THEN 0.95 WHEN l.doc_id IS NULL THEN 0.4 WHEN toxic = 1 THEN 0.6 ELSE 0.9 END AS gate_confidence FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""")
-def gate_routing(spark, d):
-    docs = table(spark, d, "documents").select(F.col("doc_id").alias("ref"), F.lit("").alias("url"), F.lit("").alias("title"), "n_chars")
-    v = table(spark, d, "labels").select(F.col("doc_id").alias("ref"), F.when(F.col("quality") == 1, "policy").otherwise("non_policy_news").alias("label"), F.when(F.col("toxic") == 1, 0.6).otherwise(0.9).alias("confidence"))
-    h = F.when(F.col("n_chars") > 4000, "non_policy").when(F.col("n_chars") > 2500, "commentary").when(F.col("n_chars") > 1500, "policy").otherwise("gray")
-    return filters.gate(docs, v, heuristic=h).select(F.col("ref").alias("doc_id"), "action", "gate_confidence")
-
-
 @query(r"""SELECT page_id, CAST(length(regexp_replace(html, '[^<]', '', 'g')) AS BIGINT) AS tags, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title FROM pages""")
 def page_titles(spark, d):
     p = table(spark, d, "pages")
@@ -584,15 +546,6 @@ def silent_sources(spark, d):
     return streams.silent_sources(table(spark, d, "events"), "user_id", "ts", "2024-01-31 00:00:00").withColumn("last_seen", F.date_format("last_seen", "yyyy-MM-dd HH:mm:ss"))
 
 
-@query("""SELECT url, CAST(item_id AS BIGINT) AS item_id, disposition FROM (SELECT concat('http://x/', CAST(conv_id AS VARCHAR)) AS url, turn AS item_id, CASE WHEN length(trim(regexp_replace(text, '\\s+', ' ', 'g'))) < 200 THEN 'retry' ELSE 'ingest' END AS disposition, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn FROM conversations WHERE conv_id % 4 <> 0) x WHERE rn = 1""")
-def stream_ingest(spark, d):
-    c = table(spark, d, "conversations")
-    url = F.concat(F.lit("http://x/"), F.col("conv_id").cast("string"))
-    items = c.select(F.lpad(F.col("turn").cast("string"), 8, "0").alias("item_id"), url.alias("url"), F.lit("").alias("title"), F.replace(F.replace("text", F.lit("<"), F.lit(" ")), F.lit("&"), F.lit("+")).alias("content"), F.lit("2024-01-01").alias("date"))
-    ledger = c.where("conv_id % 4 = 0").select(url.alias("url"))
-    return streams.ingest_batch(items, ledger).select("url", F.col("item_id").cast("long").alias("item_id"), "disposition")
-
-
 # ---- look-ups, identity, contracts, merges ----------------------------------------------------------------------------------------------------------------
 
 @query("""WITH k AS (SELECT s_suppkey AS doc_id, s_suppkey AS pos, 0 AS r, concat('S', CAST(s_suppkey AS VARCHAR)) AS k FROM supplier UNION ALL SELECT s_suppkey, s_suppkey, 1, concat('N', CAST(s_nationkey AS VARCHAR)) FROM supplier UNION ALL SELECT s_suppkey, s_suppkey, 2, concat('S', CAST(s_suppkey + 1 AS VARCHAR)) FROM supplier)
@@ -732,14 +685,6 @@ def url_dates(spark, d):
     return o.select("o_orderkey", x["date"].alias("date"), x["method"].alias("method"))
 
 
-@query(r"""WITH t AS (SELECT doc_id, regexp_replace(regexp_replace(split_part(coalesce(text, ''), chr(10), 1), '[《》【】\s]', '', 'g'), '（[^）]*）|\([^)]*\)', '', 'g') AS n FROM documents), u AS (SELECT n, min(doc_id) AS doc_id FROM t WHERE n <> '' GROUP BY n),
-h AS (SELECT q.n, row_number() OVER (PARTITION BY q.n ORDER BY abs(length(q.n) - length(u.n)), u.doc_id) AS rn, u.doc_id FROM (SELECT DISTINCT n FROM t WHERE length(n) >= 6) q JOIN u ON contains(u.n, q.n) OR length(u.n) >= 10 AND contains(q.n, u.n))
-SELECT t.doc_id AS query_id, h.doc_id FROM t JOIN h ON t.n = h.n AND rn = 1""")
-def title_matches(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", first_line("text").alias("title"))
-    return dedup.match_titles(docs.select(F.col("doc_id").alias("query_id"), F.col("title").alias("name")), docs).select("query_id", "doc_id")
-
-
 @query("""SELECT o_orderkey, o_orderpriority FROM (SELECT o_orderkey, o_orderpriority, row_number() OVER (PARTITION BY o_orderpriority ORDER BY md5(concat(CAST(o_orderkey AS VARCHAR), '#7')), o_orderkey) AS rn FROM orders) x WHERE rn <= 5""")
 def seeded_sample(spark, d):
     return ranking.seeded_sample(table(spark, d, "orders").select("o_orderkey", "o_orderpriority"), "o_orderpriority", "o_orderkey", 5)
@@ -782,4 +727,4 @@ def moved_keys(spark, d):
     return filters.move_keys(docs, ["theme"])[1].select("doc_id", "value")
 
 
-from . import more_queries, proof_queries, stream_queries  # noqa: E402,F401
+from . import more_queries, proof_queries, rule_queries, stream_queries  # noqa: E402,F401

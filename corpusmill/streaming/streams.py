@@ -52,10 +52,10 @@ def classify_items(items: DataFrame, deleted: Iterable[str] = (), min_len: int =
     return items.withColumn("body", text).withColumn("disposition", disposition).withColumn("reason", c["reason"])
 
 
-def ingest_batch(items: DataFrame, ledger: DataFrame) -> DataFrame:
+def ingest_batch(items: DataFrame, ledger: DataFrame, deleted: Iterable[str] = (), min_len: int = 200) -> DataFrame:
     """One batch: classified items whose url the ledger lacks, each url once (the earliest date, then id)."""
     new = items.join(ledger.select("url").distinct(), "url", "left_anti")
-    d = classify_items(new)
+    d = classify_items(new, deleted, min_len)
     return d.groupBy("url").agg(F.min_by(F.struct(*[c for c in d.columns if c != "url"]), F.struct("date", "item_id")).alias("r")).select("url", "r.*")
 
 
