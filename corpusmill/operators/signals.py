@@ -67,10 +67,10 @@ def match_keys(row: dict[str, Column]) -> Column:
 
 
 def block_by_queue(signals: DataFrame, queue: DataFrame, id_col: str, keys: Column, queue_keys: Column, reason_col: str = "reason") -> tuple[DataFrame, DataFrame]:
-    """(accepted, blocked with sorted queue_reasons): a row is blocked when any of its keys is in the queue."""
+    """(accepted, blocked with sorted queue_reasons): a row is blocked when any of its keys is in the queue (C15). Reasons of the rows themselves give way to the queue's."""
     q = queue.select(F.explode(queue_keys).alias("_key"), F.coalesce(F.nullif(F.col(reason_col), F.lit("")), F.lit("manual_review")).alias("_reason")).distinct()
     hit = signals.select(F.col(id_col).alias("_id"), F.explode(keys).alias("_key")).join(q, "_key").groupBy("_id").agg(F.array_sort(F.collect_set("_reason")).alias("queue_reasons"))
-    marked = signals.join(hit, F.col(id_col) == F.col("_id"), "left").drop("_id")
+    marked = signals.drop("queue_reasons").join(hit, F.col(id_col) == F.col("_id"), "left").drop("_id")
     return marked.where(F.col("queue_reasons").isNull()).drop("queue_reasons"), marked.where(F.col("queue_reasons").isNotNull()).withColumn("publish_status", F.lit("blocked_pending_review"))
 
 

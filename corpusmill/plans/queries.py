@@ -727,4 +727,4 @@ def moved_keys(spark, d):
     return filters.move_keys(docs, ["theme"])[1].select("doc_id", "value")
 
 
-from . import more_queries, proof_queries, rule_queries, stream_queries  # noqa: E402,F401
+from . import job_queries, more_queries, proof_queries, rule_queries, stream_queries  # noqa: E402,F401

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import any_of, squeeze
+from ..operators.tables import new_path
 from . import schemas
 
 
@@ -68,9 +69,30 @@ def numbered_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return rows.select("file", "line_no", "r.*")
 
 
+def _visible_copies(spark: SparkSession, path: str, prefix: str) -> str | None:
+    """A folder with copies of the files of a path whose names begin with `prefix`, as shown=<name>; None if there are none."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    source, conf = jvm.Path(path), spark._jsc.hadoopConfiguration()
+    fs = source.getFileSystem(conf)
+    found = fs.globStatus(source)
+    files = [f for s in found or () for f in (fs.listStatus(s.getPath()) if s.isDirectory() else [s]) if f.getPath().getName().startswith(prefix)]
+    if not files:
+        return None
+    folder = new_path(spark, "files")
+    for f in files:
+        target = jvm.Path(f"{folder}/shown={f.getPath().getName()}")
+        jvm.FileUtil.copy(fs, f.getPath(), target.getFileSystem(conf), target, False, conf)
+    return folder
+
+
 def relation_files(spark: SparkSession, path: str) -> DataFrame:
-    """Edges of many files; rel falls back to the file's stem, files named _archive* are marked (A4)."""
+    """Edges of many files; rel falls back to the file's stem, files named _archive* are marked (A4).
+
+    Spark's scan leaves out names that begin with an underscore, so archives are copied, file to file, to the shared folder under names that it reads.
+    """
     rows = numbered_json(spark, path, schemas.EDGES)
+    if (copies := _visible_copies(spark, path, "_archive")) is not None:
+        rows = rows.unionByName(numbered_json(spark, f"{copies}/*", schemas.EDGES).withColumn("file", F.regexp_replace("file", "^shown=", "")))
     stem = F.regexp_replace("file", r"\.[^.]*$", "")
     return rows.withColumn("rel", F.coalesce(F.nullif(F.col("rel"), F.lit("")), stem)).withColumn("archived", F.col("file").startswith("_archive"))
 
