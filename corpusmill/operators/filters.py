@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..functions.text import any_of, first_of, first_pattern, host, host_ends, host_in, reasons
+from .tables import one_row
 
 
 def relevant(texts: Iterable[Column], keywords: Iterable[str]) -> Column:
@@ -65,7 +66,7 @@ def gate(docs: DataFrame, verdicts: DataFrame | None = None, ref: str = "ref", t
         label, conf = F.lit("policy"), F.lit(0.5)
         gray = F.lit("pass")
     else:
-        v = verdicts.select(F.col(ref).alias("_ref"), F.col("label").alias("_label"), F.col("confidence").cast("double").alias("_conf")).dropDuplicates(["_ref"])
+        v = one_row(verdicts.select(F.col(ref).alias("_ref"), F.col("label").alias("_label"), F.col("confidence").cast("double").alias("_conf")), ["_ref"])
         d = d.join(v, F.col(ref) == F.col("_ref"), "left").drop("_ref")
         label, conf = F.coalesce("_label", F.lit("policy")), F.when(F.col("_label").isNull(), 0.4).otherwise(F.coalesce("_conf", F.lit(0.5)))
         gray = F.when(F.col("_label").isNull(), "review_queue").when(F.col("_label") == "commentary", "commentary").when(F.col("_label") == "policy", "pass").when(conf < threshold, "review_queue").otherwise("reject")
@@ -143,7 +144,7 @@ def wants_refetch(content: Column, min_len: int = 800) -> Column:
 
 def upgrade_bodies(docs: DataFrame, refetched: DataFrame, key: str = "doc_id") -> DataFrame:
     """Bodies replaced by refetched ones that are strictly longer."""
-    r = refetched.select(F.col(key).alias("_k"), F.col("body").alias("_b")).dropDuplicates(["_k"])
+    r = one_row(refetched.select(F.col(key).alias("_k"), F.col("body").alias("_b")), ["_k"])
     longer = F.coalesce(F.length("_b") > F.length(F.coalesce("body", F.lit(""))), F.lit(False))
     return docs.join(r, F.col(key) == F.col("_k"), "left").withColumn("upgraded", longer).withColumn("body", F.when(longer, F.col("_b")).otherwise(F.col("body"))).drop("_k", "_b")
 

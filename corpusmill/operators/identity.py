@@ -51,8 +51,8 @@ def lookup_or_queue(rows: DataFrame, index: DataFrame, key: str, reason: str = "
 
 
 def host_lookup(docs: DataFrame, registry: DataFrame, url: str = "url") -> DataFrame:
-    """docs with the registry's columns by exact host (C23); the registry's last row of a domain counts."""
-    r = registry.withColumn("_pos", F.monotonically_increasing_id()) if "pos" not in registry.columns else registry.withColumn("_pos", F.col("pos"))
+    """docs with the registry's columns by exact host (C23); the registry's last row of a domain by pos counts (A7); without pos, one by hash."""
+    r = registry.withColumn("_pos", F.col("pos") if "pos" in registry.columns else F.xxhash64(*registry.columns))
     w = Window.partitionBy("domain").orderBy(F.desc("_pos"))
     r = r.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "_pos").drop("pos")
     return docs.withColumn("_host", host(F.col(url))).join(r, F.col("_host") == F.lower(F.col("domain")), "left").drop("_host")
@@ -84,7 +84,7 @@ def remap(rows: DataFrame, mapping: DataFrame, archived: DataFrame, cols: Iterab
     d = rows
     for k, c in enumerate(cols):
         a = archived.select(F.col("id").alias(f"_a{k}")).distinct()
-        m = mapping.select(F.col("old_id").alias(f"_o{k}"), F.col("new_id").alias(f"_m{k}")).dropDuplicates([f"_o{k}"])
+        m = one_row(mapping.select(F.col("old_id").alias(f"_o{k}"), F.col("new_id").alias(f"_m{k}")), [f"_o{k}"])
         d = d.join(a, F.col(c) == F.col(f"_a{k}"), "left").join(m, F.col(c) == F.col(f"_o{k}"), "left")
         gone = gone | F.col(f"_a{k}").isNotNull()
     d = d.withColumn("_gone", gone)

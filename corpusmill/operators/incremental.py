@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import merge_keyed
+from .tables import merge_keyed, one_row
 
 
 def new_keys(tracked: DataFrame, covered: DataFrame, key: str) -> DataFrame:
@@ -73,7 +73,7 @@ def upsert_undecided(target: DataFrame, rows: DataFrame, key: str = "dedupe_key"
 
 def insert_absent(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
     """The rows of `rows` (each key once) that the target lacks."""
-    return rows.dropDuplicates(keys).join(target.select(*keys).distinct(), keys, "left_anti")
+    return one_row(rows, keys).join(target.select(*keys).distinct(), keys, "left_anti")
 
 
 def remove_resolved(pool: DataFrame, resolved: DataFrame, keys: tuple[str, str] = ("kind", "ref")) -> DataFrame:

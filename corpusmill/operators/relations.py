@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..functions.text import any_of, char_set, key_id, set_jaccard, window_around, window_from_anchor
-from .tables import stage
+from .tables import one_row, stage
 
 
 def union_sources(**sources: DataFrame) -> DataFrame:
@@ -222,7 +222,7 @@ def citations(docs: DataFrame, targets: DataFrame, number_core: Column | None =
         F.when(clarifies, kind("clarifies", "doc_number_match", "clarifies_keyword")),
     ))
     out = hit.select(F.col("doc_id").alias("from_id"), "to_id", "number", location.alias("location"), evidence.alias("evidence"), F.explode(kinds).alias("k"))
-    out = out.select("from_id", "to_id", "k.rel", "number", "location", "evidence", "k.confidence", "k.rules").dropDuplicates(["from_id", "to_id", "rel", "number"])
+    out = one_row(out.select("from_id", "to_id", "k.rel", "number", "location", "evidence", "k.confidence", "k.rules"), ["from_id", "to_id", "rel", "number"])
     return out.withColumn("candidate_id", key_id("HPR_", F.col("from_id").cast("string"), F.col("to_id").cast("string"), F.col("rel"), F.col("number")))
 
 
@@ -326,6 +326,6 @@ def candidate_reasons(row: dict[str, Column], relations: Iterable[str] = rules.S
 
 def apply_verdicts(candidates: DataFrame, verdicts: DataFrame, key: str = "candidate_id", default: str = "manual_review") -> DataFrame:
     """Candidates with the decision of a verdict table; a missing or unknown decision is the default (I-UDF1)."""
-    v = verdicts.select(F.col(key).alias("_k"), F.col("decision").alias("_d")).dropDuplicates(["_k"])
+    v = one_row(verdicts.select(F.col(key).alias("_k"), F.col("decision").alias("_d")), ["_k"])
     ok = F.col("_d").isin("accept", "reject", "manual_review")
     return candidates.join(v, F.col(key) == F.col("_k"), "left").withColumn("decision", F.when(ok, F.col("_d")).otherwise(F.lit(default))).drop("_k", "_d")

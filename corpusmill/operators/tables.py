@@ -69,6 +69,16 @@ def components(edges: DataFrame) -> DataFrame:
         labels = moved.select("node", "label")
 
 
+def one_row(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row of each key, the smallest by its other columns in their order (maps, which have no order, aside): reruns agree."""
+    others = [c for c in df.columns if c not in keys]
+    if not others:
+        return df.distinct()
+    order = [F.col(c) for c in others if not dict(df.dtypes)[c].startswith("map")] or [F.lit(0)]
+    best = df.groupBy(*keys).agg(F.min_by(F.struct(*others), F.struct(*order)).alias("_best"))
+    return best.select(*[F.col(c) if c in keys else F.col(f"_best.{c}") for c in df.columns])
+
+
 def first_rows(df: DataFrame, keys: list[str], *order) -> DataFrame:
     """The first row of each key by order."""
     return df.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_rn = 1").drop("_rn")

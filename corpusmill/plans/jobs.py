@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import dates, rules, scoring
 from ..functions.text import any_of, quoted_title, references, squeeze, strip_html
 from ..operators import context, dedup, filters, identity, incremental, monitoring, ranking, relations, signals
-from ..operators.tables import stage
+from ..operators.tables import one_row, stage
 from ..sources import readers
 
 
@@ -20,7 +20,7 @@ def corpus_audit(docs: DataFrame, canonical: dict[str, str], keywords: dict[str,
     news = docs.select("doc_id", filters.news_reasons(F.col("url"), F.col("title"), issuer).alias("r")).where(F.size(F.filter("r", lambda x: ~x.startswith("issuer_unknown"))) > 0)
     out = news.select(F.lit("non_policy").alias("check"), "doc_id", F.array_join("r", ",").alias("detail"))
     mismatch = identity.id_issuer_findings(docs, canonical, keywords).select(F.lit("id_issuer").alias("check"), "doc_id", F.col("expected").alias("detail"))
-    groups = dedup.duplicate_groups(docs.withColumn("number", F.col("official_number")).withColumn("pos", F.xxhash64("doc_id") if "pos" not in docs.columns else F.col("pos")))
+    groups = dedup.duplicate_groups(docs.withColumn("number", F.col("official_number")).withColumn("pos", F.col("pos") if "pos" in docs.columns else F.col("doc_id")))
     dup = groups.where("doc_id <> keep_id").select(F.lit("dedup").alias("check"), "doc_id", F.col("keep_id").alias("detail"))
     old = docs.where(filters.placeholder_ids(F.col("doc_id"))).select(F.lit("placeholder_id").alias("check"), "doc_id", F.lit("").alias("detail"))
     return out.unionByName(mismatch).unionByName(dup).unionByName(old)
@@ -28,7 +28,7 @@ def corpus_audit(docs: DataFrame, canonical: dict[str, str], keywords: dict[str,
 
 def audit_apply(docs: DataFrame, decisions: DataFrame, on: str) -> dict[str, DataFrame]:
     """Tables kept, archived, duplicates, reminted and manifest from decisions (doc_id, action archive | duplicate | remint, target, reason) (H2)."""
-    d = decisions.select(F.col("doc_id").alias("_d"), "action", "target", "reason").dropDuplicates(["_d"])
+    d = one_row(decisions.select(F.col("doc_id").alias("_d"), "action", "target", "reason"), ["_d"])
     j = stage(docs.join(d, F.col("doc_id") == F.col("_d"), "left").drop("_d"))
     plain = lambda a: j.where(F.col("action") == a)
     reminted = identity.remint(plain("remint").drop("action", "target", "reason"), plain("remint").select("doc_id", F.col("target").alias("new_id"), F.col("reason").alias("method")), on)
@@ -77,7 +77,7 @@ def theme_scores(docs: DataFrame, drafts: DataFrame, verdicts: DataFrame, known:
     d = d.withColumn("themes", F.col("_e.themes")).withColumn("primary_theme", F.col("_e.primary_theme")).withColumn("importance", scoring.importance(F.col("scores"))).withColumn("action_class", scoring.action_class(F.col("scores")))
     d = d.withColumn("gate_passed_deep", scoring.gate_deep(F.col("importance"), F.col("_level"))).withColumn("value_tags", scoring.value_tags(F.col("importance"), F.col("themes")))
     d = d.withColumn("reasons", scoring.check_draft({c: F.col(c) for c in ("themes", "primary_theme", "scores", "importance", "action_class", "impact", "gate_passed_deep")}, known, impact_keys, F.col("_level")))
-    v = verdicts.select(F.col("pid").alias("_v"), F.col("decision").alias("_dec")).dropDuplicates(["_v"])
+    v = one_row(verdicts.select(F.col("pid").alias("_v"), F.col("decision").alias("_dec")), ["_v"])
     d = d.join(v, F.col("pid") == F.col("_v"), "left")
     stage_ = F.when(F.size("reasons") > 0, "program_gate").when(F.col("_dec").isNull(), "judge_error").when(F.col("_dec") != "accept", "judge_reject")
     d = stage(d.withColumn("stage", stage_).drop("_head", "_level", "_e", "_v", "_dec"))
@@ -235,7 +235,7 @@ def golden_set(rows: DataFrame, planted: DataFrame, human: DataFrame, consensus:
     """Rows with gold: planted rows before human labels before consensus (H22). The three tables: (key, gold)."""
     out = rows
     for name, t in (("p", planted), ("h", human), ("c", consensus)):
-        t = t.select(F.col(key).alias(f"_k{name}"), F.col("gold").alias(f"_{name}")).dropDuplicates([f"_k{name}"])
+        t = one_row(t.select(F.col(key).alias(f"_k{name}"), F.col("gold").alias(f"_{name}")), [f"_k{name}"])
         out = out.join(t, F.col(key) == F.col(f"_k{name}"), "left").drop(f"_k{name}")
     source = F.when(F.col("_p").isNotNull(), "planted").when(F.col("_h").isNotNull(), "human").when(F.col("_c").isNotNull(), "consensus")
     return out.withColumn("gold", F.coalesce("_p", "_h", "_c")).withColumn("gold_source", source).withColumn("is_planted", F.col("_p").isNotNull()).drop("_p", "_h", "_c")
@@ -250,7 +250,7 @@ def discovery_targets(regions: DataFrame, institutions: Iterable[str], known: Da
 
 def reprobe(channels: DataFrame, probes: DataFrame, on: str) -> DataFrame:
     """The catalog after probe results (list_url, verdict) (H24): promoted when ok, ambiguous when the structure is unknown, else unchanged."""
-    p = probes.select(F.col("list_url").alias("_u"), F.col("verdict").alias("_v")).dropDuplicates(["_u"])
+    p = one_row(probes.select(F.col("list_url").alias("_u"), F.col("verdict").alias("_v")), ["_u"])
     j = channels.join(p, F.col("list_url") == F.col("_u"), "left")
     move = F.when((F.col("_v") == "ok") & (F.col("status") != "验证"), "promoted").when(F.col("_v") == "structure_unknown", "ambiguous").otherwise("unchanged")
     j = j.withColumn("transition", move).withColumn("status", F.when(F.col("transition") == "promoted", "验证").otherwise(F.col("status")))

@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.monitoring import shrink_gate, unique_gate
+from ..operators.tables import one_row
 
 
-def write_by_relation(edges: DataFrame, path: str) -> None:
-    """One folder per relation type."""
-    edges.repartition("rel").sortWithinPartitions("rel", "from_id", "to_id").write.mode("overwrite").partitionBy("rel").json(path)
+def write_by_relation(edges: DataFrame, path: str, files: int = 1) -> None:
+    """One folder per relation type (A9), each in up to `files` files by a hash of from_id, so that few large types aren't written by as few tasks."""
+    dealt = edges.repartition("rel", F.pmod(F.xxhash64("from_id"), F.lit(files))) if files > 1 else edges.repartition("rel")
+    dealt.sortWithinPartitions("rel", "from_id", "to_id").write.mode("overwrite").partitionBy("rel").json(path)
 
 
 def write_ordered_edges(edges: DataFrame, path: str) -> None:
@@ -39,7 +41,7 @@ def publish(spark: SparkSession, staged: str, target: str, key: str | None = Non
 def append_absent(rows: DataFrame, path: str, keys: list[str]) -> None:
     """Append the rows whose keys the target lacks (A17); a missing target is created."""
     spark = rows.sparkSession
-    new = rows.dropDuplicates(keys)
+    new = one_row(rows, keys)
     there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     if there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(there):
         new = new.join(spark.read.parquet(path).select(*keys).distinct(), keys, "left_anti")

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.text import low_quality, strip_html
 from ..operators.context import heat_of_count
 from ..operators.filters import ingest_class
+from ..operators.tables import one_row
 from ..sources.schemas import EVENTS
 
 
@@ -38,7 +39,7 @@ def session_heat(events: DataFrame, key: str = "user_id", ts: str = "ts", gap: s
 def first_seen(items: DataFrame, key: str = "url", ts: str = "ts", late: str = "7 days") -> DataFrame:
     """The first item of each key within the watermark; a stream keeps no more state than that."""
     d = items.withColumn(ts, F.col(ts).cast("timestamp"))
-    return d.withWatermark(ts, late).dropDuplicatesWithinWatermark([key]) if d.isStreaming else d.dropDuplicates([key])
+    return d.withWatermark(ts, late).dropDuplicatesWithinWatermark([key]) if d.isStreaming else one_row(d.select(key, ts, *[c for c in d.columns if c not in (key, ts)]), [key]).select(*d.columns)
 
 
 def classify_items(items: DataFrame, deleted: Iterable[str] = (), min_len: int = 200) -> DataFrame:

