@@ -11,8 +11,7 @@ from ..operators import dedup, filters, identity, monitoring, ranking, relations
 from ..operators.tables import new_path
 from ..sources import readers
 from . import jobs
-from .queries import EDGES_SQL, edges_of, first_line, query, table
-from .rule_queries import any_sql, pick, pick_sql, quoted
+from .queries import EDGES_SQL, any_sql, edges_of, first_line, nodes_of, pick, pick_sql, query, quoted, table
 
 # ---- readers (A1 to A5, A8, A21, A23, A24) ---------------------------------------------------------------------------------------------------
 
@@ -253,8 +252,6 @@ def swept_queue(spark, d):
 SELECT 'rel' AS metric, rel AS key, count(*) AS n FROM s GROUP BY rel UNION ALL SELECT 'family', CASE WHEN rel IN {rules.HIGH_PRECISION_RELATIONS} THEN 'high_precision' WHEN rel IN {rules.SEMANTIC_RELATIONS} THEN 'semantic' ELSE 'unknown' END, count(*) FROM s GROUP BY 2 UNION ALL SELECT 'flag', f, count(*) FROM s WHERE f IS NOT NULL GROUP BY f UNION ALL SELECT 'flag', t, count(*) FROM s WHERE t IS NOT NULL GROUP BY t""")
 def relation_counts(spark, d):
     """The inventory of all edges by type, family and flag."""
-    from .queries import nodes_of
-
     return jobs.relation_inventory(edges_of(spark, d), nodes_of(spark, d).select(F.col("node_id").alias("key")))[1]
 
 
