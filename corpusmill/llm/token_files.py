@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..operators.tables import new_path
 from . import tokens
-from .common import materialize
+from .common import materialize, row_hash
 
 #: Fixed values of the format: selector -> (values a word, bits a value); selector 0 is 240 zeros, 1 is the escape.
 SELECTORS = {0: (240, 0), 1: (1, 64), 2: (60, 1), 3: (30, 2), 4: (20, 3), 5: (15, 4), 6: (12, 5), 7: (10, 6), 8: (8, 7), 9: (7, 8), 10: (6, 10), 11: (5, 12), 12: (4, 15), 13: (3, 20), 14: (2, 30), 15: (1, 60)}
@@ -140,8 +140,8 @@ def decode(words: np.ndarray, offsets: np.ndarray, n: int, block: int = BLOCK) -
 def write_token_files(docs: DataFrame, out: str, end_id: int = END_ID, path: str | None = None, chunk_ids: int = CHUNK_IDS) -> None:
     """Write the ids of (doc_id, text) to `out`, in ascending doc_id over the parts and inside them.
 
-    Null text is empty (the end id alone); null ids come first; rows that repeat an id stay side by side. The text is dealt
-    out by ranges of doc_id (one shuffle), so a part is as long as its range and no task sees the whole.
+    Null text is empty (the end id alone); null ids come first; rows that repeat an id stay side by side, in order of a hash of their texts. The text is dealt
+    out by ranges of (doc_id, hash) (one shuffle), so a part is as long as its range, reruns agree, and neither the whole nor all rows without an id meet in one task.
     """
     path = path or tokens.default_path()
 
@@ -174,7 +174,8 @@ def write_token_files(docs: DataFrame, out: str, end_id: int = END_ID, path: str
         if arrays:
             yield row()
 
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    order = ["doc_id", "_row"]
+    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row_hash("text").alias("_row")).repartitionByRange(*order).sortWithinPartitions(*order)
     ordered.mapInArrow(run, FILE_SCHEMA).write.parquet(out)
 
 
