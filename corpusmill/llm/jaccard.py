@@ -31,6 +31,8 @@ from .graph import connected_components
 
 #: Sets of one block of the join; larger loose components are joined in pairs of blocks. Sets that smaller components bring into a block, about.
 BLOCK_DOCS, SHARED_DOCS = 1_000, 400
+#: Elements up to which a set counts as one; larger ones count as so many more, so that a block is bounded in elements too.
+SET_ELEMENTS = 2_000
 #: Least and most bits of a signature (powers of two; a tree takes about eight for an element of its largest set).
 MIN_BITS, MAX_BITS = 512, 1 << 16
 FAN = 16
@@ -306,21 +308,23 @@ def jaccard_rows(docs: DataFrame, width: int = 4, threshold: int = 85, block_doc
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (row_hash("text") if row is None else row).alias("row"), "text")
     sizes = materialize(set_sizes(texts, width))
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("rep")
-    reps = materialize(sizes.where("node IS NOT NULL").groupBy("node").agg(least).select("node", "rep.*"))
+    weight = F.ceil(F.max("n_shingles") / SET_ELEMENTS).alias("weight")
+    reps = materialize(sizes.where("node IS NOT NULL").groupBy("node").agg(least, weight).select("node", "rep.*", "weight"))
     # loose components of each class: their nodes are (class, set), told by a hash (a collision would only widen a block)
     links = materialize(loose_links(texts.select("text"), width, threshold))
     node = lambda c: F.xxhash64("cls", c)
     loose = connected_components(links.select(node("src").alias("src"), node("dst").alias("dst"))).withColumnRenamed("node", "_n")
     held = links.select("cls", F.explode(F.array("src", "dst")).alias("node")).distinct()
     single = materialize(held.join(loose, node("node") == F.col("_n")).select("node", "component"))
-    count = materialize(single.groupBy("component").agg(F.ceil(F.count("*") / block_docs).cast("int").alias("blocks"), F.count("*").alias("n")))
+    weighed = single.join(reps.select("node", "weight"), "node")
+    count = materialize(weighed.groupBy("component").agg(F.sum("weight").alias("n")).withColumn("blocks", F.ceil(F.col("n") / block_docs).cast("int")))
     shared = max(1, (count.where("blocks = 1").agg(F.sum("n")).first()[0] or 0) // SHARED_DOCS)
     block = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("component"), F.lit(shared))).otherwise(F.xxhash64("component"))
     members = single.join(count.select("component", "blocks", block.alias("block")), "component").withColumn("own", F.pmod(F.xxhash64("node", F.lit(5)), "blocks").cast("int"))
     pairs = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, "own").alias("a"), F.greatest(o, "own").alias("b"))))
     dealt = members.select("node", "component", "block", "own", pairs.alias("p")).select("node", "component", "block", "p.a", "p.b", F.when((F.col("own") == F.col("p.a")), 0).otherwise(1).alias("side"))
     # the text of a set is that of its smallest row
-    wanted = dealt.join(reps, "node").select("node", "component", "block", "a", "b", "side", F.coalesce("doc_id", F.lit(0)).alias("_at"), F.col("row").alias("_row"))
+    wanted = dealt.join(reps.drop("weight"), "node").select("node", "component", "block", "a", "b", "side", F.coalesce("doc_id", F.lit(0)).alias("_at"), F.col("row").alias("_row"))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 200):
