@@ -371,3 +371,67 @@ def missing_references(spark, d):
     k = F.col("page_id")
     p = table(spark, d, "pages").select(k.alias("ref_id"), F.concat(F.lit("http://r.example/"), (k % 40).cast("string")).alias("url"), F.concat(F.lit("关于"), (k % 30).cast("string"), F.lit("号储能项目的管理办法")).alias("title"))
     return dedup.not_collected(p, p.where("ref_id % 5 = 0").withColumnRenamed("ref_id", "doc_id")).select("ref_id")
+
+
+# ---- isolation, marking, flags (H16, H28, B16, H26, B12, B18, B25, B32, H19) -----------------------------------------------------------------------
+
+@query("""WITH x AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 11 = 0 THEN '' ELSE concat('P', c_custkey) END AS pid, CASE WHEN c_custkey % 7 = 0 THEN 'other' ELSE concat('P', c_custkey) END AS stem, c_custkey % 3 > 0 AS old, c_custkey % 2 AS keys FROM customer),
+a AS (SELECT *, CASE WHEN pid = '' OR pid <> stem THEN 'manual_review' WHEN old OR keys = 1 THEN 'isolate_legacy' ELSE 'keep_current' END AS action FROM x)
+SELECT k, CASE WHEN action = 'isolate_legacy' AND k % 4 = 0 THEN 'already_isolated' ELSE action END AS action, CASE WHEN action = 'manual_review' THEN CASE WHEN pid = '' THEN 'missing_pid' ELSE 'pid_filename_mismatch' END WHEN action = 'keep_current' THEN 'current_flow' ELSE concat_ws(',', CASE WHEN old THEN 'legacy_extracted_by' END, CASE WHEN old THEN 'legacy_model' END, CASE WHEN keys = 1 THEN 'deprecated_key' END, CASE WHEN keys = 1 THEN 'impact_schema_mismatch' END) END AS reasons,
+ CASE WHEN action = 'manual_review' OR action = 'keep_current' THEN 'kept' WHEN k % 4 = 0 THEN 'backup' ELSE 'isolated' END AS lane FROM a""")
+def isolated_rows(spark, d):
+    """Derived rows kept, isolated or already in the backup by their hash; the manifest, the kept and the isolated rows together are the input."""
+    k = F.col("c_custkey")
+    pid = F.when(k % 11 == 0, "").otherwise(F.concat(F.lit("P"), k.cast("string")))
+    rows = table(spark, d, "customer").select(pid.alias("pid"), F.when(k % 7 == 0, "other").otherwise(F.concat(F.lit("P"), k.cast("string"))).alias("stem"), F.when(k % 3 > 0, "hand").otherwise("2b").alias("extracted_by"), F.when(k % 3 > 0, "legacy").otherwise("m").alias("extracted_model"), F.when(k % 2 == 1, F.array(F.lit("old"))).otherwise(F.array(F.lit("fuel"), F.lit("power"))).alias("impact_keys"), k.alias("k"))
+    args = ("2b", ["legacy"], ["old"], ["fuel", "power"])
+    backup = jobs.isolate(rows.where("k % 4 = 0"), *args)["isolated"]
+    out = jobs.isolate(rows, *args, backup)
+    lanes = out["kept"].select("k", "action", "reasons", F.lit("kept").alias("lane")).unionByName(out["isolated"].select("k", "action", "reasons", F.lit("isolated").alias("lane")))
+    again = out["manifest"].where("action = 'already_isolated'").join(backup.select("sha256", "k"), "sha256").select("k", "action", "reasons", F.lit("backup").alias("lane"))
+    return lanes.unionByName(again).select("k", "action", F.array_join("reasons", ",").alias("reasons"), "lane")
+
+
+@query("""WITH x AS (SELECT o_orderkey AS id, o_custkey AS t FROM orders), m AS (SELECT t, min(id) AS keep, count(*) AS n FROM x GROUP BY t)
+SELECT id AS doc_id, keep AS duplicate_of, 'same_title' AS rule, '2026-01-01' AS marked_at FROM x JOIN m ON x.t = m.t WHERE id <> keep""")
+def marked_duplicates(spark, d):
+    """Orders of one customer as documents of one title; all but the first name the one they repeat."""
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("doc_id"), F.lit(None).cast("string").alias("url"), F.lit("").alias("number"), F.concat(F.lit("customer "), F.col("o_custkey").cast("string")).alias("title"), F.lit("").alias("date"), F.col("o_orderkey").alias("pos"))
+    m = dedup.mark_duplicates(o, "same_title", "2026-01-01")
+    return m.select("doc_id", F.col("_duplicate_of").alias("duplicate_of"), F.col("_duplicate_rule").alias("rule"), F.col("_duplicate_at").cast("string").alias("marked_at"))
+
+
+FLAG_TITLES = ("关于储能的通知", "招标公告：设备", "省里发布2024年度报告》", "一般消息")
+
+
+@query(f"""WITH {EDGES_SQL}, x AS (SELECT source, rel, confidence, {pick_sql('from_id', *quoted(FLAG_TITLES))} AS a, {pick_sql('to_id', *quoted(FLAG_TITLES))} AS b FROM edges)
+SELECT source, CASE WHEN rel = 'aligns_with' THEN 'semantic' ELSE 'high_precision' END AS family, concat_ws(',', CASE WHEN confidence < 0.05 THEN 'low_confidence' END, CASE WHEN NOT contains(a, '通知') OR NOT contains(b, '通知') THEN 'title_without_document_word' END) AS flags, coalesce(CASE WHEN contains(a, '招标公告') THEN '招标公告' WHEN regexp_matches(a, '发布.{{0,40}}报告[》(（]') THEN '发布.{{0,40}}报告[》(（]' END, '') AS endpoint FROM x""")
+def flagged_edges(spark, d):
+    """Families of all edges, flags on low confidence and on titles without a document word, and ends that are news."""
+    e = edges_of(spark, d).withColumn("a", pick(F.col("from_id"), *FLAG_TITLES)).withColumn("b", pick(F.col("to_id"), *FLAG_TITLES))
+    flags = relations.review_flags(F.col("confidence"), [F.col("a"), F.col("b")], ["通知"], 0.05)
+    return e.select("source", relations.relation_family(F.col("rel")).alias("family"), F.array_join(flags, ",").alias("flags"), F.coalesce(filters.non_policy_endpoint(F.col("a")), F.lit("")).alias("endpoint"))
+
+
+@query("""WITH x AS (SELECT doc_id, doc_id % 3 = 0 AS old, doc_id % 4 = 0 AS odd, doc_id % 5 = 0 AS bare, doc_id % 6 = 0 AS part FROM documents)
+SELECT doc_id, NOT (odd OR bare OR part) AS ok, CAST(CASE WHEN old THEN 1 ELSE 0 END + CASE WHEN odd THEN 1 ELSE 0 END + CASE WHEN bare THEN 1 ELSE 0 END + CASE WHEN part THEN 1 ELSE 0 END AS INT) AS n, doc_id % 7 = 0 AS all_themes FROM x""")
+def contract_gate(spark, d):
+    """Legacy drift alone passes, other violations don't; drafts that hold all themes are warned of."""
+    k = F.col("doc_id")
+    fm = F.map_concat(F.create_map(F.lit("title"), F.when(k % 5 == 0, "").otherwise("t")), F.when(k % 3 == 0, F.create_map(F.lit("was"), F.lit("x"))).otherwise(F.create_map().cast("map<string,string>")), F.when(k % 4 == 0, F.create_map(F.lit("what"), F.lit("x"))).otherwise(F.create_map().cast("map<string,string>")))
+    x = table(spark, d, "documents").withColumn("v", filters.contract_violations(fm, F.when(k % 6 == 0, F.array(F.lit("secret"), F.lit("body"))), ["title"], ["lang"], ["was"], ["secret"]))
+    x = x.withColumn("themes", F.when(k % 7 == 0, F.array(F.lit("a"), F.lit("b"), F.lit("c"))).otherwise(F.array(F.lit("a"))))
+    warned = filters.distribution_warnings(x, 3).select("doc_id", F.lit(True).alias("_w"))
+    return x.join(warned, "doc_id", "left").select("doc_id", filters.contract_ok(F.col("v")).alias("ok"), F.size("v").alias("n"), F.coalesce("_w", F.lit(False)).alias("all_themes"))
+
+
+@query("""WITH t AS (SELECT doc_id AS k, concat('关于', doc_id % 30, '号储能项目的管理办法') AS t, concat('c/', lpad(CAST(doc_id AS VARCHAR), 8, '0')) AS path FROM documents), l AS (SELECT t, min(k) AS k, min(path) AS path FROM t WHERE k % 30 % 5 > 0 GROUP BY t)
+SELECT path, t AS title, 'candidate' AS lane FROM l WHERE k % 2 = 0 UNION ALL SELECT '', CAST(count(*) AS VARCHAR), 'dropped' FROM l WHERE k % 2 = 1""")
+def backfilled_references(spark, d):
+    """Titles that commentary quotes and no document has, the first of each; those without a scope word around them are counted."""
+    k = F.col("doc_id")
+    title = F.concat(F.lit("关于"), (k % 30).cast("string"), F.lit("号储能项目的管理办法"))
+    x = table(spark, d, "documents")
+    com = x.select(F.concat(F.lit("c/"), F.lpad(k.cast("string"), 8, "0")).alias("path"), F.concat(F.when(k % 2 == 0, "充电设施：").otherwise("一般："), F.lit("见《"), title, F.lit("》。")).alias("text"))
+    cand, dropped = jobs.backfill(com, x.where(k % 5 == 0).select("doc_id", F.lit("").alias("url"), title.alias("title")), ["充电"])
+    return cand.select("path", "title", F.lit("candidate").alias("lane")).unionByName(dropped.select(F.lit("").alias("path"), F.col("dropped").cast("string").alias("title"), F.lit("dropped").alias("lane")))
