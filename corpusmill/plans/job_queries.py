@@ -435,3 +435,20 @@ def backfilled_references(spark, d):
     com = x.select(F.concat(F.lit("c/"), F.lpad(k.cast("string"), 8, "0")).alias("path"), F.concat(F.when(k % 2 == 0, "充电设施：").otherwise("一般："), F.lit("见《"), title, F.lit("》。")).alias("text"))
     cand, dropped = jobs.backfill(com, x.where(k % 5 == 0).select("doc_id", F.lit("").alias("url"), title.alias("title")), ["充电"])
     return cand.select("path", "title", F.lit("candidate").alias("lane")).unionByName(dropped.select(F.lit("").alias("path"), F.col("dropped").cast("string").alias("title"), F.lit("dropped").alias("lane")))
+
+
+# ---- numbers and issuers of a body (G7, G12) ------------------------------------------------------------------------------------------------------
+
+_HOSTS = [*rules.ISSUER_BY_HOST, "www.elsewhere.example", "gov.cn"]
+
+
+@query(f"""SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN concat('根据国能发新能〔2021〕', doc_id, '号') WHEN 1 THEN concat('发改能源[2022]', doc_id, '号') WHEN 3 THEN concat('(2019)', doc_id, '号') WHEN 4 THEN concat('国能发〔2018〕', doc_id, '号') ELSE '' END AS number, {pick_sql('doc_id', *quoted([rules.ISSUER_BY_HOST.get(h) for h in _HOSTS]))} AS issuer FROM documents""")
+def numbers_and_issuers(spark, d):
+    """The first official number that no repeal stands around, the strict shape before the loose one, blanks taken out; the issuer of an exact host."""
+    k = F.col("doc_id")
+    n = k.cast("string")
+    c = lambda *x: F.concat(*[F.lit(y) if isinstance(y, str) else y for y in x])
+    head = F.when(k % 6 == 0, c("根据国能发新能〔2021〕 ", n, " 号文件。")).when(k % 6 == 1, c("废止国能发新能〔2021〕1号。现在执行，发改能源[2022]", n, "号。")).when(k % 6 == 2, c("国能发〔2020〕", n, "号同时废止。")).when(k % 6 == 3, c("x(2019)", n, "号。")).when(k % 6 == 4, c("x(2017)3号。\n", "x国能发〔2018〕", n, "号。")).otherwise("none")
+    body = F.concat(head, F.lit(" " * 20), F.coalesce("text", F.lit("")))
+    url = c("http://", pick(k, *_HOSTS), "/a/", n)
+    return table(spark, d, "documents").select("doc_id", dates.official_number(body).alias("number"), dates.issuer_of_host(url).alias("issuer"))
