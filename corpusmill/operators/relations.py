@@ -157,21 +157,23 @@ def _grams(raw: bytes, width: int, span: int) -> np.ndarray:
 def contained(texts: DataFrame, parts: DataFrame, id_col: str, text_col: str, part_col: str) -> DataFrame:
     """Distinct (id, part) whose text may contain the part, a superset to be checked: both share a key.
 
-    A part is looked up by the key of its last window, texts by all their keys; only kinds that parts have are computed for texts. Empty parts
-    are left out.
+    A part is looked up by the key of the window that the fewest parts share (so parts that end or begin alike don't meet every text that does), texts by all
+    their keys; only kinds that parts have are computed for texts. Empty parts are left out.
     """
     kinds_of = "kind int, key long"
 
-    def last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kind, key = [], []
-            for raw in batch.column(1).to_pylist():
-                kind.append(next(k for k, (least, _, _) in enumerate(GRAM_KINDS) if len(raw) >= least))
-                key.append(_grams(raw, *GRAM_KINDS[kind[-1]][1:])[-1])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kind, pa.int32()), pa.array(key, pa.int64())], [part_col, "kind", "key"])
+            for r in range(batch.num_rows):
+                raw = batch.column(1)[r].as_py()
+                kind = next(k for k, (least, _, _) in enumerate(GRAM_KINDS) if len(raw) >= least)
+                key = np.unique(_grams(raw, *GRAM_KINDS[kind][1:]))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.full(len(key), r))), pa.array(np.full(len(key), kind, np.int32)), pa.array(key)], [part_col, "kind", "key"])
 
     p = parts.where(F.length(part_col) > 0).select(part_col).distinct()
-    p = stage(p.select(part_col, F.col(part_col).cast("binary").alias("raw")).mapInArrow(last, f"`{part_col}` string, {kinds_of}"))
+    p = stage(p.select(part_col, F.col(part_col).cast("binary").alias("raw")).mapInArrow(windows, f"`{part_col}` string, {kinds_of}"))
+    shared = stage(p.groupBy("kind", "key").agg(F.count("*").alias("n")))
+    p = stage(p.join(shared, ["kind", "key"]).groupBy(part_col, "kind").agg(F.min_by("key", F.struct("n", "key")).alias("key")))
     present = [r.kind for r in p.select("kind").distinct().collect()]  # four at most
 
     def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

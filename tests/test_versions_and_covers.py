@@ -117,3 +117,15 @@ def test_native_dates_equal_the_scan(spark):
     for x in spark.sql("SELECT id, d.* FROM dated_texts, LATERAL date_rows(t) d").collect():
         rows[x.id].append(tuple(x)[1:])
     assert rows == {k: v for k, v in want.items() if v}
+
+
+def test_containment_of_parts_that_end_alike(spark):
+    """Parts that end alike are looked up by what they don't share; what is found holds every text that contains a part."""
+    tail = "〔2021〕年度通知第一号"
+    parts = ["".join(chr(r.randrange(0x4E00, 0x9000)) for _ in range(12)) + tail for _ in range(60)] + ["a", "bc", "def", "longer than eight", tail]
+    texts = [(k, f"前文 {parts[k % len(parts)]} 后文 {r.random()}") for k in range(200)] + [(900, None), (901, "")]
+    df = spark.createDataFrame(texts, "id long, t string")
+    found = {(x.id, x.p) for x in relations.contained(df, spark.createDataFrame([(p,) for p in [*parts, ""]], "p string"), "id", "t", "p").collect()}
+    want = {(k, p) for k, t in texts for p in parts if t and p in t}
+    assert want <= found
+    assert len([1 for k, p in found if p in parts[:60]]) < 4 * len([1 for k, p in want if p in parts[:60]])
