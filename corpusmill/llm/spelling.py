@@ -234,7 +234,9 @@ def near_words(words: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
         word, near, best, best_n = near_in_shard(members, np.array([held[w] for w in members], np.int64), queries)
         return pa.RecordBatch.from_arrays([pa.array(word, pa.string()), pa.array(near.astype(np.int64)), pa.array(best, pa.string()), pa.array(best_n)], ["word", "n_near", "best", "best_n"])
 
-    found = map_groups(small.unionByName(as_members).unionByName(as_queries), ["shard", "slot"], solve, "word string, n_near long, best string, best_n long")
+    # a number of tasks that follows the work: these rows are small but take long, so they mustn't be gathered by size
+    tasks = min(n_shards, max(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_shards // 4))
+    found = map_groups(small.unionByName(as_members).unionByName(as_queries), ["shard", "slot"], solve, "word string, n_near long, best string, best_n long", partitions=tasks)
     best = F.min(F.struct((-F.col("best_n")).alias("m"), F.col("best").alias("w"))).alias("b")
     return found.groupBy("word").agg(F.sum("n_near").alias("n_near"), best).select("word", "n_near", F.col("b.w").alias("best"), (-F.col("b.m")).alias("best_n"))
 
