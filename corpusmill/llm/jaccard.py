@@ -31,8 +31,8 @@ from .graph import connected_components
 
 #: Sets of one block of the join; larger loose components are joined in pairs of blocks. Sets that smaller components bring into a block, about.
 BLOCK_DOCS, SHARED_DOCS = 1_000, 400
-#: Elements up to which a set counts as one; larger ones count as so many more, so that a block is bounded in elements too.
-SET_ELEMENTS = 2_000
+#: Elements up to which a set counts as one; larger ones count as so many more, so that a block is bounded in elements too (160 MB of hashes).
+SET_ELEMENTS = 20_000
 #: Least and most bits of a signature (powers of two; a tree takes about eight for an element of its largest set).
 MIN_BITS, MAX_BITS = 512, 1 << 16
 FAN = 16

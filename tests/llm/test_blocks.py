@@ -14,7 +14,7 @@ r = random.Random(41)
 say = lambda n: " ".join(r.choice(WORDS) for _ in range(n))
 
 
-@pytest.mark.parametrize("elements", [5, 2_000])
+@pytest.mark.parametrize("elements", [5, 20_000])
 def test_large_sets_weigh_more(spark, monkeypatch, elements):
     """The weight of a set changes the blocks, never the links."""
     monkeypatch.setattr(jaccard, "SET_ELEMENTS", elements)
