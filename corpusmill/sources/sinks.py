@@ -9,9 +9,17 @@ from ..operators.monitoring import shrink_gate, unique_gate
 from ..operators.tables import one_row
 
 
-def write_by_relation(edges: DataFrame, path: str, files: int = 1) -> None:
-    """One folder per relation type (A9), each in up to `files` files by a hash of from_id, so that few large types aren't written by as few tasks."""
-    dealt = edges.repartition("rel", F.pmod(F.xxhash64("from_id"), F.lit(files))) if files > 1 else edges.repartition("rel")
+def write_by_relation(edges: DataFrame, path: str, files: int | None = None, rows: int = 500_000) -> None:
+    """One folder per relation type (A9), each in up to `files` files by a hash of the edge, so that few large types or nodes aren't written by as few tasks.
+
+    Without `files`, the edges of the largest type are counted first, and there is one for every `rows` of them.
+    """
+    if files is None:
+        largest = edges.groupBy("rel").count().agg(F.max("count")).first()[0] or 0
+        files = -(-largest // rows)
+    part = F.pmod(F.xxhash64("from_id", "to_id"), F.lit(files))
+    # a number of tasks that Spark keeps: it would put parts together by their size
+    dealt = edges.repartition(4 * files, "rel", part) if files > 1 else edges.repartition("rel")
     dealt.sortWithinPartitions("rel", "from_id", "to_id").write.mode("overwrite").partitionBy("rel").json(path)
 
 
