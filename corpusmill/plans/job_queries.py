@@ -17,10 +17,15 @@ from .queries import EDGES_SQL, any_sql, edges_of, first_line, nodes_of, pick, p
 
 
 def one_file_a_row(rows: DataFrame, key: str) -> str:
-    """A folder with one text file for each row (key, value)."""
-    path = new_path(rows.sparkSession, "files")
-    rows.repartition(key).write.partitionBy(key).option("lineSep", "\n").text(path)
-    return f"{path}/*"
+    """A folder with one text file for each row (key, value).
+
+    All files stand in one folder, and tasks put them there themselves (a folder a key, moved one by one by the driver, took most of the time). The number of tasks is given, as Spark would put small rows into one.
+    """
+    spark = rows.sparkSession
+    path = new_path(spark, "files")
+    dealt = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key).select("value")
+    dealt.write.option("lineSep", "\n").option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(path)
+    return path
 
 
 def named_files(spark: SparkSession, files: dict[str, DataFrame]) -> str:
