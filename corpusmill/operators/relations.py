@@ -138,6 +138,8 @@ def demote_contradictions(rows: DataFrame, symmetric: Iterable[str] = ("aligns_w
 
 #: Kinds of contained texts: least bytes, bytes of a gram, and grams of a window of which the smallest stands for all.
 GRAM_KINDS = ((23, 8, 16), (8, 8, 1), (4, 4, 1), (1, 1, 1))
+#: Bits of the map of parts' keys: 2 MB.
+KEY_CELLS = 1 << 24
 
 
 def _grams(raw: bytes, width: int, span: int) -> np.ndarray:
@@ -158,7 +160,8 @@ def contained(texts: DataFrame, parts: DataFrame, id_col: str, text_col: str, pa
     """Distinct (id, part) whose text may contain the part, a superset to be checked: both share a key.
 
     A part is looked up by the key of the window that the fewest parts share (so parts that end or begin alike don't meet every text that does), texts by all
-    their keys; only kinds that parts have are computed for texts. Empty parts are left out.
+    their keys; only kinds that parts have are computed for texts, and of their keys only those that a bitmap of the parts' keys holds go into the join (some
+    keys that no part has among them, if parts are many). Empty parts are left out.
     """
     kinds_of = "kind int, key long"
 
@@ -175,13 +178,19 @@ def contained(texts: DataFrame, parts: DataFrame, id_col: str, text_col: str, pa
     shared = stage(p.groupBy("kind", "key").agg(F.count("*").alias("n")))
     p = stage(p.join(shared, ["kind", "key"]).groupBy(part_col, "kind").agg(F.min_by("key", F.struct("n", "key")).alias("key")))
     present = [r.kind for r in p.select("kind").distinct().collect()]  # four at most
+    # the parts' keys in a bitmap of fixed size: other keys of the texts needn't be joined
+    cell = p.select(F.col("key").bitwiseAND(KEY_CELLS - 1).alias("cell")).select(F.expr("cell div 64").alias("word"), F.expr("shiftleft(1L, cast(cell % 64 as int))").alias("bit"))
+    bitmap = np.zeros(KEY_CELLS // 64, np.int64)
+    words = cell.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    bitmap[words.column("word").to_numpy()] = words.column("bits").to_numpy()
 
     def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(batch.num_rows):
                 raw = batch.column(1)[r].as_py()
                 for kind in present:
-                    key = np.unique(_grams(raw, *GRAM_KINDS[kind][1:]))
+                    key = _grams(raw, *GRAM_KINDS[kind][1:])
+                    key = np.unique(key[bitmap[(key & (KEY_CELLS - 1)) >> 6] >> (key & 63) & 1 == 1])
                     if len(key):
                         ids = batch.column(0).take(pa.array(np.full(len(key), r)))
                         yield pa.RecordBatch.from_arrays([ids, pa.array(np.full(len(key), kind, np.int32)), pa.array(key)], [id_col, "kind", "key"])
