@@ -203,8 +203,9 @@ def drain_stream(requests: DataFrame, docs: Callable[[], DataFrame], ledger: Dat
     def run(batch: DataFrame, number: int) -> None:
         q = queue_order(batch).select("pid", "trigger", "priority", "requested_at", "pos", "rank")
         known = latest_ledger(spark, ledger, out, number).select(F.col("pid").alias("_p"), F.col("raw_content_hash").alias("_h"), F.col("pipeline_version").alias("_v"))
-        now = docs().select(F.col("doc_id").cast("string").alias("_d"), "text").join(q.select(F.col("pid").alias("_d")), "_d", "left_semi")
-        now = now.groupBy("_d").agg(F.min(content_hash(F.col("text"))).alias("_now"))
+        # hashes are joined, not texts
+        now = docs().select(F.col("doc_id").cast("string").alias("_d"), content_hash(F.col("text")).alias("_now")).join(q.select(F.col("pid").alias("_d")), "_d", "left_semi")
+        now = now.groupBy("_d").agg(F.min("_now").alias("_now"))
         j = q.join(now, F.col("pid") == F.col("_d"), "left").join(known, F.col("pid") == F.col("_p"), "left")
         change = F.when(F.col("_d").isNull(), "dead_letter").when(F.col("_p").isNull(), "missing").when(F.col("_v") != version, "version").when(F.col("_h") != F.col("_now"), "content").otherwise("unchanged")
         j = j.withColumn("change", change).persist()
