@@ -44,6 +44,15 @@ def stage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def deal(df: DataFrame, rows: int, *keys: str, each: int = 500_000) -> DataFrame:
+    """df, of some `rows` rows, dealt by its keys to so many tasks that each has about `each`; as it is where the cores have no more than that anyway.
+
+    Spark sizes tasks by shuffled bytes, of which a row has few where rows repeat each other; sorts and hash tables keep the rows in full.
+    """
+    tasks = -(-rows // each)
+    return df.repartition(tasks, *keys) if tasks > df.sparkSession.sparkContext.defaultParallelism else df
+
+
 def remove_staged(spark: SparkSession) -> int:
     """Delete all tables that this process has staged so far, once the results that read them are written; gives their number."""
     gone = 0

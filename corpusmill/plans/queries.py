@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import dates, scoring
 from ..functions import text as T
 from ..operators import context, dedup, filters, identity, incremental, monitoring, ranking, relations, signals
+from ..operators.tables import deal
 from ..sources import readers
 from ..streaming import streams
 
@@ -76,9 +77,15 @@ market_one AS (SELECT o_orderkey AS signal_id, o_custkey AS doc_id, o_orderprior
   UNION SELECT o_orderkey, o_custkey % 100 + 1, o_orderpriority FROM orders WHERE o_orderstatus = 'O')"""
 
 
+def n_edges(spark: SparkSession, d: str) -> int:
+    """Lines, of which each gives an edge at most; counted by the footers of the files."""
+    return table(spark, d, "lineitem").count()
+
+
 def edges_of(spark: SparkSession, d: str) -> DataFrame:
     rel = F.when(F.col("l_returnflag") == "A", "references").when(F.col("l_returnflag") == "N", "cites_basis").when(F.col("l_linestatus") == "O", "supersedes").otherwise("aligns_with")
-    j = table(spark, d, "lineitem").join(table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    n = n_edges(spark, d)
+    j = deal(table(spark, d, "lineitem"), n, "l_orderkey").join(deal(table(spark, d, "orders"), n, "o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"))
     source = F.concat(F.lit("E"), F.concat_ws("_", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"), F.col("l_partkey").cast("string")))
     return j.select(F.col("o_custkey").alias("from_id"), (F.col("l_suppkey") + 10000000).alias("to_id"), rel.alias("rel"), F.col("l_discount").alias("confidence"), source.alias("source"))
 

@@ -1,14 +1,15 @@
 """Published versions under failure, covers against a sequential loop, hubs, repairs that don't reach a fixed point, dates without Python."""
 
 import collections
+import functools
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from corpusmill.functions import dates
-from corpusmill.operators import hooks, identity, ranking, relations
-from corpusmill.plans import jobs
+from corpusmill.operators import hooks, identity, ranking, relations, tables
+from corpusmill.plans import jobs, proof_queries, queries
 from corpusmill.sources import versions
 
 r = random.Random(31)
@@ -92,6 +93,20 @@ def test_hub_in_chunks(spark):
     assert sorted(map(str, with_ids.collect())) == sorted(map(str, relations.relation_degrees(e, ["r"], ids=False).collect()))
 
 
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+def test_edges_are_joined_in_tasks_of_bounded_rows(spark, monkeypatch, broadcast):
+    d, was = "/root/testdata/sf0.001", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        expected = sorted(map(str, proof_queries.hub_degrees(spark, d).collect()))
+        monkeypatch.setattr(queries, "deal", functools.partial(tables.deal, each=200))
+        sizes = [x["count"] for x in queries.edges_of(spark, d).groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == queries.n_edges(spark, d) and max(sizes) < 500
+        assert sorted(map(str, proof_queries.hub_degrees(spark, d).collect())) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
 def test_repairs_that_never_end_are_refused(spark):
     docs = spark.createDataFrame([("a", "x")], "doc_id string, date string").withColumn("issuer", F.array(F.lit("i"))).withColumn("region", F.struct(F.lit("l").alias("level")))
 
