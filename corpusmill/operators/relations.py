@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..functions.text import any_of, char_set, key_id, set_jaccard, window_around, window_from_anchor
-from .tables import one_row, stage
+from .tables import deal, one_row, stage
 
 
 def union_sources(**sources: DataFrame) -> DataFrame:
@@ -78,18 +78,22 @@ def adjacency(edges: DataFrame) -> DataFrame:
     return both.union(back).groupBy("node_id").agg(F.array_sort(F.collect_list("o")).alias("outbound"), F.array_sort(F.collect_list("i")).alias("inbound"))
 
 
-def adjacency_chunks(edges: DataFrame, size: int = 1_000) -> DataFrame:
+def adjacency_chunks(edges: DataFrame, size: int = 1_000, each: int = 500_000) -> DataFrame:
     """(node_id, side, chunk, peers): adjacency lists in chunks of some `size` peers, each sorted by (rel, peer), side out or in.
 
     The degrees come first, counted on the map side and written; a side of more than `size` edges is dealt by hash into as many chunks as it needs (chunks of
-    such a side differ a little in length), so no row and no task grows with a node. Both joins and the lists work by (node, side, chunk) or may be split.
+    such a side differ a little in length), so no row and no task grows with a node. The lists are made where the ends of edges have been dealt by
+    (node, side, chunk), some `each` to a task. The join with the large sides may be split; from `each` of these on it sorts neither side.
     """
-    kind = lambda node, peer, side: edges.select(F.col(node).alias("node_id"), F.lit(side).alias("side"), F.struct("rel", F.col(peer).alias("peer"), "confidence").alias("p"))
-    both = kind("from_id", "to_id", "out").unionByName(kind("to_id", "from_id", "in"))
-    large = stage(both.groupBy("node_id", "side").agg(F.count("*").alias("_n")).where(F.col("_n") > size).select(F.col("node_id").alias("_node"), F.col("side").alias("_side"), F.ceil(F.col("_n") / size).alias("_chunks")))
-    j = both.join(large, F.col("node_id").eqNullSafe(F.col("_node")) & (F.col("side") == F.col("_side")), "left")
+    end = lambda node, peer, side: F.struct(F.col(node).alias("node_id"), F.lit(side).alias("side"), F.struct("rel", F.col(peer).alias("peer"), "confidence").alias("p"))
+    both = edges.select(F.explode(F.array(end("from_id", "to_id", "out"), end("to_id", "from_id", "in"))).alias("e")).select("e.*")
+    degrees = stage(both.groupBy("node_id", "side").agg(F.count("*").alias("_n")))
+    rows, many = degrees.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.count_if(F.col("_n") > size)).first()
+    large = degrees.where(F.col("_n") > size).select(F.col("node_id").alias("_node"), F.col("side").alias("_side"), F.ceil(F.col("_n") / size).alias("_chunks"))
+    j = both.join(large.hint("shuffle_hash") if many >= each else large, F.col("node_id").eqNullSafe(F.col("_node")) & (F.col("side") == F.col("_side")), "left")
     chunk = F.coalesce(F.pmod(F.xxhash64("p.rel", "p.peer", "p.confidence"), F.col("_chunks")), F.lit(0)).cast("int")
-    return j.groupBy("node_id", "side", chunk.alias("chunk")).agg(F.array_sort(F.collect_list("p")).alias("peers"))
+    dealt = deal(j.select("node_id", "side", chunk.alias("chunk"), "p"), rows, "node_id", "side", "chunk", each=each)
+    return dealt.groupBy("node_id", "side", "chunk").agg(F.array_sort(F.collect_list("p")).alias("peers"))
 
 
 def endpoint_status(edges: DataFrame, index: DataFrame, key_col: str = "key") -> DataFrame:

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, rules
 from ..operators import hooks, identity, ranking, relations
-from ..operators.tables import new_path
+from ..operators.tables import deal, new_path
 from ..sources import versions
 from . import jobs
-from .queries import EDGES_SQL, edges_of, query, table
+from .queries import EDGES_SQL, edges_of, n_edges, query, table
 
 # ---- dates (G9, G10, I-UDF3) --------------------------------------------------------------------------------------------------------------
 
@@ -101,7 +101,10 @@ def greedy_cover(spark, d):
 def chunked_adjacency(spark, d):
     """Adjacency lists in chunks of some 50 peers, opened again; suppliers with many edges have several."""
     c = relations.adjacency_chunks(edges_of(spark, d), 50)
-    return c.select("node_id", "side", F.explode("peers").alias("p")).groupBy("node_id", "side", F.col("p.rel").alias("rel"), F.col("p.peer").alias("peer")).agg(F.count("*").alias("n"))
+    key = ["node_id", "side", "rel", "peer"]
+    peers = c.select("node_id", "side", "chunk", F.explode("peers").alias("p")).select("node_id", "side", "chunk", "p.rel", "p.peer")
+    per = peers.groupBy("chunk", *key).agg(F.count("*").alias("n"))  # where the chunks are: equal edges meet before they are dealt
+    return deal(per, 2 * n_edges(spark, d), *key).groupBy(*key).agg(F.sum("n").alias("n"))
 
 
 @query(f"""WITH {EDGES_SQL}, e AS (SELECT from_id AS node_id, rel, 1 AS o, 0 AS i FROM edges UNION ALL SELECT to_id, rel, 0, 1 FROM edges)

@@ -107,6 +107,29 @@ def test_edges_are_joined_in_tasks_of_bounded_rows(spark, monkeypatch, broadcast
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
 
 
+@pytest.mark.parametrize("large", [100, 5])
+def test_chunks_are_made_in_tasks_of_bounded_rows(spark, large):
+    edges = [("hub", f"n{k}", "r", 0.5) for k in range(2000)] + [(f"n{k}", f"n{k % 70}", "s", 0.5) for k in range(1000)] + [(None, "a", "r", 0.1)] * 7
+    e = spark.createDataFrame(edges, "from_id string, to_id string, rel string, confidence double").withColumn("source", F.lit("x"))
+    c = relations.adjacency_chunks(e, large, each=50).select("*", F.spark_partition_id().alias("task")).collect()
+    tasks = collections.Counter()
+    for x in c:
+        tasks[x.task] += len(x.peers)
+    assert sum(tasks.values()) == 2 * len(edges) and max(tasks.values()) < 50 + 3 * 100
+    told = collections.Counter((x.node_id, x.side, p.rel, p.peer, p.confidence) for x in c for p in x.peers)
+    assert told == collections.Counter(end for a, b, *rest in edges for end in ((a, "out", rest[0], b, rest[1]), (b, "in", rest[0], a, rest[1])))
+    assert relations.adjacency_chunks(e.limit(0)).count() == 0
+
+
+def test_peers_are_counted_in_tasks_of_bounded_rows(spark, monkeypatch):
+    d = "/root/testdata/sf0.001"
+    expected = sorted(map(str, proof_queries.chunked_adjacency(spark, d).collect()))
+    monkeypatch.setattr(proof_queries, "deal", functools.partial(tables.deal, each=200))
+    got = proof_queries.chunked_adjacency(spark, d)
+    assert max(x["count"] for x in got.groupBy(F.spark_partition_id()).count().collect()) < 500
+    assert sorted(map(str, got.collect())) == expected
+
+
 def test_repairs_that_never_end_are_refused(spark):
     docs = spark.createDataFrame([("a", "x")], "doc_id string, date string").withColumn("issuer", F.array(F.lit("i"))).withColumn("region", F.struct(F.lit("l").alias("level")))
 
