@@ -2,8 +2,11 @@
 
 1. Deal out. Two sets that link have at most H = (1 - t) / (1 + t) * (|A| + |B|) elements that only one of them holds. For each
    class of sizes, cut the hash space into H + 1 + s parts: at least s + 1 parts are the same in both (PartEnum, Arasu et al., 2006).
-   Every set sends a hash of each part, for its own class and the next; equal hashes make a loose link, always to the
-   first set of the same hash, so the number of loose links is linear however large a group of copies is. Light parts, of one
+   Every set sends a hash of each part, for its own class and the next. Texts that quote one passage have a part or two in common by
+   chance, so one equal hash is no loose link yet: a pair needs as many as its sizes demand (see needed), counted for all
+   pairs under hashes of few sets. Hashes of many sets are only counted by set; sets with so many of those that they alone may
+   be enough are linked to the first one of the hash. So the number of loose links is linear however large a group of copies
+   is, and none is lost. Light parts, of one
    element or none, would tie strangers together; they are sent only by sets with more than s of them: a pair that links
    has s + 1 equal parts, and if one side has at most s light ones, a heavier one is among them, and is as heavy on the
    other side. (At thresholds where light parts are the rule, only empty ones count as light.)
@@ -38,6 +41,8 @@ MIN_BITS, MAX_BITS = 512, 1 << 16
 FAN = 16
 #: Sets that a task remembers to have sent.
 SENT_SETS = 200_000
+#: Sets of one part's hash up to which all their pairs are counted; pairs that a task counts before it hands them on.
+BUCKET_SETS, COUNTED_PAIRS = 16, 1_000_000
 
 _MULT = np.array([0x9E3779B97F4A7C15 * (2 * k + 3) & 0xFFFFFFFFFFFFFFFF | 1 for k in range(16)], np.uint64)
 
@@ -58,31 +63,48 @@ def shingle_hashes(text: str | None, width: int) -> np.ndarray:
     return np.unique(mix64(s))
 
 
+def class_ends(threshold: int, top: int) -> list[int]:
+    """Upper ends of the classes of set sizes up to `top` and two beyond."""
+    ends, low = [], 1
+    while len(ends) < 3 or ends[-3] < top:
+        ends.append(max(low, low * 100 // threshold))
+        low = ends[-1] + 1
+    return ends
+
+
+def differing(sizes: int, threshold: int) -> int:
+    """Most elements that only one of two sets of so many elements together holds, if they link."""
+    return sizes * (100 - threshold) // (100 + threshold)
+
+
+def spare(differ: int) -> int:
+    """Parts of a class beyond those that its slack needs: so many equal ones more than one has every pair that links."""
+    return max(2, differ // 12) if differ else 0
+
+
 class SizeClasses:
     """Classes of set sizes up to `top` and two beyond: upper ends, parts, slack s, and up to how many elements a part is light."""
 
     def __init__(self, threshold: int, top: int):
-        ends, lows, low = [], [], 1
-        while len(ends) < 3 or ends[-3] < top:
-            ends.append(max(low, low * 100 // threshold))
-            lows.append(low)
-            low = ends[-1] + 1
+        ends = class_ends(threshold, top)
+        lows = [1, *(e + 1 for e in ends[:-1])]
         self.ends = np.array(ends, np.int64)
         self.parts, self.slack, self.light = [], [], []
         for c, r in enumerate(ends):
-            differ = 2 * r * (100 - threshold) // (100 + threshold)
+            differ = differing(2 * r, threshold)
+            more = spare(differ)
             least = lows[max(0, c - 1)]  # the smallest sets that are sent to this class
             # the smallest slack that lets most sets keep their light parts to themselves (any slack loses no pair)
             slack, light = (differ + 1) // 10 + 4, 0
             for s in range(2, (differ + 1) // 5 + 6):
-                each = least / (differ + 1 + s)
-                expected = (differ + 1 + s) * np.exp(-each) * (1 + each)
+                each = least / (differ + 1 + s + more)
+                expected = (differ + 1 + s + more) * np.exp(-each) * (1 + each)
                 if expected + 2 * np.sqrt(expected) <= s:
                     slack, light = s, 1
                     break
             if differ == 0:
                 slack, light = 0, 0
-            self.parts.append(differ + 1 + slack)
+            self.parts.append(differ + 1 + slack + more)
             self.slack.append(slack)
             self.light.append(light)
 
@@ -131,30 +153,138 @@ def set_node(h: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(h.tobytes()) - (1 << 63)
 
 
-def loose_links(texts: DataFrame, width: int, threshold: int) -> DataFrame:
-    """(cls, src, dst) links between the nodes of sets with an equal part, in each class a superset of the connectivity of the true links whose larger set is of that class."""
-    keys = texts.mapInArrow(_keys_of(width, threshold), "key long, node long")
-    ordered = keys.repartition("key").sortWithinPartitions("key", "node")
+def needed(cls: Column, sizes: Column, threshold: int) -> Column:
+    """Least number of equal keys of a class that two sets of so many elements together have, if they link and the larger is of that class.
 
-    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, first = None, None  # of the run that the last batch ended with
-        for batch in batches:
+    Of the class's parts, at most as many differ as elements do, and at most `slack` equal ones are light and kept back by one side.
+    """
+    differ = [differing(2 * r, threshold) for r in class_ends(threshold, 1 << 31)]  # no text has more shingles
+    most = F.get(F.array(*[F.lit(d + 1 + spare(d)).cast("long") for d in differ]), cls.cast("int"))
+    return most - F.floor(sizes * (100 - threshold) / (100 + threshold))
+
+
+def loose_links(texts: DataFrame, sizes: DataFrame, width: int, threshold: int) -> DataFrame:
+    """(cls, src, dst) links between the nodes of sets with enough equal parts, in each class a superset of the connectivity of the true links whose larger set is of that class.
+
+    sizes: (node, n_shingles), a row for each set.
+    """
+    keys = texts.mapInArrow(_keys_of(width, threshold), "key long, node long")
+    met = materialize(keys.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_meetings, "cls long, a long, b long, key long, n long"))
+    pairs = met.where("b IS NOT NULL").groupBy("cls", "a", "b").agg(F.sum("n").alias("x"))
+    many = met.where("b IS NULL").select("cls", "key", F.col("a").alias("node")).distinct()
+    size = lambda end: sizes.select(F.col("node").alias(end), F.col("n_shingles").alias(f"n_{end}"))
+    # hashes of many sets, by set; where they alone may be enough for some other set, the set is hot
+    largest = F.least(F.floor(F.col("n_node") * 100 / threshold), F.get(F.array(*[F.lit(e).cast("long") for e in class_ends(threshold, 1 << 31)]), F.col("cls").cast("int")))
+    held = many.groupBy("cls", "node").agg(F.count("*").alias("y")).join(size("node"), "node")
+    held = materialize(held.select("cls", "node", "y", (F.col("y") >= needed(F.col("cls"), F.col("n_node") + largest, threshold)).alias("hot")))
+    y = lambda end: held.select("cls", F.col("node").alias(end), F.col("y").alias(f"y_{end}"))
+    pairs = pairs.join(size("a"), "a").join(size("b"), "b").join(y("a"), ["cls", "a"], "left").join(y("b"), ["cls", "b"], "left")
+    both = F.least(F.coalesce("y_a", F.lit(0)), F.coalesce("y_b", F.lit(0)))
+    near = pairs.where(F.col("x") + both >= needed(F.col("cls"), F.col("n_a") + F.col("n_b"), threshold)).select("cls", F.col("a").alias("src"), F.col("b").alias("dst"))
+    hot = many.join(held.where("hot").select("cls", "node"), ["cls", "node"]).select("key", "node")
+    stars = hot.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_stars, "cls long, src long, dst long")
+    return near.unionByName(stars).distinct()
+
+
+def _class_of(key: np.ndarray) -> np.ndarray:
+    return (key.view(np.uint64) >> np.uint64(CLASS_SHIFT)).astype(np.int64)
+
+
+def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, node) in order -> (cls, a, b, null, n): pairs of sets and how many keys of few sets both have; (cls, a, null, key, null): the sets of keys of many."""
+    names = ["cls", "a", "b", "key", "n"]
+    nothing = lambda n: pa.nulls(n, pa.int64())
+    counted: list[np.ndarray] = []
+    waiting = 0
+
+    def pairs() -> Iterator[pa.RecordBatch]:
+        if counted:
+            found = np.concatenate(counted, axis=1)
+            counted.clear()
+            c, a, b = found.view(np.uint64)
+            found = found[:, np.argsort(mix64(mix64(a + c) + b))]  # equal pairs together; where strangers share a hash, a pair may come in two rows
+            start = np.flatnonzero(np.concatenate([[True], (found[:, 1:] != found[:, :-1]).any(axis=0)]))
+            n = np.diff(np.append(start, found.shape[1]))
+            yield pa.RecordBatch.from_arrays([*map(pa.array, found[:, start]), nothing(len(n)), pa.array(n)], names)
+
+    def of_many(key: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(_class_of(key)), pa.array(node), nothing(len(key)), pa.array(key), nothing(len(key))], names)
+
+    none = np.zeros(0, np.int64)
+    held = (none, none)  # the last run, which the next batch may go on with
+    last = None  # the key of that run, if it is one of many sets that have been handed on
+    for batch in _and_end(batches):
+        if batch is not None:
             if not batch.num_rows:
                 continue
-            k, d = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            new = np.ones(len(k), bool)
-            new[1:] = k[1:] != k[:-1]
-            new[0] = key is None or k[0] != key
-            at = np.maximum.accumulate(np.where(new, np.arange(len(k)), -1))
-            head = np.where(at >= 0, d[np.maximum(at, 0)], first if first is not None else 0)
-            far = ~new & (d != head)
-            key, first = k[-1], head[-1]
-            if far.any():
-                cls = (k[far].view(np.uint64) >> np.uint64(CLASS_SHIFT)).astype(np.int64)
-                pairs = np.unique(np.stack([cls, d[far], head[far]]), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in pairs], ["cls", "src", "dst"])
-
-    return ordered.mapInArrow(link, "cls long, src long, dst long").distinct()
+            k, d = (np.concatenate([h, batch.column(c).to_numpy()]) for c, h in enumerate(held))
+        else:
+            k, d = held
+        if not len(k):
+            continue
+        if last is not None:
+            more = int(np.searchsorted(k, last, "right"))  # keys ascend
+            if more:
+                yield of_many(k[:more], d[:more])
+            k, d = k[more:], d[more:]
+            if not len(k):
+                held = (none, none)
+                continue
+            last = None
+        new = np.ones(len(k), bool)
+        new[1:] = (k[1:] != k[:-1]) | (d[1:] != d[:-1])
+        k, d = k[new], d[new]  # copies of a set that several tasks sent
+        end = len(k)
+        if batch is not None:
+            end = int(np.searchsorted(k, k[-1], "left"))
+            if len(k) - end > BUCKET_SETS:
+                last, held = k[-1], (none, none)
+                yield of_many(k[end:], d[end:])
+            else:
+                held = (k[end:], d[end:])
+        k, d = k[:end], d[:end]
+        start = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if end else none
+        size = np.diff(np.append(start, end))
+        each = np.repeat(size, size)
+        if (each > BUCKET_SETS).any():
+            yield of_many(k[each > BUCKET_SETS], d[each > BUCKET_SETS])
+        few = (each > 1) & (each <= BUCKET_SETS)
+        k, d = k[few], d[few]
+        for far in range(1, min(BUCKET_SETS, len(k))):
+            same = np.flatnonzero(k[far:] == k[:-far])
+            if not len(same):
+                break
+            counted.append(np.stack([_class_of(k[same]), d[same], d[same + far]]))
+            waiting += len(same)
+        if waiting > COUNTED_PAIRS:
+            yield from pairs()
+            waiting = 0
+    yield from pairs()
+
+
+def _and_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+    """The batches, then None."""
+    yield from batches
+    yield None
+
+
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, node) in order -> (cls, src, dst): each set with the first one of its key."""
+    key, first = None, None  # of the run that the last batch ended with
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        k, d = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        new = np.ones(len(k), bool)
+        new[1:] = k[1:] != k[:-1]
+        new[0] = key is None or k[0] != key
+        at = np.maximum.accumulate(np.where(new, np.arange(len(k)), -1))
+        head = np.where(at >= 0, d[np.maximum(at, 0)], first if first is not None else 0)
+        far = ~new & (d != head)
+        key, first = k[-1], head[-1]
+        if far.any():
+            pairs = np.unique(np.stack([_class_of(k[far]), d[far], head[far]]), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in pairs], ["cls", "src", "dst"])
 
 
 def _keys_of(width: int, threshold: int):
@@ -308,10 +438,10 @@ def jaccard_rows(docs: DataFrame, width: int = 4, threshold: int = 85, block_doc
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (row_hash("text") if row is None else row).alias("row"), "text")
     sizes = materialize(set_sizes(texts, width))
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("rep")
-    weight = F.ceil(F.max("n_shingles") / SET_ELEMENTS).alias("weight")
-    reps = materialize(sizes.where("node IS NOT NULL").groupBy("node").agg(least, weight).select("node", "rep.*", "weight"))
+    found = materialize(sizes.where("node IS NOT NULL").groupBy("node").agg(least, F.max("n_shingles").alias("n_shingles")).select("node", "rep.*", "n_shingles"))
+    nodes, reps = found.select("node", "n_shingles"), found.select("node", "none", "doc_id", "row", F.ceil(F.col("n_shingles") / SET_ELEMENTS).alias("weight"))
     # loose components of each class: their nodes are (class, set), told by a hash (a collision would only widen a block)
-    links = materialize(loose_links(texts.select("text"), width, threshold))
+    links = materialize(loose_links(texts.select("text"), nodes, width, threshold))
     node = lambda c: F.xxhash64("cls", c)
     loose = connected_components(links.select(node("src").alias("src"), node("dst").alias("dst"))).withColumnRenamed("node", "_n")
     held = links.select("cls", F.explode(F.array("src", "dst")).alias("node")).distinct()
