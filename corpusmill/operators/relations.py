@@ -140,68 +140,134 @@ def demote_contradictions(rows: DataFrame, symmetric: Iterable[str] = ("aligns_w
     return rows.withColumn("_kinds", kinds).withColumn("contradiction", directed & (F.col("_kinds") > 1)).withColumn("decision", F.when(F.col("contradiction"), "manual_review").otherwise(F.col("decision"))).drop("_kinds")
 
 
-#: Kinds of contained texts: least bytes, bytes of a gram, and grams of a window of which the smallest stands for all.
-GRAM_KINDS = ((23, 8, 16), (8, 8, 1), (4, 4, 1), (1, 1, 1))
-#: Bits of the map of parts' keys: 2 MB.
-KEY_CELLS = 1 << 24
-
-
-def _grams(raw: bytes, width: int, span: int) -> np.ndarray:
-    """A key for each window of `span` grams of `width` bytes: equal windows have equal keys wherever they stand."""
-    n = len(raw) - width + 1
-    if n < span:
-        return np.empty(0, np.int64)
-    b = np.frombuffer(raw, np.uint8).astype(np.uint64)
-    x = np.zeros(n, np.uint64)
-    for k in range(width):
-        x |= b[k : k + n] << np.uint64(8 * k)
-    x *= np.uint64(0x9E3779B97F4A7C15)  # odd, so one to one; which gram is smallest then has nothing to do with its letters
-    x ^= x >> np.uint64(32)
-    return (np.lib.stride_tricks.sliding_window_view(x, span).min(axis=1) if span > 1 else x).view(np.int64)
+#: Bytes up to which a part's key stands for all of it; longer ones have keys of their beginning, of 4/5 of their bytes or more.
+WHOLE_BYTES = 64
+#: Bytes of the beginning that is looked up before any longer one.
+HEAD_BYTES = 8
+#: Bits of the filter of parts' keys (8 MB; a power of two), and bytes of texts that are searched at once.
+KEY_CELLS, SEARCHED_BYTES = 1 << 26, 1 << 20
 
+_LETTERS = np.random.default_rng(11).integers(1, 1 << 63, (2, 256), dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+_BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+_powers: list[np.ndarray] = []
 
-def contained(texts: DataFrame, parts: DataFrame, id_col: str, text_col: str, part_col: str) -> DataFrame:
-    """Distinct (id, part) whose text may contain the part, a superset to be checked: both share a key.
 
-    A part is looked up by the key of the window that the fewest parts share (so parts that end or begin alike don't meet every text that does), texts by all
-    their keys; only kinds that parts have are computed for texts, and of their keys only those that a bitmap of the parts' keys holds go into the join (some
-    keys that no part has among them, if parts are many). Empty parts are left out.
+def _powers_of(n: int) -> list[np.ndarray]:
+    """The first n powers of both bases and of their inverses modulo 2**64: base, inverse, base, inverse."""
+    if not _powers or len(_powers[0]) < n:
+        out = []
+        for base in _BASES:
+            for x in (base, pow(base, -1, 1 << 64)):
+                v = np.full(max(n, SEARCHED_BYTES + 1), x, np.uint64)
+                v[0] = 1
+                out.append(np.cumprod(v, dtype=np.uint64))
+        _powers[:] = out
+    return _powers
+
+
+class _Hashes:
+    """Two 64-bit hashes of any stretch of some bytes."""
+
+    def __init__(self, raw: np.ndarray):
+        self.powers = _powers_of(len(raw) + 1)
+        self.sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(_LETTERS[k][raw] * self.powers[2 * k][: len(raw)], dtype=np.uint64)]) for k in (0, 1)]
+
+    def of(self, k: int, at: np.ndarray, n: int) -> np.ndarray:
+        return (self.sums[k][at + n] - self.sums[k][at]) * self.powers[2 * k + 1][at]
+
+
+def _cells(h: np.ndarray, n: int, cells: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two cells of the filter, which has so many, for hashes of n bytes."""
+    x = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + np.uint64(n * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+    return tuple((y & np.uint64(cells - 1)).astype(np.int64) for y in (x >> np.uint64(36), x))
+
+
+def _key_bytes(n: int) -> int:
+    """How many bytes of a part of n its key takes: all of them up to WHOLE_BYTES, then the next smaller step."""
+    step = WHOLE_BYTES
+    while n > WHOLE_BYTES and step * 5 // 4 <= n:
+        step = step * 5 // 4
+    return min(n, step)
+
+
+def containment_keys(texts: DataFrame, parts: DataFrame, id_col: str, text_col: str, part_col: str) -> tuple[DataFrame, DataFrame]:
+    """(keys, looked): keys (id, size, h1, h2) of the texts, and (part, size, h1, h2, whole) of the distinct parts; a text that contains a part has its key.
+
+    A key is two 64-bit hashes of the part's bytes (whole), or of its beginning where it has more than WHOLE_BYTES. Texts are searched for beginnings and
+    lengths that parts have, by a filter of fixed size, so that the keys of a text are those of parts that it contains and a few by chance, not those of all
+    parts that share some words with it. Empty parts are left out.
     """
-    kinds_of = "kind int, key long"
+    columns, filled = "size int, h1 long, h2 long", KEY_CELLS
 
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in range(batch.num_rows):
-                raw = batch.column(1)[r].as_py()
-                kind = next(k for k, (least, _, _) in enumerate(GRAM_KINDS) if len(raw) >= least)
-                key = np.unique(_grams(raw, *GRAM_KINDS[kind][1:]))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.full(len(key), r))), pa.array(np.full(len(key), kind, np.int32)), pa.array(key)], [part_col, "kind", "key"])
+            rows = []
+            for raw in batch.column(1).to_pylist():
+                n = _key_bytes(len(raw))
+                h, at = _Hashes(np.frombuffer(raw, np.uint8, n)), np.zeros(1, np.int64)
+                whole, head = h.of(0, at, n), h.of(0, at, min(n, HEAD_BYTES))
+                cells = [*_cells(whole, n, filled), *(_cells(head, 0, filled) if n >= HEAD_BYTES else ())]
+                rows.append((n, int(whole.view(np.int64)[0]), int(h.of(1, at, n).view(np.int64)[0]), n == len(raw), [int(c[0]) for c in cells]))
+            if rows:
+                types = (pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, t) for x, t in zip(zip(*rows), types))], [part_col, "size", "h1", "h2", "whole", "cells"])
 
     p = parts.where(F.length(part_col) > 0).select(part_col).distinct()
-    p = stage(p.select(part_col, F.col(part_col).cast("binary").alias("raw")).mapInArrow(windows, f"`{part_col}` string, {kinds_of}"))
-    shared = stage(p.groupBy("kind", "key").agg(F.count("*").alias("n")))
-    p = stage(p.join(shared, ["kind", "key"]).groupBy(part_col, "kind").agg(F.min_by("key", F.struct("n", "key")).alias("key")))
-    present = [r.kind for r in p.select("kind").distinct().collect()]  # four at most
-    # the parts' keys in a bitmap of fixed size: other keys of the texts needn't be joined
-    cell = p.select(F.col("key").bitwiseAND(KEY_CELLS - 1).alias("cell")).select(F.expr("cell div 64").alias("word"), F.expr("shiftleft(1L, cast(cell % 64 as int))").alias("bit"))
-    bitmap = np.zeros(KEY_CELLS // 64, np.int64)
+    p = stage(p.select(part_col, F.col(part_col).cast("binary").alias("raw")).mapInArrow(keyed, f"`{part_col}` string, {columns}, whole boolean, cells array<long>"))
+    sizes = sorted(r[0] for r in p.select("size").distinct().collect())  # some hundred at most
+    bitmap = np.zeros(filled // 64, np.int64)
+    cell = p.select(F.explode("cells").alias("cell")).select(F.expr("cell div 64").alias("word"), F.expr("shiftleft(1L, cast(cell % 64 as int))").alias("bit"))
     words = cell.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
     bitmap[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    shared = p.sparkSession.sparkContext.broadcast(bitmap)
+
+    def search(ids: pa.Array, raws: list[bytes]) -> pa.RecordBatch | None:
+        bits = shared.value
+        raw = np.frombuffer(b"".join(raws), np.uint8)
+        length = np.array([len(x) for x in raws], np.int64)
+        row = np.repeat(np.arange(len(raws)), length)
+        left = np.repeat(np.cumsum(length), length) - np.arange(len(raw))  # bytes from here to the end of the text
+        h, places = _Hashes(raw), np.arange(len(raw))
+
+        def known(at: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
+            x, y = _cells(hashes, n, filled)
+            hit = (bits[x >> 6] >> (x & 63) & 1 == 1) & (bits[y >> 6] >> (y & 63) & 1 == 1)
+            return at[hit]
+
+        headed = places[left >= HEAD_BYTES]
+        headed = known(headed, h.of(0, headed, HEAD_BYTES), 0) if sizes and sizes[-1] >= HEAD_BYTES else headed[:0]
+        found = []
+        for n in sizes:
+            at = headed if n >= HEAD_BYTES else places
+            at = at[left[at] >= n]
+            at = known(at, h.of(0, at, n), n)
+            if len(at):
+                found.append(np.unique(np.stack([row[at], np.full(len(at), n), h.of(0, at, n).view(np.int64), h.of(1, at, n).view(np.int64)]), axis=1))
+        if not found:
+            return None
+        r, n, h1, h2 = np.concatenate(found, axis=1)
+        return pa.RecordBatch.from_arrays([ids.take(pa.array(r)), pa.array(n.astype(np.int32)), pa.array(h1), pa.array(h2)], [id_col, "size", "h1", "h2"])
 
     def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            first, raws, held = 0, [], 0
             for r in range(batch.num_rows):
-                raw = batch.column(1)[r].as_py()
-                for kind in present:
-                    key = _grams(raw, *GRAM_KINDS[kind][1:])
-                    key = np.unique(key[bitmap[(key & (KEY_CELLS - 1)) >> 6] >> (key & 63) & 1 == 1])
-                    if len(key):
-                        ids = batch.column(0).take(pa.array(np.full(len(key), r)))
-                        yield pa.RecordBatch.from_arrays([ids, pa.array(np.full(len(key), kind, np.int32)), pa.array(key)], [id_col, "kind", "key"])
+                raws.append(batch.column(1)[r].as_py())
+                held += len(raws[-1])
+                if held >= SEARCHED_BYTES or r == batch.num_rows - 1:
+                    if held and (out := search(batch.column(0).slice(first, len(raws)), raws)) is not None:
+                        yield out
+                    first, raws, held = r + 1, [], 0
 
     ids = texts.select(id_col, F.col(text_col).cast("binary").alias("raw")).where("raw IS NOT NULL")
-    keys = ids.mapInArrow(every, f"`{id_col}` {dict(texts.dtypes)[id_col]}, {kinds_of}")
-    return keys.join(p, ["kind", "key"]).select(id_col, part_col).distinct()
+    return ids.mapInArrow(every, f"`{id_col}` {texts.schema[id_col].dataType.simpleString()}, {columns}"), p.drop("cells")
+
+
+def contained(texts: DataFrame, parts: DataFrame, id_col: str, text_col: str, part_col: str) -> DataFrame:
+    """Distinct (id, part) whose text may contain the part, a superset to be checked: the text has the part's key (see containment_keys)."""
+    keys, p = containment_keys(texts, parts, id_col, text_col, part_col)
+    return keys.join(p, ["size", "h1", "h2"]).select(id_col, part_col).distinct()
 
 
 def citations(docs: DataFrame, targets: DataFrame, number_core: Column | None = None) -> DataFrame:

@@ -98,3 +98,13 @@ def test_contained_with_a_crowded_bitmap(spark, monkeypatch):
     for cells in (64, relations.KEY_CELLS):
         monkeypatch.setattr(relations, "KEY_CELLS", cells)
         assert want <= {(r.id, r.part) for r in relations.contained(docs, p, "id", "body", "part").collect()}
+
+
+def test_candidates_share_more_than_words(spark):
+    """Names and titles made of the same few words: candidates are those that contain a name, not all that share a piece of it."""
+    words = ["abcdefgh", "ijklmnop", "qrstuvwx", "yzabcdef", "ghijklmn"]
+    titles = [(k, "".join(words[k * p % 5] for p in (1, 2, 3, 7, 11, 13)) + f"{k:04}") for k in range(400)]
+    names = [f"{words[k % 5]}{k:04}" for k in range(400)]
+    got = {(r.id, r.part) for r in relations.contained(spark.createDataFrame(titles, "id long, body string"), spark.createDataFrame([(n,) for n in names], "part string"), "id", "body", "part").collect()}
+    want = {(i, n) for i, t in titles for n in names if n in t}
+    assert want <= got and len(got) <= len(want) + 5  # thousands before
